@@ -25,6 +25,7 @@ from .model import (  # noqa: F401
     save_bundle,
     scaler_table,
     train,
+    train_scaler,
 )
 from .profile import (  # noqa: F401
     check_mix_rules,

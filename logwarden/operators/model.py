@@ -127,6 +127,15 @@ def train(features: DataFrame, window: str, k: int = C.KMEANS_K,
                        order=order, scaler_model=scaler, kmeans_model=km)
 
 
+def train_scaler(features: DataFrame, window: str) -> ModelBundle:
+    """Only the scaler (one aggregation pass); the bundle has no centroids."""
+    scaler = fit_scaler(assemble(features).select("raw_features"))
+    return ModelBundle(window=window,
+                       means=[float(x) for x in scaler.mean.toArray()],
+                       stds=[float(x) for x in scaler.std.toArray()],
+                       centers=[], fit_ids=[], scaler_model=scaler)
+
+
 def scaler_table(spark: SparkSession, bundle: ModelBundle) -> DataFrame:
     rows = [(name, i, float(bundle.means[i]), float(bundle.stds[i]))
             for i, name in enumerate(VECTOR_COLUMNS)]
@@ -142,13 +151,14 @@ def bundle_from_tables(scaler_df: DataFrame, centroid_df: DataFrame,
                        window: str, order: str = "error_rate") -> ModelBundle:
     """Model from its two tables. Both are bounded (4 rows; k rows) and the
     bound is checked before anything reaches the driver."""
-    n = centroid_df.count()
+    nv = len(VECTOR_COLUMNS)
+    srows = sorted(scaler_df.select("position", "mean", "std").limit(nv + 1).collect())
+    if [r["position"] for r in srows] != list(range(nv)):
+        raise ValueError("scaler table must have one row per vector position")
+    crows = sorted(centroid_df.select("cluster", "center").limit(MAX_CLUSTERS + 1).collect())
+    n = len(crows)
     if n == 0 or n > MAX_CLUSTERS:
         raise ValueError(f"centroid table has {n} rows; expected 1..{MAX_CLUSTERS}")
-    srows = sorted(scaler_df.select("position", "mean", "std").collect())
-    if [r["position"] for r in srows] != list(range(len(VECTOR_COLUMNS))):
-        raise ValueError("scaler table must have one row per vector position")
-    crows = sorted(centroid_df.select("cluster", "center").collect())
     if [r["cluster"] for r in crows] != list(range(n)):
         raise ValueError("cluster ids must be 0..k-1")
     return ModelBundle(window=window,

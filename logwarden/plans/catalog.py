@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators import alerts as A
 from ..operators.features import window_features
-from ..operators.model import scaler_table, train
+from ..operators.model import scaler_table, train, train_scaler
 from ..operators.profile import (check_mix_rules, observed_mix, service_gaps,
                                  service_level_mix)
 from ..operators.scoring import scaled_vector_columns, score
@@ -102,7 +102,7 @@ def _round6(c):
 
 
 def scaler_stats(spark, sf_dir):
-    bundle = train(_features(spark, sf_dir, FIXED_WINDOW), FIXED_WINDOW)
+    bundle = train_scaler(_features(spark, sf_dir, FIXED_WINDOW), FIXED_WINDOW)
     return scaler_table(spark, bundle).select(
         "feature", "position", _round6(F.col("mean")).alias("mean"),
         _round6(F.col("std")).alias("std"))
@@ -110,8 +110,7 @@ def scaler_stats(spark, sf_dir):
 
 def scaled_features(spark, sf_dir):
     feats = _features(spark, sf_dir, FIXED_WINDOW)
-    bundle = train(feats, FIXED_WINDOW)
-    z = scaled_vector_columns(feats, bundle)
+    z = scaled_vector_columns(feats, train_scaler(feats, FIXED_WINDOW))
     return z.select("window_start", "serviceName",
                     *[_round6(F.col("z_" + n)).alias("z_" + n) for n in VECTOR_COLUMNS])
 

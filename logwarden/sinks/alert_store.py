@@ -40,37 +40,37 @@ def read_alerts(spark: SparkSession, path: str) -> DataFrame:
         return empty_alerts(spark)
 
 
-def _stored_ids_near(spark: SparkSession, path: str, alerts: DataFrame) -> DataFrame | None:
-    if not path_exists(spark, path):
-        return None
-    lo, hi = alerts.agg(F.min("window_start"), F.max("window_start")).first()
-    if lo is None:
-        return None
-    return (spark.read.schema(STORE_SCHEMA).parquet(path)
-            .filter(F.col(PARTITION_COLUMN).between(F.to_date(F.lit(lo)), F.to_date(F.lit(hi))))
-            .select("id"))
-
-
 def insert_alerts(spark: SparkSession, alerts: DataFrame, path: str,
-                  publish: Callable[[DataFrame], None] | None = None) -> int:
-    """Append alerts whose id is not yet stored; return how many were new.
+                  publish: Callable[[DataFrame], None] | None = None) -> None:
+    """Append alerts whose id is not yet stored.
+
+    New alerts are hash-partitioned by window date (one shuffle), which both
+    de-duplicates ids (an id determines its date) and leaves one file per date
+    directory and batch. They are persisted (small: at most one row per window,
+    service and severity); their date range, one row to the driver, prunes the
+    store scan to the partitions that can hold the same ids.
 
     ``publish`` (optional) receives the new alerts before they are stored, so
     a failure between the two steps re-publishes on retry (at least once on
     the topic) but never stores twice.
     """
-    fresh = alerts.select(*ALERT_COLUMNS).dropDuplicates(["id"])
-    stored = _stored_ids_near(spark, path, fresh)
-    if stored is not None:
-        fresh = fresh.join(stored, "id", "left_anti")
-    fresh = fresh.withColumn(PARTITION_COLUMN, F.to_date("window_start")).persist()
+    fresh = (alerts.select(*ALERT_COLUMNS)
+             .withColumn(PARTITION_COLUMN, F.to_date("window_start"))
+             .repartition(PARTITION_COLUMN)
+             .dropDuplicates([PARTITION_COLUMN, "id"])
+             .persist())
     try:
-        n = fresh.count()
-        if n == 0:
-            return 0
+        lo, hi = fresh.agg(F.min(PARTITION_COLUMN), F.max(PARTITION_COLUMN)).first()
+        if lo is None:
+            return
+        new = fresh
+        if path_exists(spark, path):
+            stored = (spark.read.schema(STORE_SCHEMA).parquet(path)
+                      .filter(F.col(PARTITION_COLUMN).between(F.lit(lo), F.lit(hi)))
+                      .select(PARTITION_COLUMN, "id"))
+            new = fresh.join(stored, [PARTITION_COLUMN, "id"], "left_anti")
         if publish is not None:
-            publish(fresh.select(*ALERT_COLUMNS))
-        (fresh.write.mode("append").partitionBy(PARTITION_COLUMN).parquet(path))
-        return n
+            publish(new.select(*ALERT_COLUMNS))
+        new.write.mode("append").partitionBy(PARTITION_COLUMN).parquet(path)
     finally:
         fresh.unpersist()

@@ -1,0 +1,42 @@
+import os
+import sys
+import tempfile
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+if ROOT not in sys.path:
+    sys.path.insert(0, ROOT)
+
+SF001 = "/root/testdata/sf0.001"
+SF01 = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from logwarden.session import build_session
+
+    ckpt = tempfile.mkdtemp(prefix="lw-test-ckpt-", dir="/tmp")
+    s = build_session("local[4]", 8, app_name="logwarden-tests",
+                      extra={"spark.ui.showConsoleProgress": "false",
+                             "spark.checkpoint.dir": ckpt,
+                             "spark.driver.memory": "4g"})
+    yield s
+    s.stop()
+
+
+@pytest.fixture()
+def tmp_dir():
+    return tempfile.mkdtemp(prefix="lw-test-", dir="/tmp")
+
+
+def ts(text):
+    import datetime as dt
+    return dt.datetime.fromisoformat(text)
+
+
+def make_logs(spark, rows):
+    """rows: (timestamp text or None, level, message, relatedObjectId, serviceName)."""
+    from logwarden.schemas import LOG_SCHEMA
+    data = [(ts(r[0]) if r[0] else None, *r[1:]) for r in rows]
+    return spark.createDataFrame(data, LOG_SCHEMA)
