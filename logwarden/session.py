@@ -55,19 +55,27 @@ def pin_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", UTC)
 
 
+_PRIVATE_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; created privately only when unset."""
+    """The shared checkpoint folder (``spark.checkpoint.dir``).
+
+    Only a local-mode session without that setting (tests) gets a private
+    folder; on a cluster the setting is required, because a machine-local
+    folder is not visible to other executors and is lost with its host.
+    """
     d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
+        d = sc.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="logwarden-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    try:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(d)
-    except Exception:  # pragma: no cover - Spark Connect has no SparkContext
-        pass
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        d = _PRIVATE_DIRS.setdefault(sc.applicationId,
+                                     tempfile.mkdtemp(prefix="logwarden-ckpt-"))
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
 
 
