@@ -38,6 +38,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         # on the JVM heap.
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        # Commit state as a changelog per batch instead of a full snapshot.
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
