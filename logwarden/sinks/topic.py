@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import constants as C
 from ..schemas import ALERT_COLUMNS, ALERT_SCHEMA
@@ -61,6 +60,3 @@ def alert_publisher(*, servers: str | None = None, topic: str = C.ALERTS_TOPIC,
                         topic=topic, path=path, fmt=fmt)
     return publish
 
-
-RECORD_TEXT_SCHEMA = T.StructType([T.StructField("key", T.StringType()),
-                                   T.StructField("value", T.StringType())])

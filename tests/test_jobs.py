@@ -50,3 +50,13 @@ def test_train_then_detect_then_reuse(spark, tmp_dir):
 def test_window_mismatch_is_an_error(spark, tmp_dir):
     with pytest.raises(ValueError):
         ensure_detector_model(spark, _cfg(tmp_dir, training_window="5 minutes"))
+
+
+def test_command_line_entry(spark, tmp_dir):
+    from logwarden.jobs import main
+    publish_records(encode_logs(load_logs(spark, SF001)), path=f"{tmp_dir}/topic")
+    main(["--records", f"{tmp_dir}/topic", "--model", f"{tmp_dir}/model",
+          "--store", f"{tmp_dir}/store", "--window", "1 day",
+          "--checkpoint", f"{tmp_dir}/ckpt", "--trigger", "available-now"])
+    assert model_exists(spark, f"{tmp_dir}/model")
+    assert read_alerts(spark, f"{tmp_dir}/store").count() > 0

@@ -1,4 +1,4 @@
-"""Training snapshot (files and JDBC), level mix, gaps and mix rules."""
+"""Training snapshot (files), level mix, gaps and mix rules."""
 
 import os
 
@@ -25,18 +25,6 @@ def test_snapshot_overwrites_files(spark, tmp_dir):
     assert back.exceptAll(logs).count() == 0
 
 
-def test_snapshot_jdbc_embedded_derby(spark, tmp_dir):
-    url = f"jdbc:derby:{tmp_dir}/derby;create=true"
-    drv = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
-    logs = make_logs(spark, [("2024-01-01T00:00:00.123", "ERROR", "m1", "O-1", "order-service"),
-                             ("2024-01-01T00:00:01", "INFO", None, "O-2", "order-service")])
-    snapshot_logs(logs, jdbc_url=url, table="training_logs", driver=drv)
-    snapshot_logs(logs, jdbc_url=url, table="training_logs", driver=drv)
-    back = read_snapshot(spark, jdbc_url=url, table="training_logs", driver=drv)
-    assert back.columns == LOG_COLUMNS
-    assert sorted(back.collect()) == sorted(logs.collect())
-
-
 def test_level_mix_and_target_difference(spark):
     rows = ([("2024-01-01T00:00:00", "INFO", "m", "a", "s")] * 7
             + [("2024-01-01T00:00:01", "WARN", "m", "b", "s")] * 2
