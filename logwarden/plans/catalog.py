@@ -18,14 +18,14 @@ from ..operators.model import scaler_table, train, train_scaler
 from ..operators.profile import (check_mix_rules, observed_mix, service_gaps,
                                  service_level_mix)
 from ..operators.scoring import scaled_vector_columns, score
-from ..schemas import VECTOR_COLUMNS
+from ..schemas import RECORD_SCHEMA, VECTOR_COLUMNS
 from ..session import pin_utc, scratch_path
 from ..sinks.alert_store import insert_alerts, read_alerts
 from ..sinks.snapshot import read_snapshot, snapshot_logs
 from ..sinks.topic import alerts_to_records, decode_alert_records, publish_records
 from ..sources.codec import classify_records, decode_logs, encode_logs
 from ..sources.fixtures import load_logs
-from ..sources.topic import read_topic
+from ..sources.topic import read_topic, read_topic_stream
 from ..streaming.detector import (latest_features, logs_from_event_files,
                                   run_until_idle, start_detection,
                                   start_feature_changelog, start_feature_table,
@@ -224,6 +224,37 @@ def stream_alerts(spark, sf_dir):
     return _checked_alert_columns(read_alerts(spark, store))
 
 
+REPLAY_SLICES = 4
+
+
+def stream_topic_replay(spark, sf_dir):
+    """The log topic arriving in time order, in REPLAY_SLICES slices.
+
+    Each slice is appended to the topic folder as JSON records, then the
+    feature stream resumes from its checkpoint (availableNow) and takes what
+    is new: decoding in a stream, state carried across batches and restarts,
+    windows spanning slices re-emitted, the changelog reduced to the latest
+    value per window. Every record lands in exactly one slice.
+    """
+    logs = load_logs(spark, sf_dir)
+    micros = F.unix_micros(F.col("timestamp"))
+    lo, hi = logs.agg(F.min(micros), F.max(micros)).first()
+    topic = scratch_path(spark, "logs-topic-replay")
+    out, ckpt = scratch_path(spark, "feat-changelog"), scratch_path(spark, "ckpt")
+    step = ((hi - lo) // REPLAY_SLICES + 1) if lo is not None else 1
+    for i in range(REPLAY_SLICES):
+        cond = (micros >= F.lit(lo + i * step)) & (micros < F.lit(lo + (i + 1) * step)) \
+            if lo is not None else F.lit(i == 0)
+        if i == 0:
+            cond = cond | F.col("timestamp").isNull()
+        publish_records(encode_logs(logs.filter(cond)), path=f"{topic}/slice={i}")
+        records = read_topic_stream(spark, path=f"{topic}/*", fmt="parquet",
+                                    schema=RECORD_SCHEMA)
+        feats = stream_features(decode_logs(records), FIXED_WINDOW)
+        run_until_idle(start_feature_changelog(feats, out, ckpt, {"availableNow": True}))
+    return latest_features(spark, out)
+
+
 # --------------------------------------------------------------- sinks -----
 
 def training_snapshot(spark, sf_dir):
@@ -267,6 +298,7 @@ QUERIES: dict[str, Query] = {
     "stream_features_update": stream_features_update,
     "stream_features_append": stream_features_append,
     "stream_alerts": stream_alerts,
+    "stream_topic_replay": stream_topic_replay,
     "training_snapshot": training_snapshot,
     "service_level_mix": service_level_mix_q,
     "service_gaps": service_gaps_q,

@@ -290,6 +290,7 @@ FROM ({alerts}) a""",
         "stream_features_update": features(FIXED_WINDOW),
         "stream_features_append": _closed_windows(),
         "stream_alerts": alerts,
+        "stream_topic_replay": features(FIXED_WINDOW),
         "training_snapshot": LOGS,
         "service_level_mix": _level_mix(),
         "service_gaps": _gaps(),

@@ -165,3 +165,17 @@ def test_failure_surfaces(spark, tmp_dir):
          .foreachBatch(boom).start())
     with pytest.raises(Exception):
         run_until_idle(q)
+
+
+def test_append_mode_detection_alerts_only_closed_windows(spark, tmp_dir):
+    inp = os.path.join(tmp_dir, "in")
+    store = os.path.join(tmp_dir, "store")
+    _write_batch(spark, inp, "b0", _busy_window(0, 6))                  # 01:00 window, HIGH
+    _write_batch(spark, inp, "b1", _busy_window(30, 6, svc="b", prefix="Y"))  # 01:30, HIGH
+    run_until_idle(start_detection(_stream(spark, os.path.join(inp, "*")), _rate_model(),
+                                   store, os.path.join(tmp_dir, "ckpt"),
+                                   {"availableNow": True}, output_mode="append"))
+    # watermark = 01:31 - 15 min = 01:16: only the 01:00 window is closed
+    got = [(r["metadata"]["serviceName"], r["window_start"].strftime("%H:%M"))
+           for r in read_alerts(spark, store).collect()]
+    assert got == [("a", "01:00")]
