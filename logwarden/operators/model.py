@@ -19,6 +19,7 @@ Two deliberate changes to the original job:
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -168,40 +169,63 @@ def bundle_from_tables(scaler_df: DataFrame, centroid_df: DataFrame,
                        fit_ids=list(range(n)), order=order)
 
 
+_PARTS = ("kmeans", "scaler", "scaler_table", "centroids")
+_POINTER = "current"
+
+
 def save_bundle(spark: SparkSession, bundle: ModelBundle, path: str) -> None:
-    """Overwrite-save: pyspark.ml models plus the plain model tables."""
+    """Save the pyspark.ml models and the plain model tables into a new
+    version folder, then switch the ``current`` pointer to it.
+
+    A save that dies half-way never mixes parts of two models: readers follow
+    the pointer, which is written last (missing pointer -> no model -> train).
+    """
     base = path.rstrip("/")
+    version = f"v-{uuid.uuid4().hex[:12]}"
+    vdir = f"{base}/{version}"
     if bundle.kmeans_model is not None:
-        bundle.kmeans_model.write().overwrite().save(f"{base}/kmeans")
+        bundle.kmeans_model.write().overwrite().save(f"{vdir}/kmeans")
     if bundle.scaler_model is not None:
-        bundle.scaler_model.write().overwrite().save(f"{base}/scaler")
-    scaler_table(spark, bundle).coalesce(1).write.mode("overwrite").parquet(f"{base}/scaler_table")
-    centroid_table(spark, bundle).coalesce(1).write.mode("overwrite").parquet(f"{base}/centroids")
-    meta = json.dumps({"window": bundle.window, "order": bundle.order,
+        bundle.scaler_model.write().overwrite().save(f"{vdir}/scaler")
+    scaler_table(spark, bundle).coalesce(1).write.mode("overwrite").parquet(f"{vdir}/scaler_table")
+    centroid_table(spark, bundle).coalesce(1).write.mode("overwrite").parquet(f"{vdir}/centroids")
+    meta = json.dumps({"version": version, "window": bundle.window, "order": bundle.order,
                        "fit_ids": bundle.fit_ids})
     spark.createDataFrame([(meta,)], "meta string").coalesce(1) \
-        .write.mode("overwrite").text(f"{base}/meta")
+        .write.mode("overwrite").text(f"{base}/{_POINTER}")
+
+
+def _read_pointer(spark: SparkSession, base: str) -> dict | None:
+    if not path_exists(spark, f"{base}/{_POINTER}"):
+        return None
+    row = spark.read.text(f"{base}/{_POINTER}").first()
+    return json.loads(row[0]) if row is not None else None
 
 
 def model_exists(spark: SparkSession, path: str) -> bool:
     base = path.rstrip("/")
-    return all(path_exists(spark, f"{base}/{p}")
-               for p in ("kmeans", "scaler", "scaler_table", "centroids", "meta"))
+    meta = _read_pointer(spark, base)
+    if meta is None:
+        return False
+    return all(path_exists(spark, f"{base}/{meta['version']}/{p}") for p in _PARTS)
 
 
 def load_bundle(spark: SparkSession, path: str, window: str | None = None) -> ModelBundle:
-    """Load a saved model; ``window`` (if given) must equal the trained width,
-    so a model is never applied to windows of another size."""
+    """Load the current saved model; ``window`` (if given) must equal the
+    trained width, so a model is never applied to windows of another size."""
     base = path.rstrip("/")
-    meta = json.loads(spark.read.text(f"{base}/meta").first()[0])
+    meta = _read_pointer(spark, base)
+    if meta is None:
+        raise FileNotFoundError(f"no model at {path}")
     if window is not None and _norm(window) != _norm(meta["window"]):
         raise ValueError(f"model trained on {meta['window']!r} windows, asked for {window!r}")
-    b = bundle_from_tables(spark.read.parquet(f"{base}/scaler_table"),
-                           spark.read.parquet(f"{base}/centroids"),
+    vdir = f"{base}/{meta['version']}"
+    b = bundle_from_tables(spark.read.parquet(f"{vdir}/scaler_table"),
+                           spark.read.parquet(f"{vdir}/centroids"),
                            meta["window"], meta.get("order", "error_rate"))
     b.fit_ids = list(meta.get("fit_ids") or range(b.k))
-    b.kmeans_model = KMeansModel.load(f"{base}/kmeans")
-    b.scaler_model = StandardScalerModel.load(f"{base}/scaler")
+    b.kmeans_model = KMeansModel.load(f"{vdir}/kmeans")
+    b.scaler_model = StandardScalerModel.load(f"{vdir}/scaler")
     return b
 
 

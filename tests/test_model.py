@@ -159,3 +159,14 @@ def test_null_average_does_not_fail(spark):
     b = train(f, W, k=2)
     assert score(f, b).count() == 4 and predict(f, b).count() == 4
     assert not any(math.isnan(x) for x in b.means)
+
+
+def test_half_written_model_is_not_used(spark, feats, bundle, tmp_dir):
+    path = f"{tmp_dir}/model"
+    # parts of a save that died before its pointer was written
+    bundle.kmeans_model.write().overwrite().save(f"{path}/v-dead/kmeans")
+    assert not model_exists(spark, path)
+    save_bundle(spark, bundle, path)
+    other = train(feats, W, k=2)
+    save_bundle(spark, other, path)
+    assert load_bundle(spark, path, W).k == 2
