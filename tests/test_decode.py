@@ -1,5 +1,6 @@
 """Sources and codec: topic scan, JSON decoding, malformed rows, encoding."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import make_logs
@@ -53,11 +54,12 @@ def test_malformed_rows_become_nulls_and_are_classified(spark):
     assert decode_logs(_records(spark, pairs)).count() == 6
 
 
-def test_topic_files_batch_scan_reads_everything(spark, tmp_dir):
+@pytest.mark.parametrize("fmt", ["parquet", "json"])
+def test_topic_files_batch_scan_reads_everything(spark, tmp_dir, fmt):
     logs = make_logs(spark, [(f"2024-01-01T00:00:{i:02d}", "INFO", f"m{i}", f"ORD-{i}",
                               "order-service") for i in range(50)])
-    publish_records(encode_logs(logs), path=tmp_dir)
-    rec = read_topic(spark, path=tmp_dir)
+    publish_records(encode_logs(logs), path=f"{tmp_dir}/t", fmt=fmt)
+    rec = read_topic(spark, path=f"{tmp_dir}/t", fmt=fmt)
     # no cap in batch: all 50 records, whatever rate options exist for streams
     assert rec.count() == 50
     assert decode_logs(rec).filter(F.col("timestamp").isNull()).count() == 0
