@@ -26,17 +26,21 @@ def _kafka_options(servers: str, topic: str, starting_offsets: str,
 def read_topic(spark: SparkSession, *, servers: str | None = None,
                topic: str = C.LOGS_TOPIC, path: str | None = None,
                fmt: str = "parquet", starting_offsets: str = "earliest",
-               fail_on_data_loss: bool = False) -> DataFrame:
+               fail_on_data_loss: bool = False,
+               min_partitions: int | None = None) -> DataFrame:
     """Batch scan of the whole topic, earliest to latest.
 
     Nothing is capped: a batch read takes every record in the offset range
     (``maxOffsetsPerTrigger`` is a streaming option and is not passed here).
+    ``min_partitions`` splits large Kafka partitions over more tasks.
     """
     if servers:
-        return (spark.read.format("kafka")
-                .options(**_kafka_options(servers, topic, starting_offsets,
-                                          fail_on_data_loss))
-                .load())
+        r = (spark.read.format("kafka")
+             .options(**_kafka_options(servers, topic, starting_offsets,
+                                       fail_on_data_loss)))
+        if min_partitions:
+            r = r.option("minPartitions", str(min_partitions))
+        return r.load()
     if path is None:
         raise ValueError("either servers (Kafka) or path (record files) is required")
     reader = spark.read.format(fmt)
@@ -51,7 +55,8 @@ def read_topic_stream(spark: SparkSession, *, servers: str | None = None,
                       starting_offsets: str = "latest",
                       max_offsets_per_trigger: int | None = None,
                       max_files_per_trigger: int | None = None,
-                      fail_on_data_loss: bool = False) -> DataFrame:
+                      fail_on_data_loss: bool = False,
+                      min_partitions: int | None = None) -> DataFrame:
     """Streaming scan. Rate limits apply per micro-batch: offsets for Kafka,
     files for a file source."""
     if servers:
@@ -60,6 +65,8 @@ def read_topic_stream(spark: SparkSession, *, servers: str | None = None,
                                        fail_on_data_loss)))
         if max_offsets_per_trigger:
             r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+        if min_partitions:
+            r = r.option("minPartitions", str(min_partitions))
         return r.load()
     if path is None:
         raise ValueError("either servers (Kafka) or path (record files) is required")
