@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import VECTOR_COLUMNS
-from .model import ModelBundle, assemble, model_inputs
+from .model import ModelBundle, assemble
 
 
 def _inv(std: float) -> float:
@@ -103,5 +103,5 @@ def scaled_vector_columns(features: DataFrame, bundle: ModelBundle,
         *[arr[i].alias(prefix + n) for i, n in enumerate(VECTOR_COLUMNS)])
 
 
-__all__ = ["model_inputs", "nearest_cluster", "predict", "scale",
+__all__ = ["nearest_cluster", "predict", "scale",
            "scaled_vector_columns", "score", "squared_distance", "z_columns"]
