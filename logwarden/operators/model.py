@@ -56,15 +56,22 @@ def fit_scaler(assembled: DataFrame, input_col: str = "raw_features",
                           withMean=True, withStd=True).fit(assembled)
 
 
-def stable_layout(df: DataFrame, partitions: int = 8) -> DataFrame:
-    """Fixed hash partitioning + in-partition sort on the feature key."""
+def stable_layout(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Fixed hash partitioning + in-partition sort on the feature key.
+
+    The count is fixed per deployment (default: the session's shuffle
+    partitions), never taken from the input, so the same rows always meet
+    k-means in the same order while the fit stays as parallel as the cluster.
+    """
+    if partitions is None:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = ["window_start", "serviceName"]
     return df.repartition(partitions, *keys).sortWithinPartitions(*keys)
 
 
 def fit_kmeans(scaled: DataFrame, k: int = C.KMEANS_K,
                max_iter: int = C.KMEANS_MAX_ITER, seed: int = C.KMEANS_SEED,
-               features_col: str = "features", partitions: int = 8) -> KMeansModel:
+               features_col: str = "features", partitions: int | None = None) -> KMeansModel:
     km = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=features_col,
                 predictionCol="prediction")
     return km.fit(stable_layout(scaled, partitions))
@@ -109,7 +116,7 @@ def _ordered(centers: list[list[float]], means: list[float], stds: list[float],
 
 def train(features: DataFrame, window: str, k: int = C.KMEANS_K,
           max_iter: int = C.KMEANS_MAX_ITER, seed: int = C.KMEANS_SEED,
-          order: str = "error_rate", partitions: int = 8) -> ModelBundle:
+          order: str = "error_rate", partitions: int | None = None) -> ModelBundle:
     """Fit scaler and k-means on a feature table."""
     assembled = assemble(features).select(
         "window_start", "serviceName", "raw_features").persist()
