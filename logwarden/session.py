@@ -68,7 +68,14 @@ def shared_dir(spark: SparkSession) -> str:
     folder is not visible to other executors and is lost with its host.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no context; the setting is required
+        sc = None
+    if sc is None:
+        if not d:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        return d
     if not d:
         d = sc.getCheckpointDir()
     if not d:
