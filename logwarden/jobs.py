@@ -32,7 +32,8 @@ class DetectorConfig:
     model_path: str
     store_path: str
     window: str = C.DETECTION_WINDOW
-    training_window: str | None = None      # must equal ``window`` (one width)
+    training_window: str | None = None      # must equal ``window`` ...
+    allow_window_mismatch: bool = False     # ... unless explicitly allowed
     servers: str | None = None              # Kafka; else record files below
     topic: str = C.LOGS_TOPIC
     records_path: str | None = None
@@ -68,10 +69,14 @@ def training_logs(spark: SparkSession, cfg: DetectorConfig) -> DataFrame:
 
 
 def ensure_detector_model(spark: SparkSession, cfg: DetectorConfig) -> ModelBundle:
-    if cfg.training_window and cfg.training_window != cfg.window:
+    """One width for training and detection, unless a different training
+    width is asked for with ``allow_window_mismatch``."""
+    train_window = cfg.training_window or cfg.window
+    if train_window != cfg.window and not cfg.allow_window_mismatch:
         raise ValueError("training and detection window widths differ "
                          f"({cfg.training_window!r} vs {cfg.window!r})")
-    return ensure_model(spark, cfg.model_path, lambda: training_logs(spark, cfg), cfg.window)
+    return ensure_model(spark, cfg.model_path, lambda: training_logs(spark, cfg),
+                        train_window)
 
 
 def start_detector(spark: SparkSession, cfg: DetectorConfig) -> StreamingQuery:
@@ -88,7 +93,7 @@ def start_detector(spark: SparkSession, cfg: DetectorConfig) -> StreamingQuery:
     ckpt = cfg.checkpoint or checkpoint_location(spark, "anomaly-detection-stream")
     return start_detection(logs_from_records(records), bundle, cfg.store_path, ckpt,
                            trigger=cfg.trigger, publish=publish,
-                           query_name="anomaly_detection")
+                           query_name="anomaly_detection", window=cfg.window)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -96,6 +101,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--model", required=True)
     p.add_argument("--store", required=True)
     p.add_argument("--window", default=C.DETECTION_WINDOW)
+    p.add_argument("--training-window")
+    p.add_argument("--allow-window-mismatch", action="store_true")
     p.add_argument("--servers")
     p.add_argument("--topic", default=C.LOGS_TOPIC)
     p.add_argument("--records", help="record files instead of Kafka")
@@ -113,6 +120,8 @@ def main(argv: list[str] | None = None) -> None:
     trigger = ({"availableNow": True} if a.trigger == "available-now"
                else {"processingTime": a.trigger})
     cfg = DetectorConfig(model_path=a.model, store_path=a.store, window=a.window,
+                         training_window=a.training_window,
+                         allow_window_mismatch=a.allow_window_mismatch,
                          servers=a.servers, topic=a.topic, records_path=a.records,
                          records_format=a.records_format, snapshot_path=a.snapshot,
                          jdbc_url=a.jdbc_url, alerts_servers=a.alerts_servers,

@@ -60,3 +60,14 @@ def test_command_line_entry(spark, tmp_dir):
           "--checkpoint", f"{tmp_dir}/ckpt", "--trigger", "available-now"])
     assert model_exists(spark, f"{tmp_dir}/model")
     assert read_alerts(spark, f"{tmp_dir}/store").count() > 0
+
+
+def test_explicit_window_mismatch_reproduces_original_setup(spark, tmp_dir):
+    """Train on 5-minute windows, score 1-day windows, only when asked."""
+    from logwarden.operators.model import load_bundle
+    publish_records(encode_logs(load_logs(spark, SF001)), path=f"{tmp_dir}/topic")
+    cfg = _cfg(tmp_dir, training_window="5 minutes", allow_window_mismatch=True)
+    run_until_idle(start_detector(spark, cfg))
+    assert load_bundle(spark, cfg.model_path).window == "5 minutes"
+    stored = read_alerts(spark, cfg.store_path).collect()
+    assert all((r["window_end"] - r["window_start"]).days == 1 for r in stored)
