@@ -1,4 +1,4 @@
-from .alert_store import empty_alerts, insert_alerts, read_alerts  # noqa: F401
+from .alert_store import compact_alerts, empty_alerts, insert_alerts, read_alerts  # noqa: F401
 from .snapshot import read_snapshot, snapshot_logs  # noqa: F401
 from .topic import (  # noqa: F401
     alert_publisher,

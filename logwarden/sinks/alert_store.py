@@ -74,3 +74,26 @@ def insert_alerts(spark: SparkSession, alerts: DataFrame, path: str,
         new.write.mode("append").partitionBy(PARTITION_COLUMN).parquet(path)
     finally:
         fresh.unpersist()
+
+
+def compact_alerts(spark: SparkSession, path: str, before, files_per_date: int = 4) -> None:
+    """Rewrite the date partitions older than ``before`` into at most
+    ``files_per_date`` files each (a stream leaves one small file per touched
+    date and micro-batch).
+
+    Only closed dates are touched, so a running stream appending to recent
+    dates is not disturbed. The rows are first checkpointed into the shared
+    checkpoint folder, which cuts the lineage: the overwrite then reads the
+    checkpoint, never the files it replaces. Each date is spread over
+    ``files_per_date`` tasks by a hash of the id, so no date lands in one task.
+    """
+    if not path_exists(spark, path):
+        return
+    from ..session import shared_dir
+    shared_dir(spark)                                   # checkpoint folder set
+    old = (spark.read.schema(STORE_SCHEMA).parquet(path)
+           .filter(F.col(PARTITION_COLUMN) < F.lit(before).cast("date")))
+    salt = F.pmod(F.xxhash64("id"), F.lit(files_per_date))
+    frozen = old.repartition(PARTITION_COLUMN, salt).checkpoint(eager=True)
+    (frozen.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(PARTITION_COLUMN).parquet(path))

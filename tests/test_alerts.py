@@ -97,3 +97,22 @@ def test_publish_new_alerts_to_topic(spark, tmp_dir):
     assert rec.count() == 4                     # the resend published nothing
     r = rec.filter("severity = 'HIGH'").first()
     assert r["key"] == str(r["id"]) and r["metadata"]["errorRate"] == 15.01
+
+
+def test_compaction_keeps_rows_and_reduces_files(spark, tmp_dir):
+    import glob
+    from logwarden.sinks.alert_store import compact_alerts
+    store = f"{tmp_dir}/store"
+    alerts = alert_records(_edge_rows(spark))
+    for sev in ("HIGH", "MEDIUM"):                 # two appends -> several files per date
+        insert_alerts(spark, alerts.filter(F.col("severity") == sev), store)
+    before = sorted((r["id"], r["severity"]) for r in read_alerts(spark, store).collect())
+    files_before = len(glob.glob(f"{store}/window_date=*/*.parquet"))
+    compact_alerts(spark, store, "2024-01-04", files_per_date=1)
+    after = sorted((r["id"], r["severity"]) for r in read_alerts(spark, store).collect())
+    assert after == before
+    for d in glob.glob(f"{store}/window_date=2024-01-0[1-3]"):
+        assert len(glob.glob(f"{d}/*.parquet")) <= 1
+    assert len(glob.glob(f"{store}/window_date=*/*.parquet")) <= files_before
+    insert_alerts(spark, alerts, store)            # still idempotent after compaction
+    assert read_alerts(spark, store).count() == 4
