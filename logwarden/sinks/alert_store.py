@@ -44,11 +44,12 @@ def insert_alerts(spark: SparkSession, alerts: DataFrame, path: str,
                   publish: Callable[[DataFrame], None] | None = None) -> None:
     """Append alerts whose id is not yet stored.
 
-    New alerts are hash-partitioned by window date (one shuffle), which both
-    de-duplicates ids (an id determines its date) and leaves one file per date
-    directory and batch. They are persisted (small: at most one row per window,
-    service and severity); their date range, one row to the driver, prunes the
-    store scan to the partitions that can hold the same ids.
+    New alerts are de-duplicated by id (one shuffle, hash-partitioned by id,
+    so no single date -- say an incident day in a backfill -- lands in one
+    task; AQE folds a small micro-batch into one task, which then writes one
+    file per date). They are persisted (at most one row per window, service
+    and severity); their date range, one row to the driver, prunes the store
+    scan to the partitions that can hold the same ids.
 
     ``publish`` (optional) receives the new alerts before they are stored, so
     a failure between the two steps re-publishes on retry (at least once on
@@ -56,8 +57,7 @@ def insert_alerts(spark: SparkSession, alerts: DataFrame, path: str,
     """
     fresh = (alerts.select(*ALERT_COLUMNS)
              .withColumn(PARTITION_COLUMN, F.to_date("window_start"))
-             .repartition(PARTITION_COLUMN)
-             .dropDuplicates([PARTITION_COLUMN, "id"])
+             .dropDuplicates(["id"])
              .persist())
     try:
         lo, hi = fresh.agg(F.min(PARTITION_COLUMN), F.max(PARTITION_COLUMN)).first()
