@@ -44,12 +44,12 @@ def insert_alerts(spark: SparkSession, alerts: DataFrame, path: str,
                   publish: Callable[[DataFrame], None] | None = None) -> None:
     """Append alerts whose id is not yet stored.
 
-    New alerts are de-duplicated by id (one shuffle, hash-partitioned by id,
-    so no single date -- say an incident day in a backfill -- lands in one
-    task; AQE folds a small micro-batch into one task, which then writes one
-    file per date). They are persisted (at most one row per window, service
-    and severity); their date range, one row to the driver, prunes the store
-    scan to the partitions that can hold the same ids.
+    New alerts are de-duplicated by id (hash-partitioned by id, so no single
+    date -- say an incident day in a backfill -- lands in one task) and
+    rebalanced by date before the write (AQE: small dates merged into one
+    file, a hot date split). They are persisted (at most one row per window,
+    service and severity); their date range, one row to the driver, prunes
+    the store scan to the partitions that can hold the same ids.
 
     ``publish`` (optional) receives the new alerts before they are stored, so
     a failure between the two steps re-publishes on retry (at least once on
@@ -71,7 +71,10 @@ def insert_alerts(spark: SparkSession, alerts: DataFrame, path: str,
             new = fresh.join(stored, [PARTITION_COLUMN, "id"], "left_anti")
         if publish is not None:
             publish(new.select(*ALERT_COLUMNS))
-        new.write.mode("append").partitionBy(PARTITION_COLUMN).parquet(path)
+        # REBALANCE by date: AQE merges small dates into one file each and
+        # splits a hot date over several tasks.
+        (new.hint("rebalance", PARTITION_COLUMN)
+         .write.mode("append").partitionBy(PARTITION_COLUMN).parquet(path))
     finally:
         fresh.unpersist()
 
