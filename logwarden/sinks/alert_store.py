@@ -71,8 +71,9 @@ def insert_alerts(spark: SparkSession, alerts: DataFrame, path: str,
             new = fresh.join(stored, [PARTITION_COLUMN, "id"], "left_anti")
         if publish is not None:
             publish(new.select(*ALERT_COLUMNS))
-        # REBALANCE by date: AQE merges small dates into one file each and
-        # splits a hot date over several tasks.
+        # REBALANCE by date: with AQE (batch jobs) small dates merge into one
+        # file each and a hot date is split over several tasks; inside a
+        # stream AQE is off and it is a plain hash repartition by date.
         (new.hint("rebalance", PARTITION_COLUMN)
          .write.mode("append").partitionBy(PARTITION_COLUMN).parquet(path))
     finally:

@@ -75,14 +75,26 @@ def _writer(df: DataFrame, output_mode: str, trigger: dict, checkpoint: str,
 
 # ---------------------------------------------------------------- features ---
 
-def changelog_writer(path: str) -> Callable[[DataFrame, int], None]:
+def changelog_writer(path: str, rows_per_file: int = 1_000_000
+                     ) -> Callable[[DataFrame, int], None]:
     """foreachBatch body for update mode: the batch's changed rows are written
     into partition ``batch_id=<id>`` with dynamic overwrite, so a retried batch
-    replaces its own output instead of duplicating it."""
+    replaces its own output instead of duplicating it.
+
+    Rows leave the stateful stage in ``spark.sql.shuffle.partitions`` pieces
+    and AQE is off inside a stream, so the batch is counted (it is persisted)
+    and coalesced to about ``rows_per_file`` rows per file: one file for a
+    normal micro-batch, many for a large backfill batch."""
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        (batch_df.withColumn("batch_id", F.lit(batch_id).cast("long"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(path))
+        batch = batch_df.persist()
+        try:
+            files = max(1, -(-batch.count() // rows_per_file))
+            (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
+             .coalesce(files)
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("batch_id").parquet(path))
+        finally:
+            batch.unpersist()
     return write
 
 
