@@ -76,3 +76,20 @@ def test_fixture_group_counts(spark, sf, window, groups, gt10, rate5, rate15):
               F.count_if((F.col("total_logs") > 10) & (F.col("error_rate") > 15)).alias("c")
               ).first()
     assert (r["n"], r["a"], r["b"], r["c"]) == (groups, gt10, rate5, rate15)
+
+
+def test_output_matches_declared_schemas(spark):
+    from logwarden.operators.alerts import alert_records
+    from logwarden.operators.scoring import score
+    from logwarden.plans.fixed_model import fixed_bundle
+    from logwarden.schemas import ALERT_SCHEMA, FEATURE_SCHEMA
+    from logwarden.streaming import logs_from_event_files, stream_features
+
+    def shape(schema):
+        return [(f.name, f.dataType.simpleString()) for f in schema.fields]
+
+    f = window_features(load_logs(spark, SF001), "6 hours")
+    assert shape(f.schema) == shape(FEATURE_SCHEMA)
+    s = stream_features(logs_from_event_files(spark, f"{SF001}/events*.parquet"), "6 hours")
+    assert s.isStreaming and shape(s.schema) == shape(FEATURE_SCHEMA)
+    assert shape(alert_records(score(f, fixed_bundle())).schema) == shape(ALERT_SCHEMA)
