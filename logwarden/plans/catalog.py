@@ -12,12 +12,13 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import error_marker, is_error, message_length
 from ..operators import alerts as A
 from ..operators.features import window_features
 from ..operators.model import scaler_table, train, train_scaler
 from ..operators.profile import (check_mix_rules, observed_mix, service_gaps,
                                  service_level_mix)
-from ..operators.scoring import scaled_vector_columns, score
+from ..operators.scoring import predict, scaled_vector_columns, score
 from ..schemas import RECORD_SCHEMA, VECTOR_COLUMNS
 from ..session import pin_utc, scratch_path
 from ..sinks.alert_store import insert_alerts, read_alerts
@@ -49,7 +50,6 @@ def logs_scan(spark, sf_dir):
 
 
 def log_level_flags(spark, sf_dir):
-    from ..functions import error_marker, is_error, message_length
     return load_logs(spark, sf_dir).select(
         "relatedObjectId", "level",
         is_error("level").alias("is_error"),
@@ -123,7 +123,6 @@ def centroid_score(spark, sf_dir):
 
 def kmeans_profile(spark, sf_dir):
     """Fit k-means on the data, then size and mean rates per cluster."""
-    from ..operators.scoring import predict
     feats = _features(spark, sf_dir, FIXED_WINDOW)
     bundle = train(feats, FIXED_WINDOW)
     return (predict(feats, bundle).groupBy("prediction")

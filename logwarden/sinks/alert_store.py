@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from ..schemas import ALERT_COLUMNS, ALERT_SCHEMA
-from ..session import path_exists
+from ..session import path_exists, shared_dir
 
 PARTITION_COLUMN = "window_date"
 STORE_SCHEMA = T.StructType(list(ALERT_SCHEMA.fields)
@@ -93,7 +93,6 @@ def compact_alerts(spark: SparkSession, path: str, before, files_per_date: int =
     """
     if not path_exists(spark, path):
         return
-    from ..session import shared_dir
     shared_dir(spark)                                   # checkpoint folder set
     old = (spark.read.schema(STORE_SCHEMA).parquet(path)
            .filter(F.col(PARTITION_COLUMN) < F.lit(before).cast("date")))
