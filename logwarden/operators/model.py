@@ -31,6 +31,8 @@ from .. import constants as C
 from ..schemas import CENTROID_TABLE_SCHEMA, SCALER_TABLE_SCHEMA, VECTOR_COLUMNS
 from ..session import path_exists
 
+ROWS_PER_FIT_PARTITION = 100_000
+
 # A model table is read to the driver (it parameterises expressions); its size
 # is bounded by k and checked against this limit.
 MAX_CLUSTERS = 1024
@@ -117,10 +119,17 @@ def _ordered(centers: list[list[float]], means: list[float], stds: list[float],
 def train(features: DataFrame, window: str, k: int = C.KMEANS_K,
           max_iter: int = C.KMEANS_MAX_ITER, seed: int = C.KMEANS_SEED,
           order: str = "error_rate", partitions: int | None = None) -> ModelBundle:
-    """Fit scaler and k-means on a feature table."""
+    """Fit scaler and k-means on a feature table.
+
+    The k-means layout gets one partition per ``ROWS_PER_FIT_PARTITION`` rows
+    (capped by the shuffle setting) unless ``partitions`` is given: it depends
+    on the rows only, never on how they arrived, so fits stay reproducible."""
     assembled = assemble(features).select(
         "window_start", "serviceName", "raw_features").persist()
     try:
+        if partitions is None:
+            cap = int(assembled.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            partitions = max(1, min(cap, -(-assembled.count() // ROWS_PER_FIT_PARTITION)))
         scaler = fit_scaler(assembled)
         scaled = scaler.transform(assembled)
         km = fit_kmeans(scaled, k, max_iter, seed, partitions=partitions)

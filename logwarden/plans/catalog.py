@@ -196,11 +196,18 @@ def _event_glob(sf_dir: str) -> str:
     return f"{sf_dir.rstrip('/')}/events*.parquet"
 
 
+def _state_parts(spark) -> int:
+    """State partitions for the test-data streams: the session's parallelism
+    (the test tables are small; a cluster job would size this to its state)."""
+    return max(1, spark.sparkContext.defaultParallelism)
+
+
 def stream_features_update(spark, sf_dir):
     pin_utc(spark)
     out, ckpt = scratch_path(spark, "feat-changelog"), scratch_path(spark, "ckpt")
     feats = stream_features(logs_from_event_files(spark, _event_glob(sf_dir)), FIXED_WINDOW)
-    run_until_idle(start_feature_changelog(feats, out, ckpt, {"availableNow": True}))
+    run_until_idle(start_feature_changelog(feats, out, ckpt, {"availableNow": True},
+                                           state_partitions=_state_parts(spark)))
     return latest_features(spark, out)
 
 
@@ -208,7 +215,8 @@ def stream_features_append(spark, sf_dir):
     pin_utc(spark)
     out, ckpt = scratch_path(spark, "feat-table"), scratch_path(spark, "ckpt")
     feats = stream_features(logs_from_event_files(spark, _event_glob(sf_dir)), FIXED_WINDOW)
-    run_until_idle(start_feature_table(feats, out, ckpt, {"availableNow": True}))
+    run_until_idle(start_feature_table(feats, out, ckpt, {"availableNow": True},
+                                       state_partitions=_state_parts(spark)))
     return spark.read.parquet(out)
 
 
@@ -219,7 +227,8 @@ def stream_alerts(spark, sf_dir):
     for _ in range(2):
         logs = logs_from_event_files(spark, _event_glob(sf_dir))
         run_until_idle(start_detection(logs, fixed_bundle(), store,
-                                       scratch_path(spark, "ckpt"), {"availableNow": True}))
+                                       scratch_path(spark, "ckpt"), {"availableNow": True},
+                                       state_partitions=_state_parts(spark)))
     return _checked_alert_columns(read_alerts(spark, store))
 
 
@@ -250,7 +259,8 @@ def stream_topic_replay(spark, sf_dir):
         records = read_topic_stream(spark, path=f"{topic}/*", fmt="parquet",
                                     schema=RECORD_SCHEMA)
         feats = stream_features(decode_logs(records), FIXED_WINDOW)
-        run_until_idle(start_feature_changelog(feats, out, ckpt, {"availableNow": True}))
+        run_until_idle(start_feature_changelog(feats, out, ckpt, {"availableNow": True},
+                                               state_partitions=_state_parts(spark)))
     return latest_features(spark, out)
 
 

@@ -73,6 +73,25 @@ def _writer(df: DataFrame, output_mode: str, trigger: dict, checkpoint: str,
     return w
 
 
+def _start(writer, spark: SparkSession, state_partitions: int | None) -> StreamingQuery:
+    """Start a stream, optionally with its own number of state partitions.
+
+    The count of a stateful stream is taken from ``spark.sql.shuffle.partitions``
+    when the query first starts and then frozen in its checkpoint, so it is
+    worth choosing on purpose: many for a cluster-sized state, few for a small
+    one. The session value is restored right after the start (the stream
+    keeps its own copy of the configuration)."""
+    if state_partitions is None:
+        return writer.start()
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, before)
+
+
 # ---------------------------------------------------------------- features ---
 
 def changelog_writer(path: str, rows_per_file: int = 1_000_000
@@ -100,11 +119,13 @@ def changelog_writer(path: str, rows_per_file: int = 1_000_000
 
 def start_feature_changelog(features_stream: DataFrame, path: str, checkpoint: str,
                             trigger: dict | None = None,
-                            query_name: str | None = None) -> StreamingQuery:
+                            query_name: str | None = None,
+                            state_partitions: int | None = None) -> StreamingQuery:
     """Update mode: every trigger re-emits the windows that changed."""
-    return (_writer(features_stream, "update", trigger or DEFAULT_TRIGGER, checkpoint,
-                    query_name)
-            .foreachBatch(changelog_writer(path)).start())
+    w = (_writer(features_stream, "update", trigger or DEFAULT_TRIGGER, checkpoint,
+                 query_name)
+         .foreachBatch(changelog_writer(path)))
+    return _start(w, features_stream.sparkSession, state_partitions)
 
 
 def latest_features(spark: SparkSession, path: str) -> DataFrame:
@@ -121,12 +142,14 @@ def latest_features(spark: SparkSession, path: str) -> DataFrame:
 
 def start_feature_table(features_stream: DataFrame, path: str, checkpoint: str,
                         trigger: dict | None = None,
-                        query_name: str | None = None) -> StreamingQuery:
+                        query_name: str | None = None,
+                        state_partitions: int | None = None) -> StreamingQuery:
     """Append mode: a window is written once, after the watermark closes it
     (exactly once through the file sink's commit log)."""
-    return (_writer(features_stream, "append", trigger or DEFAULT_TRIGGER, checkpoint,
-                    query_name)
-            .format("parquet").option("path", path).start())
+    w = (_writer(features_stream, "append", trigger or DEFAULT_TRIGGER, checkpoint,
+                 query_name)
+         .format("parquet").option("path", path))
+    return _start(w, features_stream.sparkSession, state_partitions)
 
 
 # ------------------------------------------------------------------ alerts ---
@@ -151,7 +174,8 @@ def start_detection(logs_stream: DataFrame, bundle: ModelBundle, store_path: str
                     publish: Callable[[DataFrame], None] | None = None,
                     output_mode: str = "update", watermark: str | None = None,
                     query_name: str | None = None,
-                    window: str | None = None) -> StreamingQuery:
+                    window: str | None = None,
+                    state_partitions: int | None = None) -> StreamingQuery:
     """The detection job: logs -> features -> score -> alerts -> store.
 
     Features use the model's own window width. ``window`` scores on another
@@ -159,8 +183,9 @@ def start_detection(logs_stream: DataFrame, bundle: ModelBundle, store_path: str
     it must be asked for explicitly."""
     feats = stream_features(logs_stream, window or bundle.window, watermark)
     scored = score(pre_gate(feats), bundle)
-    return (_writer(scored, output_mode, trigger or DEFAULT_TRIGGER, checkpoint, query_name)
-            .foreachBatch(alert_batch_handler(store_path, publish)).start())
+    w = (_writer(scored, output_mode, trigger or DEFAULT_TRIGGER, checkpoint, query_name)
+         .foreachBatch(alert_batch_handler(store_path, publish)))
+    return _start(w, logs_stream.sparkSession, state_partitions)
 
 
 def run_until_idle(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:
