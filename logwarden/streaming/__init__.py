@@ -3,6 +3,8 @@ from .detector import (  # noqa: F401
     alert_batch_handler,
     changelog_writer,
     checkpoint_location,
+    current_features,
+    fold_changelog,
     latest_features,
     logs_from_event_files,
     logs_from_records,

@@ -13,6 +13,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +26,7 @@ from ..operators.alerts import alert_records, pre_gate
 from ..operators.features import window_features
 from ..operators.model import ModelBundle
 from ..operators.scoring import score
-from ..session import shared_dir
+from ..session import path_exists, shared_dir
 from ..sinks.alert_store import insert_alerts
 from ..sources.codec import decode_logs
 from ..sources.fixtures import events_to_logs
@@ -128,16 +130,68 @@ def start_feature_changelog(features_stream: DataFrame, path: str, checkpoint: s
     return _start(w, features_stream.sparkSession, state_partitions)
 
 
+_KEY = ("window_start", "window_end", "serviceName")
+
+
+def _latest(log: DataFrame) -> DataFrame:
+    """Row of the highest batch id per (window, service); batch id kept."""
+    value_cols = [c for c in log.columns if c not in _KEY]
+    latest = (log.groupBy(*_KEY)
+              .agg(F.max_by(F.struct(*value_cols), F.col("batch_id")).alias("v")))
+    return latest.select(*_KEY, *[F.col(f"v.{c}").alias(c) for c in value_cols])
+
+
 def latest_features(spark: SparkSession, path: str) -> DataFrame:
     """Current value of every (window, service) in a changelog: the row of the
-    highest batch id. One aggregate; no sort of the whole changelog."""
-    log = spark.read.parquet(path)
-    value_cols = [c for c in log.columns
-                  if c not in ("window_start", "window_end", "serviceName", "batch_id")]
-    latest = (log.groupBy("window_start", "window_end", "serviceName")
-              .agg(F.max_by(F.struct(*value_cols), F.col("batch_id")).alias("v")))
-    return latest.select("window_start", "window_end", "serviceName",
-                         *[F.col(f"v.{c}").alias(c) for c in value_cols])
+    highest batch id. One aggregate (partial per task); no sort."""
+    return _latest(spark.read.parquet(path)).drop("batch_id")
+
+
+def fold_changelog(spark: SparkSession, changelog: str, table: str) -> int | None:
+    """Fold every changelog batch written so far into the folded table.
+
+    The folded table keeps one row per (window, service). Each fold reads the
+    previous folded version plus only the batches after it (partition pruning
+    on ``batch_id``), writes a new version folder and then switches the
+    ``current`` pointer, so a fold that dies half-way changes nothing.
+    Returns the batch id folded through (None for an empty changelog)."""
+    if not path_exists(spark, changelog):
+        return None
+    base = table.rstrip("/")
+    log = spark.read.parquet(changelog)
+    through = log.agg(F.max("batch_id")).first()[0]
+    meta = _read_fold_pointer(spark, base)
+    if through is None or (meta is not None and through <= meta["through"]):
+        return meta["through"] if meta else None
+    new = log.filter(F.col("batch_id") > F.lit(meta["through"] if meta else -1))
+    new = new.filter(F.col("batch_id") <= F.lit(through))
+    if meta is not None:
+        new = new.unionByName(spark.read.parquet(f"{base}/{meta['version']}"))
+    version = f"v-{uuid.uuid4().hex[:12]}"
+    _latest(new).write.parquet(f"{base}/{version}")
+    pointer = json.dumps({"version": version, "through": int(through)})
+    spark.createDataFrame([(pointer,)], "meta string").coalesce(1) \
+        .write.mode("overwrite").text(f"{base}/current")
+    return int(through)
+
+
+def _read_fold_pointer(spark: SparkSession, base: str) -> dict | None:
+    if not path_exists(spark, f"{base}/current"):
+        return None
+    row = spark.read.text(f"{base}/current").first()
+    return json.loads(row[0]) if row is not None else None
+
+
+def current_features(spark: SparkSession, changelog: str, table: str) -> DataFrame:
+    """Latest value per (window, service) = folded table + the changelog
+    batches written after the last fold."""
+    meta = _read_fold_pointer(spark, table.rstrip("/"))
+    if meta is None:
+        return latest_features(spark, changelog)
+    folded = spark.read.parquet(f"{table.rstrip('/')}/{meta['version']}")
+    recent = (spark.read.parquet(changelog)
+              .filter(F.col("batch_id") > F.lit(meta["through"])))
+    return _latest(folded.unionByName(recent)).drop("batch_id")
 
 
 def start_feature_table(features_stream: DataFrame, path: str, checkpoint: str,

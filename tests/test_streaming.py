@@ -179,3 +179,35 @@ def test_append_mode_detection_alerts_only_closed_windows(spark, tmp_dir):
     got = [(r["metadata"]["serviceName"], r["window_start"].strftime("%H:%M"))
            for r in read_alerts(spark, store).collect()]
     assert got == [("a", "01:00")]
+
+
+def test_fold_changelog_keeps_current_view(spark, tmp_dir):
+    from logwarden.streaming import current_features, fold_changelog
+    glob = _replay_files(spark, tmp_dir)
+    out, table = os.path.join(tmp_dir, "changelog"), os.path.join(tmp_dir, "folded")
+    ckpt = os.path.join(tmp_dir, "ckpt")
+    assert fold_changelog(spark, out, table) is None            # nothing yet
+    # two micro-batches, fold, then the rest
+    feats = stream_features(_stream(spark, glob), W)
+    run_until_idle(start_feature_changelog(feats, out, ckpt, {"availableNow": True}))
+    full = {r["window_start"].strftime("%H:%M"): r["total_logs"]
+            for r in latest_features(spark, out).collect()}
+    through = fold_changelog(spark, out, table)
+    # the highest batch that wrote rows (a final no-data batch writes none)
+    assert through == spark.read.parquet(out).agg({"batch_id": "max"}).first()[0]
+    assert fold_changelog(spark, out, table) == through         # nothing new: no-op
+    view = {r["window_start"].strftime("%H:%M"): r["total_logs"]
+            for r in current_features(spark, out, table).collect()}
+    assert view == full == {"00:00": 2, "00:15": 1, "00:30": 3}
+    # more data after the fold: the view combines folded rows and new batches
+    _write_batch(spark, os.path.join(tmp_dir, "in"), "b4",
+                 [("2024-01-01T00:44:00", "ERROR", "m", "A-8", "a"),
+                  ("2024-01-01T01:10:00", "INFO", "m", "A-9", "a")])
+    run_until_idle(start_feature_changelog(stream_features(_stream(spark, glob), W), out,
+                                           ckpt, {"availableNow": True}))
+    view = {r["window_start"].strftime("%H:%M"): r["total_logs"]
+            for r in current_features(spark, out, table).collect()}
+    assert view == {"00:00": 2, "00:15": 1, "00:30": 4, "01:00": 1}
+    fold_changelog(spark, out, table)
+    assert {r["window_start"].strftime("%H:%M"): r["total_logs"]
+            for r in current_features(spark, out, table).collect()} == view
