@@ -27,7 +27,8 @@ from ..sinks.topic import alerts_to_records, decode_alert_records, publish_recor
 from ..sources.codec import classify_records, decode_logs, encode_logs
 from ..sources.fixtures import load_logs
 from ..sources.topic import read_topic, read_topic_stream
-from ..streaming.detector import (latest_features, logs_from_event_files,
+from ..streaming.detector import (current_features, fold_changelog,
+                                  latest_features, logs_from_event_files,
                                   run_until_idle, start_detection,
                                   start_feature_changelog, start_feature_table,
                                   stream_features)
@@ -241,14 +242,16 @@ def stream_topic_replay(spark, sf_dir):
     Each slice is appended to the topic folder as JSON records, then the
     feature stream resumes from its checkpoint (availableNow) and takes what
     is new: decoding in a stream, state carried across batches and restarts,
-    windows spanning slices re-emitted, the changelog reduced to the latest
-    value per window. Every record lands in exactly one slice.
+    windows spanning slices re-emitted. The changelog is folded after each
+    slice but the last, so the answer combines folded rows with the final
+    slice's batches. Every record lands in exactly one slice.
     """
     logs = load_logs(spark, sf_dir)
     micros = F.unix_micros(F.col("timestamp"))
     lo, hi = logs.agg(F.min(micros), F.max(micros)).first()
     topic = scratch_path(spark, "logs-topic-replay")
     out, ckpt = scratch_path(spark, "feat-changelog"), scratch_path(spark, "ckpt")
+    folded = scratch_path(spark, "feat-folded")
     step = ((hi - lo) // REPLAY_SLICES + 1) if lo is not None else 1
     for i in range(REPLAY_SLICES):
         cond = (micros >= F.lit(lo + i * step)) & (micros < F.lit(lo + (i + 1) * step)) \
@@ -261,7 +264,9 @@ def stream_topic_replay(spark, sf_dir):
         feats = stream_features(decode_logs(records), FIXED_WINDOW)
         run_until_idle(start_feature_changelog(feats, out, ckpt, {"availableNow": True},
                                                state_partitions=_state_parts(spark)))
-    return latest_features(spark, out)
+        if i < REPLAY_SLICES - 1:
+            fold_changelog(spark, out, folded)
+    return current_features(spark, out, folded)
 
 
 # --------------------------------------------------------------- sinks -----
