@@ -233,6 +233,18 @@ def stream_alerts(spark, sf_dir):
     return _checked_alert_columns(read_alerts(spark, store))
 
 
+def stream_alerts_append(spark, sf_dir):
+    """Detection in append mode: alerts only for windows the watermark has
+    closed, i.e. on final counts."""
+    pin_utc(spark)
+    store = scratch_path(spark, "alert-store")
+    logs = logs_from_event_files(spark, _event_glob(sf_dir))
+    run_until_idle(start_detection(logs, fixed_bundle(), store, scratch_path(spark, "ckpt"),
+                                   {"availableNow": True}, output_mode="append",
+                                   state_partitions=_state_parts(spark)))
+    return _checked_alert_columns(read_alerts(spark, store))
+
+
 REPLAY_SLICES = 4
 
 
@@ -312,6 +324,7 @@ QUERIES: dict[str, Query] = {
     "stream_features_update": stream_features_update,
     "stream_features_append": stream_features_append,
     "stream_alerts": stream_alerts,
+    "stream_alerts_append": stream_alerts_append,
     "stream_topic_replay": stream_topic_replay,
     "training_snapshot": training_snapshot,
     "service_level_mix": service_level_mix_q,

@@ -290,6 +290,9 @@ FROM ({alerts}) a""",
         "stream_features_update": features(FIXED_WINDOW),
         "stream_features_append": _closed_windows(),
         "stream_alerts": alerts,
+        "stream_alerts_append": f"""
+SELECT * FROM ({alerts}) a
+WHERE window_end <= (SELECT max(CAST(ts AS TIMESTAMP)) FROM events) - INTERVAL '{FIXED_WINDOW}'""",
         "stream_topic_replay": features(FIXED_WINDOW),
         "training_snapshot": LOGS,
         "service_level_mix": _level_mix(),
