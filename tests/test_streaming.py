@@ -211,3 +211,16 @@ def test_fold_changelog_keeps_current_view(spark, tmp_dir):
     fold_changelog(spark, out, table)
     assert {r["window_start"].strftime("%H:%M"): r["total_logs"]
             for r in current_features(spark, out, table).collect()} == view
+
+
+def test_streaming_aggregate_combines_before_the_state_store(spark, tmp_dir):
+    glob = _replay_files(spark, tmp_dir)
+    q = start_feature_changelog(stream_features(_stream(spark, glob), W),
+                                os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ckpt"),
+                                {"availableNow": True}, state_partitions=3)
+    run_until_idle(q)
+    plan = q._jsq.streamingQuery().lastExecution().executedPlan().toString()
+    # partial counts per task, one exchange into the given state partitions
+    assert plan.index("StateStoreRestore") < plan.index("partial_count")
+    assert "hashpartitioning(window" in plan and ", 3)" in plan
+    assert "from_json" in plan and plan.count("from_json") == 1
