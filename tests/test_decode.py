@@ -80,3 +80,12 @@ def test_topic_stream_rate_limit_per_trigger(spark, tmp_dir):
     batches = [p["numInputRows"] for p in q.recentProgress if p["numInputRows"] > 0]
     assert batches == [1, 1, 1]
     assert spark.table("rate_limited").count() == 3
+
+
+def test_field_order_and_unknown_fields_do_not_matter(spark):
+    pairs = [(b"k", b'{"serviceName":"s","extra":{"a":1},"message":"hi","level":"ERROR",'
+                    b'"timestamp":"2024-01-01T10:00:00.250","relatedObjectId":"X-1","n":3}')]
+    r = decode_logs(_records(spark, pairs)).first()
+    assert (r["serviceName"], r["message"], r["level"], r["relatedObjectId"]) == \
+        ("s", "hi", "ERROR", "X-1")
+    assert r["timestamp"].isoformat() == "2024-01-01T10:00:00.250000"
