@@ -11,8 +11,11 @@ from conftest import ROOT, SF001
 
 sys.path.insert(0, os.path.join(ROOT, "scripts"))
 import __spark_entry__ as E  # noqa: E402
+import check_oracle  # noqa: E402
 from check_oracle import TABLES, rows_of  # noqa: E402
 
+check_oracle.EXACT = True          # floats compared bit-for-bit
+
 NO_SQL = {"kmeans_profile"}        # iterative fit: rows-only check
 
 
