@@ -50,13 +50,15 @@ class DetectorConfig:
     trigger: dict = field(default_factory=lambda: {"processingTime": C.TRIGGER_INTERVAL})
     max_offsets_per_trigger: int | None = None
     max_files_per_trigger: int | None = None
+    min_partitions: int | None = None       # Kafka: split partitions over more tasks
     starting_offsets: str = "latest"
 
 
 def training_logs(spark: SparkSession, cfg: DetectorConfig) -> DataFrame:
     """Topic (earliest..latest) -> decoded logs -> snapshot table -> stored logs."""
     records = read_topic(spark, servers=cfg.servers, topic=cfg.topic,
-                         path=cfg.records_path, fmt=cfg.records_format)
+                         path=cfg.records_path, fmt=cfg.records_format,
+                         min_partitions=cfg.min_partitions)
     logs = decode_logs(records)
     if cfg.jdbc_url:
         opts = dict(jdbc_url=cfg.jdbc_url, table=cfg.jdbc_table, user=cfg.jdbc_user,
@@ -85,7 +87,8 @@ def start_detector(spark: SparkSession, cfg: DetectorConfig) -> StreamingQuery:
         spark, servers=cfg.servers, topic=cfg.topic, path=cfg.records_path,
         fmt=cfg.records_format, starting_offsets=cfg.starting_offsets,
         max_offsets_per_trigger=cfg.max_offsets_per_trigger,
-        max_files_per_trigger=cfg.max_files_per_trigger)
+        max_files_per_trigger=cfg.max_files_per_trigger,
+        min_partitions=cfg.min_partitions)
     publish = None
     if cfg.alerts_servers or cfg.alerts_path:
         publish = alert_publisher(servers=cfg.alerts_servers, topic=cfg.alerts_topic,
@@ -115,6 +118,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--trigger", default=C.TRIGGER_INTERVAL,
                    help="processing-time interval, or 'available-now'")
     p.add_argument("--max-offsets-per-trigger", type=int)
+    p.add_argument("--min-partitions", type=int)
     p.add_argument("--master")
     a = p.parse_args(argv)
     trigger = ({"availableNow": True} if a.trigger == "available-now"
@@ -127,6 +131,7 @@ def main(argv: list[str] | None = None) -> None:
                          jdbc_url=a.jdbc_url, alerts_servers=a.alerts_servers,
                          alerts_path=a.alerts_path, checkpoint=a.checkpoint,
                          trigger=trigger, max_offsets_per_trigger=a.max_offsets_per_trigger,
+                         min_partitions=a.min_partitions,
                          starting_offsets="earliest" if a.records else "latest")
     spark = build_session(a.master)
     query = start_detector(spark, cfg)
