@@ -20,12 +20,14 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.utils import AnalysisException
 
 from .. import constants as C
 from ..operators.alerts import alert_records, pre_gate
 from ..operators.features import window_features
 from ..operators.model import ModelBundle
 from ..operators.scoring import score
+from ..schemas import FEATURE_SCHEMA
 from ..session import path_exists, shared_dir
 from ..sinks.alert_store import insert_alerts
 from ..sources.codec import decode_logs
@@ -109,7 +111,10 @@ def changelog_writer(path: str, rows_per_file: int = 1_000_000
     def write(batch_df: DataFrame, batch_id: int) -> None:
         batch = batch_df.persist()
         try:
-            files = max(1, -(-batch.count() // rows_per_file))
+            rows = batch.count()
+            if rows == 0:                  # nothing changed: write nothing
+                return
+            files = max(1, -(-rows // rows_per_file))
             (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
              .coalesce(files)
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -141,10 +146,23 @@ def _latest(log: DataFrame) -> DataFrame:
     return latest.select(*_KEY, *[F.col(f"v.{c}").alias(c) for c in value_cols])
 
 
+def _read_changelog(spark: SparkSession, path: str) -> DataFrame | None:
+    if not path_exists(spark, path):
+        return None
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:          # folder without any batch yet
+        return None
+
+
 def latest_features(spark: SparkSession, path: str) -> DataFrame:
     """Current value of every (window, service) in a changelog: the row of the
-    highest batch id. One aggregate (partial per task); no sort."""
-    return _latest(spark.read.parquet(path)).drop("batch_id")
+    highest batch id. One aggregate (partial per task); no sort. An empty
+    feature table when no batch has been written yet."""
+    log = _read_changelog(spark, path)
+    if log is None:
+        return spark.createDataFrame([], FEATURE_SCHEMA)
+    return _latest(log).drop("batch_id")
 
 
 def fold_changelog(spark: SparkSession, changelog: str, table: str) -> int | None:
@@ -155,10 +173,10 @@ def fold_changelog(spark: SparkSession, changelog: str, table: str) -> int | Non
     on ``batch_id``), writes a new version folder and then switches the
     ``current`` pointer, so a fold that dies half-way changes nothing.
     Returns the batch id folded through (None for an empty changelog)."""
-    if not path_exists(spark, changelog):
+    log = _read_changelog(spark, changelog)
+    if log is None:
         return None
     base = table.rstrip("/")
-    log = spark.read.parquet(changelog)
     through = log.agg(F.max("batch_id")).first()[0]
     meta = _read_fold_pointer(spark, base)
     if through is None or (meta is not None and through <= meta["through"]):
@@ -189,8 +207,10 @@ def current_features(spark: SparkSession, changelog: str, table: str) -> DataFra
     if meta is None:
         return latest_features(spark, changelog)
     folded = spark.read.parquet(f"{table.rstrip('/')}/{meta['version']}")
-    recent = (spark.read.parquet(changelog)
-              .filter(F.col("batch_id") > F.lit(meta["through"])))
+    log = _read_changelog(spark, changelog)
+    if log is None:
+        return folded.drop("batch_id")
+    recent = log.filter(F.col("batch_id") > F.lit(meta["through"]))
     return _latest(folded.unionByName(recent)).drop("batch_id")
 
 

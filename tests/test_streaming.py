@@ -224,3 +224,17 @@ def test_streaming_aggregate_combines_before_the_state_store(spark, tmp_dir):
     assert plan.index("StateStoreRestore") < plan.index("partial_count")
     assert "hashpartitioning(window" in plan and ", 3)" in plan
     assert "from_json" in plan and plan.count("from_json") == 1
+
+
+def test_changelog_readers_before_any_batch(spark, tmp_dir):
+    from logwarden.streaming import current_features, fold_changelog
+    out = os.path.join(tmp_dir, "changelog")
+    assert latest_features(spark, out).count() == 0
+    assert fold_changelog(spark, out, os.path.join(tmp_dir, "folded")) is None
+    assert current_features(spark, out, os.path.join(tmp_dir, "folded")).count() == 0
+    # a batch without changed rows writes nothing
+    from logwarden.streaming import changelog_writer
+    empty = spark.createDataFrame([], "window_start timestamp, window_end timestamp, "
+                                      "serviceName string, total_logs long")
+    changelog_writer(out)(empty, 0)
+    assert latest_features(spark, out).count() == 0
