@@ -127,9 +127,12 @@ def train(features: DataFrame, window: str, k: int = C.KMEANS_K,
     assembled = assemble(features).select(
         "window_start", "serviceName", "raw_features").persist()
     try:
+        rows = assembled.count()
+        if rows == 0:
+            raise ValueError("no feature rows to train on (no logs with a time stamp)")
         if partitions is None:
             cap = int(assembled.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-            partitions = max(1, min(cap, -(-assembled.count() // ROWS_PER_FIT_PARTITION)))
+            partitions = max(1, min(cap, -(-rows // ROWS_PER_FIT_PARTITION)))
         scaler = fit_scaler(assembled)
         scaled = scaler.transform(assembled)
         km = fit_kmeans(scaled, k, max_iter, seed, partitions=partitions)

@@ -170,3 +170,9 @@ def test_half_written_model_is_not_used(spark, feats, bundle, tmp_dir):
     other = train(feats, W, k=2)
     save_bundle(spark, other, path)
     assert load_bundle(spark, path, W).k == 2
+
+
+def test_training_without_data_is_a_clear_error(spark):
+    logs = make_logs(spark, [(None, "ERROR", "m", "a", "s")])      # no time stamp
+    with pytest.raises(ValueError, match="no feature rows"):
+        train(window_features(logs, W), W)
