@@ -40,16 +40,24 @@ def read_alerts(spark: SparkSession, path: str) -> DataFrame:
         return empty_alerts(spark)
 
 
+ROWS_PER_FILE = 1_000_000
+
+
 def insert_alerts(spark: SparkSession, alerts: DataFrame, path: str,
                   publish: Callable[[DataFrame], None] | None = None) -> None:
     """Append alerts whose id is not yet stored.
 
     New alerts are de-duplicated by id (hash-partitioned by id, so no single
     date -- say an incident day in a backfill -- lands in one task) and
-    rebalanced by date before the write (AQE: small dates merged into one
-    file, a hot date split). They are persisted (at most one row per window,
-    service and severity); their date range, one row to the driver, prunes
-    the store scan to the partitions that can hold the same ids.
+    persisted (at most one row per window, service and severity). One small
+    aggregate over them (date range and row count, one row to the driver)
+    prunes the store scan to the partitions that can hold the same ids and
+    sizes the write: ``tasks = min(shuffle partitions, days x salts)`` with
+    ``salts = ceil(rows / ROWS_PER_FILE)``, rows placed by (date, id-hash
+    salt). A micro-batch touching one day writes one file in one task; a
+    backfill over years writes in parallel; a day with millions of alerts is
+    split over several files. The count is explicit, so it behaves the same
+    with AQE (batch jobs) and without it (inside a stream).
 
     ``publish`` (optional) receives the new alerts before they are stored, so
     a failure between the two steps re-publishes on retry (at least once on
@@ -60,7 +68,8 @@ def insert_alerts(spark: SparkSession, alerts: DataFrame, path: str,
              .dropDuplicates(["id"])
              .persist())
     try:
-        lo, hi = fresh.agg(F.min(PARTITION_COLUMN), F.max(PARTITION_COLUMN)).first()
+        lo, hi, rows = fresh.agg(F.min(PARTITION_COLUMN), F.max(PARTITION_COLUMN),
+                                 F.count(F.lit(1))).first()
         if lo is None:
             return
         new = fresh
@@ -71,10 +80,11 @@ def insert_alerts(spark: SparkSession, alerts: DataFrame, path: str,
             new = fresh.join(stored, [PARTITION_COLUMN, "id"], "left_anti")
         if publish is not None:
             publish(new.select(*ALERT_COLUMNS))
-        # REBALANCE by date: with AQE (batch jobs) small dates merge into one
-        # file each and a hot date is split over several tasks; inside a
-        # stream AQE is off and it is a plain hash repartition by date.
-        (new.hint("rebalance", PARTITION_COLUMN)
+        salts = max(1, -(-rows // ROWS_PER_FILE))
+        cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        tasks = max(1, min(cap, ((hi - lo).days + 1) * salts))
+        salt = F.pmod(F.xxhash64("id"), F.lit(salts))
+        (new.repartition(tasks, PARTITION_COLUMN, salt)
          .write.mode("append").partitionBy(PARTITION_COLUMN).parquet(path))
     finally:
         fresh.unpersist()
