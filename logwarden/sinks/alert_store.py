@@ -78,14 +78,20 @@ def insert_alerts(spark: SparkSession, alerts: DataFrame, path: str,
                       .filter(F.col(PARTITION_COLUMN).between(F.lit(lo), F.lit(hi)))
                       .select(PARTITION_COLUMN, "id"))
             new = fresh.join(stored, [PARTITION_COLUMN, "id"], "left_anti")
-        if publish is not None:
-            publish(new.select(*ALERT_COLUMNS))
         salts = max(1, -(-rows // ROWS_PER_FILE))
         cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
         tasks = max(1, min(cap, ((hi - lo).days + 1) * salts))
         salt = F.pmod(F.xxhash64("id"), F.lit(salts))
-        (new.repartition(tasks, PARTITION_COLUMN, salt)
-         .write.mode("append").partitionBy(PARTITION_COLUMN).parquet(path))
+        out = new.repartition(tasks, PARTITION_COLUMN, salt)
+        if publish is not None:
+            # the same sized layout feeds the topic and the store
+            out = out.persist()
+            publish(out.select(*ALERT_COLUMNS))
+        try:
+            out.write.mode("append").partitionBy(PARTITION_COLUMN).parquet(path)
+        finally:
+            if publish is not None:
+                out.unpersist()
     finally:
         fresh.unpersist()
 
