@@ -12,6 +12,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import constants as C
 from ..functions import error_marker, is_error, message_length
 from ..operators import alerts as A
 from ..operators.features import window_features
@@ -21,7 +22,7 @@ from ..operators.profile import (check_mix_rules, observed_mix, service_gaps,
 from ..operators.scoring import predict, scaled_vector_columns, score
 from ..schemas import RECORD_SCHEMA, VECTOR_COLUMNS
 from ..session import pin_utc, scratch_path
-from ..sinks.alert_store import insert_alerts, read_alerts
+from ..sinks.alert_store import compact_alerts, insert_alerts, read_alerts
 from ..sinks.snapshot import read_snapshot, snapshot_logs
 from ..sinks.topic import alerts_to_records, decode_alert_records, publish_records
 from ..sources.codec import classify_records, decode_logs, encode_logs
@@ -183,6 +184,18 @@ def severity_counts(spark, sf_dir):
     return A.severity_counts(read_alerts(spark, _filled_store(spark, sf_dir)))
 
 
+def alert_store_compacted(spark, sf_dir):
+    """Alerts stored by severity in two appends, then every date compacted;
+    the store must still hold each alert exactly once."""
+    path = scratch_path(spark, "alert-store")
+    alerts = A.alert_records(_scored_fixed(spark, sf_dir))
+    for sev in (C.SEVERITY_HIGH, C.SEVERITY_MEDIUM):
+        insert_alerts(spark, alerts.filter(F.col("severity") == sev), path)
+    compact_alerts(spark, path, "9999-12-31", files_per_date=2)
+    insert_alerts(spark, alerts, path)         # a resend after compaction adds nothing
+    return _checked_alert_columns(read_alerts(spark, path))
+
+
 def alert_topic_rows(spark, sf_dir):
     path = scratch_path(spark, "alerts-topic")
     alerts = A.alert_records(_scored_fixed(spark, sf_dir))
@@ -320,6 +333,7 @@ QUERIES: dict[str, Query] = {
     "alert_records": alert_records,
     "alert_listing": alert_listing,
     "severity_counts": severity_counts,
+    "alert_store_compacted": alert_store_compacted,
     "alert_topic_rows": alert_topic_rows,
     "stream_features_update": stream_features_update,
     "stream_features_append": stream_features_append,

@@ -289,6 +289,7 @@ FROM ({alerts}) a""",
         "alert_topic_rows": f"SELECT CAST(id AS VARCHAR) AS key, {_ALERT_COLS} FROM ({alerts}) a",
         "stream_features_update": features(FIXED_WINDOW),
         "stream_features_append": _closed_windows(),
+        "alert_store_compacted": alerts,
         "stream_alerts": alerts,
         "stream_alerts_append": f"""
 SELECT * FROM ({alerts}) a

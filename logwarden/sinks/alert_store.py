@@ -1,4 +1,4 @@
-"""Alert store: idempotent append and full read.
+"""Alert store: idempotent append, full read and compaction.
 
 The store is a parquet table partitioned by the date of the alert window.
 An insert removes alerts whose id is already stored (left-anti join), reading
