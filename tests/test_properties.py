@@ -91,3 +91,29 @@ def test_scoring_equals_brute_force(spark, centers, means, stds, feats):
                 acc = term if acc is None else acc + term
             d.append(acc)
         assert got[svc] == min(range(len(centers)), key=lambda k: (d[k], k))
+
+
+@settings(max_examples=6, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(batches=st.lists(st.lists(st.integers(0, 11), max_size=12), min_size=1, max_size=4))
+def test_alert_store_holds_each_alert_once(spark, batches):
+    import tempfile
+
+    from pyspark.sql import functions as F
+
+    from logwarden.operators.alerts import alert_rows
+    from logwarden.sinks.alert_store import insert_alerts, read_alerts
+
+    rows = [(EPOCH + dt.timedelta(days=i % 4, hours=6 * (i % 3)), f"s{i % 5}",
+             "HIGH" if i % 2 else "MEDIUM", 20.0 + i) for i in range(12)]
+    base = spark.createDataFrame(rows, "window_start timestamp, serviceName string, "
+                                       "severity string, error_rate double")
+    base = base.withColumn("window_end", F.col("window_start") + F.expr("INTERVAL 6 HOURS"))
+    store = tempfile.mkdtemp(prefix="lw-prop-", dir="/tmp") + "/store"
+    seen = set()
+    for picks in batches:                      # overlapping batches, resends included
+        part = base.filter(F.col("error_rate").isin([20.0 + i for i in picks]))
+        insert_alerts(spark, alert_rows(part), store)
+        seen |= set(picks)
+    got = sorted(r["metadata"]["errorRate"] for r in read_alerts(spark, store).collect())
+    assert got == sorted(20.0 + i for i in seen)
