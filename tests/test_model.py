@@ -91,11 +91,14 @@ def test_clusters_ordered_by_error_rate(bundle):
     assert rates == sorted(rates)
 
 
-def test_fit_is_independent_of_input_layout(feats):
-    a = train(feats.repartition(1), W)
-    b = train(feats.repartition(7, "error_rate"), W)
-    for ca, cb in zip(a.centers, b.centers):
+@pytest.mark.parametrize("parts", [None, 4])
+def test_fit_is_independent_of_input_layout(feats, parts):
+    a = train(feats.repartition(1), W, partitions=parts)
+    b = train(feats.repartition(7, "error_rate"), W, partitions=parts)
+    c = train(feats.repartition(3).sortWithinPartitions("total_logs"), W, partitions=parts)
+    for ca, cb, cc in zip(a.centers, b.centers, c.centers):
         assert ca == pytest.approx(cb, rel=1e-9, abs=1e-12)
+        assert ca == pytest.approx(cc, rel=1e-9, abs=1e-12)
 
 
 def test_literal_order_keeps_kmeans_ids(feats):
