@@ -71,3 +71,20 @@ def test_explicit_window_mismatch_reproduces_original_setup(spark, tmp_dir):
     assert load_bundle(spark, cfg.model_path).window == "5 minutes"
     stored = read_alerts(spark, cfg.store_path).collect()
     assert all((r["window_end"] - r["window_start"]).days == 1 for r in stored)
+
+
+def test_alert_report(spark, tmp_dir, capsys):
+    from logwarden.report import main as report_main
+    from logwarden.report import report
+    publish_records(encode_logs(load_logs(spark, SF001)), path=f"{tmp_dir}/topic")
+    cfg = _cfg(tmp_dir)
+    run_until_idle(start_detector(spark, cfg))
+    n = read_alerts(spark, cfg.store_path).count()
+    r = report(spark, cfg.store_path, rows=5)
+    assert r["counts"]["high_count"] + r["counts"]["medium_count"] == n
+    assert r["counts"]["low_count"] == 0 and len(r["alerts"]) == min(5, n)
+    report_main(["--store", cfg.store_path, "--rows", "3"])
+    out = capsys.readouterr().out.splitlines()
+    assert out[0].startswith("HIGH ") and len(out) == 1 + min(3, n)
+    empty = report(spark, f"{tmp_dir}/no-store")
+    assert empty["counts"] == {"high_count": 0, "medium_count": 0, "low_count": 0}
