@@ -238,3 +238,34 @@ def test_changelog_readers_before_any_batch(spark, tmp_dir):
                                       "serviceName string, total_logs long")
     changelog_writer(out)(empty, 0)
     assert latest_features(spark, out).count() == 0
+
+
+def test_crash_between_publish_and_store_then_restart(spark, tmp_dir):
+    """Publish succeeded, the batch died before the store write; the restart
+    re-runs the batch: the topic sees a resend (at least once), the store
+    holds every alert exactly once."""
+    from logwarden.sinks.topic import alert_publisher, decode_alert_records
+    from logwarden.sources.topic import read_topic
+    inp = os.path.join(tmp_dir, "in")
+    store, topic, ckpt = (os.path.join(tmp_dir, n) for n in ("store", "topic", "ckpt"))
+    _write_batch(spark, inp, "b0", _busy_window(0, 6) + _busy_window(30, 1, svc="b", prefix="Y"))
+    real = alert_publisher(path=topic)
+    calls = []
+
+    def crashing(alerts):
+        real(alerts)
+        calls.append(1)
+        if len(calls) == 1:
+            raise RuntimeError("lost before the store write")
+
+    q = start_detection(_stream(spark, os.path.join(inp, "*")), _rate_model(), store, ckpt,
+                        {"availableNow": True}, publish=crashing)
+    with pytest.raises(Exception):
+        run_until_idle(q)
+    assert not os.path.exists(store) or read_alerts(spark, store).count() == 0
+    run_until_idle(start_detection(_stream(spark, os.path.join(inp, "*")), _rate_model(),
+                                   store, ckpt, {"availableNow": True}, publish=crashing))
+    stored = read_alerts(spark, store)
+    assert stored.count() == 2 and stored.select("id").distinct().count() == 2
+    published = decode_alert_records(read_topic(spark, path=topic))
+    assert published.count() == 4 and published.select("id").distinct().count() == 2
