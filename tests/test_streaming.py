@@ -269,3 +269,33 @@ def test_crash_between_publish_and_store_then_restart(spark, tmp_dir):
     assert stored.count() == 2 and stored.select("id").distinct().count() == 2
     published = decode_alert_records(read_topic(spark, path=topic))
     assert published.count() == 4 and published.select("id").distinct().count() == 2
+
+
+def test_retried_changelog_batch_replaces_its_output(spark, tmp_dir):
+    from logwarden.streaming import changelog_writer
+    glob = _replay_files(spark, tmp_dir)
+    out, ckpt = os.path.join(tmp_dir, "changelog"), os.path.join(tmp_dir, "ckpt")
+    write = changelog_writer(out)
+    calls = []
+
+    def crash_after_write(df, batch_id):
+        write(df, batch_id)
+        calls.append(batch_id)
+        if len(calls) == 1:
+            raise RuntimeError("lost before the commit")
+
+    def run():
+        feats = stream_features(_stream(spark, glob), W)
+        return (feats.writeStream.outputMode("update").trigger(availableNow=True)
+                .option("checkpointLocation", ckpt).foreachBatch(crash_after_write).start())
+
+    with pytest.raises(Exception):
+        run_until_idle(run())
+    run_until_idle(run())
+    assert calls[0] == calls[1] == 0                 # batch 0 ran twice
+    log = spark.read.parquet(out)
+    b0 = log.filter("batch_id = 0")
+    assert b0.count() == b0.select("window_start", "serviceName").distinct().count() == 1
+    latest = {r["window_start"].strftime("%H:%M"): r["total_logs"]
+              for r in latest_features(spark, out).collect()}
+    assert latest == {"00:00": 2, "00:15": 1, "00:30": 3}
