@@ -299,3 +299,16 @@ def test_retried_changelog_batch_replaces_its_output(spark, tmp_dir):
     latest = {r["window_start"].strftime("%H:%M"): r["total_logs"]
               for r in latest_features(spark, out).collect()}
     assert latest == {"00:00": 2, "00:15": 1, "00:30": 3}
+
+
+def test_half_written_fold_is_ignored(spark, tmp_dir):
+    from logwarden.streaming import current_features, fold_changelog
+    glob = _replay_files(spark, tmp_dir)
+    out, table = os.path.join(tmp_dir, "changelog"), os.path.join(tmp_dir, "folded")
+    run_until_idle(start_feature_changelog(stream_features(_stream(spark, glob), W), out,
+                                           os.path.join(tmp_dir, "ckpt"), {"availableNow": True}))
+    fold_changelog(spark, out, table)
+    before = sorted(tuple(r) for r in current_features(spark, out, table).collect())
+    # a fold that died after writing its version folder, before the pointer
+    spark.createDataFrame([(1,)], "x int").write.parquet(os.path.join(table, "v-dead"))
+    assert sorted(tuple(r) for r in current_features(spark, out, table).collect()) == before
