@@ -40,10 +40,20 @@ insert_alerts(spark, flaky, STORE)
 insert_alerts(spark, flaky, STORE)
 got = read_alerts(spark, STORE)
 print("RESULT", expected, got.count(), got.select("id").distinct().count())
+
+# the same under a stream: failures inside the stateful micro-batch
+from logwarden.streaming import logs_from_event_files, run_until_idle, start_detection
+stream = logs_from_event_files(spark, SF + "/events*.parquet")
+stream = stream.filter(lose_first_attempt(F.col("relatedObjectId")))
+run_until_idle(start_detection(stream, fixed_bundle(), STORE + "-stream", CKPT + "/stream",
+                               {"availableNow": True}))
+got = read_alerts(spark, STORE + "-stream")
+print("STREAM", expected, got.count(), got.select("id").distinct().count())
 '''
 
 
 def test_task_failures_do_not_duplicate_or_lose_alerts():
+    """Batch insert and detection stream, each with a lost first task attempt."""
     tmp = tempfile.mkdtemp(prefix="lw-retry-", dir="/tmp")
     code = (f"ROOT = {ROOT!r}\nCKPT = {tmp + '/ckpt'!r}\nSF = '/root/testdata/sf0.01'\n"
             f"STORE = {tmp + '/store'!r}\n" + SCRIPT)
@@ -53,3 +63,7 @@ def test_task_failures_do_not_duplicate_or_lose_alerts():
     assert line, out.stderr[-2000:]
     expected, stored, distinct = map(int, line[0].split()[1:])
     assert expected > 0 and stored == distinct == expected
+    line = [ln for ln in out.stdout.splitlines() if ln.startswith("STREAM")]
+    assert line, out.stderr[-2000:]
+    expected, stored, distinct = map(int, line[0].split()[1:])
+    assert stored == distinct == expected
