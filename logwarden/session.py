@@ -31,6 +31,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         "spark.sql.session.timeZone": UTC,
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # Coalesce shuffle partitions to the advisory size (64 MB), not to the
+        # largest task count: fewer, fuller tasks on a shared cluster.
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
