@@ -18,26 +18,21 @@ sys.path.insert(0, ROOT)
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    from pyspark.sql import SparkSession
-
     from logwarden.operators.alerts import alert_records
     from logwarden.operators.features import window_features
     from logwarden.operators.profile import observed_mix, service_gaps
     from logwarden.operators.scoring import score
     from logwarden.plans.fixed_model import fixed_bundle
+    from logwarden.session import build_session
     from logwarden.sinks.topic import publish_records
     from logwarden.sources.codec import classify_records, decode_logs, encode_logs
     from logwarden.sources.fixtures import load_logs
     from logwarden.sources.topic import read_topic
 
-    spark = (SparkSession.builder.master("local[8]")
-             .config("spark.sql.shuffle.partitions", "8")
-             .config("spark.ui.enabled", "false")
-             .config("spark.ui.showConsoleProgress", "false")
-             .config("spark.sql.session.timeZone", "UTC")
-             .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="plans-", dir="/tmp"))
-             .getOrCreate())
-    spark.sparkContext.setLogLevel("ERROR")
+    spark = build_session("local[8]", 8, app_name="logwarden-plans",
+                          extra={"spark.ui.showConsoleProgress": "false",
+                                 "spark.checkpoint.dir": tempfile.mkdtemp(prefix="plans-",
+                                                                          dir="/tmp")})
     logs = load_logs(spark, sf_dir)
     topic = tempfile.mkdtemp(prefix="plans-topic-", dir="/tmp") + "/t"
     publish_records(encode_logs(logs), path=topic)
