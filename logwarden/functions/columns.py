@@ -51,12 +51,14 @@ def alert_metadata(service: str | Column = "serviceName",
 
 def alert_key(window_start: str | Column, window_end: str | Column,
               service: str | Column, severity: str | Column) -> Column:
-    """Natural key of an alert: one per window, service and severity."""
-    fmt = "yyyy-MM-dd'T'HH:mm:ss"
+    """Natural key of an alert: one per window, service and severity.
+
+    Window bounds enter as epoch microseconds, which do not depend on the
+    session time zone: jobs running in different zones agree on every id."""
     return F.concat_ws(
         "|",
-        F.date_format(_c(window_start), fmt),
-        F.date_format(_c(window_end), fmt),
+        F.unix_micros(_c(window_start)).cast("string"),
+        F.unix_micros(_c(window_end)).cast("string"),
         F.coalesce(_c(service), F.lit("")),
         _c(severity),
     )

@@ -99,8 +99,8 @@ def _high(src: str = "") -> str:
 def _alerts_fixed() -> str:
     sev = (f"CASE WHEN {_high()} THEN '{C.SEVERITY_HIGH}' "
            f"WHEN {_medium()} THEN '{C.SEVERITY_MEDIUM}' END")
-    key = ("strftime(window_start, '%Y-%m-%dT%H:%M:%S') || '|' || "
-           "strftime(window_end, '%Y-%m-%dT%H:%M:%S') || '|' || "
+    key = ("CAST(epoch_us(window_start) AS VARCHAR) || '|' || "
+           "CAST(epoch_us(window_end) AS VARCHAR) || '|' || "
            "coalesce(serviceName, '') || '|' || severity")
     return f"""
 SELECT CAST(('0x' || substr(sha256({key}), 1, 15)) AS BIGINT) AS id,

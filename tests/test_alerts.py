@@ -116,3 +116,14 @@ def test_compaction_keeps_rows_and_reduces_files(spark, tmp_dir):
     assert len(glob.glob(f"{store}/window_date=*/*.parquet")) <= files_before
     insert_alerts(spark, alerts, store)            # still idempotent after compaction
     assert read_alerts(spark, store).count() == 4
+
+
+def test_alert_id_does_not_depend_on_session_time_zone(spark):
+    df = _edge_rows(spark)
+    before = sorted(r["id"] for r in alert_records(df).collect())
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        other = sorted(r["id"] for r in alert_records(df).collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert other == before
