@@ -20,6 +20,13 @@ from ..schemas import ALERT_COLUMNS, ALERT_SCHEMA
 from ..session import path_exists, shared_dir
 
 PARTITION_COLUMN = "window_date"
+
+
+def window_date(ts_col: str = "window_start"):
+    """UTC calendar day of a window start, independent of the session time
+    zone (a zone-dependent day would let two jobs file one alert under two
+    dates, and the id check per date would then miss it)."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(F.col(ts_col)) / 86400).cast("int"))
 STORE_SCHEMA = T.StructType(list(ALERT_SCHEMA.fields)
                             + [T.StructField(PARTITION_COLUMN, T.DateType(), True)])
 
@@ -64,7 +71,7 @@ def insert_alerts(spark: SparkSession, alerts: DataFrame, path: str,
     the topic) but never stores twice.
     """
     fresh = (alerts.select(*ALERT_COLUMNS)
-             .withColumn(PARTITION_COLUMN, F.to_date("window_start"))
+             .withColumn(PARTITION_COLUMN, window_date())
              .dropDuplicates(["id"])
              .persist())
     try:

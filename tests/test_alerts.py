@@ -127,3 +127,22 @@ def test_alert_id_does_not_depend_on_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert other == before
+
+
+def test_inserts_from_sessions_in_other_zones_do_not_duplicate(spark, tmp_dir):
+    """Windows late in the UTC day fall on the next calendar day in Tokyo; the
+    store's date must not follow the session zone, or a resend from a Tokyo
+    job would be filed under another date and stored twice."""
+    store = f"{tmp_dir}/store"
+    late = (_edge_rows(spark)
+            .withColumn("window_start", F.col("window_start") + F.expr("INTERVAL 20 HOURS"))
+            .withColumn("window_end", F.col("window_end") + F.expr("INTERVAL 20 HOURS")))
+    alerts = alert_records(late)                 # analysed (times fixed) under UTC
+    insert_alerts(spark, alerts, store)
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        insert_alerts(spark, alerts, store)
+        n_tokyo = read_alerts(spark, store).count()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert n_tokyo == read_alerts(spark, store).count() == 4
