@@ -8,14 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe_codec import codec_digests
 from .common import table_reader
+from .nearest import self_search
 from .packing import pack_documents
+from .quality_rules import judge
+from .sharding import shards
+from .simhash import near_duplicates
 from .token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "op1_token_counts": table_reader("documents", token_counts),
+    "op2_simhash_near_dedup": table_reader("documents", near_duplicates),
     "op4_bpe_codec": table_reader("documents", codec_digests),
+    "op5_sharding": table_reader("documents", shards),
+    "op6_quality_rules": table_reader("documents", judge),
+    "op8_nearest_neighbours": table_reader("embeddings", self_search),
     "op9_best_fit_packing": table_reader("documents", pack_documents),
 }
 

@@ -19,8 +19,8 @@ MAX_WORDS = 2_000_000
 #: Texts are taken in groups of about this many bytes.
 GROUP = 1 << 20
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[32, *range(9, 14)]] = True
+SPACE = np.zeros(256, bool)
+SPACE[[32, *range(9, 14)]] = True
 _BASE = 0x9E3779B97F4A7C15 | 3
 _MASK = (1 << 64) - 1
 
@@ -50,7 +50,7 @@ def row_groups(offsets: np.ndarray, size: int = GROUP) -> list[tuple[int, int]]:
 
 def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the words; no word crosses a row."""
-    blank = _SPACE[data]
+    blank = SPACE[data]
     before = np.empty(len(data) + 1, bool)
     before[0], before[1:] = True, blank
     edge = offsets[(offsets >= 0) & (offsets <= len(data))]
