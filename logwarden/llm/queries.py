@@ -7,24 +7,33 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe_codec import codec_digests
-from .common import table_reader
+from .common import read_table, table_reader
 from .nearest import self_search
 from .packing import pack_documents
+from .quality_classifier import score
 from .quality_rules import judge
 from .sharding import shards
 from .simhash import near_duplicates
+from .suffix_dedup import remove_repeats
 from .token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+
+def _quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": table_reader("documents", token_counts),
     "op2_simhash_near_dedup": table_reader("documents", near_duplicates),
     "op4_bpe_codec": table_reader("documents", codec_digests),
     "op5_sharding": table_reader("documents", shards),
     "op6_quality_rules": table_reader("documents", judge),
+    "op7_suffix_dedup": table_reader("documents", remove_repeats),
     "op8_nearest_neighbours": table_reader("embeddings", self_search),
     "op9_best_fit_packing": table_reader("documents", pack_documents),
+    "op10_quality_classifier": _quality_scores,
 }
 
 #: DuckDB SQL where SQL can express the query.
