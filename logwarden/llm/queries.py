@@ -10,6 +10,7 @@ from .bpe_codec import codec_digests
 from .common import read_table, table_reader
 from .nearest import self_search
 from .packing import pack_documents
+from .paragraphs import removed_paragraphs
 from .quality_classifier import score
 from .quality_rules import judge
 from .sharding import shards
@@ -27,6 +28,7 @@ def _quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_token_counts": table_reader("documents", token_counts),
     "op2_simhash_near_dedup": table_reader("documents", near_duplicates),
+    "op3_substring_dedup": table_reader("documents", removed_paragraphs),
     "op4_bpe_codec": table_reader("documents", codec_digests),
     "op5_sharding": table_reader("documents", shards),
     "op6_quality_rules": table_reader("documents", judge),
