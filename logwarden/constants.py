@@ -12,6 +12,8 @@ LEVEL_INFO = "INFO"
 LEVEL_WARN = "WARN"
 LEVEL_ERROR = "ERROR"
 
+WIRE_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS"   # log and alert records
+
 SERVICE_NAMES = ["order-service", "cart-service", "product-service"]
 
 DETECTION_WINDOW = "15 minutes"      # streaming window and watermark delay

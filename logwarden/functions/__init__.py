@@ -8,4 +8,5 @@ from .columns import (  # noqa: F401
     error_rate,
     is_error,
     message_length,
+    seconds,
 )

@@ -59,7 +59,7 @@ def alert_key(window_start: str | Column, window_end: str | Column,
         "|",
         F.unix_micros(_c(window_start)).cast("string"),
         F.unix_micros(_c(window_end)).cast("string"),
-        F.coalesce(_c(service), F.lit("")),
+        F.coalesce(F.concat(F.lit("="), _c(service)), F.lit("")),   # null is not ""
         _c(severity),
     )
 
@@ -75,6 +75,23 @@ def alert_id(window_start: str | Column = "window_start",
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
 
 
+_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+
+
+def seconds(duration: str) -> int:
+    """Length of a window width such as "15 minutes" or "1 hour 30 minutes"."""
+    parts = duration.lower().removeprefix("interval").replace("'", " ").split()
+    if not parts or len(parts) % 2:
+        raise ValueError(f"not a duration: {duration!r}")
+    total = 0
+    for number, unit in zip(parts[::2], parts[1::2]):
+        unit = unit.rstrip("s")
+        if unit not in _UNIT_SECONDS or not number.isdigit():
+            raise ValueError(f"not a duration: {duration!r}")
+        total += int(number) * _UNIT_SECONDS[unit]
+    return total
+
+
 def display_time(ts: str | Column = "timestamp") -> Column:
     """Listing format of a time stamp."""
     return F.date_format(_c(ts), C.ALERT_TIME_DISPLAY_FORMAT)

@@ -12,12 +12,14 @@ window width and appends alerts to the store (and, optionally, a topic).
 from __future__ import annotations
 
 import argparse
+import os
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from . import constants as C
+from .functions import seconds
 from .operators.model import ModelBundle, ensure_model
 from .session import build_session, scratch_path
 from .sinks.snapshot import read_snapshot, snapshot_logs
@@ -43,6 +45,11 @@ class DetectorConfig:
     jdbc_table: str = "training_logs"
     jdbc_user: str | None = None
     jdbc_password: str | None = None
+    jdbc_driver: str | None = None
+    output_mode: str = "update"             # "append": alerts on final counts only
+    watermark: str | None = None            # default: the window width
+    state_partitions: int | None = None     # of the stream's state, fixed at first start
+    fail_on_data_loss: bool = True          # Kafka: lost offsets fail the stream
     alerts_servers: str | None = None
     alerts_topic: str = C.ALERTS_TOPIC
     alerts_path: str | None = None
@@ -55,26 +62,27 @@ class DetectorConfig:
 
 
 def training_logs(spark: SparkSession, cfg: DetectorConfig) -> DataFrame:
-    """Topic (earliest..latest) -> decoded logs -> snapshot table -> stored logs."""
+    """Topic (earliest..latest) -> decoded logs -> snapshot files -> stored logs.
+    With ``jdbc_url`` the stored files are also copied to a database table;
+    training always reads the files."""
     records = read_topic(spark, servers=cfg.servers, topic=cfg.topic,
                          path=cfg.records_path, fmt=cfg.records_format,
                          min_partitions=cfg.min_partitions)
     logs = decode_logs(records)
-    if cfg.jdbc_url:
-        opts = dict(jdbc_url=cfg.jdbc_url, table=cfg.jdbc_table, user=cfg.jdbc_user,
-                    password=cfg.jdbc_password)
-        snapshot_logs(logs, **opts)
-        return read_snapshot(spark, **opts)
     path = cfg.snapshot_path or scratch_path(spark, "training-logs")
     snapshot_logs(logs, path=path)
-    return read_snapshot(spark, path=path)
+    stored = read_snapshot(spark, path=path)
+    if cfg.jdbc_url:
+        snapshot_logs(stored, jdbc_url=cfg.jdbc_url, table=cfg.jdbc_table, user=cfg.jdbc_user,
+                      password=cfg.jdbc_password, driver=cfg.jdbc_driver)
+    return stored
 
 
 def ensure_detector_model(spark: SparkSession, cfg: DetectorConfig) -> ModelBundle:
     """One width for training and detection, unless a different training
     width is asked for with ``allow_window_mismatch``."""
     train_window = cfg.training_window or cfg.window
-    if train_window != cfg.window and not cfg.allow_window_mismatch:
+    if seconds(train_window) != seconds(cfg.window) and not cfg.allow_window_mismatch:
         raise ValueError("training and detection window widths differ "
                          f"({cfg.training_window!r} vs {cfg.window!r})")
     return ensure_model(spark, cfg.model_path, lambda: training_logs(spark, cfg),
@@ -88,7 +96,7 @@ def start_detector(spark: SparkSession, cfg: DetectorConfig) -> StreamingQuery:
         fmt=cfg.records_format, starting_offsets=cfg.starting_offsets,
         max_offsets_per_trigger=cfg.max_offsets_per_trigger,
         max_files_per_trigger=cfg.max_files_per_trigger,
-        min_partitions=cfg.min_partitions)
+        min_partitions=cfg.min_partitions, fail_on_data_loss=cfg.fail_on_data_loss)
     publish = None
     if cfg.alerts_servers or cfg.alerts_path:
         publish = alert_publisher(servers=cfg.alerts_servers, topic=cfg.alerts_topic,
@@ -96,7 +104,9 @@ def start_detector(spark: SparkSession, cfg: DetectorConfig) -> StreamingQuery:
     ckpt = cfg.checkpoint or checkpoint_location(spark, "anomaly-detection-stream")
     return start_detection(logs_from_records(records), bundle, cfg.store_path, ckpt,
                            trigger=cfg.trigger, publish=publish,
-                           query_name="anomaly_detection", window=cfg.window)
+                           query_name="anomaly_detection", window=cfg.window,
+                           output_mode=cfg.output_mode, watermark=cfg.watermark,
+                           state_partitions=cfg.state_partitions)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -111,7 +121,16 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--records", help="record files instead of Kafka")
     p.add_argument("--records-format", default="parquet")
     p.add_argument("--snapshot")
-    p.add_argument("--jdbc-url")
+    p.add_argument("--jdbc-url", help="also copy the training logs to this database")
+    p.add_argument("--jdbc-table", default="training_logs")
+    p.add_argument("--jdbc-user")
+    p.add_argument("--jdbc-password-env", help="environment variable that holds the password")
+    p.add_argument("--jdbc-driver")
+    p.add_argument("--output-mode", choices=("update", "append"), default="update")
+    p.add_argument("--watermark")
+    p.add_argument("--state-partitions", type=int)
+    p.add_argument("--allow-data-loss", action="store_true",
+                   help="go on when Kafka has lost offsets")
     p.add_argument("--alerts-servers")
     p.add_argument("--alerts-path")
     p.add_argument("--checkpoint")
@@ -128,7 +147,12 @@ def main(argv: list[str] | None = None) -> None:
                          allow_window_mismatch=a.allow_window_mismatch,
                          servers=a.servers, topic=a.topic, records_path=a.records,
                          records_format=a.records_format, snapshot_path=a.snapshot,
-                         jdbc_url=a.jdbc_url, alerts_servers=a.alerts_servers,
+                         jdbc_url=a.jdbc_url, jdbc_table=a.jdbc_table, jdbc_user=a.jdbc_user,
+                         jdbc_password=(os.environ[a.jdbc_password_env]
+                                        if a.jdbc_password_env else None),
+                         jdbc_driver=a.jdbc_driver, output_mode=a.output_mode,
+                         watermark=a.watermark, state_partitions=a.state_partitions,
+                         fail_on_data_loss=not a.allow_data_loss, alerts_servers=a.alerts_servers,
                          alerts_path=a.alerts_path, checkpoint=a.checkpoint,
                          trigger=trigger, max_offsets_per_trigger=a.max_offsets_per_trigger,
                          min_partitions=a.min_partitions,

@@ -50,8 +50,9 @@ def high_risk(scored: DataFrame, prediction: str = "prediction") -> DataFrame:
 
 
 def gated(scored: DataFrame, prediction: str = "prediction") -> DataFrame:
-    """Scored rows that raise an alert, with their ``severity``."""
-    return (scored.withColumn("severity", severity(prediction))
+    """Scored rows that raise an alert, with their ``severity``. The plain
+    predicates come first, so distances are computed for few rows."""
+    return (pre_gate(scored).withColumn("severity", severity(prediction))
             .filter(F.col("severity").isNotNull()))
 
 

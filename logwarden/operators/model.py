@@ -18,8 +18,6 @@ Two deliberate changes to the original job:
 
 from __future__ import annotations
 
-import json
-import uuid
 from dataclasses import dataclass, field
 
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -29,15 +27,25 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..schemas import CENTROID_TABLE_SCHEMA, SCALER_TABLE_SCHEMA, VECTOR_COLUMNS
-from ..session import path_exists
+from ..functions import seconds
+from ..session import current_version, new_version, path_exists, publish_version
 
-ROWS_PER_FIT_PARTITION = 100_000
+# Partitions of the k-means fit. The fit depends on how rows are split, so the
+# count is one constant, stored with the model: never the session's setting or
+# the number of rows.
+FIT_PARTITIONS = 64
 
 # A model table is read to the driver (it parameterises expressions); its size
 # is bounded by k and checked against this limit.
 MAX_CLUSTERS = 1024
 
 
+def _check_cluster_count(n: int) -> None:
+    """One limit for training, saving and loading."""
+    if not 1 <= n <= MAX_CLUSTERS:
+        raise ValueError(f"{n} clusters; expected 1..{MAX_CLUSTERS}")
+
+
 def model_inputs(features: DataFrame) -> DataFrame:
     """Null average (all messages null) becomes 0.0 instead of failing the
     vector assembly."""
@@ -58,22 +66,16 @@ def fit_scaler(assembled: DataFrame, input_col: str = "raw_features",
                           withMean=True, withStd=True).fit(assembled)
 
 
-def stable_layout(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Fixed hash partitioning + in-partition sort on the feature key.
-
-    The count is fixed per deployment (default: the session's shuffle
-    partitions), never taken from the input, so the same rows always meet
-    k-means in the same order while the fit stays as parallel as the cluster.
-    """
-    if partitions is None:
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def stable_layout(df: DataFrame, partitions: int = FIT_PARTITIONS) -> DataFrame:
+    """Fixed hash partitioning + in-partition sort on the feature key, so the
+    same rows always meet k-means in the same order."""
     keys = ["window_start", "serviceName"]
     return df.repartition(partitions, *keys).sortWithinPartitions(*keys)
 
 
 def fit_kmeans(scaled: DataFrame, k: int = C.KMEANS_K,
                max_iter: int = C.KMEANS_MAX_ITER, seed: int = C.KMEANS_SEED,
-               features_col: str = "features", partitions: int | None = None) -> KMeansModel:
+               features_col: str = "features", partitions: int = FIT_PARTITIONS) -> KMeansModel:
     km = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=features_col,
                 predictionCol="prediction")
     return km.fit(stable_layout(scaled, partitions))
@@ -90,6 +92,7 @@ class ModelBundle:
     centers: list[list[float]]
     fit_ids: list[int] = field(default_factory=list)   # k-means id per stored id
     order: str = "error_rate"
+    partitions: int = FIT_PARTITIONS                   # layout of the fit
     scaler_model: StandardScalerModel | None = None
     kmeans_model: KMeansModel | None = None
 
@@ -118,21 +121,18 @@ def _ordered(centers: list[list[float]], means: list[float], stds: list[float],
 
 def train(features: DataFrame, window: str, k: int = C.KMEANS_K,
           max_iter: int = C.KMEANS_MAX_ITER, seed: int = C.KMEANS_SEED,
-          order: str = "error_rate", partitions: int | None = None) -> ModelBundle:
+          order: str = "error_rate", partitions: int = FIT_PARTITIONS) -> ModelBundle:
     """Fit scaler and k-means on a feature table.
 
-    The k-means layout gets one partition per ``ROWS_PER_FIT_PARTITION`` rows
-    (capped by the shuffle setting) unless ``partitions`` is given: it depends
-    on the rows only, never on how they arrived, so fits stay reproducible."""
+    The k-means layout has ``partitions`` partitions whatever the session and
+    the input, so the same rows give the same model."""
+    _check_cluster_count(k)
     assembled = assemble(features).select(
         "window_start", "serviceName", "raw_features").persist()
     try:
         rows = assembled.count()
         if rows == 0:
             raise ValueError("no feature rows to train on (no logs with a time stamp)")
-        if partitions is None:
-            cap = int(assembled.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-            partitions = max(1, min(cap, -(-rows // ROWS_PER_FIT_PARTITION)))
         scaler = fit_scaler(assembled)
         scaled = scaler.transform(assembled)
         km = fit_kmeans(scaled, k, max_iter, seed, partitions=partitions)
@@ -144,7 +144,8 @@ def train(features: DataFrame, window: str, k: int = C.KMEANS_K,
     perm = _ordered(fit_centers, means, stds, order)
     return ModelBundle(window=window, means=means, stds=stds,
                        centers=[fit_centers[i] for i in perm], fit_ids=perm,
-                       order=order, scaler_model=scaler, kmeans_model=km)
+                       order=order, partitions=partitions, scaler_model=scaler,
+                       kmeans_model=km)
 
 
 def train_scaler(features: DataFrame, window: str) -> ModelBundle:
@@ -177,8 +178,7 @@ def bundle_from_tables(scaler_df: DataFrame, centroid_df: DataFrame,
         raise ValueError("scaler table must have one row per vector position")
     crows = sorted(centroid_df.select("cluster", "center").limit(MAX_CLUSTERS + 1).collect())
     n = len(crows)
-    if n == 0 or n > MAX_CLUSTERS:
-        raise ValueError(f"centroid table has {n} rows; expected 1..{MAX_CLUSTERS}")
+    _check_cluster_count(n)
     if [r["cluster"] for r in crows] != list(range(n)):
         raise ValueError("cluster ids must be 0..k-1")
     return ModelBundle(window=window,
@@ -188,70 +188,55 @@ def bundle_from_tables(scaler_df: DataFrame, centroid_df: DataFrame,
                        fit_ids=list(range(n)), order=order)
 
 
-_PARTS = ("kmeans", "scaler", "scaler_table", "centroids")
-_POINTER = "current"
-
-
 def save_bundle(spark: SparkSession, bundle: ModelBundle, path: str) -> None:
-    """Save the pyspark.ml models and the plain model tables into a new
-    version folder, then switch the ``current`` pointer to it.
-
-    A save that dies half-way never mixes parts of two models: readers follow
-    the pointer, which is written last (missing pointer -> no model -> train).
-    """
+    """Save the plain model tables, and the pyspark.ml models if the bundle has
+    them, as a new version; the version counts once all its parts are written,
+    so readers never see parts of two models."""
     base = path.rstrip("/")
-    version = f"v-{uuid.uuid4().hex[:12]}"
+    version = new_version(spark, base)
     vdir = f"{base}/{version}"
-    if bundle.kmeans_model is not None:
-        bundle.kmeans_model.write().overwrite().save(f"{vdir}/kmeans")
-    if bundle.scaler_model is not None:
-        bundle.scaler_model.write().overwrite().save(f"{vdir}/scaler")
-    scaler_table(spark, bundle).coalesce(1).write.mode("overwrite").parquet(f"{vdir}/scaler_table")
-    centroid_table(spark, bundle).coalesce(1).write.mode("overwrite").parquet(f"{vdir}/centroids")
-    meta = json.dumps({"version": version, "window": bundle.window, "order": bundle.order,
-                       "fit_ids": bundle.fit_ids})
-    spark.createDataFrame([(meta,)], "meta string").coalesce(1) \
-        .write.mode("overwrite").text(f"{base}/{_POINTER}")
-
-
-def _read_pointer(spark: SparkSession, base: str) -> dict | None:
-    if not path_exists(spark, f"{base}/{_POINTER}"):
-        return None
-    row = spark.read.text(f"{base}/{_POINTER}").first()
-    return json.loads(row[0]) if row is not None else None
+    parts = ["scaler_table", "centroids"]
+    for name, model in (("kmeans", bundle.kmeans_model), ("scaler", bundle.scaler_model)):
+        if model is not None:
+            model.write().overwrite().save(f"{vdir}/{name}")
+            parts.append(name)
+    scaler_table(spark, bundle).coalesce(1).write.parquet(f"{vdir}/scaler_table")
+    centroid_table(spark, bundle).coalesce(1).write.parquet(f"{vdir}/centroids")
+    publish_version(spark, base, version, {
+        "window": bundle.window, "order": bundle.order, "fit_ids": bundle.fit_ids,
+        "partitions": bundle.partitions, "parts": parts})
 
 
 def model_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a complete model is stored (a storage error is raised)."""
     base = path.rstrip("/")
-    meta = _read_pointer(spark, base)
-    if meta is None:
-        return False
-    return all(path_exists(spark, f"{base}/{meta['version']}/{p}") for p in _PARTS)
+    meta = current_version(spark, base)
+    return meta is not None and all(
+        path_exists(spark, f"{base}/{meta['version']}/{p}") for p in meta["parts"])
 
 
 def load_bundle(spark: SparkSession, path: str, window: str | None = None) -> ModelBundle:
     """Load the current saved model; ``window`` (if given) must equal the
     trained width, so a model is never applied to windows of another size."""
     base = path.rstrip("/")
-    meta = _read_pointer(spark, base)
+    meta = current_version(spark, base)
     if meta is None:
         raise FileNotFoundError(f"no model at {path}")
-    if window is not None and _norm(window) != _norm(meta["window"]):
+    if window is not None and seconds(window) != seconds(meta["window"]):
         raise ValueError(f"model trained on {meta['window']!r} windows, asked for {window!r}")
     vdir = f"{base}/{meta['version']}"
     b = bundle_from_tables(spark.read.parquet(f"{vdir}/scaler_table"),
                            spark.read.parquet(f"{vdir}/centroids"),
                            meta["window"], meta.get("order", "error_rate"))
     b.fit_ids = list(meta.get("fit_ids") or range(b.k))
-    b.kmeans_model = KMeansModel.load(f"{vdir}/kmeans")
-    b.scaler_model = StandardScalerModel.load(f"{vdir}/scaler")
+    b.partitions = meta["partitions"]
+    if "kmeans" in meta["parts"]:
+        b.kmeans_model = KMeansModel.load(f"{vdir}/kmeans")
+    if "scaler" in meta["parts"]:
+        b.scaler_model = StandardScalerModel.load(f"{vdir}/scaler")
     return b
 
 
-def _norm(window: str) -> str:
-    return " ".join(window.lower().split()).rstrip("s")
-
-
 def ensure_model(spark: SparkSession, path: str, logs_factory, window: str,
                  **train_kwargs) -> ModelBundle:
     """Train unless a complete model is stored at ``path``; then load it.

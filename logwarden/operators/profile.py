@@ -8,7 +8,7 @@ the others. The mean gap between consecutive logs of a service telescopes to
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
@@ -40,31 +40,30 @@ def service_level_mix(logs: DataFrame) -> DataFrame:
     )
 
 
-def _gap_columns(active_within: str):
+def _mean_gap():
     span_us = F.unix_micros(F.col("last_seen")) - F.unix_micros(F.col("first_seen"))
     mean_gap = F.when(F.col("timed_logs") > 1,
                       F.round(span_us / F.lit(1000.0) / (F.col("timed_logs") - 1), 3))
-    newest = F.max("last_seen").over(Window.partitionBy(F.lit(0)))
-    active = F.col("last_seen") >= newest - F.expr(f"INTERVAL {active_within}")
-    return mean_gap, active
+    return mean_gap
 
 
 def service_gaps(logs: DataFrame, active_within: str = "1 hour") -> DataFrame:
     """Mean gap between consecutive logs (ms), first/last seen, and ``active``
     = last log within ``active_within`` of the newest log overall.
 
-    The newest-overall value is a window over the per-service result (one row
-    per service), never over raw logs.
+    The newest time overall is a one-row aggregate used as a scalar subquery;
+    the per-service rows stay distributed.
     """
     ts = F.col("timestamp")
     agg = logs.groupBy("serviceName").agg(
         F.count(ts).alias("timed_logs"),
         F.min(ts).alias("first_seen"),
         F.max(ts).alias("last_seen"))
-    mean_gap, active = _gap_columns(active_within)
+    newest = logs.agg(F.max(ts)).scalar()
+    active = F.col("last_seen") >= newest - F.expr(f"INTERVAL {active_within}")
     return agg.select(
         "serviceName", F.col("timed_logs").alias("total_logs"), "first_seen", "last_seen",
-        mean_gap.alias("mean_gap_ms"),
+        _mean_gap().alias("mean_gap_ms"),
         active.alias("active"),
     )
 
@@ -87,8 +86,9 @@ def check_mix_rules(mix: DataFrame) -> DataFrame:
 
 def observed_mix(logs: DataFrame) -> DataFrame:
     """The mix each service actually produced, in configuration form (whole
-    percentages, mean gap as delay) -- ready for ``check_mix_rules``.
-    One aggregate over the logs, no join."""
+    percentages by largest remainder, so that the shares of all levels total
+    100; mean gap as delay) -- ready for ``check_mix_rules``. One aggregate over
+    the logs, no join."""
     lv, ts = F.col("level"), F.col("timestamp")
     agg = logs.groupBy("serviceName").agg(
         F.count(F.lit(1)).alias("total_logs"),
@@ -98,16 +98,28 @@ def observed_mix(logs: DataFrame) -> DataFrame:
         F.count(ts).alias("timed_logs"),
         F.min(ts).alias("first_seen"),
         F.max(ts).alias("last_seen"))
-    mean_gap, _ = _gap_columns("1 hour")
     t = F.col("total_logs")
-
-    def whole_pct(c):
-        return F.round(F.col(c) * F.lit(100) / t).cast("int")
-
+    counts = [F.col("info_count"), F.col("warn_count"), F.col("error_count"),
+              t - F.col("info_count") - F.col("warn_count") - F.col("error_count")]
+    info, warn, error, _ = largest_remainder(counts, t)
     return agg.select(
         "serviceName",
-        whole_pct("info_count").alias("info_rate"),
-        whole_pct("warn_count").alias("warn_rate"),
-        whole_pct("error_count").alias("error_rate"),
-        F.round(mean_gap).cast("int").alias("delay_ms"),
+        info.cast("int").alias("info_rate"),
+        warn.cast("int").alias("warn_rate"),
+        error.cast("int").alias("error_rate"),
+        F.round(_mean_gap()).cast("long").alias("delay_ms"),
     )
+
+
+def largest_remainder(counts: list[Column], total: Column) -> list[Column]:
+    """Whole percentages that total 100: each is rounded down, and what is
+    missing goes to the largest remainders (the earlier count on a tie)."""
+    whole = [F.floor(c * 100 / total) for c in counts]
+    rest = [(c * 100) % total for c in counts]
+    missing = F.lit(100) - sum(whole[1:], whole[0])
+    out = []
+    for i, r in enumerate(rest):
+        before = sum((F.when((o > r) | ((o == r) & F.lit(j < i)), 1).otherwise(0)
+                      for j, o in enumerate(rest) if j != i), F.lit(0))
+        out.append(whole[i] + F.when(before < missing, 1).otherwise(0))
+    return out

@@ -13,15 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from ..functions import error_marker, is_error, message_length
+from ..functions import error_marker, is_error, message_length, seconds
 from ..operators import alerts as A
-from ..operators.features import window_features
-from ..operators.model import scaler_table, train, train_scaler
+from ..operators.features import prepare_features, window_features
+from ..operators.model import (ensure_model, load_bundle, save_bundle, scaler_table, train,
+                               train_scaler)
 from ..operators.profile import (check_mix_rules, observed_mix, service_gaps,
                                  service_level_mix)
 from ..operators.scoring import predict, scaled_vector_columns, score
 from ..schemas import RECORD_SCHEMA, VECTOR_COLUMNS
-from ..session import pin_utc, scratch_path
+from ..session import move_path, pin_utc, scratch_path
 from ..sinks.alert_store import compact_alerts, insert_alerts, read_alerts
 from ..sinks.snapshot import read_snapshot, snapshot_logs
 from ..sinks.topic import alerts_to_records, decode_alert_records, publish_records
@@ -85,6 +86,11 @@ def malformed_split(spark, sf_dir):
 
 # ------------------------------------------------------------ features -----
 
+def window_features_5m(spark, sf_dir):
+    """The training-side feature table."""
+    return prepare_features(load_logs(spark, sf_dir), C.TRAINING_WINDOW)
+
+
 def window_features_15m(spark, sf_dir):
     return _features(spark, sf_dir, "15 minutes")
 
@@ -110,8 +116,15 @@ def scaler_stats(spark, sf_dir):
         _round6(F.col("std")).alias("std"))
 
 
+def _stored(spark, df: DataFrame, name: str) -> DataFrame:
+    """Rows that several steps use, made once."""
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def scaled_features(spark, sf_dir):
-    feats = _features(spark, sf_dir, FIXED_WINDOW)
+    feats = _stored(spark, _features(spark, sf_dir, FIXED_WINDOW), "features")
     z = scaled_vector_columns(feats, train_scaler(feats, FIXED_WINDOW))
     return z.select("window_start", "serviceName",
                     *[_round6(F.col("z_" + n)).alias("z_" + n) for n in VECTOR_COLUMNS])
@@ -125,7 +138,7 @@ def centroid_score(spark, sf_dir):
 
 def kmeans_profile(spark, sf_dir):
     """Fit k-means on the data, then size and mean rates per cluster."""
-    feats = _features(spark, sf_dir, FIXED_WINDOW)
+    feats = _stored(spark, _features(spark, sf_dir, FIXED_WINDOW), "features")
     bundle = train(feats, FIXED_WINDOW)
     return (predict(feats, bundle).groupBy("prediction")
             .agg(F.count(F.lit(1)).alias("size"),
@@ -134,6 +147,48 @@ def kmeans_profile(spark, sf_dir):
             .withColumnRenamed("prediction", "cluster"))
 
 
+def _squared_distance(center: list[float]):
+    """Squared distance of a row's z columns to a centre."""
+    terms = [(F.col("z_" + n) - F.lit(float(c))) * (F.col("z_" + n) - F.lit(float(c)))
+             for n, c in zip(VECTOR_COLUMNS, center)]
+    return sum(terms[1:], terms[0])
+
+
+def kmeans_check(spark, sf_dir):
+    """What any right fit must satisfy, in one row: all feature rows assigned,
+    k clusters, no row at another than its nearest centre, and a total cost not
+    above that of one cluster (the rows' mean, which scaling puts at zero). The
+    model is trained, saved, loaded and applied."""
+    feats = _stored(spark, _features(spark, sf_dir, FIXED_WINDOW), "features")
+    path = scratch_path(spark, "model")
+    save_bundle(spark, train(feats, FIXED_WINDOW), path)
+    bundle = load_bundle(spark, path, FIXED_WINDOW)
+    z = scaled_vector_columns(predict(feats, bundle), bundle)
+    distance = F.array(*[_squared_distance(c) for c in bundle.centers])
+    rows = z.withColumn("d", distance).select(
+        "prediction", F.array_min("d").alias("least"), F.get("d", F.col("prediction")).alias("own"),
+        _squared_distance([0.0] * len(VECTOR_COLUMNS)).alias("alone"))
+    return rows.agg(
+        F.count("prediction").alias("size_sum"),
+        F.count_distinct("prediction").alias("clusters"),
+        F.count_if(F.col("own") > F.col("least") + 1e-9).alias("not_nearest"),
+        (F.sum("own") <= F.sum("alone") + 1e-6).alias("cost_not_above_one_cluster"))
+
+
+def model_reuse_alerts(spark, sf_dir):
+    """The fixed model saved, found again instead of trained, loaded, and used
+    for scoring and alerts."""
+    path = scratch_path(spark, "model")
+    save_bundle(spark, fixed_bundle(), path)
+
+    def train_logs():
+        raise AssertionError("a stored model must be reused")
+
+    bundle = ensure_model(spark, path, train_logs, "360 minutes")
+    return _checked_alert_columns(A.alert_records(
+        score(_features(spark, sf_dir, bundle.window), bundle)))
+
+
 # -------------------------------------------------------------- alerts -----
 
 def _scored_fixed(spark, sf_dir):
@@ -167,7 +222,7 @@ def alert_records(spark, sf_dir):
 
 def _filled_store(spark, sf_dir) -> str:
     path = scratch_path(spark, "alert-store")
-    alerts = A.alert_records(_scored_fixed(spark, sf_dir))
+    alerts = _stored(spark, A.alert_records(_scored_fixed(spark, sf_dir)), "alerts")
     insert_alerts(spark, alerts, path)
     insert_alerts(spark, alerts, path)     # a resend adds nothing
     return path
@@ -188,10 +243,10 @@ def alert_store_compacted(spark, sf_dir):
     """Alerts stored by severity in two appends, then every date compacted;
     the store must still hold each alert exactly once."""
     path = scratch_path(spark, "alert-store")
-    alerts = A.alert_records(_scored_fixed(spark, sf_dir))
+    alerts = _stored(spark, A.alert_records(_scored_fixed(spark, sf_dir)), "alerts")
     for sev in (C.SEVERITY_HIGH, C.SEVERITY_MEDIUM):
         insert_alerts(spark, alerts.filter(F.col("severity") == sev), path)
-    compact_alerts(spark, path, "9999-12-31", files_per_date=2)
+    compact_alerts(spark, path, "9999-12-31")
     insert_alerts(spark, alerts, path)         # a resend after compaction adds nothing
     return _checked_alert_columns(read_alerts(spark, path))
 
@@ -261,6 +316,18 @@ def stream_alerts_append(spark, sf_dir):
 REPLAY_SLICES = 4
 
 
+def _arriving_slices(spark, logs: DataFrame, which, n: int):
+    """The log topic arriving in ``n`` slices (``which``: slice of a log): all
+    records are written in one pass, then one slice after the other is moved
+    into the topic folder. Yields (slice number, record stream) after each."""
+    staged, topic = scratch_path(spark, "logs-staged"), scratch_path(spark, "logs-topic-replay")
+    sliced = logs.withColumn("_slice", which.cast("int"))
+    encode_logs(sliced, keep=("_slice",)).write.partitionBy("_slice").parquet(staged)
+    for i in range(n):
+        move_path(spark, f"{staged}/_slice={i}", f"{topic}/slice{i}")
+        yield i, read_topic_stream(spark, path=f"{topic}/*", fmt="parquet", schema=RECORD_SCHEMA)
+
+
 def stream_topic_replay(spark, sf_dir):
     """The log topic arriving in time order, in REPLAY_SLICES slices.
 
@@ -274,18 +341,11 @@ def stream_topic_replay(spark, sf_dir):
     logs = load_logs(spark, sf_dir)
     micros = F.unix_micros(F.col("timestamp"))
     lo, hi = logs.agg(F.min(micros), F.max(micros)).first()
-    topic = scratch_path(spark, "logs-topic-replay")
+    step = ((hi - lo) // REPLAY_SLICES + 1) if lo is not None else 1
+    which = F.coalesce(F.floor((micros - F.lit(lo or 0)) / F.lit(step)), F.lit(0))
     out, ckpt = scratch_path(spark, "feat-changelog"), scratch_path(spark, "ckpt")
     folded = scratch_path(spark, "feat-folded")
-    step = ((hi - lo) // REPLAY_SLICES + 1) if lo is not None else 1
-    for i in range(REPLAY_SLICES):
-        cond = (micros >= F.lit(lo + i * step)) & (micros < F.lit(lo + (i + 1) * step)) \
-            if lo is not None else F.lit(i == 0)
-        if i == 0:
-            cond = cond | F.col("timestamp").isNull()
-        publish_records(encode_logs(logs.filter(cond)), path=f"{topic}/slice={i}")
-        records = read_topic_stream(spark, path=f"{topic}/*", fmt="parquet",
-                                    schema=RECORD_SCHEMA)
+    for i, records in _arriving_slices(spark, logs, which, REPLAY_SLICES):
         feats = stream_features(decode_logs(records), FIXED_WINDOW)
         run_until_idle(start_feature_changelog(feats, out, ckpt, {"availableNow": True},
                                                state_partitions=_state_parts(spark)))
@@ -294,6 +354,42 @@ def stream_topic_replay(spark, sf_dir):
     return current_features(spark, out, folded)
 
 
+LATE_EVERY = 10
+
+
+def stream_late_rows(spark, sf_dir):
+    """Every LATE_EVERY-th event arrives after all others: it only counts where
+    the watermark (newest time of the others minus the width) has not closed
+    its window."""
+    pin_utc(spark)
+    logs = load_logs(spark, sf_dir)
+    number = F.regexp_replace("relatedObjectId", "^EVT-", "").cast("long")
+    out, ckpt = scratch_path(spark, "feat-changelog"), scratch_path(spark, "ckpt")
+    late = F.when(number % LATE_EVERY == 0, 1).otherwise(0)
+    for _, records in _arriving_slices(spark, logs, late, 2):
+        feats = stream_features(decode_logs(records), FIXED_WINDOW)
+        run_until_idle(start_feature_changelog(feats, out, ckpt, {"availableNow": True},
+                                               state_partitions=_state_parts(spark)))
+    return latest_features(spark, out)
+
+
+def stream_alerts_replay(spark, sf_dir):
+    """Detection over REPLAY_SLICES time slices of every window: first the
+    first quarter of all windows arrives, then the second, and so on, so each
+    window is emitted again with other counts. The store must hold the last
+    gated value of each alert."""
+    pin_utc(spark)
+    logs = load_logs(spark, sf_dir)
+    width = seconds(FIXED_WINDOW) * 1_000_000
+    quarter = F.floor(F.pmod(F.unix_micros("timestamp"), F.lit(width)) / F.lit(width // REPLAY_SLICES))
+    store, ckpt = scratch_path(spark, "alert-store"), scratch_path(spark, "ckpt")
+    for _, records in _arriving_slices(spark, logs, F.coalesce(quarter, F.lit(0)), REPLAY_SLICES):
+        run_until_idle(start_detection(decode_logs(records), fixed_bundle(), store, ckpt,
+                                       {"availableNow": True}, watermark="36500 days",
+                                       state_partitions=_state_parts(spark)))
+    return _checked_alert_columns(read_alerts(spark, store))
+
+
 # --------------------------------------------------------------- sinks -----
 
 def training_snapshot(spark, sf_dir):
@@ -321,6 +417,7 @@ QUERIES: dict[str, Query] = {
     "log_level_flags": log_level_flags,
     "log_record_roundtrip": log_record_roundtrip,
     "malformed_split": malformed_split,
+    "window_features_5m": window_features_5m,
     "window_features_15m": window_features_15m,
     "window_features_6h": window_features_6h,
     "window_features_1d": window_features_1d,
@@ -328,6 +425,8 @@ QUERIES: dict[str, Query] = {
     "scaled_features": scaled_features,
     "centroid_score": centroid_score,
     "kmeans_profile": kmeans_profile,
+    "kmeans_check": kmeans_check,
+    "model_reuse_alerts": model_reuse_alerts,
     "alerts_medium": alerts_medium,
     "alerts_high": alerts_high,
     "alert_records": alert_records,
@@ -340,6 +439,8 @@ QUERIES: dict[str, Query] = {
     "stream_alerts": stream_alerts,
     "stream_alerts_append": stream_alerts_append,
     "stream_topic_replay": stream_topic_replay,
+    "stream_late_rows": stream_late_rows,
+    "stream_alerts_replay": stream_alerts_replay,
     "training_snapshot": training_snapshot,
     "service_level_mix": service_level_mix_q,
     "service_gaps": service_gaps_q,

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from .. import constants as C
 from ..schemas import VECTOR_COLUMNS
-from .catalog import JUNK_EVERY, NULL_EVERY
+from .catalog import JUNK_EVERY, LATE_EVERY, NULL_EVERY, REPLAY_SLICES
 from .fixed_model import FIXED_CENTERS, FIXED_MEANS, FIXED_STDS, FIXED_WINDOW
 
 _SERVICES = C.SERVICE_NAMES
@@ -30,7 +30,7 @@ def _rate(err: str, total: str) -> str:
     return f"CAST(round(CAST({err} * 100 / {total} AS DECIMAL(38, 10)), 2) AS DOUBLE)"
 
 
-def features(window: str) -> str:
+def features(window: str, logs: str = LOGS) -> str:
     return f"""
 SELECT window_start, window_start + INTERVAL '{window}' AS window_end, serviceName,
        total_logs, error_count, avg_message_length,
@@ -41,7 +41,7 @@ FROM (
          count(*) AS total_logs,
          count(CASE WHEN level = 'ERROR' THEN 1 END) AS error_count,
          avg(length(message)) AS avg_message_length
-  FROM ({LOGS}) logs
+  FROM ({logs}) logs
   WHERE "timestamp" IS NOT NULL
   GROUP BY 1, 2
 ) g
@@ -64,7 +64,7 @@ def _z_exprs(means, stds, src: str = "") -> list[str]:
     return out
 
 
-def _scored_fixed() -> str:
+def _scored_fixed(logs: str = LOGS) -> str:
     zs = _z_exprs(FIXED_MEANS, FIXED_STDS)
     dists = []
     for c in FIXED_CENTERS:
@@ -82,7 +82,7 @@ def _scored_fixed() -> str:
 SELECT *, {case} AS prediction
 FROM (SELECT *,
        {d_cols}
-      FROM ({features(FIXED_WINDOW)}) f) s
+      FROM ({features(FIXED_WINDOW, logs)}) f) s
 """
 
 
@@ -96,12 +96,12 @@ def _high(src: str = "") -> str:
             f" AND {src}total_logs > {C.MIN_TOTAL_LOGS})")
 
 
-def _alerts_fixed() -> str:
+def _alerts_fixed(logs: str = LOGS) -> str:
     sev = (f"CASE WHEN {_high()} THEN '{C.SEVERITY_HIGH}' "
            f"WHEN {_medium()} THEN '{C.SEVERITY_MEDIUM}' END")
     key = ("CAST(epoch_us(window_start) AS VARCHAR) || '|' || "
            "CAST(epoch_us(window_end) AS VARCHAR) || '|' || "
-           "coalesce(serviceName, '') || '|' || severity")
+           "CASE WHEN serviceName IS NULL THEN '' ELSE '=' || serviceName END || '|' || severity")
     return f"""
 SELECT CAST(('0x' || substr(sha256({key}), 1, 15)) AS BIGINT) AS id,
        '{C.ALERT_TYPE}' AS type,
@@ -111,7 +111,7 @@ SELECT CAST(('0x' || substr(sha256({key}), 1, 15)) AS BIGINT) AS id,
        serviceName AS meta_service_name,
        error_rate AS meta_error_rate,
        window_start, window_end
-FROM (SELECT *, {sev} AS severity FROM ({_scored_fixed()}) s) a
+FROM (SELECT *, {sev} AS severity FROM ({_scored_fixed(logs)}) s) a
 WHERE severity IS NOT NULL
 """
 
@@ -168,18 +168,29 @@ def _mean_gap() -> str:
             " / 1000.0 / (timed_logs - 1) AS DECIMAL(38, 10)), 3) AS DOUBLE) END")
 
 
-def _whole_pct(c: str) -> str:
-    return f"CAST(round(CAST({c} * 100 / total_logs AS DECIMAL(38, 10)), 0) AS INTEGER)"
-
-
 def _observed_mix() -> str:
+    """Largest remainder, by ranking the remainders of each service."""
     return f"""
-SELECT serviceName,
-       {_whole_pct('info_count')} AS info_rate,
-       {_whole_pct('warn_count')} AS warn_rate,
-       {_whole_pct('error_count')} AS error_rate,
-       CAST(round(CAST({_mean_gap()} AS DECIMAL(38, 10)), 0) AS INTEGER) AS delay_ms
-FROM ({_level_counts()}) c
+SELECT m.serviceName,
+       CAST(sum(share) FILTER (WHERE place = 1) AS INTEGER) AS info_rate,
+       CAST(sum(share) FILTER (WHERE place = 2) AS INTEGER) AS warn_rate,
+       CAST(sum(share) FILTER (WHERE place = 3) AS INTEGER) AS error_rate,
+       any_value(delay_ms) AS delay_ms
+FROM (
+  SELECT serviceName, place, delay_ms,
+         whole + CASE WHEN row_number() OVER (PARTITION BY serviceName ORDER BY rest DESC, place)
+                           <= 100 - sum(whole) OVER (PARTITION BY serviceName)
+                      THEN 1 ELSE 0 END AS share
+  FROM (
+    SELECT serviceName, place, delay_ms, (n * 100) // total_logs AS whole, (n * 100) % total_logs AS rest
+    FROM (
+      SELECT serviceName, total_logs,
+             CAST(round(CAST({_mean_gap()} AS DECIMAL(38, 10)), 0) AS BIGINT) AS delay_ms,
+             unnest([1, 2, 3, 4]) AS place,
+             unnest([info_count, warn_count, error_count,
+                     total_logs - info_count - warn_count - error_count]) AS n
+      FROM ({_level_counts()}) c) u) w) m
+GROUP BY m.serviceName
 """
 
 
@@ -251,6 +262,45 @@ FROM ({_level_counts()}) c
 """
 
 
+def _late_rows() -> str:
+    """Features over the rows of the first arrival and those late rows whose
+    window the watermark has not closed."""
+    late = f"CAST(substr(relatedObjectId, 5) AS BIGINT) % {LATE_EVERY} = 0"
+    start = f"time_bucket(INTERVAL '{FIXED_WINDOW}', \"timestamp\", TIMESTAMP '1970-01-01')"
+    newest = f"(SELECT max(\"timestamp\") FROM ({LOGS}) o WHERE NOT ({late}))"
+    logs = f"""
+SELECT * FROM ({LOGS}) l
+WHERE NOT ({late})
+   OR {start} + INTERVAL '{FIXED_WINDOW}'
+      > date_trunc('millisecond', {newest}) - INTERVAL '{FIXED_WINDOW}'"""
+    return features(FIXED_WINDOW, logs)
+
+
+def _alerts_replay() -> str:
+    """The last gated value of each alert over the cumulative slices."""
+    width = f"epoch_us(TIMESTAMP '1970-01-01' + INTERVAL '{FIXED_WINDOW}')"
+    place = f"(epoch_us(\"timestamp\") % {width}) // ({width} // {REPLAY_SLICES})"
+    parts = [f"SELECT {i} AS slice, a.* FROM ({_alerts_fixed(_until(place, i))}) a"
+             for i in range(REPLAY_SLICES)]
+    return f"""
+SELECT {_ALERT_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY window_start, window_end, meta_service_name, severity
+                               ORDER BY slice DESC) AS nth
+  FROM ({' UNION ALL '.join(parts)}) p) q
+WHERE nth = 1"""
+
+
+def _until(place: str, last: int) -> str:
+    return f"SELECT * FROM ({LOGS}) l WHERE {place} <= {last}"
+
+
+def _kmeans_check() -> str:
+    return f"""
+SELECT count(*) AS size_sum, CAST({C.KMEANS_K} AS BIGINT) AS clusters, CAST(0 AS BIGINT) AS not_nearest,
+       true AS cost_not_above_one_cluster
+FROM ({features(FIXED_WINDOW)}) f"""
+
+
 def oracle_sql() -> dict[str, str]:
     alerts = _alerts_fixed()
     return {
@@ -262,6 +312,7 @@ SELECT relatedObjectId, level, level = 'ERROR' AS is_error,
 FROM ({LOGS}) logs""",
         "log_record_roundtrip": _roundtrip(),
         "malformed_split": _malformed(),
+        "window_features_5m": features(C.TRAINING_WINDOW),
         "window_features_15m": features("15 minutes"),
         "window_features_6h": features("6 hours"),
         "window_features_1d": features("1 day"),
@@ -277,6 +328,8 @@ FROM ({_scored_fixed()}) s WHERE {_medium()}""",
 SELECT window_start, serviceName, total_logs, error_rate, prediction
 FROM ({_scored_fixed()}) s WHERE {_high()}""",
         "alert_records": alerts,
+        "kmeans_check": _kmeans_check(),
+        "model_reuse_alerts": alerts,
         "alert_listing": f"""
 SELECT id, strftime(window_start, '%d.%m.%Y %H:%M:%S') AS time, type, severity, source,
        description
@@ -295,6 +348,8 @@ FROM ({alerts}) a""",
 SELECT * FROM ({alerts}) a
 WHERE window_end <= (SELECT max(CAST(ts AS TIMESTAMP)) FROM events) - INTERVAL '{FIXED_WINDOW}'""",
         "stream_topic_replay": features(FIXED_WINDOW),
+        "stream_late_rows": _late_rows(),
+        "stream_alerts_replay": _alerts_replay(),
         "training_snapshot": LOGS,
         "service_level_mix": _level_mix(),
         "service_gaps": _gaps(),

@@ -1,9 +1,9 @@
-"""Alert report: the severity counts and the alert listing of a store.
+"""Alert report: the severity counts and the full alert listing of a store.
 
-    python -m logwarden.report --store /shared/alerts [--rows 50]
+    python -m logwarden.report --store /shared/alerts [--out /shared/listing]
 
-Counts are one distributed aggregate over the whole store; the listing shows
-the first ``--rows`` alerts in store order (a page, as on the alert page).
+Counts are one distributed aggregate over the whole store. The listing holds
+every alert; executors write it to ``--out`` as CSV files.
 """
 
 from __future__ import annotations
@@ -17,26 +17,22 @@ from .session import build_session
 from .sinks.alert_store import read_alerts
 
 
-def report(spark: SparkSession, store: str, rows: int = 50) -> dict:
+def report(spark: SparkSession, store: str, out: str | None = None) -> dict:
+    """Severity counts; with ``out`` the listing is written there too."""
     alerts = read_alerts(spark, store)
-    counts = severity_counts(alerts).first().asDict()
-    page = [r.asDict() for r in alert_listing(alerts).limit(rows).collect()]
-    return {"counts": counts, "alerts": page}
+    if out is not None:
+        alert_listing(alerts).write.mode("overwrite").option("header", "true").csv(out)
+    return severity_counts(alerts).first().asDict()
 
 
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(description=__doc__.split("\n")[0])
     p.add_argument("--store", required=True)
-    p.add_argument("--rows", type=int, default=50)
+    p.add_argument("--out", help="folder for the full listing (CSV)")
     p.add_argument("--master")
     a = p.parse_args(argv)
-    spark = build_session(a.master)
-    r = report(spark, a.store, a.rows)
-    c = r["counts"]
+    c = report(build_session(a.master), a.store, a.out)
     print(f"HIGH {c['high_count']}  MEDIUM {c['medium_count']}  LOW {c['low_count']}")
-    for row in r["alerts"]:
-        print(f"{row['id']}  {row['time']}  {row['type']}  {row['severity']:<6}  "
-              f"{row['source']}  {row['description']}")
 
 
 if __name__ == "__main__":

@@ -95,6 +95,6 @@ MIX_SCHEMA = T.StructType(
         T.StructField("info_rate", T.IntegerType(), True),
         T.StructField("warn_rate", T.IntegerType(), True),
         T.StructField("error_rate", T.IntegerType(), True),
-        T.StructField("delay_ms", T.IntegerType(), True),
+        T.StructField("delay_ms", T.LongType(), True),
     ]
 )

@@ -8,7 +8,8 @@ is a private folder created and registered.
 
 from __future__ import annotations
 
-import os
+import json
+import re
 import tempfile
 import uuid
 
@@ -84,25 +85,101 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        d = _PRIVATE_DIRS.setdefault(sc.applicationId,
-                                     tempfile.mkdtemp(prefix="logwarden-ckpt-"))
+        if sc.applicationId not in _PRIVATE_DIRS:
+            _PRIVATE_DIRS[sc.applicationId] = tempfile.mkdtemp(prefix="logwarden-ckpt-")
+        d = _PRIVATE_DIRS[sc.applicationId]
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d
 
 
+_SCRATCH: dict[str, list[str]] = {}
+
+
+def _session_key(spark: SparkSession) -> str:
+    return spark.conf.get("spark.app.id", "") or "session"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder name below the shared folder."""
+    """A fresh, unique folder name below the shared folder; ``clear_scratch``
+    removes what a session has made."""
     base = shared_dir(spark).rstrip("/")
-    return f"{base}/logwarden/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/logwarden/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.setdefault(_session_key(spark), []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete every scratch folder this session has made; returns their number.
+    Frames that still read from them must not be used afterwards."""
+    paths = _SCRATCH.pop(_session_key(spark), [])
+    for p in paths:
+        delete_path(spark, p)
+    return len(paths)
+
+
+def _file_system(spark: SparkSession, path: str):
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence test through Hadoop's file system (works for any scheme)."""
-    try:
-        jvm = spark.sparkContext._jvm
-        jpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return bool(fs.exists(jpath))
-    except Exception:  # pragma: no cover - fall back for plain local paths
-        return os.path.exists(path)
+    """Existence test through Hadoop's file system (any scheme). Only "not
+    found" is False: a storage, permission or class-path error is raised."""
+    fs, jpath = _file_system(spark, path)
+    return bool(fs.exists(jpath))
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of a folder's entries, sorted; none for a missing folder."""
+    fs, jpath = _file_system(spark, path)
+    if not fs.exists(jpath):
+        return []
+    return sorted(e.getPath().getName() for e in fs.listStatus(jpath))
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder if it is there."""
+    fs, jpath = _file_system(spark, path)
+    fs.delete(jpath, True)
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder (nothing to do for a missing one)."""
+    fs, jsource = _file_system(spark, source)
+    if fs.exists(jsource):
+        _, jtarget = _file_system(spark, target)
+        fs.mkdirs(jtarget.getParent())
+        if not fs.rename(jsource, jtarget):
+            raise OSError(f"cannot move {source} to {target}")
+
+
+# ------------------------------------------------------------ versions -----
+# A versioned folder holds ``v-<number>-<id>`` folders. A version counts once
+# its ``meta`` part is complete (Spark's _SUCCESS file is created last), and
+# the newest complete version is the current one: nothing is overwritten, so a
+# reader always finds a whole version.
+
+def versions(spark: SparkSession, base: str) -> list[str]:
+    """Version folders, oldest first (complete or not)."""
+    return [n for n in child_names(spark, base) if re.match(r"v-\d+-", n)]
+
+
+def new_version(spark: SparkSession, base: str) -> str:
+    """Name for the next version of ``base``."""
+    last = max((int(n.split("-")[1]) for n in versions(spark, base)), default=0)
+    return f"v-{last + 1:09d}-{uuid.uuid4().hex[:8]}"
+
+
+def publish_version(spark: SparkSession, base: str, version: str, meta: dict) -> None:
+    """Make a written version current."""
+    row = json.dumps(dict(meta, version=version))
+    spark.createDataFrame([(row,)], "meta string").coalesce(1).write.text(f"{base}/{version}/meta")
+
+
+def current_version(spark: SparkSession, base: str) -> dict | None:
+    """Meta of the newest complete version (None without one)."""
+    for name in reversed(versions(spark, base)):
+        if path_exists(spark, f"{base}/{name}/meta/_SUCCESS"):
+            return json.loads(spark.read.text(f"{base}/{name}/meta").first()[0])
+    return None

@@ -1,125 +1,169 @@
-"""Alert store: idempotent append, full read and compaction.
-
-The store is a parquet table partitioned by the date of the alert window.
-An insert removes alerts whose id is already stored (left-anti join), reading
-only the date partitions the new alerts fall in, so re-sending a window -- by
-update-mode re-emission or by a retried micro-batch -- never adds a row, and
-the cost of the check does not grow with the age of the store.
+"""Alert store: versioned append, read of the last value, compaction.
+
+The store is a parquet table partitioned by the UTC date of the alert window.
+An alert is named by its window, service and severity. An insert appends a new
+version of an alert whose values changed and nothing for one that did not, so
+a resend or a retried micro-batch adds no row, while a window that is emitted
+again with another rate takes the place of the earlier value. Reading keeps
+the highest version of each alert. Rows are never updated in place, which
+makes compaction simple: it adds one file set with the live rows of the files
+it has seen and then removes exactly those files.
 """
 
 from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from ..schemas import ALERT_COLUMNS, ALERT_SCHEMA
-from ..session import path_exists, shared_dir
+from ..session import delete_path, path_exists
 
 PARTITION_COLUMN = "window_date"
+VERSION_COLUMN = "version"
+ROWS_PER_FILE = 1_000_000
+
+STORE_SCHEMA = T.StructType(list(ALERT_SCHEMA.fields)
+                            + [T.StructField(VERSION_COLUMN, T.LongType(), True),
+                               T.StructField(PARTITION_COLUMN, T.DateType(), True)])
 
 
-def window_date(ts_col: str = "window_start"):
+def window_date(ts_col: str = "window_start") -> Column:
     """UTC calendar day of a window start, independent of the session time
     zone (a zone-dependent day would let two jobs file one alert under two
-    dates, and the id check per date would then miss it)."""
+    dates, and the check per date would then miss it)."""
     return F.date_from_unix_date(F.floor(F.unix_seconds(F.col(ts_col)) / 86400).cast("int"))
-STORE_SCHEMA = T.StructType(list(ALERT_SCHEMA.fields)
-                            + [T.StructField(PARTITION_COLUMN, T.DateType(), True)])
+
+
+def _name(prefix: str = "") -> list[Column]:
+    """The columns that name an alert, as plain comparable values (a null
+    service differs from an empty one)."""
+    c = lambda n: F.col(f"{prefix}{n}")
+    service = c("metadata")["serviceName"]
+    return [F.unix_micros(c("window_start")), F.unix_micros(c("window_end")),
+            service.isNull(), F.coalesce(service, F.lit("")), c("severity")]
+
+
+_NAME = [f"_k{i}" for i in range(5)]
+
+
+def _named(rows: DataFrame) -> DataFrame:
+    return rows.withColumns(dict(zip(_NAME, _name())))
 
 
 def empty_alerts(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], ALERT_SCHEMA)
 
 
+def _rows(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(STORE_SCHEMA).parquet(path)
+
+
+def _last(rows: DataFrame) -> DataFrame:
+    """The highest version of each alert (the later insert on a tie)."""
+    columns = [c for c in rows.columns if c not in (*_NAME, PARTITION_COLUMN)]
+    best = F.max_by(F.struct(*columns), F.struct(VERSION_COLUMN, "timestamp", "id"))
+    return (_named(rows).groupBy(PARTITION_COLUMN, *_NAME).agg(best.alias("a"))
+            .select("a.*", PARTITION_COLUMN))
+
+
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:
-    """Every stored alert (ALERT_SCHEMA). A store that does not exist or
-    cannot be read yields an empty table, as the original reader returned
-    an empty list on failure."""
+    """Every stored alert (ALERT_SCHEMA) with its last value. A store that does
+    not exist yields an empty table; any other read error is raised."""
     if not path_exists(spark, path):
         return empty_alerts(spark)
-    try:
-        return spark.read.schema(STORE_SCHEMA).parquet(path).select(*ALERT_COLUMNS)
-    except AnalysisException:
-        return empty_alerts(spark)
-
-
-ROWS_PER_FILE = 1_000_000
+    return _last(_rows(spark, path)).select(*ALERT_COLUMNS)
 
 
 def insert_alerts(spark: SparkSession, alerts: DataFrame, path: str,
-                  publish: Callable[[DataFrame], None] | None = None) -> None:
-    """Append alerts whose id is not yet stored.
-
-    New alerts are de-duplicated by id (hash-partitioned by id, so no single
-    date -- say an incident day in a backfill -- lands in one task) and
-    persisted (at most one row per window, service and severity). One small
-    aggregate over them (date range and row count, one row to the driver)
-    prunes the store scan to the partitions that can hold the same ids and
-    sizes the write: ``tasks = min(shuffle partitions, days x salts)`` with
-    ``salts = ceil(rows / ROWS_PER_FILE)``, rows placed by (date, id-hash
-    salt). A micro-batch touching one day writes one file in one task; a
-    backfill over years writes in parallel; a day with millions of alerts is
-    split over several files. The count is explicit, so it behaves the same
-    with AQE (batch jobs) and without it (inside a stream).
-
-    ``publish`` (optional) receives the new alerts before they are stored, so
-    a failure between the two steps re-publishes on retry (at least once on
-    the topic) but never stores twice.
+                  publish: Callable[[DataFrame], None] | None = None,
+                  unique: bool = False) -> None:
+    """Store new alerts and new values of stored ones.
+
+    ``unique`` says that ``alerts`` has one row per alert (as a micro-batch of
+    the feature stream has); otherwise one is chosen. The dates of the rows
+    prune the read of the store. The rows to store are persisted once: they are
+    counted per date, published (optional) and written.
+
+    ``publish`` receives the rows before they are stored, so a failure between
+    the two steps re-publishes on retry (at least once on the topic) but never
+    stores twice.
     """
-    fresh = (alerts.select(*ALERT_COLUMNS)
-             .withColumn(PARTITION_COLUMN, window_date())
-             .dropDuplicates(["id"])
-             .persist())
+    fresh = _named(alerts.select(*ALERT_COLUMNS).withColumn(PARTITION_COLUMN, window_date()))
+    if not unique:
+        fresh = fresh.dropDuplicates(_NAME)
+    fresh = fresh.persist()
     try:
-        lo, hi, rows = fresh.agg(F.min(PARTITION_COLUMN), F.max(PARTITION_COLUMN),
-                                 F.count(F.lit(1))).first()
+        lo, hi = fresh.agg(F.min(PARTITION_COLUMN), F.max(PARTITION_COLUMN)).first()
         if lo is None:
             return
-        new = fresh
         if path_exists(spark, path):
-            stored = (spark.read.schema(STORE_SCHEMA).parquet(path)
-                      .filter(F.col(PARTITION_COLUMN).between(F.lit(lo), F.lit(hi)))
-                      .select(PARTITION_COLUMN, "id"))
-            new = fresh.join(stored, [PARTITION_COLUMN, "id"], "left_anti")
-        salts = max(1, -(-rows // ROWS_PER_FILE))
-        cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        tasks = max(1, min(cap, ((hi - lo).days + 1) * salts))
-        salt = F.pmod(F.xxhash64("id"), F.lit(salts))
-        out = new.repartition(tasks, PARTITION_COLUMN, salt)
-        if publish is not None:
-            # the same sized layout feeds the topic and the store
-            out = out.persist()
-            publish(out.select(*ALERT_COLUMNS))
+            stored = _named(_last(_rows(spark, path).filter(
+                F.col(PARTITION_COLUMN).between(F.lit(lo), F.lit(hi))))).select(
+                    PARTITION_COLUMN, *_NAME, F.col(VERSION_COLUMN).alias("_seen"),
+                    F.col("metadata.errorRate").alias("_rate"), F.col("description").alias("_text"))
+            met = fresh.join(stored, [PARTITION_COLUMN, *_NAME], "left")
+            same = F.col("_seen").isNotNull() & F.col("metadata.errorRate").eqNullSafe(
+                F.col("_rate")) & F.col("description").eqNullSafe(F.col("_text"))
+            new = met.filter(~same).withColumn(VERSION_COLUMN, F.coalesce(F.col("_seen") + 1, F.lit(0)))
+        else:
+            new = fresh.withColumn(VERSION_COLUMN, F.lit(0).cast("long"))
+        new = new.select(*ALERT_COLUMNS, VERSION_COLUMN, PARTITION_COLUMN).persist()
         try:
+            out = sized_by_date(new)
+            if out is None:
+                return
+            if publish is not None:
+                publish(out.select(*ALERT_COLUMNS))
             out.write.mode("append").partitionBy(PARTITION_COLUMN).parquet(path)
         finally:
-            if publish is not None:
-                out.unpersist()
+            new.unpersist()
     finally:
         fresh.unpersist()
 
 
-def compact_alerts(spark: SparkSession, path: str, before, files_per_date: int = 4) -> None:
-    """Rewrite the date partitions older than ``before`` into at most
-    ``files_per_date`` files each (a stream leaves one small file per touched
-    date and micro-batch).
-
-    Only closed dates are touched, so a running stream appending to recent
-    dates is not disturbed. The rows are first checkpointed into the shared
-    checkpoint folder, which cuts the lineage: the overwrite then reads the
-    checkpoint, never the files it replaces. Each date is spread over
-    ``files_per_date`` tasks by a hash of the id, so no date lands in one task.
+def sized_by_date(rows: DataFrame, rows_per_file: int | None = None) -> DataFrame | None:
+    """Rows laid out for a write by date: each date goes to as many tasks as
+    its own row count asks for (one file for a quiet day, many for an incident
+    day), counted explicitly so that it also holds inside a stream, where the
+    plan is not adapted at run time. None without rows."""
+    per_file = rows_per_file or ROWS_PER_FILE
+    counts = rows.groupBy(PARTITION_COLUMN).agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(per_file)).cast("int").alias("_files"))
+    tasks = counts.agg(F.sum("_files")).first()[0]
+    if tasks is None:
+        return None
+    salt = F.pmod(F.xxhash64("id", "window_start"), F.col("_files"))
+    return rows.join(counts, PARTITION_COLUMN).repartition(
+        int(tasks), PARTITION_COLUMN, salt).drop("_files")
+
+
+def compact_alerts(spark: SparkSession, path: str, before,
+                   rows_per_file: int | None = None) -> None:
+    """Rewrite the dates older than ``before`` into files of about
+    ``rows_per_file`` rows, holding the last value of each alert.
+
+    The live rows of the files found now are appended as new files; only then
+    are exactly those files deleted. An insert that runs meanwhile writes other
+    files and keeps its rows; a crash before the deletion leaves each row twice
+    under one version, which reading resolves and the next compaction removes.
     """
     if not path_exists(spark, path):
         return
-    shared_dir(spark)                                   # checkpoint folder set
-    old = (spark.read.schema(STORE_SCHEMA).parquet(path)
-           .filter(F.col(PARTITION_COLUMN) < F.lit(before).cast("date")))
-    salt = F.pmod(F.xxhash64("id"), F.lit(files_per_date))
-    frozen = old.repartition(PARTITION_COLUMN, salt).checkpoint(eager=True)
-    (frozen.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(PARTITION_COLUMN).parquet(path))
+    old = _rows(spark, path).filter(F.col(PARTITION_COLUMN) < F.lit(before).cast("date"))
+    files = [r[0] for r in old.select(F.input_file_name()).distinct().collect()]
+    if not files:
+        return
+    seen = spark.read.schema(STORE_SCHEMA).option("basePath", path).parquet(*files)
+    live = _last(seen).persist()
+    try:
+        out = sized_by_date(live, rows_per_file)
+        if out is not None:
+            out.select(*ALERT_COLUMNS, VERSION_COLUMN, PARTITION_COLUMN).write.mode("append") \
+                .partitionBy(PARTITION_COLUMN).parquet(path)
+    finally:
+        live.unpersist()
+    for f in files:
+        delete_path(spark, f)

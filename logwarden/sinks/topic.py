@@ -14,14 +14,11 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..schemas import ALERT_COLUMNS, ALERT_SCHEMA
 
-WIRE_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS"
-
-
 def alerts_to_records(alerts: DataFrame, topic: str = C.ALERTS_TOPIC) -> DataFrame:
     """key = alert id (text), value = the alert as JSON (metadata nested, the
     error rate kept as a JSON number)."""
     value = F.to_json(F.struct(*[F.col(c) for c in ALERT_COLUMNS]),
-                      {"timestampFormat": WIRE_TIME_FORMAT})
+                      {"timestampFormat": C.WIRE_TIME_FORMAT})
     return alerts.select(
         F.col("id").cast("string").cast("binary").alias("key"),
         value.cast("binary").alias("value"),
@@ -32,7 +29,7 @@ def alerts_to_records(alerts: DataFrame, topic: str = C.ALERTS_TOPIC) -> DataFra
 def decode_alert_records(records: DataFrame) -> DataFrame:
     """Topic records back to ALERT_SCHEMA columns (plus the text key)."""
     parsed = F.from_json(F.col("value").cast("string"), ALERT_SCHEMA,
-                         {"timestampFormat": WIRE_TIME_FORMAT})
+                         {"timestampFormat": C.WIRE_TIME_FORMAT})
     return records.select(F.col("key").cast("string").alias("key"),
                           parsed.alias("a")).select("key", "a.*")
 

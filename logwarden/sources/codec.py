@@ -22,10 +22,9 @@ from pyspark.sql import types as T
 from .. import constants as C
 from ..schemas import LOG_COLUMNS, LOG_SCHEMA
 
-WIRE_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 CORRUPT_COLUMN = "_corrupt_record"
 
-_OPTIONS = {"mode": "PERMISSIVE", "timestampFormat": WIRE_TIME_FORMAT}
+_OPTIONS = {"mode": "PERMISSIVE", "timestampFormat": C.WIRE_TIME_FORMAT}
 _CHECKED_OPTIONS = dict(_OPTIONS, columnNameOfCorruptRecord=CORRUPT_COLUMN)
 _CHECKED_SCHEMA = T.StructType(list(LOG_SCHEMA.fields)
                                + [T.StructField(CORRUPT_COLUMN, T.StringType(), True)])
@@ -37,12 +36,15 @@ def value_text(value: str | Column = "value") -> Column:
     return v.cast("string")
 
 
-def parse_log(json_text: Column, keep_corrupt: bool = False) -> Column:
-    """Struct of the log fields from JSON; with ``keep_corrupt`` also the raw
-    text of records that did not parse cleanly."""
+def parse_log(json_text: Column, keep_corrupt: bool = False,
+              fields: tuple[str, ...] | None = None) -> Column:
+    """Struct of the log fields from JSON (only ``fields`` if given); with
+    ``keep_corrupt`` also the raw text of records that did not parse cleanly."""
     if keep_corrupt:
         return F.from_json(json_text, _CHECKED_SCHEMA, _CHECKED_OPTIONS)
-    return F.from_json(json_text, LOG_SCHEMA, _OPTIONS)
+    schema = LOG_SCHEMA if fields is None else T.StructType(
+        [f for f in LOG_SCHEMA.fields if f.name in fields])
+    return F.from_json(json_text, schema, _OPTIONS)
 
 
 def _flatten_once(struct: Column) -> Column:
@@ -50,10 +52,13 @@ def _flatten_once(struct: Column) -> Column:
 
 
 def decode_logs(records: DataFrame, value: str = "value",
-                keep: tuple[str, ...] = ()) -> DataFrame:
+                keep: tuple[str, ...] = (),
+                fields: tuple[str, ...] | None = None) -> DataFrame:
     """``CAST(value AS STRING)`` -> ``from_json`` -> the log columns (``keep``
-    names source columns to carry along, e.g. the key)."""
-    return records.select(*keep, _flatten_once(parse_log(value_text(value))))
+    names source columns to carry along, e.g. the key). ``fields`` limits the
+    JSON fields that are parsed: the optimizer cannot prune them through the
+    generator, so a plan that needs few of them says so."""
+    return records.select(*keep, _flatten_once(parse_log(value_text(value), fields=fields)))
 
 
 def classify_records(records: DataFrame, value: str = "value",
@@ -87,13 +92,15 @@ def split_malformed(records: DataFrame, value: str = "value") -> tuple[DataFrame
     return good, bad
 
 
-def encode_logs(logs: DataFrame, topic: str | None = C.LOGS_TOPIC) -> DataFrame:
+def encode_logs(logs: DataFrame, topic: str | None = C.LOGS_TOPIC,
+                keep: tuple[str, ...] = ()) -> DataFrame:
     """Log rows -> topic records: key = relatedObjectId, value = JSON with a
-    millisecond wire time stamp. Ready for ``write.format("kafka")`` or files."""
+    millisecond wire time stamp. Ready for ``write.format("kafka")`` or files.
+    ``keep`` names further columns to carry along."""
     value = F.to_json(F.struct(*[F.col(c) for c in LOG_COLUMNS]),
-                      {"timestampFormat": WIRE_TIME_FORMAT})
+                      {"timestampFormat": C.WIRE_TIME_FORMAT})
     cols = [F.col("relatedObjectId").cast("binary").alias("key"),
             value.cast("binary").alias("value")]
     if topic is not None:
         cols.append(F.lit(topic).alias("topic"))
-    return logs.select(*cols)
+    return logs.select(*cols, *keep)

@@ -55,10 +55,11 @@ def read_topic_stream(spark: SparkSession, *, servers: str | None = None,
                       starting_offsets: str = "latest",
                       max_offsets_per_trigger: int | None = None,
                       max_files_per_trigger: int | None = None,
-                      fail_on_data_loss: bool = False,
+                      fail_on_data_loss: bool = True,
                       min_partitions: int | None = None) -> DataFrame:
     """Streaming scan. Rate limits apply per micro-batch: offsets for Kafka,
-    files for a file source."""
+    files for a file source. Lost offsets fail the query unless
+    ``fail_on_data_loss`` is switched off on purpose."""
     if servers:
         r = (spark.readStream.format("kafka")
              .options(**_kafka_options(servers, topic, starting_offsets,

@@ -6,21 +6,20 @@
   the watermark and keep every window in state forever).
 * Scoring is plain column expressions (see ``operators.scoring``), so the
   scored stream is the stateful aggregate plus one projection.
-* Delivery happens in ``foreachBatch``: each micro-batch is persisted once,
-  gated, and inserted into the alert store by id, which makes re-emitted
-  windows (update mode) and retried batches harmless.
+* Delivery happens in ``foreachBatch``: the gated rows are inserted into the
+  alert store, where the last gated value of an alert wins, so a window that
+  is emitted again (update mode) refreshes its alert and a retried batch
+  changes nothing.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
 
 from .. import constants as C
 from ..operators.alerts import alert_records, pre_gate
@@ -28,8 +27,9 @@ from ..operators.features import window_features
 from ..operators.model import ModelBundle
 from ..operators.scoring import score
 from ..schemas import FEATURE_SCHEMA
-from ..session import path_exists, shared_dir
-from ..sinks.alert_store import insert_alerts
+from ..session import (child_names, current_version, delete_path, new_version,
+                       publish_version, shared_dir, versions)
+from ..sinks.alert_store import insert_alerts, window_date
 from ..sources.codec import decode_logs
 from ..sources.fixtures import events_to_logs
 
@@ -136,82 +136,113 @@ def start_feature_changelog(features_stream: DataFrame, path: str, checkpoint: s
 
 
 _KEY = ("window_start", "window_end", "serviceName")
+_CHANGELOG_SCHEMA = T.StructType(list(FEATURE_SCHEMA.fields)
+                                 + [T.StructField("batch_id", T.LongType(), True)])
+_FOLDED_COLUMNS = [f.name for f in _CHANGELOG_SCHEMA.fields]
 
 
 def _latest(log: DataFrame) -> DataFrame:
-    """Row of the highest batch id per (window, service); batch id kept."""
-    value_cols = [c for c in log.columns if c not in _KEY]
-    latest = (log.groupBy(*_KEY)
-              .agg(F.max_by(F.struct(*value_cols), F.col("batch_id")).alias("v")))
-    return latest.select(*_KEY, *[F.col(f"v.{c}").alias(c) for c in value_cols])
+    """Row of the highest batch id per (window, service); batch id kept. All
+    values have a fixed width, so each is its own ``max_by`` and the plan is a
+    hash aggregate without a sort."""
+    values = [c for c in log.columns if c not in (*_KEY, "batch_id")]
+    return log.groupBy(*_KEY).agg(
+        *[F.max_by(c, "batch_id").alias(c) for c in values],
+        F.max("batch_id").alias("batch_id"))
 
 
-def _read_changelog(spark: SparkSession, path: str) -> DataFrame | None:
-    if not path_exists(spark, path):
-        return None
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:          # folder without any batch yet
-        return None
+def _batches(spark: SparkSession, path: str) -> list[int]:
+    """Batch ids written so far, from the folder names."""
+    return sorted(int(n.split("=")[1]) for n in child_names(spark, path) if n.startswith("batch_id="))
+
+
+def _read_batches(spark: SparkSession, path: str, batches: list[int]) -> DataFrame:
+    """The given batches only; other folders are not listed."""
+    if not batches:
+        return spark.createDataFrame([], _CHANGELOG_SCHEMA)
+    base = path.rstrip("/")
+    return spark.read.schema(_CHANGELOG_SCHEMA).option("basePath", base).parquet(
+        *[f"{base}/batch_id={b}" for b in batches]).select(*_FOLDED_COLUMNS)
 
 
 def latest_features(spark: SparkSession, path: str) -> DataFrame:
     """Current value of every (window, service) in a changelog: the row of the
-    highest batch id. One aggregate (partial per task); no sort. An empty
-    feature table when no batch has been written yet."""
-    log = _read_changelog(spark, path)
-    if log is None:
-        return spark.createDataFrame([], FEATURE_SCHEMA)
-    return _latest(log).drop("batch_id")
+    highest batch id. Empty when no batch has been written yet."""
+    return _latest(_read_batches(spark, path, _batches(spark, path))).select(
+        *[f.name for f in FEATURE_SCHEMA.fields])
 
 
 def fold_changelog(spark: SparkSession, changelog: str, table: str) -> int | None:
     """Fold every changelog batch written so far into the folded table.
 
-    The folded table keeps one row per (window, service). Each fold reads the
-    previous folded version plus only the batches after it (partition pruning
-    on ``batch_id``), writes a new version folder and then switches the
-    ``current`` pointer, so a fold that dies half-way changes nothing.
+    The folded table keeps one row per (window, service), filed by the window's
+    date; its meta maps each date to the version folder that holds it. A fold
+    reads the new batches and the dates they touch, writes those dates into a
+    new version folder and publishes the new map; other dates stay where they
+    are. What the version before the last had needed is then deleted: batches
+    folded by it and date folders that neither of the last two versions names
+    (a reader that has just read the previous meta still finds its files).
     Returns the batch id folded through (None for an empty changelog)."""
-    log = _read_changelog(spark, changelog)
-    if log is None:
-        return None
     base = table.rstrip("/")
-    through = log.agg(F.max("batch_id")).first()[0]
-    meta = _read_fold_pointer(spark, base)
-    if through is None or (meta is not None and through <= meta["through"]):
+    meta = current_version(spark, base)
+    done = meta["through"] if meta else -1
+    fresh = [b for b in _batches(spark, changelog) if b > done]
+    if not fresh:
         return meta["through"] if meta else None
-    new = log.filter(F.col("batch_id") > F.lit(meta["through"] if meta else -1))
-    new = new.filter(F.col("batch_id") <= F.lit(through))
-    if meta is not None:
-        new = new.unionByName(spark.read.parquet(f"{base}/{meta['version']}"))
-    version = f"v-{uuid.uuid4().hex[:12]}"
-    _latest(new).write.parquet(f"{base}/{version}")
-    pointer = json.dumps({"version": version, "through": int(through)})
-    spark.createDataFrame([(pointer,)], "meta string").coalesce(1) \
-        .write.mode("overwrite").text(f"{base}/current")
-    return int(through)
-
-
-def _read_fold_pointer(spark: SparkSession, base: str) -> dict | None:
-    if not path_exists(spark, f"{base}/current"):
-        return None
-    row = spark.read.text(f"{base}/current").first()
-    return json.loads(row[0]) if row is not None else None
+    new = _read_batches(spark, changelog, fresh).withColumn("window_date", window_date())
+    touched = sorted(str(r[0]) for r in new.select("window_date").distinct().collect())
+    held = dict(meta["dates"]) if meta else {}
+    old = _read_dates(spark, base, {d: held[d] for d in touched if d in held})
+    version = new_version(spark, base)
+    folded = _latest(new.drop("window_date").unionByName(old)).withColumn("window_date", window_date())
+    folded.repartition("window_date", F.pmod(F.xxhash64(*_KEY), F.lit(FOLD_SALTS))).write.partitionBy(
+        "window_date").parquet(f"{base}/{version}/data")
+    dates = held | {d: version for d in touched}
+    publish_version(spark, base, version, {
+        "through": fresh[-1], "dates": dates,
+        "before": {"through": done, "dates": held}})
+    _clean_fold(spark, changelog, base, meta, dates, held)
+    return fresh[-1]
+
+
+FOLD_SALTS = 8      # tasks that may share one date's rows in a fold
+
+
+def _read_dates(spark: SparkSession, base: str, dates: dict[str, str]) -> DataFrame:
+    if not dates:
+        return spark.createDataFrame([], _CHANGELOG_SCHEMA)
+    return spark.read.schema(_CHANGELOG_SCHEMA).parquet(
+        *[f"{base}/{v}/data/window_date={d}" for d, v in sorted(dates.items())]).select(*_FOLDED_COLUMNS)
+
+
+def _clean_fold(spark: SparkSession, changelog: str, base: str, meta: dict | None,
+                dates: dict[str, str], held: dict[str, str]) -> None:
+    """Delete what only versions before the last two used."""
+    if meta is None:
+        return
+    for b in _batches(spark, changelog):
+        if b <= meta["through"]:
+            delete_path(spark, f"{changelog.rstrip('/')}/batch_id={b}")
+    for d, v in meta["before"]["dates"].items():
+        if v not in (dates.get(d), held.get(d)):
+            delete_path(spark, f"{base}/{v}/data/window_date={d}")
+    used = {*dates.values(), *held.values(), meta["version"]}
+    for n in versions(spark, base)[:-2]:
+        if n not in used:
+            delete_path(spark, f"{base}/{n}")
 
 
 def current_features(spark: SparkSession, changelog: str, table: str) -> DataFrame:
-    """Latest value per (window, service) = folded table + the changelog
+    """Latest value per (window, service) = folded dates + the changelog
     batches written after the last fold."""
-    meta = _read_fold_pointer(spark, table.rstrip("/"))
+    base = table.rstrip("/")
+    meta = current_version(spark, base)
     if meta is None:
         return latest_features(spark, changelog)
-    folded = spark.read.parquet(f"{table.rstrip('/')}/{meta['version']}")
-    log = _read_changelog(spark, changelog)
-    if log is None:
-        return folded.drop("batch_id")
-    recent = log.filter(F.col("batch_id") > F.lit(meta["through"]))
-    return _latest(folded.unionByName(recent)).drop("batch_id")
+    recent = [b for b in _batches(spark, changelog) if b > meta["through"]]
+    rows = _read_dates(spark, base, meta["dates"]).unionByName(
+        _read_batches(spark, changelog, recent))
+    return _latest(rows).select(*[f.name for f in FEATURE_SCHEMA.fields])
 
 
 def start_feature_table(features_stream: DataFrame, path: str, checkpoint: str,
@@ -231,15 +262,12 @@ def start_feature_table(features_stream: DataFrame, path: str, checkpoint: str,
 def alert_batch_handler(store_path: str,
                         publish: Callable[[DataFrame], None] | None = None
                         ) -> Callable[[DataFrame, int], None]:
-    """foreachBatch body: persist, skip empty, gate, insert by id, unpersist."""
+    """foreachBatch body: gate and insert. The stream emits one row per window
+    and service, so alerts are unique; the insert persists the gated rows (once)
+    and ends at once when there are none."""
     def handle(batch_df: DataFrame, batch_id: int) -> None:
-        batch = batch_df.persist()
-        try:
-            if batch.isEmpty():
-                return
-            insert_alerts(batch.sparkSession, alert_records(batch), store_path, publish)
-        finally:
-            batch.unpersist()
+        insert_alerts(batch_df.sparkSession, alert_records(batch_df), store_path, publish,
+                      unique=True)
     return handle
 
 

@@ -108,7 +108,7 @@ def test_compaction_keeps_rows_and_reduces_files(spark, tmp_dir):
         insert_alerts(spark, alerts.filter(F.col("severity") == sev), store)
     before = sorted((r["id"], r["severity"]) for r in read_alerts(spark, store).collect())
     files_before = len(glob.glob(f"{store}/window_date=*/*.parquet"))
-    compact_alerts(spark, store, "2024-01-04", files_per_date=1)
+    compact_alerts(spark, store, "2024-01-04")
     after = sorted((r["id"], r["severity"]) for r in read_alerts(spark, store).collect())
     assert after == before
     for d in glob.glob(f"{store}/window_date=2024-01-0[1-3]"):

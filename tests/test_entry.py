@@ -2,6 +2,7 @@
 query against its DuckDB SQL on the smallest test data."""
 
 import os
+import re
 import sys
 
 import duckdb
@@ -29,7 +30,8 @@ def test_entry_runs_with_stable_schema(spark):
 
 
 def test_every_query_has_sql_unless_exempt():
-    assert set(E.queries()) - set(E.oracle_sql()) == NO_SQL
+    own = {n for n in E.queries() if n != "pipeline" and not re.match(r"op\d+_", n)}
+    assert own - set(E.oracle_sql()) == NO_SQL
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
