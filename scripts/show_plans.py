@@ -48,6 +48,25 @@ def main() -> None:
         "service gaps (R2)": service_gaps(logs),
         "observed mix (R3 input)": observed_mix(logs),
     }
+    from logwarden.plans.fixed_model import FIXED_WINDOW
+    from logwarden.sinks.alert_store import insert_alerts, read_alerts
+    from logwarden.streaming import (current_features, fold_changelog, run_until_idle,
+                                     start_detection, start_feature_changelog, stream_features)
+    from logwarden.sources.topic import read_topic_stream
+    from logwarden.session import scratch_path
+
+    store, log, table = (scratch_path(spark, n) for n in ("store", "log", "table"))
+    insert_alerts(spark, plans["alerts: features -> expression scoring -> gated alert rows"], store)
+    plans["alert store: last value per alert"] = read_alerts(spark, store)
+    stream = decode_logs(read_topic_stream(spark, path=topic))
+    changes = start_feature_changelog(stream_features(stream, FIXED_WINDOW), log,
+                                      scratch_path(spark, "ckpt"), {"availableNow": True})
+    run_until_idle(changes)
+    fold_changelog(spark, log, table)
+    plans["current features: folded dates + recent batches"] = current_features(spark, log, table)
+    detection = start_detection(stream, fixed_bundle(), store, scratch_path(spark, "ckpt"),
+                                {"availableNow": True})
+    run_until_idle(detection)
     print("# Physical plans (final, after AQE)\n")
     print(f"Generated by `scripts/show_plans.py {sf_dir}`.\n")
     for title, df in plans.items():
@@ -56,6 +75,12 @@ def main() -> None:
         print("```")
         print(df._jdf.queryExecution().executedPlan().toString().rstrip())
         print("```\n")
+    for title, query in (("feature stream (last batch)", changes),
+                         ("detection stream (last batch)", detection)):
+        print(f"## {title}\n")
+        print("```")
+        print(query._jsq.explainInternal(False).rstrip())
+        print("```\n")
     spark.stop()
 
 
