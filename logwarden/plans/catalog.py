@@ -30,7 +30,7 @@ from ..sources.codec import classify_records, decode_logs, encode_logs
 from ..sources.fixtures import load_logs
 from ..sources.topic import read_topic, read_topic_stream
 from ..streaming.detector import (current_features, fold_changelog,
-                                  latest_features, logs_from_event_files,
+                                  latest_features, logs_from_event_files, logs_from_records,
                                   run_until_idle, start_detection,
                                   start_feature_changelog, start_feature_table,
                                   stream_features)
@@ -346,7 +346,7 @@ def stream_topic_replay(spark, sf_dir):
     out, ckpt = scratch_path(spark, "feat-changelog"), scratch_path(spark, "ckpt")
     folded = scratch_path(spark, "feat-folded")
     for i, records in _arriving_slices(spark, logs, which, REPLAY_SLICES):
-        feats = stream_features(decode_logs(records), FIXED_WINDOW)
+        feats = stream_features(logs_from_records(records), FIXED_WINDOW)
         run_until_idle(start_feature_changelog(feats, out, ckpt, {"availableNow": True},
                                                state_partitions=_state_parts(spark)))
         if i < REPLAY_SLICES - 1:
@@ -367,7 +367,7 @@ def stream_late_rows(spark, sf_dir):
     out, ckpt = scratch_path(spark, "feat-changelog"), scratch_path(spark, "ckpt")
     late = F.when(number % LATE_EVERY == 0, 1).otherwise(0)
     for _, records in _arriving_slices(spark, logs, late, 2):
-        feats = stream_features(decode_logs(records), FIXED_WINDOW)
+        feats = stream_features(logs_from_records(records), FIXED_WINDOW)
         run_until_idle(start_feature_changelog(feats, out, ckpt, {"availableNow": True},
                                                state_partitions=_state_parts(spark)))
     return latest_features(spark, out)
@@ -384,7 +384,7 @@ def stream_alerts_replay(spark, sf_dir):
     quarter = F.floor(F.pmod(F.unix_micros("timestamp"), F.lit(width)) / F.lit(width // REPLAY_SLICES))
     store, ckpt = scratch_path(spark, "alert-store"), scratch_path(spark, "ckpt")
     for _, records in _arriving_slices(spark, logs, F.coalesce(quarter, F.lit(0)), REPLAY_SLICES):
-        run_until_idle(start_detection(decode_logs(records), fixed_bundle(), store, ckpt,
+        run_until_idle(start_detection(logs_from_records(records), fixed_bundle(), store, ckpt,
                                        {"availableNow": True}, watermark="36500 days",
                                        state_partitions=_state_parts(spark)))
     return _checked_alert_columns(read_alerts(spark, store))

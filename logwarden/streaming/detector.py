@@ -41,9 +41,13 @@ def checkpoint_location(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/logwarden/streams/{name}"
 
 
+#: The log fields that features need; the others are not parsed.
+FEATURE_FIELDS = ("timestamp", "level", "message", "serviceName")
+
+
 def logs_from_records(records_stream: DataFrame) -> DataFrame:
-    """Topic records (Kafka or files) -> decoded log stream."""
-    return decode_logs(records_stream)
+    """Topic records (Kafka or files) -> decoded log stream (FEATURE_FIELDS)."""
+    return decode_logs(records_stream, fields=FEATURE_FIELDS)
 
 
 def logs_from_event_files(spark: SparkSession, path: str,
