@@ -44,8 +44,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_scratch(spark: SparkSession, path: str) -> None:
-    """Remove a folder made by this module (through Hadoop's file system)."""
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+def shared_keys(rows: DataFrame, *keys: str, count: str = "n") -> DataFrame:
+    """Rows whose keys occur more than once, with the number of rows that have
+    them. The counts are pre-aggregated in the map tasks, written, and joined
+    back: a join of two plain tables, in which Spark can split a key with very
+    many rows over tasks (a window would hold it in one)."""
+    counts = materialize(rows.groupBy(*keys).agg(F.count("*").alias(count)).filter(
+        F.col(count) > 1), "key-counts")
+    return rows.join(counts, list(keys))

@@ -37,10 +37,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, materialize, text_or_empty
+from .common import bound_batches, materialize, shared_keys, text_or_empty
 from .word_ids import Hasher, column_bytes, mix, row_groups
 
 LENGTH = 100
@@ -262,17 +262,14 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             yield _gaps(batch.column(0).to_numpy(), batch.column(1).to_numpy())
 
     here = keyed.mapInArrow(settled, _GAPS)
-    by_gram = Window.partitionBy("gram")
-    met = materialize(keyed.mapInArrow(candidates, "gram long, around long, id long, packed long")
-                      .repartition("gram").withColumn("n", F.count("*").over(by_gram))
-                      .filter("n > 1").drop("n"), "met-grams")
+    met = materialize(shared_keys(keyed.mapInArrow(
+        candidates, "gram long, around long, id long, packed long"), "gram").drop("n"), "met-grams")
     place = F.struct("id", F.shiftright("packed", 32).alias("pos"))
     firsts = met.groupBy("gram", "around").agg(F.min(F.struct("id", "packed")).alias("first"))
     later = met.join(firsts, ["gram", "around"]).filter(
         place > F.struct("first.id", F.shiftright("first.packed", 32).alias("pos"))).select("id", "packed")
-    contested = materialize(
-        firsts.select("gram", "first.id", "first.packed").withColumn("n", F.count("*").over(by_gram))
-        .filter("n > 1"), "contested")
+    contested = materialize(shared_keys(firsts.select("gram", "first.id", "first.packed"), "gram"),
+                            "contested")
     strings = materialize(_with_surroundings(keyed, contested), "surroundings")
     small = strings.filter(F.col("n") <= CROWD).repartition("gram").sortWithinPartitions("gram")
     crowded = strings.filter(F.col("n") > CROWD)
