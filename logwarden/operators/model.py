@@ -32,8 +32,9 @@ from ..session import current_version, new_version, path_exists, publish_version
 
 # Partitions of the k-means fit. The fit depends on how rows are split, so the
 # count is one constant, stored with the model: never the session's setting or
-# the number of rows.
-FIT_PARTITIONS = 64
+# the number of rows. A deployment with very large feature tables passes its own
+# ``partitions`` to ``train`` once and for all.
+FIT_PARTITIONS = 16
 
 # A model table is read to the driver (it parameterises expressions); its size
 # is bounded by k and checked against this limit.
