@@ -3,7 +3,7 @@
 Shared passages stand anywhere in a line, so a paragraph here is a run of SPAN
 words that begins where the content says so: among every WINDOW neighbouring
 starts the one whose GRAM-word gram has the least hash. A passage of at least
-SPAN + WINDOW - 1 words (51) therefore holds at least one paragraph wherever it
+SPAN + WINDOW - 1 words (47) therefore holds at least one paragraph wherever it
 is pasted, and the same ones each time.
 
 1. Each task settles paragraphs that repeat within a batch; the others meet by
@@ -31,16 +31,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, materialize, text_or_empty
+from .common import bound_batches, materialize, shared_keys, text_or_empty
 from .components import components
 from .simhash import forest
 from .suffix_dedup import LAST_ID, sliding_least
 from .word_ids import Hasher, column_bytes, mix, row_groups, word_bounds
 
-SPAN, WINDOW, GRAM = 32, 20, 8
+SPAN, WINDOW, GRAM = 30, 18, 8
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS = 4
 #: Paragraphs of one band key compared in one block.
@@ -141,9 +141,21 @@ def _batch(finder: Finder, batch: pa.RecordBatch):
     return f, ids, tags, order[new], order[later], ids[head[later]]
 
 
+def _merged(ids, tags, first, stop, source) -> list[np.ndarray]:
+    """Overlapping ranges of one document and source as one range."""
+    order = np.lexsort((first, source, tags, ids))
+    ids, tags, first, stop, source = (x[order] for x in (ids, tags, first, stop, source))
+    if not len(ids):
+        return [ids, tags, first, stop, source]
+    new = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1])
+                               | (source[1:] != source[:-1]) | (first[1:] > stop[:-1])])
+    return [ids[new], tags[new], first[new], np.maximum.reduceat(stop, new), source[new]]
+
+
 def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, tag, first, stop, source): every paragraph to remove, as a byte
-    range, with a document that keeps (or itself refers on to) its like. tag is
+    """(id, tag, first, stop, source): all paragraphs to remove, as byte ranges
+    (of one or several overlapping paragraphs), each with a document that keeps
+    (or itself refers on to) its like. tag is
     16 bits of the text's checksum, so that rows sharing an id stay apart."""
     bound_batches(docs.sparkSession)
     keyed = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST_ID)).alias("id"),
@@ -163,24 +175,21 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         finder = Finder()
         for batch in batches:
             f, ids, tags, _, at, source = _batch(finder, batch)
+            columns = _merged(ids[at], tags[at], f["first"][at], f["stop"][at], source)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[at]), pa.array(tags[at]), pa.array(f["first"][at].astype(np.int32)),
-                 pa.array(f["stop"][at].astype(np.int32)), pa.array(source)],
+                [pa.array(c.astype(t)) for c, t in zip(columns, ("i8", "i4", "i4", "i4", "i8"))],
                 names=["id", "tag", "first", "stop", "source"])
 
     here = keyed.mapInArrow(settled, _REMOVED)
-    by_gram = Window.partitionBy("gram")
-    met = materialize(keyed.mapInArrow(
-        candidates, "gram long, content long, id long, tag int, first int, stop int")
-        .repartition("gram").withColumn("n", F.count("*").over(by_gram)).filter("n > 1").drop("n"),
-        "met-paragraphs")
+    met = materialize(shared_keys(keyed.mapInArrow(
+        candidates, "gram long, content long, id long, tag int, first int, stop int"),
+        "gram").drop("n"), "met-paragraphs")
     classes = materialize(met.groupBy("gram", "content").agg(
-        F.min(F.struct("id", "first", "stop", "tag")).alias("head"))
-        .withColumn("variants", F.count("*").over(by_gram)), "paragraph-classes")
+        F.min(F.struct("id", "first", "stop", "tag")).alias("head")), "paragraph-classes")
     later = met.join(classes.select("content", "head"), "content").filter(
         F.struct("id", "first") > F.struct("head.id", "head.first")).select(
             "id", "tag", "first", "stop", F.col("head.id").alias("source"))
-    several = classes.filter("variants > 1").select("gram", "content", "head.*")
+    several = materialize(shared_keys(classes, "gram").select("gram", "content", "head.*"), "variants")
     links = similar_links(materialize(_with_shingles(keyed, several), "shingles"))
     roots = components(links, "a", "b")
     joined = several.join(roots, several["content"] == roots["node"], "left").withColumn(
@@ -202,14 +211,19 @@ def _with_shingles(keyed: DataFrame, heads: DataFrame) -> DataFrame:
         finder = Finder()
         for batch in batches:
             flat = batch.column(1).flatten()
-            owner = np.repeat(np.arange(batch.num_rows), np.asarray(batch.column(1).value_lengths()))
-            first, stop = flat.field("first").to_pylist(), flat.field("stop").to_pylist()
-            raw = [t.encode() for t in batch.column(0).to_pylist()]
-            out = []
-            for o, a, b in zip(owner.tolist(), first, stop):
-                data = np.frombuffer(raw[o], np.uint8)[a:b]
-                words = finder.words(data, np.array([0, len(data)]))[3]
-                out.append(np.unique(finder.runs(words, SHINGLE)).tobytes())
+            each = np.asarray(batch.column(1).value_lengths())
+            first, at, out = flat.field("first").to_numpy(), 0, []
+            data, offsets = column_bytes(batch.column(0))
+            for r, n in enumerate(each.tolist()):
+                text = data[offsets[r]:offsets[r + 1]]
+                starts, _, _, words = finder.words(text, np.array([0, len(text)]))
+                runs = finder.runs(words, SHINGLE)
+                begin = np.searchsorted(starts, first[at:at + n])
+                sets = np.sort(runs[begin[:, None] + np.arange(SPAN - SHINGLE + 1)], axis=1)
+                new = np.ones(sets.shape, bool)
+                new[:, 1:] = sets[:, 1:] != sets[:, :-1]
+                out += [s[k].tobytes() for s, k in zip(sets, new)]
+                at += n
             yield pa.RecordBatch.from_arrays(
                 [flat.field("gram"), flat.field("content"), pa.array(out, pa.binary())],
                 names=["gram", "content", "shingles"])
@@ -225,21 +239,21 @@ def similar_links(paragraphs: DataFrame) -> DataFrame:
     def bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salt = mix(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         for batch in batches:
+            if not batch.num_rows:
+                continue
             gram = batch.column(0).to_numpy().view(np.uint64)
-            keys = np.zeros((batch.num_rows, BANDS), np.uint64)
-            for r, s in enumerate(batch.column(2).to_pylist()):
-                values = np.frombuffer(s, np.uint64)
-                keys[r] = mix(values[:, None] ^ salt).min(axis=0) if len(values) else 0
+            sets = batch.column(2).to_pylist()
+            size = np.fromiter(map(len, sets), np.int64, len(sets)) // 8
+            values = np.frombuffer(b"".join(sets), np.uint64)
+            keys = np.minimum.reduceat(mix(values[:, None] ^ salt), np.cumsum(size) - size, axis=0)
             keys = mix(keys ^ (gram[:, None] * salt))
             row = pa.array(np.repeat(np.arange(batch.num_rows), BANDS))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys.ravel().view(np.int64)), batch.column(1).take(row),
                  batch.column(2).take(row)], names=["key", "content", "shingles"])
 
-    by_key = Window.partitionBy("key")
-    keyed = paragraphs.select("gram", "content", "shingles").mapInArrow(
-        bands, "key long, content long, shingles binary").withColumn(
-            "n", F.count("*").over(by_key)).filter("n > 1")
+    keyed = shared_keys(paragraphs.select("gram", "content", "shingles").mapInArrow(
+        bands, "key long, content long, shingles binary"), "key")
     blocks = materialize(keyed.groupBy(
         "key", F.pmod(F.xxhash64("content"), F.ceil(F.col("n") / BLOCK)).alias("block"), "n").agg(
             F.collect_list(F.struct("content", "shingles")).alias("rows")), "paragraph-blocks")
@@ -291,8 +305,8 @@ def similar_pairs(sets: list[np.ndarray], split: int = 0) -> np.ndarray:
 
 
 def removed_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, first, stop, source_id): one row for each removed paragraph (bytes
-    first to stop of its document's text)."""
+    """(id, first, stop, source_id): the removed byte ranges of each document's
+    text and a document that holds the like earlier."""
     kind = docs.schema[id_col].dataType
     found = repeated_paragraphs(docs, id_col, text_col)
     name = F.when(F.col("id") != LAST_ID, F.col("id")).cast(kind)

@@ -213,7 +213,7 @@ def test_planted_passages_are_cut_and_clean_documents_left(spark, passages, monk
 def test_similarity_is_exact():
     a = np.arange(28, dtype=np.uint64)
     b, c = a.copy(), a.copy()
-    b[:3] += np.uint64(100)             # 25 of 31 alike: 0.806
+    b[:3] += np.uint64(100)             # 25 of 31 alike: 0.81
     c[:4] += np.uint64(200)             # 24 of 32 alike: 0.75
     assert paragraphs.similar_pairs([a, b, c]).tolist() == [[0, 1]]
     assert paragraphs.similar_pairs([a, c, b], 1).tolist() == [[0, 2]]
@@ -222,7 +222,7 @@ def test_similarity_is_exact():
 def test_edited_passage_ends_are_linked(spark):
     """Paragraphs that differ in their last word only: similar, not equal."""
     rng = random.Random(9)
-    base = [f"w{rng.randrange(3000)}" for _ in range(31)]
+    base = [f"w{rng.randrange(3000)}" for _ in range(paragraphs.SPAN - 1)]
     rows = [(i, " ".join(base + [f"end{i}"])) for i in range(5)]
     found = paragraphs.removed_paragraphs(frame(spark, rows)).collect()
     assert sorted((r.doc_id, r.source_doc_id) for r in found) == [(i, 0) for i in range(1, 5)]
