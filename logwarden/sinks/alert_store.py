@@ -132,9 +132,11 @@ def sized_by_date(rows: DataFrame, rows_per_file: int | None = None) -> DataFram
     per_file = rows_per_file or ROWS_PER_FILE
     counts = rows.groupBy(PARTITION_COLUMN).agg(
         F.ceil(F.count(F.lit(1)) / F.lit(per_file)).cast("int").alias("_files"))
-    tasks = counts.agg(F.sum("_files")).first()[0]
+    tasks, most = counts.agg(F.sum("_files"), F.max("_files")).first()
     if tasks is None:
         return None
+    if most == 1:                        # one file for each date: no salts to look up
+        return rows.repartition(int(tasks), PARTITION_COLUMN)
     salt = F.pmod(F.xxhash64("id", "window_start"), F.col("_files"))
     return rows.join(counts, PARTITION_COLUMN).repartition(
         int(tasks), PARTITION_COLUMN, salt).drop("_files")
