@@ -189,13 +189,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rows = sorted((r for r in rows if any(r["counts"])), key=lambda r: r["id"])
     if not rows:
         return Model(idf, np.zeros((TERMS, 1)), np.zeros((0, 1), np.float32), np.zeros(0))
-    counts = np.stack([np.frombuffer(r["counts"], np.int32) for r in rows])
-    x = weighted(counts, idf)
-    value, vector = np.linalg.eigh(x.T @ x)     # right singular vectors, largest last
+    blocks = [np.stack([np.frombuffer(r["counts"], np.int32) for r in rows[i:i + BLOCK]])
+              for i in range(0, len(rows), BLOCK)]
+    square = sum(x.T @ x for x in (weighted(b, idf) for b in blocks))
+    value, vector = np.linalg.eigh(square)      # right singular vectors, largest last
     keep = min(DIRECTIONS, int((value > 1e-9).sum()))
     model = Model(idf, vector[:, ::-1][:, :keep].copy(), np.zeros((0, keep), np.float32),
                   np.array([r["label"] for r in rows], float))
-    model.vectors = model.latent(counts)
+    model.vectors = np.concatenate([model.latent(b) for b in blocks])
     return model
 
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from .bpe import Vocabulary
 
 #: Words after which a worker's table starts anew.
-MAX_WORDS = 2_000_000
+MAX_WORDS = 1_000_000
 #: Texts are taken in groups of about this many bytes.
 GROUP = 1 << 20
 
