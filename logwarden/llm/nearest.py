@@ -23,9 +23,8 @@ import heapq
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bound_batches
@@ -33,9 +32,9 @@ from .common import bound_batches
 NEAREST = 5
 QUERY_STEP = 50
 #: Rows of a tile: queries, candidates.
-TILE_QUERIES, TILE_CANDIDATES = 2048, 8192
+TILE_QUERIES, TILE_CANDIDATES = 4096, 16384
 #: Queries that one product takes.
-STRIP = 256
+STRIP = 128
 #: Room for rounding in the float products, far above double precision's own.
 ROUNDING = 1e-9
 
@@ -125,13 +124,12 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = NEAREST, id_col: st
     heaps = q.groupBy(*keys).cogroup(c.groupBy(*keys)).applyInArrow(
         tile, "query_id long, vec_id long, score double")
 
-    def merge(rows: pd.DataFrame) -> pd.DataFrame:
-        best = heapq.nsmallest(k, zip((-rows["score"]).tolist(), rows["vec_id"].tolist()))
-        return pd.DataFrame({"query_id": rows["query_id"].iloc[0], "rank": range(1, len(best) + 1),
-                             "vec_id": [b for _, b in best], "score": [-s for s, _ in best]})
-
-    return heaps.groupBy("query_id").applyInPandas(
-        merge, "query_id long, rank int, vec_id long, score double")
+    # Each task first cuts its tiles' heaps of a query to k rows (Spark limits
+    # the groups of a ranked window before the shuffle), so no query gathers
+    # more than k rows from a task.
+    place = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return heaps.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= k).select(
+        "query_id", "rank", "vec_id", "score")
 
 
 def _range(n: int) -> Column:
