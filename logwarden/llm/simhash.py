@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import bound_batches, materialize, text_or_empty
 from .components import components
-from .word_ids import SPACE, column_bytes, row_groups, slices, word_bounds
+from .word_ids import column_bytes, row_groups, slices, word_bounds
 
 SHINGLE = 3
 DISTANCE = 3
@@ -48,11 +48,10 @@ def shingle_bytes(data: np.ndarray, offsets: np.ndarray, size: int):
     of them as one shingle; a row without words gives none."""
     starts, ends = word_bounds(data, offsets)
     length = ends - starts
-    text = _LOWER[data[slices(starts, length + 1) if not len(ends) or ends[-1] < len(data)
-                       else np.minimum(slices(starts, length + 1), len(data) - 1)]]
+    # each word with the byte after it, which becomes the space
+    text = _LOWER[data[np.minimum(slices(starts, length + 1), len(data) - 1)]]
     end = np.cumsum(length + 1) - 1             # of each word in ``text``
-    if len(end):
-        text[end] = 32
+    text[end] = 32
     begin = end - length
     first = np.searchsorted(starts, offsets)
     words = np.diff(first)
@@ -307,7 +306,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = components(fingerprint_links(classes.select("fp"), limit), "a", "b")
     rooted = classes.join(roots, classes["fp"] == roots["node"], "left").select(
         "fp", "first", F.coalesce("component", "fp").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    smallest = materialize(rooted.groupBy("root").agg(F.min("first").alias("component_id")),
+                           "component-ids")
     named = rooted.join(smallest, "root").select("fp", "component_id")
     return marked.join(named, "fp").select(
         id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -316,8 +316,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              size: int = SHINGLE, limit: int = DISTANCE) -> DataFrame:
     """The rows of ``docs`` with one document of each component: the one with
-    the smallest id (a null id counts as a negative number made from its text;
-    of rows with the same id and component one stays)."""
+    the smallest id. A null id counts as a negative number made from its text;
+    of rows that share an id one stays."""
     from pyspark.sql import Window
 
     mark = "__row_id"
