@@ -34,6 +34,12 @@ def text_or_empty(col: str | Column = "text") -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 
 
+def text_hash(col: str | Column) -> Column:
+    """64-bit hash of a text: with the id it names a row of a table whose ids
+    are null or shared (equal rows have equal names and equal results)."""
+    return F.xxhash64(col)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to a fresh folder of the shared checkpoint directory
     and read it back: later steps reuse the rows and a lost executor costs a

@@ -26,7 +26,6 @@ rows; texts of any length count whole.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, materialize, shared_keys, text_or_empty
+from .common import bound_batches, materialize, shared_keys, text_hash, text_or_empty
 from .components import components
 from .simhash import forest
 from .suffix_dedup import LAST_ID, sliding_least
@@ -118,21 +117,14 @@ class Finder:
         return np.unique(np.concatenate(out)) if out else np.zeros(0, np.int64)
 
 
-def _tags(column: pa.Array) -> np.ndarray:
-    data, offsets = column_bytes(column)
-    raw = data.tobytes()
-    return np.array([zlib.crc32(raw[a:b]) & 0xFFFF for a, b in
-                     zip(offsets[:-1].tolist(), offsets[1:].tolist())], np.int32)
-
-
-_REMOVED = "id long, tag int, first int, stop int, source long"
+_REMOVED = "id long, tag long, first int, stop int, source long"
 
 
 def _batch(finder: Finder, batch: pa.RecordBatch):
     """Paragraphs of a batch, and of each whether it is its content's first."""
     f = finder.column(batch.column(1))
-    ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)[f["row"]]
-    tags = _tags(batch.column(1))[f["row"]] if len(ids) else np.zeros(0, np.int32)
+    ids, tags = (batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64)[f["row"]]
+                 for k in (0, 2))
     order = np.lexsort((f["first"], ids, f["content"]))
     c = f["content"][order]
     new = np.r_[True, c[1:] != c[:-1]] if len(c) else np.zeros(0, bool)
@@ -156,10 +148,11 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """(id, tag, first, stop, source): all paragraphs to remove, as byte ranges
     (of one or several overlapping paragraphs), each with a document that keeps
     (or itself refers on to) its like. tag is
-    16 bits of the text's checksum, so that rows sharing an id stay apart."""
+    a 64-bit hash of the text, so that rows sharing an id stay apart."""
     bound_batches(docs.sparkSession)
     keyed = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST_ID)).alias("id"),
-                        text_or_empty(F.col(f"`{text_col}`")).alias("text"))
+                        text_or_empty(F.col(f"`{text_col}`")).alias("text")).withColumn(
+                            "tag", text_hash("text"))
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Finder()
@@ -177,12 +170,12 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             f, ids, tags, _, at, source = _batch(finder, batch)
             columns = _merged(ids[at], tags[at], f["first"][at], f["stop"][at], source)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c.astype(t)) for c, t in zip(columns, ("i8", "i4", "i4", "i4", "i8"))],
+                [pa.array(c.astype(t)) for c, t in zip(columns, ("i8", "i8", "i4", "i4", "i8"))],
                 names=["id", "tag", "first", "stop", "source"])
 
     here = keyed.mapInArrow(settled, _REMOVED)
     met = materialize(shared_keys(keyed.mapInArrow(
-        candidates, "gram long, content long, id long, tag int, first int, stop int"),
+        candidates, "gram long, content long, id long, tag long, first int, stop int"),
         "gram").drop("n"), "met-paragraphs")
     classes = materialize(met.groupBy("gram", "content").agg(
         F.min(F.struct("id", "first", "stop", "tag")).alias("head")), "paragraph-classes")
@@ -205,7 +198,6 @@ def _with_shingles(keyed: DataFrame, heads: DataFrame) -> DataFrame:
     paragraph of each content, from its document's text."""
     wanted = heads.groupBy("id", "tag").agg(F.collect_list(F.struct(
         "gram", "content", "first", "stop")).alias("spans"))
-    texts = keyed.withColumn("tag", F.crc32(F.encode("text", "UTF-8")).bitwiseAND(0xFFFF).cast("int"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Finder()
@@ -228,7 +220,7 @@ def _with_shingles(keyed: DataFrame, heads: DataFrame) -> DataFrame:
                 [flat.field("gram"), flat.field("content"), pa.array(out, pa.binary())],
                 names=["gram", "content", "shingles"])
 
-    return texts.join(wanted, ["id", "tag"]).select("text", "spans").mapInArrow(
+    return keyed.join(wanted, ["id", "tag"]).select("text", "spans").mapInArrow(
         cut, "gram long, content long, shingles binary").dropDuplicates(["content"])
 
 
@@ -328,7 +320,7 @@ def cut_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     text = F.col(f"`{text_col}`")
     keyed = docs.withColumns({
         id_key: F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST_ID)),
-        tag_key: F.crc32(F.encode(text_or_empty(text), "UTF-8")).bitwiseAND(0xFFFF).cast("int")})
+        tag_key: text_hash(text_or_empty(text))})
     rows = keyed.join(ranges.select(F.col("id").alias(id_key), F.col("tag").alias(tag_key),
                                     F.col("ranges").alias(found)), [id_key, tag_key], "left")
     names, at = docs.columns, docs.columns.index(text_col)

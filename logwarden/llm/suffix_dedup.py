@@ -32,7 +32,6 @@ bytes of UTF-8, of any length.
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, materialize, shared_keys, text_or_empty
+from .common import bound_batches, materialize, shared_keys, text_hash, text_or_empty
 from .word_ids import Hasher, column_bytes, mix, row_groups
 
 LENGTH = 100
@@ -126,35 +125,31 @@ class Anchors:
                 "gram": grams[p], "around": around}
 
 
-def pack(pos: np.ndarray, tag: np.ndarray, near: np.ndarray, far: np.ndarray) -> np.ndarray:
-    return (pos << 32) | (tag << 16) | (near << 8) | far
+def pack(pos: np.ndarray, near: np.ndarray, far: np.ndarray) -> np.ndarray:
+    return (pos << 16) | (near << 8) | far
 
 
 def batch_anchors(finder: Anchors, batch: pa.RecordBatch):
-    """Anchors of a batch (id, text) and the first of each (gram, around)."""
+    """(anchors, ids, text hashes, packed places) of a batch (id, text, tag)."""
     f = finder.column(batch.column(1))
-    data, offsets = column_bytes(batch.column(1))
-    raw = data.tobytes()
-    tags = np.array([zlib.crc32(raw[a:b]) & 0xFFFF for a, b in
-                     zip(offsets[:-1].tolist(), offsets[1:].tolist())], np.int64)
-    ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ids, tags = (batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (0, 2))
     row = f["row"]
-    return f, ids[row], pack(f["pos"], tags[row], f["near"], f["far"])
+    return f, ids[row], tags[row], pack(f["pos"], f["near"], f["far"])
 
 
 def earliest(f: dict, ids: np.ndarray, packed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(first of each (gram, around), later ones) as index arrays."""
     order = np.lexsort((packed, ids, f["around"], f["gram"]))
-    g, c, i, p = (x[order] for x in (f["gram"], f["around"], ids, packed >> 32))
+    g, c, i, p = (x[order] for x in (f["gram"], f["around"], ids, packed >> 16))
     new = np.r_[True, (g[1:] != g[:-1]) | (c[1:] != c[:-1])] if len(g) else np.zeros(0, bool)
     head = np.maximum.accumulate(np.where(new, np.arange(len(g)), 0))
     later = (i != i[head]) | (p != p[head])
     return order[new], order[later]
 
 
-def _gaps(ids: np.ndarray, packed: np.ndarray) -> pa.RecordBatch:
+def _gaps(ids: np.ndarray, tag: np.ndarray, packed: np.ndarray) -> pa.RecordBatch:
     """Removed byte ranges (id, tag, first, stop) of whole anchors, merged."""
-    pos, tag, near, far = packed >> 32, packed >> 16 & 0xFFFF, packed >> 8 & 0xFF, packed & 0xFF
+    pos, near, far = packed >> 16, packed >> 8 & 0xFF, packed & 0xFF
     first, stop = pos - far, pos - near + LENGTH
     order = np.lexsort((first, tag, ids))
     ids, tag, first, stop = (x[order] for x in (ids, tag, first, stop))
@@ -165,11 +160,11 @@ def _gaps(ids: np.ndarray, packed: np.ndarray) -> pa.RecordBatch:
         ids, tag, first = ids[begin], tag[begin], first[begin]
         stop = np.maximum.reduceat(stop, begin)
     return pa.RecordBatch.from_arrays(
-        [pa.array(ids), pa.array(tag.astype(np.int32)), pa.array(first), pa.array(stop)],
+        [pa.array(ids), pa.array(tag), pa.array(first), pa.array(stop)],
         names=["id", "tag", "first", "stop"])
 
 
-_GAPS = "id long, tag int, first long, stop long"
+_GAPS = "id long, tag long, first long, stop long"
 
 
 def collection_classes(strings: np.ndarray, near: np.ndarray, far: np.ndarray,
@@ -236,54 +231,54 @@ def _surroundings(texts: list[bytes], pos: np.ndarray) -> np.ndarray:
 
 def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, tag, first, stop): byte ranges to remove; they may overlap. tag is
-    16 bits of the text's checksum, so that rows sharing an id stay apart."""
+    a 64-bit hash of the text, so that rows sharing an id stay apart."""
     bound_batches(docs.sparkSession)
     keyed = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"),
-                        text_or_empty(text_col).alias("text"))
+                        text_or_empty(text_col).alias("text")).withColumn("tag", text_hash("text"))
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Anchors()
         for batch in batches:
-            f, ids, packed = batch_anchors(finder, batch)
+            f, ids, tags, packed = batch_anchors(finder, batch)
             at, _ = earliest(f, ids, packed)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(f["gram"][at].view(np.int64)), pa.array(f["around"][at].view(np.int64)),
-                 pa.array(ids[at]), pa.array(packed[at])], names=["gram", "around", "id", "packed"])
+                 pa.array(ids[at]), pa.array(tags[at]), pa.array(packed[at])],
+                names=["gram", "around", "id", "tag", "packed"])
 
     def settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Anchors()
         for batch in batches:
-            f, ids, packed = batch_anchors(finder, batch)
+            f, ids, tags, packed = batch_anchors(finder, batch)
             _, later = earliest(f, ids, packed)
-            yield _gaps(ids[later], packed[later])
+            yield _gaps(ids[later], tags[later], packed[later])
 
     def gaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield _gaps(batch.column(0).to_numpy(), batch.column(1).to_numpy())
+            yield _gaps(*(batch.column(k).to_numpy() for k in range(3)))
 
     here = keyed.mapInArrow(settled, _GAPS)
     met = materialize(shared_keys(keyed.mapInArrow(
-        candidates, "gram long, around long, id long, packed long"), "gram").drop("n"), "met-grams")
-    place = F.struct("id", F.shiftright("packed", 32).alias("pos"))
-    firsts = met.groupBy("gram", "around").agg(F.min(F.struct("id", "packed")).alias("first"))
+        candidates, "gram long, around long, id long, tag long, packed long"), "gram").drop("n"), "met-grams")
+    place = F.struct("id", F.shiftright("packed", 16).alias("pos"))
+    firsts = met.groupBy("gram", "around").agg(F.min(F.struct("id", "packed", "tag")).alias("first"))
     later = met.join(firsts, ["gram", "around"]).filter(
-        place > F.struct("first.id", F.shiftright("first.packed", 32).alias("pos"))).select("id", "packed")
-    contested = materialize(shared_keys(firsts.select("gram", "first.id", "first.packed"), "gram"),
+        place > F.struct("first.id", F.shiftright("first.packed", 16).alias("pos"))).select("id", "tag", "packed")
+    contested = materialize(shared_keys(firsts.select("gram", "first.*"), "gram"),
                             "contested")
     strings = materialize(_with_surroundings(keyed, contested), "surroundings")
     small = strings.filter(F.col("n") <= CROWD).repartition("gram").sortWithinPartitions("gram")
     crowded = strings.filter(F.col("n") > CROWD)
     return (here.unionByName(later.mapInArrow(gaps, _GAPS))
-            .unionByName(small.select("gram", "id", "packed", "string").mapInArrow(_collections, _GAPS))
+            .unionByName(small.select("gram", "id", "tag", "packed", "string").mapInArrow(_collections, _GAPS))
             .unionByName(_by_content(crowded)))
 
 
 def _with_surroundings(keyed: DataFrame, contested: DataFrame) -> DataFrame:
-    """(gram, n, id, packed, string) of contested anchors; their documents'
+    """(gram, n, id, tag, packed, string) of contested anchors; their documents'
     texts are looked up by id and tag."""
-    wanted = contested.withColumn("tag", F.shiftright("packed", 16).bitwiseAND(0xFFFF).cast("int")) \
-        .groupBy("id", "tag").agg(F.collect_list(F.struct("gram", "n", "packed")).alias("anchors"))
-    texts = keyed.withColumn("tag", F.crc32(F.encode("text", "UTF-8")).bitwiseAND(0xFFFF).cast("int"))
+    wanted = contested.groupBy("id", "tag").agg(
+        F.collect_list(F.struct("gram", "n", "packed")).alias("anchors"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -292,14 +287,15 @@ def _with_surroundings(keyed: DataFrame, contested: DataFrame) -> DataFrame:
             packed = flat.field("packed").to_numpy()
             raw = [t.encode() for t in batch.column(1).to_pylist()]
             owner = np.repeat(np.arange(batch.num_rows), sizes)
-            strings = _surroundings([raw[o] for o in owner.tolist()], packed >> 32)
+            strings = _surroundings([raw[o] for o in owner.tolist()], packed >> 16)
             yield pa.RecordBatch.from_arrays(
                 [flat.field("gram"), flat.field("n"), batch.column(0).take(pa.array(owner)),
-                 flat.field("packed"), pa.array([s.tobytes() for s in strings], pa.binary())],
-                names=["gram", "n", "id", "packed", "string"])
+                 batch.column(3).take(pa.array(owner)), flat.field("packed"), pa.array([s.tobytes() for s in strings], pa.binary())],
+                names=["gram", "n", "id", "tag", "packed", "string"])
 
-    return texts.join(wanted, ["id", "tag"]).select("id", "text", "anchors").mapInArrow(
-        cut, "gram long, n long, id long, packed long, string binary").dropDuplicates(["gram", "id", "packed"])
+    return keyed.join(wanted, ["id", "tag"]).select("id", "text", "anchors", "tag").mapInArrow(
+        cut, "gram long, n long, id long, tag long, packed long, string binary").dropDuplicates(
+            ["gram", "id", "tag", "packed"])
 
 
 def _collections(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,17 +304,17 @@ def _collections(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def solve(rows: pa.Table) -> pa.RecordBatch:
         rows = rows.combine_chunks()
-        ids, packed = rows.column("id").to_numpy(), rows.column("packed").to_numpy()
+        ids, tags, packed = (rows.column(c).to_numpy() for c in ("id", "tag", "packed"))
         raw = b"".join(rows.column("string").to_pylist())
         strings = np.frombuffer(raw, np.uint8).reshape(len(ids), _WIDTH)
-        place = np.lexsort((packed >> 32, ids))
+        place = np.lexsort((packed >> 16, ids))
         step = np.r_[0, (ids[place][1:] != ids[place][:-1])
-                     | ((packed >> 32)[place][1:] != (packed >> 32)[place][:-1])]
+                     | ((packed >> 16)[place][1:] != (packed >> 16)[place][:-1])]
         rank = np.empty(len(ids), np.int64)
         rank[place] = np.cumsum(step)              # equal places have equal ranks
         low, high = collection_classes(strings, packed >> 8 & 0xFF, packed & 0xFF, rank)
         hit = np.flatnonzero(high >= 0)
-        return _gaps(ids[hit], packed[hit] >> 16 << 16 | low[hit] << 8 | high[hit])
+        return _gaps(ids[hit], tags[hit], packed[hit] >> 16 << 16 | low[hit] << 8 | high[hit])
 
     count = 0
     for batch in batches:
@@ -343,22 +339,22 @@ def _by_content(crowded: DataFrame) -> DataFrame:
     its equals by content."""
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            packed = batch.column(1).to_numpy()
+            packed = batch.column(2).to_numpy()
             near, far = packed >> 8 & 0xFF, packed & 0xFF
             rows, first, keys = [], [], []
-            for r, s in enumerate(batch.column(2).to_pylist()):
+            for r, s in enumerate(batch.column(3).to_pylist()):
                 for d in range(int(near[r]), int(far[r]) + 1):
                     rows.append(r)
-                    first.append(int(packed[r] >> 32) - d)
+                    first.append(int(packed[r] >> 16) - d)
                     keys.append(hashlib.blake2b(s[REACH - d:REACH - d + LENGTH], digest_size=16).digest())
             rows = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys, pa.binary()), batch.column(0).take(rows),
-                 pa.array(packed >> 16 & 0xFFFF, pa.int32()).take(rows), pa.array(first, pa.int64())],
+                 batch.column(1).take(rows), pa.array(first, pa.int64())],
                 names=["content", "id", "tag", "first"])
 
-    strings = crowded.select("id", "packed", "string").mapInArrow(
-        spread, "content binary, id long, tag int, first long")
+    strings = crowded.select("id", "tag", "packed", "string").mapInArrow(
+        spread, "content binary, id long, tag long, first long")
     least = strings.groupBy("content").agg(F.min(F.struct("id", "first")).alias("least"))
     return strings.join(least, "content").filter(F.struct("id", "first") > F.col("least")).select(
         "id", "tag", "first", (F.col("first") + LENGTH).alias("stop"))
@@ -373,7 +369,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     keyed = docs.select(
         F.col(id_col).alias("__id"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"),
         text_or_empty(text_col).alias("text")).withColumn(
-            "tag", F.crc32(F.encode("text", "UTF-8")).bitwiseAND(0xFFFF).cast("int"))
+            "tag", text_hash("text"))
     kind = docs.schema[id_col].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

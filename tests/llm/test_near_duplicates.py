@@ -233,3 +233,29 @@ def test_empty_tables(spark):
     for op in (simhash.near_duplicates, simhash.keep_one, suffix_dedup.remove_repeats,
                paragraphs.removed_paragraphs, paragraphs.cut_documents):
         assert op(docs).collect() == []
+
+
+def test_rows_without_ids_stay_apart(spark):
+    """Thousands of different texts with one (null) id: each loses its own ranges."""
+    rng = random.Random(12)
+    p = random_text(rng, 140, "abcdefgh ")
+    rows = [(None, random_text(rng, rng.randint(0, 90)) + (p if i % 2 else "")) for i in range(3000)]
+    rows += [(5, p), (6, random_text(rng, 30) + p)]
+    got = suffix_dedup.remove_repeats(frame(spark, rows)).collect()
+    assert sorted(map(tuple, got), key=str) == without_repeats(rows)
+
+
+def test_paragraphs_of_rows_without_ids(spark):
+    rng = random.Random(13)
+
+    def some(n):
+        return [f"w{rng.randrange(3000)}é" for _ in range(n)]
+    p = some(60)
+    rows = [(None, " ".join(some(rng.randint(0, 30)) + (p if i % 2 else some(3)))) for i in range(3000)]
+    rows.append((5, " ".join(p)))
+    got = [r.text for r in paragraphs.cut_documents(frame(spark, rows)).collect()]
+    clean = {t for i, t in rows if i == 5 or " ".join(p) not in t}
+    assert clean <= set(got)
+    # the others keep nothing of the passage but a window at each end
+    left = [t for t in got if t not in clean]
+    assert all(len(set(t.split()) & set(p)) <= 2 * paragraphs.WINDOW for t in left)
