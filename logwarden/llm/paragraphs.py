@@ -9,12 +9,18 @@ is pasted, and the same ones each time.
 1. Each task settles paragraphs that repeat within a batch; the others meet by
    their first gram, and grams that occur once end there.
 2. Equal paragraphs leave the earliest (smallest id, then place).
-3. Different paragraphs with one first gram get a MinHash signature over their
-   five-word shingles. Each of BANDS bands is one MinHash value together with
-   the gram: two paragraphs of similarity 0.8 meet in one of four bands with
-   probability 0.998. Colliding paragraphs are verified by exact Jaccard
-   similarity (0.8 or more) of their shingle sets, in blocks of bounded size.
-4. Verified links form components; each leaves its earliest paragraph.
+3. Near copies are sought among units: lines of SPAN to LONG words, and pieces
+   of whole texts, cut where the hash of CUT_GRAM words is the least within
+   REACH words on both sides (so ends come back after an edit; a piece has
+   SPAN words at least, and is split after LONG). Units get a MinHash signature
+   over their five-word shingles: UNIT_BANDS bands of UNIT_ROWS values, in one
+   of which two units of similarity 0.8 meet with probability 0.998. Different
+   30-word paragraphs with one first gram meet too, in BANDS bands of one value
+   and the gram. Sets that meet in a band are verified by exact Jaccard
+   similarity (0.8 or more), in blocks of bounded size.
+4. Verified links form components; each leaves its earliest member. Of the
+   others goes what lies between the first and the last shingle that the
+   earliest holds too (all, if they are linked only by way of others).
 
 Defined results: null text counts as empty; texts shorter than SPAN words lose
 nothing; letters A-Z count as lower case; null ids count as larger than all
@@ -42,6 +48,8 @@ from .word_ids import Hasher, column_bytes, mix, row_groups, word_bounds
 SPAN, WINDOW, GRAM = 30, 18, 8
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS = 4
+LONG, CUT_GRAM, REACH = 256, 3, 31
+UNIT_BANDS, UNIT_ROWS = 6, 2
 #: Paragraphs of one band key compared in one block.
 BLOCK = 256
 #: Starts handled in one pass (places must fit 24 bits).
@@ -89,6 +97,31 @@ class Finder:
         return {k: np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64)
                 for k in names}
 
+    def units(self, column: pa.Array) -> dict[str, np.ndarray]:
+        """row, content, first and stop byte and band keys of every unit."""
+        data, offsets = column_bytes(column)
+        found = []
+        for a, b in row_groups(offsets):
+            base = offsets[a]
+            part, own = data[base:offsets[b]], offsets[a:b + 1] - base
+            starts, ends, row, words = self.words(part, own)
+            line = np.searchsorted(np.flatnonzero(part == ord("\n")), starts)
+            at, stop = unit_bounds(words, self.runs(words, CUT_GRAM), row, line)
+            if not len(at):
+                continue
+            self.hasher._grow(len(words) + 1)
+            sums = np.zeros(len(words) + 1, np.uint64)
+            np.cumsum(words * self.hasher.power[:len(words)], out=sums[1:])
+            keys = band_keys(self.runs(words, SHINGLE), at, stop - at - SHINGLE + 1,
+                             UNIT_BANDS, UNIT_ROWS)
+            found.append({"row": row[at] + a, "content": self.hasher.ranges(sums, at, stop),
+                          "first": starts[at] - own[row[at]], "stop": ends[stop - 1] - own[row[at]],
+                          "keys": keys})
+        empty = {"row": np.zeros(0, np.int64), "content": np.zeros(0, np.uint64),
+                 "first": np.zeros(0, np.int64), "stop": np.zeros(0, np.int64),
+                 "keys": np.zeros((0, UNIT_BANDS), np.uint64)}
+        return {k: np.concatenate([f[k] for f in found]) if found else v for k, v in empty.items()}
+
     def starts(self, grams: np.ndarray, row: np.ndarray) -> np.ndarray:
         """Chosen starts, as word numbers."""
         n = len(row) - SPAN + 1
@@ -117,12 +150,63 @@ class Finder:
         return np.unique(np.concatenate(out)) if out else np.zeros(0, np.int64)
 
 
+def unit_bounds(words: np.ndarray, cuts: np.ndarray, row: np.ndarray, line: np.ndarray
+                ) -> tuple[np.ndarray, np.ndarray]:
+    """First and last-but-one word numbers of the units of rows of ``words``;
+    ``cuts`` are the hashes of the CUT_GRAM words from each word on."""
+    n = len(words)
+    if n < SPAN:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    most = np.iinfo(np.uint64).max
+    key = np.full(n, most, np.uint64)
+    same = row[:n - CUT_GRAM + 1] == row[CUT_GRAM - 1:]
+    key[:n - CUT_GRAM + 1][same] = cuts[same]
+    at = np.arange(n) + (row + 1) * REACH              # rows stand apart by REACH
+    padded = np.full(int(at[-1]) + REACH + 1, most, np.uint64)
+    padded[at] = key
+    least = sliding_least(padded, REACH)
+    cut = (key < least[at - REACH]) & (key <= least[at + 1])
+    begins = np.r_[True, row[1:] != row[:-1]]
+    first = np.flatnonzero(cut | begins)
+    size = np.diff(np.r_[first, n])
+    more = (size - 1) // LONG                          # split after LONG words
+    step = np.arange(len(first) + int(more.sum())) - np.repeat(np.cumsum(more + 1) - more - 1, more + 1)
+    first = np.repeat(first, more + 1) + step * LONG
+    # a short piece joins the one before it, a short first one the next
+    first = first[begins[first] | (np.diff(np.r_[first, n]) >= SPAN)]
+    short = np.r_[False, (begins[first] & (np.diff(np.r_[first, n]) < SPAN))[:-1]]
+    first = first[begins[first] | ~short]
+    stop = np.r_[first[1:], n]
+    head = np.flatnonzero(begins | np.r_[True, line[1:] != line[:-1]])
+    end = np.r_[head[1:], n]
+    fits = end - head <= LONG
+    both = np.stack([np.r_[first, head[fits]], np.r_[stop, end[fits]]])
+    both = np.unique(both[:, both[1] - both[0] >= SPAN], axis=1)
+    return both[0], both[1]
+
+
+def band_keys(values: np.ndarray, first: np.ndarray, size: np.ndarray,
+              bands: int, rows: int) -> np.ndarray:
+    """Band keys of sets of shingles, values[first:first + size] each (which may
+    overlap), as rows of ``bands`` keys of ``rows`` least values."""
+    salt = mix(np.arange(1, bands * rows + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    edges = np.stack([first, first + size], 1).ravel()
+    values = np.r_[values, np.uint64(0)]               # an edge may be the end
+    out = np.empty((len(first), bands), np.uint64)
+    for b in range(bands):
+        key = np.zeros(len(first), np.uint64)
+        for k in range(b * rows, (b + 1) * rows):
+            key = mix((key ^ np.minimum.reduceat(mix(values ^ salt[k]), edges)[::2]) * salt[k])
+        out[:, b] = key
+    return out
+
+
 _REMOVED = "id long, tag long, first int, stop int, source long"
 
 
-def _batch(finder: Finder, batch: pa.RecordBatch):
-    """Paragraphs of a batch, and of each whether it is its content's first."""
-    f = finder.column(batch.column(1))
+def _batch(finder: Finder, batch: pa.RecordBatch, units: bool = False):
+    """Paragraphs (or units) of a batch, and of each whether it is its content's first."""
+    f = (finder.units if units else finder.column)(batch.column(1))
     ids, tags = (batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64)[f["row"]]
                  for k in (0, 2))
     order = np.lexsort((f["first"], ids, f["content"]))
@@ -182,20 +266,82 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     later = met.join(classes.select("content", "head"), "content").filter(
         F.struct("id", "first") > F.struct("head.id", "head.first")).select(
             "id", "tag", "first", "stop", F.col("head.id").alias("source"))
-    several = materialize(shared_keys(classes, "gram").select("gram", "content", "head.*"), "variants")
-    links = similar_links(materialize(_with_shingles(keyed, several), "shingles"))
+
+    def unit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder = Finder()
+        for batch in batches:
+            f, ids, tags, at, gone, source = _batch(finder, batch, units=True)
+            every = np.r_[at, gone]
+            ends = np.minimum(np.arange(len(every) + 1), len(at)) * UNIT_BANDS
+            keys = pa.ListArray.from_arrays(
+                pa.array(ends, pa.int32()), pa.array(f["keys"][at].ravel().view(np.int64)))
+            settled_by = pa.array(np.r_[np.zeros(len(at), np.int64), source],
+                                  mask=np.arange(len(every)) < len(at))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(f["content"][every].view(np.int64)), keys, pa.array(ids[every]),
+                 pa.array(tags[every]), pa.array(f["first"][every].astype(np.int32)),
+                 pa.array(f["stop"][every].astype(np.int32)), settled_by],
+                names=["content", "keys", "id", "tag", "first", "stop", "source"])
+
+    units = materialize(keyed.mapInArrow(
+        unit_rows, "content long, keys array<long>, id long, tag long, first int, stop int, source long"),
+        "units")
+    open_units = units.filter("source is null").drop("source")
+    unit_classes = materialize(open_units.groupBy("content").agg(
+        F.min(F.struct("id", "first", "stop", "tag")).alias("head"), F.first("keys").alias("keys")),
+        "unit-classes")
+    later_units = open_units.join(unit_classes.select("content", "head"), "content").filter(
+        F.struct("id", "first") > F.struct("head.id", "head.first")).select(
+            "id", "tag", "first", "stop", F.col("head.id").alias("source"))
+    met_units = shared_keys(unit_classes.select("content", F.explode("keys").alias("key")), "key").select(
+        "content").distinct()
+    near_units = unit_classes.join(met_units, "content").select(
+        F.lit(None).cast("long").alias("gram"), "content", "head.*")
+    several = materialize(shared_keys(classes, "gram").select("gram", "content", "head.*").unionByName(
+        near_units), "variants")
+    shingles = materialize(_with_shingles(keyed, several), "shingles")
+    links = similar_links(shingles)
     roots = components(links, "a", "b")
     joined = several.join(roots, several["content"] == roots["node"], "left").withColumn(
         "root", F.coalesce("component", "content"))
-    heads = joined.groupBy("root").agg(F.min(F.struct("id", "first")).alias("kept"))
-    near = joined.join(heads, "root").filter(F.struct("id", "first") > F.col("kept")).select(
-        "id", "tag", "first", "stop", F.col("kept.id").alias("source"))
-    return here.unionByName(later).unionByName(near)
+    heads = joined.groupBy("root").agg(F.min(F.struct("id", "first", "content", "tag", "stop")).alias("kept"))
+    # a line and a piece of one text may overlap and be alike: not copies
+    itself = (F.col("id") == F.col("kept.id")) & (F.col("tag") == F.col("kept.tag")) & (
+        F.col("first") < F.col("kept.stop"))
+    near = _trimmed(joined.join(heads, "root").filter(
+        (F.struct("id", "first") > F.struct("kept.id", "kept.first")) & ~itself).select(
+            "content", "id", "tag", "first", "stop", F.col("kept.content").alias("like"),
+            F.col("kept.id").alias("source")), shingles)
+    return here.unionByName(units.filter("source is not null").select(
+        "id", "tag", "first", "stop", "source")).unionByName(later).unionByName(later_units).unionByName(near.distinct())
+
+
+def _trimmed(near: DataFrame, shingles: DataFrame) -> DataFrame:
+    """``near`` (content, id, tag, first, stop, like, source) without the words
+    before the first and after the last shingle that ``like`` holds."""
+    def trim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first, stop = batch.column(2).to_numpy().copy(), batch.column(3).to_numpy().copy()
+            for r, (own, begins, stops, like) in enumerate(zip(
+                    *(batch.column(k).to_pylist() for k in (5, 6, 7, 8)))):
+                both = np.flatnonzero(np.isin(np.frombuffer(own, np.uint64), np.frombuffer(like, np.uint64)))
+                if len(both):
+                    first[r] = np.frombuffer(begins, np.int32)[both[0]]
+                    stop[r] = np.frombuffer(stops, np.int32)[both[-1]]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(first), pa.array(stop), batch.column(4)],
+                names=["id", "tag", "first", "stop", "source"])
+
+    own = shingles.select("content", "shingles", "begins", "stops")
+    like = shingles.select(F.col("content").alias("like"), F.col("shingles").alias("held"))
+    return near.join(own, "content").join(like, "like").select(
+        "id", "tag", "first", "stop", "source", "shingles", "begins", "stops", "held").mapInArrow(
+            trim, _REMOVED)
 
 
 def _with_shingles(keyed: DataFrame, heads: DataFrame) -> DataFrame:
-    """(gram, content, shingles): hashes of the distinct shingles of the first
-    paragraph of each content, from its document's text."""
+    """(gram, content, shingles, begins, stops): hashes and byte places of the
+    shingles of the first paragraph or unit (null gram) of each content, from its document's text."""
     wanted = heads.groupBy("id", "tag").agg(F.collect_list(F.struct(
         "gram", "content", "first", "stop")).alias("spans"))
 
@@ -204,24 +350,27 @@ def _with_shingles(keyed: DataFrame, heads: DataFrame) -> DataFrame:
         for batch in batches:
             flat = batch.column(1).flatten()
             each = np.asarray(batch.column(1).value_lengths())
-            first, at, out = flat.field("first").to_numpy(), 0, []
+            first, last, at, out = flat.field("first").to_numpy(), flat.field("stop").to_numpy(), 0, []
+            begins, stops = [], []
             data, offsets = column_bytes(batch.column(0))
             for r, n in enumerate(each.tolist()):
                 text = data[offsets[r]:offsets[r + 1]]
-                starts, _, _, words = finder.words(text, np.array([0, len(text)]))
+                starts, ends, _, words = finder.words(text, np.array([0, len(text)]))
                 runs = finder.runs(words, SHINGLE)
                 begin = np.searchsorted(starts, first[at:at + n])
-                sets = np.sort(runs[begin[:, None] + np.arange(SPAN - SHINGLE + 1)], axis=1)
-                new = np.ones(sets.shape, bool)
-                new[:, 1:] = sets[:, 1:] != sets[:, :-1]
-                out += [s[k].tobytes() for s, k in zip(sets, new)]
+                end = np.searchsorted(starts, last[at:at + n]) - SHINGLE + 1
+                for x, y in zip(begin.tolist(), end.tolist()):
+                    out.append(runs[x:y].tobytes())
+                    begins.append(starts[x:y].astype(np.int32).tobytes())
+                    stops.append(ends[x + SHINGLE - 1:y + SHINGLE - 1].astype(np.int32).tobytes())
                 at += n
             yield pa.RecordBatch.from_arrays(
-                [flat.field("gram"), flat.field("content"), pa.array(out, pa.binary())],
-                names=["gram", "content", "shingles"])
+                [flat.field("gram"), flat.field("content"), *(
+                    pa.array(x, pa.binary()) for x in (out, begins, stops))],
+                names=["gram", "content", "shingles", "begins", "stops"])
 
     return keyed.join(wanted, ["id", "tag"]).select("text", "spans").mapInArrow(
-        cut, "gram long, content long, shingles binary").dropDuplicates(["content"])
+        cut, "gram long, content long, shingles binary, begins binary, stops binary").dropDuplicates(["content"])
 
 
 def similar_links(paragraphs: DataFrame) -> DataFrame:
@@ -229,23 +378,36 @@ def similar_links(paragraphs: DataFrame) -> DataFrame:
     shingles) that meet in a band and are similar; of each block a forest with
     the same components."""
     def bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        salt = mix(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         for batch in batches:
             if not batch.num_rows:
                 continue
-            gram = batch.column(0).to_numpy().view(np.uint64)
+            whole = np.asarray(batch.column(0).is_null())
+            gram = batch.column(0).fill_null(0).to_numpy().view(np.uint64)
             sets = batch.column(2).to_pylist()
             size = np.fromiter(map(len, sets), np.int64, len(sets)) // 8
-            values = np.frombuffer(b"".join(sets), np.uint64)
-            keys = np.minimum.reduceat(mix(values[:, None] ^ salt), np.cumsum(size) - size, axis=0)
-            keys = mix(keys ^ (gram[:, None] * salt))
-            row = pa.array(np.repeat(np.arange(batch.num_rows), BANDS))
+            values, first = np.frombuffer(b"".join(sets), np.uint64), np.cumsum(size) - size
+            keys, rows = [], []
+            for those, count, width in ((whole, UNIT_BANDS, UNIT_ROWS), (~whole, BANDS, 1)):
+                at = np.flatnonzero(those)
+                if len(at):
+                    found = band_keys(values, first[at], size[at], count, width)
+                    if not width > 1:
+                        found = mix(found ^ mix(gram[at])[:, None])
+                    keys.append(found.ravel())
+                    rows.append(np.repeat(at, count))
+            row = pa.array(np.concatenate(rows))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.ravel().view(np.int64)), batch.column(1).take(row),
+                [pa.array(np.concatenate(keys).view(np.int64)), batch.column(1).take(row),
                  batch.column(2).take(row)], names=["key", "content", "shingles"])
 
-    keyed = shared_keys(paragraphs.select("gram", "content", "shingles").mapInArrow(
-        bands, "key long, content long, shingles binary"), "key")
+    rows = paragraphs.select("gram", "content", "shingles").mapInArrow(
+        bands, "key long, content long, shingles binary")
+    # keys with the same members are verified once
+    groups = materialize(rows.groupBy("key").agg(
+        F.count("*").alias("n"), F.bit_xor("content").alias("x"),
+        F.bit_xor(F.xxhash64("content")).alias("y")).filter("n > 1"), "band-keys")
+    keyed = rows.join(materialize(groups.groupBy("n", "x", "y").agg(F.min("key").alias("key")).select(
+        "key", "n"), "key-counts"), "key")
     blocks = materialize(keyed.groupBy(
         "key", F.pmod(F.xxhash64("content"), F.ceil(F.col("n") / BLOCK)).alias("block"), "n").agg(
             F.collect_list(F.struct("content", "shingles")).alias("rows")), "paragraph-blocks")
@@ -275,7 +437,7 @@ def similar_links(paragraphs: DataFrame) -> DataFrame:
 def _sets(rows) -> tuple[np.ndarray, list[np.ndarray]]:
     flat = rows.values
     return flat.field("content").to_numpy(), [
-        np.frombuffer(s, np.uint64) for s in flat.field("shingles").to_pylist()]
+        np.unique(np.frombuffer(s, np.uint64)) for s in flat.field("shingles").to_pylist()]
 
 
 def similar_pairs(sets: list[np.ndarray], split: int = 0) -> np.ndarray:
@@ -284,9 +446,11 @@ def similar_pairs(sets: list[np.ndarray], split: int = 0) -> np.ndarray:
     size = np.array([len(s) for s in sets])
     if size.sum() == 0:
         return np.zeros((0, 2), np.int64)
-    terms, at = np.unique(np.concatenate(sets), return_inverse=True)
-    has = np.zeros((len(sets), len(terms)), np.float32)
-    has[np.repeat(np.arange(len(sets)), size), at] = 1
+    terms, at, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    held = count > 1                                   # others are in no two sets
+    column = np.cumsum(held) - 1
+    has = np.zeros((len(sets), int(held.sum())), np.float32)
+    has[np.repeat(np.arange(len(sets)), size)[held[at]], column[at[held[at]]]] = 1
     left, right = (has[:split], has[split:]) if split else (has, has)
     both = left @ right.T
     union = size[:len(left), None] + size[split:][None, :] - both

@@ -259,3 +259,49 @@ def test_paragraphs_of_rows_without_ids(spark):
     # the others keep nothing of the passage but a window at each end
     left = [t for t in got if t not in clean]
     assert all(len(set(t.split()) & set(p)) <= 2 * paragraphs.WINDOW for t in left)
+
+
+def test_near_copies_with_interior_edits(spark):
+    """All pairs of lines of similarity 0.8 by brute force, whatever words differ."""
+    rng = random.Random(21)
+
+    def some(n):
+        return [f"w{rng.randrange(5000)}" for _ in range(n)]
+    lines = []
+    for _ in range(60):
+        base = some(rng.randint(40, 120))
+        lines.append(base)
+        for _ in range(4):
+            w = list(base)
+            for _ in range(rng.randint(1, 2)):
+                w[rng.randrange(len(w))] = f"x{rng.randrange(10 ** 6)}"
+            lines.append(w)
+    rng.shuffle(lines)
+    rows = [(i, " ".join(some(5)) + "\n" + " ".join(w) + "\n" + " ".join(some(6))) for i, w in enumerate(lines)]
+    sets = [{tuple(w[k:k + 5]) for k in range(len(w) - 4)} for w in lines]
+    pairs = [(i, j) for j in range(len(sets)) for i in range(j)
+             if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    root = union(len(lines), pairs)
+    want = {i for i, r in enumerate(root) if i != r}
+    cut = {r.doc_id: r.text for r in paragraphs.cut_documents(frame(spark, rows)).collect()}
+    # edited words at a line's ends, which the kept line does not hold, stay
+    gone = {i for i, w in enumerate(lines) if len(set(w) & set(cut[i].split())) <= 20}
+    assert len(pairs) > 100 and len(want & gone) >= 0.99 * len(want)
+    # a document with no like keeps all
+    alone = {i for i in range(len(lines)) if not any(sets[i] & sets[j] for j in range(len(sets)) if j != i)}
+    assert all(cut[i] == rows[i][1] for i in alone)
+
+
+def test_units_come_back_after_an_edit():
+    """Pieces of a text without line breaks cover it, and return after an edit."""
+    import pyarrow as pa
+    rng = random.Random(22)
+    w = [f"w{rng.randrange(5000)}" for _ in range(3000)]
+    v = list(w)
+    v[1500] = "edit"
+    texts = pa.array([" ".join(w), " ".join(v), " ".join(w[700:]), "a b", "same " * 2000])
+    f = paragraphs.Finder().units(texts)
+    of = [set(f["content"][f["row"] == r].tolist()) for r in range(5)]
+    assert len(of[0] - of[1]) <= 3 and len(of[2] - of[0]) <= 2 and not of[3] and of[4]
+    at = f["row"] == 0
+    assert (np.sort(f["first"][at])[1:] == np.sort(f["stop"][at])[:-1] + 1).all()
