@@ -316,19 +316,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              size: int = SHINGLE, limit: int = DISTANCE) -> DataFrame:
     """The rows of ``docs`` with one document of each component: the one with
-    the smallest id. A null id counts as a negative number made from its text;
-    of rows that share an id one stays."""
-    from pyspark.sql import Window
-
+    the smallest id, and of rows that share it the one whose text has the least
+    hash. A null id counts as a negative number made from its text; of rows with
+    equal id and text one stays."""
     mark = "__row_id"
     while mark in docs.columns:
         mark += "_"
-    own = F.coalesce(F.col(f"`{id_col}`").cast("long"), -F.xxhash64(text_or_empty(text_col)).bitwiseAND(
-        F.lit((1 << 63) - 1)) - 1)
-    rows = docs.withColumn(mark, own)
+    text = F.xxhash64(text_or_empty(text_col))
+    own = F.coalesce(F.col(f"`{id_col}`").cast("long"), -text.bitwiseAND(F.lit((1 << 63) - 1)) - 1)
+    rows = docs.withColumn(mark, F.struct(own.alias("id"), text.alias("text")))
     kept = near_duplicates(rows, mark, text_col, size, limit).filter(
         F.col(mark) == F.col("component_id")).select(mark).distinct()
-    once = Window.partitionBy(mark).orderBy(F.xxhash64(text_or_empty(text_col)))
-    order = "__nth" if "__nth" not in docs.columns else mark + "_nth"
-    return rows.join(kept, mark).withColumn(order, F.row_number().over(once)).filter(
-        F.col(order) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return rows.join(kept, mark).dropDuplicates([mark]).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -305,3 +305,13 @@ def test_units_come_back_after_an_edit():
     assert len(of[0] - of[1]) <= 3 and len(of[2] - of[0]) <= 2 and not of[3] and of[4]
     at = f["row"] == 0
     assert (np.sort(f["first"][at])[1:] == np.sort(f["stop"][at])[:-1] + 1).all()
+
+
+def test_one_row_of_each_component_stays(spark):
+    """Rows that share an id, with unlike texts: none is a copy of another."""
+    rng = random.Random(31)
+    texts = [" ".join(f"w{rng.randrange(5000)}" for _ in range(80)) for _ in range(6)]
+    rows = [(7, t) for t in texts] + [(3, texts[0]), (7, texts[1]), (None, texts[2])]
+    kept = simhash.keep_one(frame(spark, rows)).collect()
+    assert sorted(r.text for r in kept) == sorted(texts)
+    assert {r.doc_id for r in kept if r.text == texts[0]} == {3}
