@@ -397,22 +397,29 @@ def similar_links(paragraphs: DataFrame) -> DataFrame:
                     rows.append(np.repeat(at, count))
             row = pa.array(np.concatenate(rows))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(keys).view(np.int64)), batch.column(1).take(row),
-                 batch.column(2).take(row)], names=["key", "content", "shingles"])
+                [pa.array(np.concatenate(keys).view(np.int64)), batch.column(1).take(row)],
+                names=["key", "content"])
 
-    rows = paragraphs.select("gram", "content", "shingles").mapInArrow(
-        bands, "key long, content long, shingles binary")
+    rows = materialize(paragraphs.select("gram", "content", "shingles").mapInArrow(
+        bands, "key long, content long"), "bands")
     # keys with the same members are verified once
     groups = materialize(rows.groupBy("key").agg(
         F.count("*").alias("n"), F.bit_xor("content").alias("x"),
         F.bit_xor(F.xxhash64("content")).alias("y")).filter("n > 1"), "band-keys")
     keyed = rows.join(materialize(groups.groupBy("n", "x", "y").agg(F.min("key").alias("key")).select(
         "key", "n"), "key-counts"), "key")
-    blocks = materialize(keyed.groupBy(
-        "key", F.pmod(F.xxhash64("content"), F.ceil(F.col("n") / BLOCK)).alias("block"), "n").agg(
-            F.collect_list(F.struct("content", "shingles")).alias("rows")), "paragraph-blocks")
-    alone = blocks.select("rows", F.lit(None).cast(blocks.schema["rows"].dataType).alias("others"))
-    crowd = blocks.filter(F.col("n") > BLOCK)
+    members = materialize(keyed.select("key", "content", "n", F.pmod(
+        F.xxhash64("content"), F.ceil(F.col("n") / BLOCK)).alias("block")), "members")
+    sets = paragraphs.select("content", "shingles")
+
+    def blocks(members: DataFrame) -> DataFrame:
+        """Shingles join only the members of keys that are left."""
+        return members.join(sets, "content").groupBy("key", "block", "n").agg(
+            F.collect_list(F.struct("content", "shingles")).alias("rows"))
+
+    every = blocks(members)
+    alone = every.select("rows", F.lit(None).cast(every.schema["rows"].dataType).alias("others"))
+    crowd = materialize(blocks(members.filter(F.col("n") > BLOCK)), "paragraph-blocks")
     other = crowd.select("key", F.col("block").alias("block2"), F.col("rows").alias("others"))
     across = crowd.join(other, "key").filter(F.col("block") < F.col("block2")).select("rows", "others")
 
