@@ -57,18 +57,31 @@ def quantise(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return codes, scale, error
 
 
+def even(rows: np.ndarray) -> np.ndarray:
+    """Each row times a power of two that brings its largest component to 1 or
+    just above: exact (but for components that no sum could tell), and squares
+    neither vanish nor overflow."""
+    _, power = np.frexp(np.abs(rows).max(axis=-1, keepdims=True))
+    return np.ldexp(rows, 1 - power)
+
+
 def cosines(query: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Cosine of one vector with each row, in double precision (each row summed
-    on its own, so a score does not depend on the tile)."""
-    length = np.sqrt((rows * rows).sum(axis=1))
-    return (rows * query).sum(axis=1) / (length * np.sqrt((query * query).sum()))
+    on its own from its first component on, so a score does not depend on the
+    tile)."""
+    query, rows = even(query), even(rows)
+
+    def total(x: np.ndarray) -> np.ndarray:
+        return np.cumsum(x, axis=-1)[..., -1]
+
+    return total(rows * query) / (np.sqrt(total(rows * rows)) * np.sqrt(total(query * query)))
 
 
 def search_tile(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray,
                 k: int) -> Iterator[tuple[int, int, float]]:
     """(query, candidate, score) of each query's k nearest in the tile."""
     def unit(x: np.ndarray) -> np.ndarray:
-        x = x / np.abs(x).max(axis=1)[:, None]        # no overflow of squares
+        x = even(x)
         return x / np.linalg.norm(x, axis=1)[:, None]
 
     c8, c_scale, c_error = quantise(unit(c))
