@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logwarden.session import scratch_path
+from logwarden.session import delete_path, scratch_path
 
 #: Bytes of one Arrow batch handed to a Python worker: bounds a worker's
 #: memory however long the texts of a batch are (one row always fits whole).
@@ -47,7 +47,24 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._scratch_folder = path
+    return table
+
+
+def release(spark: SparkSession) -> None:
+    """Have the driver's JVM let go of the finished steps: Spark deletes their
+    shuffle files when their plans are collected, which a quiet driver puts off
+    for up to half an hour."""
+    spark.sparkContext._jvm.System.gc()
+
+
+def drop_scratch(*tables: DataFrame) -> None:
+    """Delete the folders of ``materialize``d tables that nothing reads any more
+    (no frame made from them may still be run), and ``release`` what made them."""
+    for table in tables:
+        delete_path(table.sparkSession, table._scratch_folder)
+    release(tables[0].sparkSession)
 
 
 def shared_keys(rows: DataFrame, *keys: str, count: str = "n") -> DataFrame:

@@ -6,22 +6,24 @@ starts the one whose GRAM-word gram has the least hash. A passage of at least
 SPAN + WINDOW - 1 words (47) therefore holds at least one paragraph wherever it
 is pasted, and the same ones each time.
 
-1. Each task settles paragraphs that repeat within a batch; the others meet by
-   their first gram, and grams that occur once end there.
-2. Equal paragraphs leave the earliest (smallest id, then place).
-3. Near copies are sought among units: lines of SPAN to LONG words, and pieces
+1. Equal paragraphs (by content) leave the earliest (smallest id, then place).
+   Their rows are counted first, so only repeated ones are kept.
+2. Near copies are sought among units: lines of SPAN to LONG words, and pieces
    of whole texts, cut where the hash of CUT_GRAM words is the least within
    REACH words on both sides (so ends come back after an edit; a piece has
    SPAN words at least, and is split after LONG). Units get a MinHash signature
-   over their five-word shingles: UNIT_BANDS bands of UNIT_ROWS values, in one
-   of which two units of similarity 0.8 meet with probability 0.998. Different
-   30-word paragraphs with one first gram meet too, in BANDS bands of one value
-   and the gram. Sets that meet in a band are verified by exact Jaccard
-   similarity (0.8 or more), in blocks of bounded size.
-4. Verified links form components; each leaves its earliest member. Of the
+   over their five-word shingles: BANDS bands of ROWS values, in one of which
+   two units of similarity 0.8 meet with probability 0.998, of 0.4 with 0.45 and
+   of 0.2 with 0.07. Units that meet in a band are verified by exact Jaccard
+   similarity (0.8 or more), in blocks of bounded size. Shingles are worked out
+   for these units only, once each.
+3. Verified links form components; each leaves its earliest member. Of the
    others goes what lies between the first and the last shingle that the
    earliest holds too (all, if they are linked only by way of others).
 
+What a row yields depends on that row alone, so steps that read the input again
+agree whatever order its rows come in.
+
 Defined results: null text counts as empty; texts shorter than SPAN words lose
 nothing; letters A-Z count as lower case; null ids count as larger than all
 others; rows that share an id are not earlier than each other at the same
@@ -39,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, materialize, shared_keys, text_hash, text_or_empty
+from .common import bound_batches, drop_scratch, materialize, release, shared_keys, text_hash, text_or_empty
 from .components import components
 from .simhash import forest
 from .suffix_dedup import LAST_ID, sliding_least
@@ -47,9 +49,8 @@ from .word_ids import Hasher, column_bytes, mix, row_groups, word_bounds
 
 SPAN, WINDOW, GRAM = 30, 18, 8
 SHINGLE, SIMILARITY = 5, 0.8
-BANDS = 4
 LONG, CUT_GRAM, REACH = 256, 3, 31
-UNIT_BANDS, UNIT_ROWS = 6, 2
+BANDS, ROWS = 9, 3
 #: Paragraphs of one band key compared in one block.
 BLOCK = 256
 #: Starts handled in one pass (places must fit 24 bits).
@@ -112,14 +113,13 @@ class Finder:
             self.hasher._grow(len(words) + 1)
             sums = np.zeros(len(words) + 1, np.uint64)
             np.cumsum(words * self.hasher.power[:len(words)], out=sums[1:])
-            keys = band_keys(self.runs(words, SHINGLE), at, stop - at - SHINGLE + 1,
-                             UNIT_BANDS, UNIT_ROWS)
+            keys = band_keys(self.runs(words, SHINGLE), at, stop - at - SHINGLE + 1, BANDS, ROWS)
             found.append({"row": row[at] + a, "content": self.hasher.ranges(sums, at, stop),
                           "first": starts[at] - own[row[at]], "stop": ends[stop - 1] - own[row[at]],
                           "keys": keys})
         empty = {"row": np.zeros(0, np.int64), "content": np.zeros(0, np.uint64),
                  "first": np.zeros(0, np.int64), "stop": np.zeros(0, np.int64),
-                 "keys": np.zeros((0, UNIT_BANDS), np.uint64)}
+                 "keys": np.zeros((0, BANDS), np.uint64)}
         return {k: np.concatenate([f[k] for f in found]) if found else v for k, v in empty.items()}
 
     def starts(self, grams: np.ndarray, row: np.ndarray) -> np.ndarray:
@@ -188,229 +188,217 @@ def unit_bounds(words: np.ndarray, cuts: np.ndarray, row: np.ndarray, line: np.n
 def band_keys(values: np.ndarray, first: np.ndarray, size: np.ndarray,
               bands: int, rows: int) -> np.ndarray:
     """Band keys of sets of shingles, values[first:first + size] each (which may
-    overlap), as rows of ``bands`` keys of ``rows`` least values."""
-    salt = mix(np.arange(1, bands * rows + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    overlap), as rows of ``bands`` keys of ``rows`` least values. Values are
+    well mixed, so their products with odd numbers serve as random orders."""
+    salt = mix(np.arange(1, bands * rows + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
     edges = np.stack([first, first + size], 1).ravel()
     values = np.r_[values, np.uint64(0)]               # an edge may be the end
     out = np.empty((len(first), bands), np.uint64)
     for b in range(bands):
         key = np.zeros(len(first), np.uint64)
         for k in range(b * rows, (b + 1) * rows):
-            key = mix((key ^ np.minimum.reduceat(mix(values ^ salt[k]), edges)[::2]) * salt[k])
+            key = mix((key ^ np.minimum.reduceat(values * salt[k], edges)[::2]) * salt[k])
         out[:, b] = key
     return out
 
 
-_REMOVED = "id long, tag long, first int, stop int, source long"
+_PLACES = "id long, tag long, first int, stop int"
+_REMOVED = f"{_PLACES}, source long"
 
 
-def _batch(finder: Finder, batch: pa.RecordBatch, units: bool = False):
-    """Paragraphs (or units) of a batch, and of each whether it is its content's first."""
-    f = (finder.units if units else finder.column)(batch.column(1))
-    ids, tags = (batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64)[f["row"]]
-                 for k in (0, 2))
-    order = np.lexsort((f["first"], ids, f["content"]))
-    c = f["content"][order]
-    new = np.r_[True, c[1:] != c[:-1]] if len(c) else np.zeros(0, bool)
-    head = order[np.maximum.accumulate(np.where(new, np.arange(len(c)), 0))] if len(c) else order
-    later = (ids[order] != ids[head]) | (f["first"][order] != f["first"][head])
-    return f, ids, tags, order[new], order[later], ids[head[later]]
+def _found(docs: DataFrame, units: bool) -> DataFrame:
+    """Every paragraph (or unit, with its band keys) of (id, text, tag) rows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder = Finder()
+        for batch in batches:
+            f = (finder.units if units else finder.column)(batch.column(1))
+            row = pa.array(f["row"])
+            columns = {"content": pa.array(f["content"].view(np.int64)), "id": batch.column(0).take(row),
+                       "tag": batch.column(2).take(row), "first": pa.array(f["first"].astype(np.int32)),
+                       "stop": pa.array(f["stop"].astype(np.int32))}
+            if units:
+                ends = pa.array(np.arange(len(row) + 1) * BANDS, pa.int32())
+                columns["keys"] = pa.ListArray.from_arrays(ends, pa.array(f["keys"].ravel().view(np.int64)))
+                columns["apart"] = pa.ListArray.from_arrays(ends, pa.array(keys_apart(f)))
+            yield pa.RecordBatch.from_pydict(columns)
+
+    return docs.mapInArrow(run, f"content long, {_PLACES}" + (
+        ", keys array<long>, apart array<boolean>" if units else ""))
+
+
+def keys_apart(units: dict[str, np.ndarray]) -> np.ndarray:
+    """Of every band key of every unit whether its row holds two units with that
+    key that do not overlap (a line and a piece of it are no copies)."""
+    keys = units["keys"].ravel()
+    if not len(keys):
+        return np.zeros(0, bool)
+    row, first, stop = (np.repeat(units[c], BANDS) for c in ("row", "first", "stop"))
+    order = np.lexsort((keys, row))
+    new = np.r_[True, (keys[order][1:] != keys[order][:-1]) | (row[order][1:] != row[order][:-1])]
+    head = np.flatnonzero(new)
+    apart = np.maximum.reduceat(first[order], head) >= np.minimum.reduceat(stop[order], head)
+    out = np.empty(len(keys), bool)
+    out[order] = apart[np.cumsum(new) - 1]
+    return out
 
 
-def _merged(ids, tags, first, stop, source) -> list[np.ndarray]:
-    """Overlapping ranges of one document and source as one range."""
-    order = np.lexsort((first, source, tags, ids))
-    ids, tags, first, stop, source = (x[order] for x in (ids, tags, first, stop, source))
-    if not len(ids):
-        return [ids, tags, first, stop, source]
-    new = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1])
-                               | (source[1:] != source[:-1]) | (first[1:] > stop[:-1])])
-    return [ids[new], tags[new], first[new], np.maximum.reduceat(stop, new), source[new]]
+def _heads(rows: DataFrame) -> DataFrame:
+    """(content, head) with the earliest place of each content."""
+    return rows.groupBy("content").agg(F.min(F.struct("id", "first", "stop", "tag")).alias("head"))
+
+
+def _later(rows: DataFrame, heads: DataFrame) -> DataFrame:
+    """The rows that are not their content's earliest, with its id as source."""
+    return rows.join(heads.select("content", "head"), "content").filter(
+        F.struct("id", "first") > F.struct("head.id", "head.first")).select(
+            "id", "tag", "first", "stop", F.col("head.id").alias("source"))
 
 
 def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, tag, first, stop, source): all paragraphs to remove, as byte ranges
-    (of one or several overlapping paragraphs), each with a document that keeps
+    (which may overlap), each with a document that keeps
     (or itself refers on to) its like. tag is
     a 64-bit hash of the text, so that rows sharing an id stay apart."""
-    bound_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    bound_batches(spark)
     keyed = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST_ID)).alias("id"),
                         text_or_empty(F.col(f"`{text_col}`")).alias("text")).withColumn(
                             "tag", text_hash("text"))
 
-    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = Finder()
-        for batch in batches:
-            f, ids, tags, at, _, _ = _batch(finder, batch)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(f["gram"][at].view(np.int64)), pa.array(f["content"][at].view(np.int64)),
-                 pa.array(ids[at]), pa.array(tags[at]), pa.array(f["first"][at].astype(np.int32)),
-                 pa.array(f["stop"][at].astype(np.int32))],
-                names=["gram", "content", "id", "tag", "first", "stop"])
-
-    def settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = Finder()
-        for batch in batches:
-            f, ids, tags, _, at, source = _batch(finder, batch)
-            columns = _merged(ids[at], tags[at], f["first"][at], f["stop"][at], source)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c.astype(t)) for c, t in zip(columns, ("i8", "i8", "i4", "i4", "i8"))],
-                names=["id", "tag", "first", "stop", "source"])
-
-    here = keyed.mapInArrow(settled, _REMOVED)
-    met = materialize(shared_keys(keyed.mapInArrow(
-        candidates, "gram long, content long, id long, tag long, first int, stop int"),
-        "gram").drop("n"), "met-paragraphs")
-    classes = materialize(met.groupBy("gram", "content").agg(
-        F.min(F.struct("id", "first", "stop", "tag")).alias("head")), "paragraph-classes")
-    later = met.join(classes.select("content", "head"), "content").filter(
-        F.struct("id", "first") > F.struct("head.id", "head.first")).select(
-            "id", "tag", "first", "stop", F.col("head.id").alias("source"))
-
-    def unit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = Finder()
-        for batch in batches:
-            f, ids, tags, at, gone, source = _batch(finder, batch, units=True)
-            every = np.r_[at, gone]
-            ends = np.minimum(np.arange(len(every) + 1), len(at)) * UNIT_BANDS
-            keys = pa.ListArray.from_arrays(
-                pa.array(ends, pa.int32()), pa.array(f["keys"][at].ravel().view(np.int64)))
-            settled_by = pa.array(np.r_[np.zeros(len(at), np.int64), source],
-                                  mask=np.arange(len(every)) < len(at))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(f["content"][every].view(np.int64)), keys, pa.array(ids[every]),
-                 pa.array(tags[every]), pa.array(f["first"][every].astype(np.int32)),
-                 pa.array(f["stop"][every].astype(np.int32)), settled_by],
-                names=["content", "keys", "id", "tag", "first", "stop", "source"])
-
-    units = materialize(keyed.mapInArrow(
-        unit_rows, "content long, keys array<long>, id long, tag long, first int, stop int, source long"),
-        "units")
-    open_units = units.filter("source is null").drop("source")
-    unit_classes = materialize(open_units.groupBy("content").agg(
-        F.min(F.struct("id", "first", "stop", "tag")).alias("head"), F.first("keys").alias("keys")),
-        "unit-classes")
-    later_units = open_units.join(unit_classes.select("content", "head"), "content").filter(
-        F.struct("id", "first") > F.struct("head.id", "head.first")).select(
-            "id", "tag", "first", "stop", F.col("head.id").alias("source"))
-    met_units = shared_keys(unit_classes.select("content", F.explode("keys").alias("key")), "key").select(
-        "content").distinct()
-    near_units = unit_classes.join(met_units, "content").select(
-        F.lit(None).cast("long").alias("gram"), "content", "head.*")
-    several = materialize(shared_keys(classes, "gram").select("gram", "content", "head.*").unionByName(
-        near_units), "variants")
+    met = materialize(shared_keys(_found(keyed, units=False), "content").drop("n"), "met-paragraphs")
+    first = materialize(_heads(met), "paragraph-heads")      # plain tables: a hot content can be split
+    equal = materialize(_later(met, first), "equal-paragraphs")
+    drop_scratch(met)
+    units = materialize(_found(keyed, units=True), "units")
+    heads = materialize(_heads(units), "unit-heads")
+    equal_units = materialize(_later(units, heads), "equal-units")
+    release(spark)
+    members = materialize(band_members(units), "members")
+    drop_scratch(units)
+    several = materialize(heads.join(members.select("content").distinct(), "content").select(
+        "content", "head.*"), "variants")
+    drop_scratch(heads)
     shingles = materialize(_with_shingles(keyed, several), "shingles")
-    links = similar_links(shingles)
-    roots = components(links, "a", "b")
+    roots = materialize(components(similar_links(members, shingles), "a", "b"), "roots")
+    drop_scratch(members)
     joined = several.join(roots, several["content"] == roots["node"], "left").withColumn(
         "root", F.coalesce("component", "content"))
-    heads = joined.groupBy("root").agg(F.min(F.struct("id", "first", "content", "tag", "stop")).alias("kept"))
+    kept = joined.groupBy("root").agg(F.min(F.struct("id", "first", "content", "tag", "stop")).alias("kept"))
     # a line and a piece of one text may overlap and be alike: not copies
     itself = (F.col("id") == F.col("kept.id")) & (F.col("tag") == F.col("kept.tag")) & (
         F.col("first") < F.col("kept.stop"))
-    near = _trimmed(joined.join(heads, "root").filter(
+    near = joined.join(kept, "root").filter(
         (F.struct("id", "first") > F.struct("kept.id", "kept.first")) & ~itself).select(
-            "content", "id", "tag", "first", "stop", F.col("kept.content").alias("like"),
-            F.col("kept.id").alias("source")), shingles)
-    return here.unionByName(units.filter("source is not null").select(
-        "id", "tag", "first", "stop", "source")).unionByName(later).unionByName(later_units).unionByName(near.distinct())
+            "content", F.col("kept.content").alias("like"), F.col("kept.id").alias("source"))
+    copies = materialize(_trimmed(keyed, several.join(near, "content"), shingles), "near-units")
+    drop_scratch(shingles)
+    return equal.unionByName(equal_units).unionByName(copies)
+
+
+def _one_row_each(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(text, columns of ``wanted``) for its (id, tag): rows of ``keyed`` that
+    share both hold one text, of which one is taken; only such texts are
+    shuffled for that."""
+    names = ["id", "tag"]
+    copies = keyed.groupBy(*names).agg(F.count("*").alias("copies"))
+    known = materialize(wanted.join(copies, names), "wanted")
+    once = keyed.join(known.filter("copies = 1"), names)
+    again = keyed.join(known.filter("copies > 1"), names).dropDuplicates(names)
+    return once.unionByName(again).drop("copies")
 
 
-def _trimmed(near: DataFrame, shingles: DataFrame) -> DataFrame:
+def _trimmed(keyed: DataFrame, near: DataFrame, shingles: DataFrame) -> DataFrame:
     """``near`` (content, id, tag, first, stop, like, source) without the words
     before the first and after the last shingle that ``like`` holds."""
+    held = near.join(shingles.select(F.col("content").alias("like"), "shingles"), "like")
+    wanted = held.groupBy("id", "tag").agg(F.collect_list(F.struct(
+        "first", "stop", "source", "shingles")).alias("spans"))
+
     def trim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder = Finder()
         for batch in batches:
-            first, stop = batch.column(2).to_numpy().copy(), batch.column(3).to_numpy().copy()
-            for r, (own, begins, stops, like) in enumerate(zip(
-                    *(batch.column(k).to_pylist() for k in (5, 6, 7, 8)))):
-                both = np.flatnonzero(np.isin(np.frombuffer(own, np.uint64), np.frombuffer(like, np.uint64)))
-                if len(both):
-                    first[r] = np.frombuffer(begins, np.int32)[both[0]]
-                    stop[r] = np.frombuffer(stops, np.int32)[both[-1]]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(first), pa.array(stop), batch.column(4)],
-                names=["id", "tag", "first", "stop", "source"])
-
-    own = shingles.select("content", "shingles", "begins", "stops")
-    like = shingles.select(F.col("content").alias("like"), F.col("shingles").alias("held"))
-    return near.join(own, "content").join(like, "like").select(
-        "id", "tag", "first", "stop", "source", "shingles", "begins", "stops", "held").mapInArrow(
-            trim, _REMOVED)
+            for r, spans in enumerate(batch.column("spans")):
+                text = batch.column("text").slice(r, 1)
+                starts, ends, _, words = finder.words(*column_bytes(text))
+                runs, out = finder.runs(words, SHINGLE), []
+                for s in spans.as_py():
+                    x = np.searchsorted(starts, s["first"])
+                    y = np.searchsorted(starts, s["stop"]) - SHINGLE + 1
+                    both = np.flatnonzero(np.isin(runs[x:y], np.frombuffer(s["shingles"], np.uint64)))
+                    first, stop = s["first"], s["stop"]
+                    if len(both):
+                        first, stop = int(starts[x + both[0]]), int(ends[x + both[-1] + SHINGLE - 1])
+                    out.append((first, stop, s["source"]))
+                first, stop, source = zip(*out)
+                n = len(out)
+                yield pa.RecordBatch.from_pydict({
+                    "id": batch.column("id").take(pa.array([r] * n)),
+                    "tag": batch.column("tag").take(pa.array([r] * n)),
+                    "first": pa.array(first, pa.int32()), "stop": pa.array(stop, pa.int32()),
+                    "source": pa.array(source, pa.int64())})
+
+    return _one_row_each(keyed, wanted).mapInArrow(trim, _REMOVED)
 
 
 def _with_shingles(keyed: DataFrame, heads: DataFrame) -> DataFrame:
-    """(gram, content, shingles, begins, stops): hashes and byte places of the
-    shingles of the first paragraph or unit (null gram) of each content, from its document's text."""
+    """(content, shingles): hashes of the different shingles of the earliest
+    unit of each content, from its document's text."""
     wanted = heads.groupBy("id", "tag").agg(F.collect_list(F.struct(
-        "gram", "content", "first", "stop")).alias("spans"))
+        "content", "first", "stop")).alias("spans"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Finder()
         for batch in batches:
-            flat = batch.column(1).flatten()
-            each = np.asarray(batch.column(1).value_lengths())
-            first, last, at, out = flat.field("first").to_numpy(), flat.field("stop").to_numpy(), 0, []
-            begins, stops = [], []
-            data, offsets = column_bytes(batch.column(0))
-            for r, n in enumerate(each.tolist()):
-                text = data[offsets[r]:offsets[r + 1]]
-                starts, ends, _, words = finder.words(text, np.array([0, len(text)]))
+            names, out = [], []
+            data, offsets = column_bytes(batch.column("text"))
+            for r, spans in enumerate(batch.column("spans")):
+                text, spans = data[offsets[r]:offsets[r + 1]], spans.values
+                starts, _, _, words = finder.words(text, np.array([0, len(text)]))
                 runs = finder.runs(words, SHINGLE)
-                begin = np.searchsorted(starts, first[at:at + n])
-                end = np.searchsorted(starts, last[at:at + n]) - SHINGLE + 1
-                for x, y in zip(begin.tolist(), end.tolist()):
-                    out.append(runs[x:y].tobytes())
-                    begins.append(starts[x:y].astype(np.int32).tobytes())
-                    stops.append(ends[x + SHINGLE - 1:y + SHINGLE - 1].astype(np.int32).tobytes())
-                at += n
-            yield pa.RecordBatch.from_arrays(
-                [flat.field("gram"), flat.field("content"), *(
-                    pa.array(x, pa.binary()) for x in (out, begins, stops))],
-                names=["gram", "content", "shingles", "begins", "stops"])
-
-    return keyed.join(wanted, ["id", "tag"]).select("text", "spans").mapInArrow(
-        cut, "gram long, content long, shingles binary, begins binary, stops binary").dropDuplicates(["content"])
-
-
-def similar_links(paragraphs: DataFrame) -> DataFrame:
-    """(a, b) links between the contents of ``paragraphs`` (gram, content,
-    shingles) that meet in a band and are similar; of each block a forest with
-    the same components."""
-    def bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            whole = np.asarray(batch.column(0).is_null())
-            gram = batch.column(0).fill_null(0).to_numpy().view(np.uint64)
-            sets = batch.column(2).to_pylist()
-            size = np.fromiter(map(len, sets), np.int64, len(sets)) // 8
-            values, first = np.frombuffer(b"".join(sets), np.uint64), np.cumsum(size) - size
-            keys, rows = [], []
-            for those, count, width in ((whole, UNIT_BANDS, UNIT_ROWS), (~whole, BANDS, 1)):
-                at = np.flatnonzero(those)
-                if len(at):
-                    found = band_keys(values, first[at], size[at], count, width)
-                    if not width > 1:
-                        found = mix(found ^ mix(gram[at])[:, None])
-                    keys.append(found.ravel())
-                    rows.append(np.repeat(at, count))
-            row = pa.array(np.concatenate(rows))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(keys).view(np.int64)), batch.column(1).take(row)],
-                names=["key", "content"])
-
-    rows = materialize(paragraphs.select("gram", "content", "shingles").mapInArrow(
-        bands, "key long, content long"), "bands")
-    # keys with the same members are verified once
-    groups = materialize(rows.groupBy("key").agg(
+                begin = np.searchsorted(starts, spans.field("first").to_numpy())
+                end = np.searchsorted(starts, spans.field("stop").to_numpy()) - SHINGLE + 1
+                names += spans.field("content").to_pylist()
+                out += [np.unique(runs[x:y]).tobytes() for x, y in zip(begin.tolist(), end.tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(out, pa.binary())],
+                                             names=["content", "shingles"])
+
+    return _one_row_each(keyed, wanted).mapInArrow(cut, "content long, shingles binary")
+
+
+def band_members(units: DataFrame) -> DataFrame:
+    """(key, content, n): the n different contents of every band key that has
+    several, in more than overlapping units of one text; of keys with the same
+    members one is kept. Rows meet by key once; counting and joining read the
+    same shuffle."""
+    # A unit goes by 32 bits of its text and 32 of its content; a second row
+    # stands for a unit of the same text that it does not overlap.
+    low = F.lit((1 << 32) - 1)
+    named = units.withColumn("ref", F.shiftleft(F.hash("id", "tag").cast("long"), 32).bitwiseOR(
+        F.col("content").bitwiseAND(low)))
+    other = F.lit(-1).cast("long")
+    rows = named.select("ref", F.inline(F.arrays_zip(
+        F.col("keys").alias("key"), F.col("apart").alias("apart")))).select("key", F.explode(
+            F.when(F.col("apart"), F.array("ref", other)).otherwise(F.array("ref"))).alias("ref")).repartition("key")
+    text, content = F.shiftright("ref", 32), F.when(F.col("ref") != other, F.col("ref").bitwiseAND(low))
+    shared = rows.groupBy("key").agg((F.min(text) < F.max(text)).alias("texts"),
+                                     (F.min(content) < F.max(content)).alias("contents")).filter(
+        "texts and contents").select("key")
+    refs = materialize(rows.join(shared, "key").filter(F.col("ref") != other).distinct(), "met-refs")
+    release(units.sparkSession)
+    met = materialize(refs.join(named.select("ref", "content").distinct(), "ref").select(
+        "key", "content").distinct(), "met-keys")
+    groups = materialize(met.groupBy("key").agg(
         F.count("*").alias("n"), F.bit_xor("content").alias("x"),
-        F.bit_xor(F.xxhash64("content")).alias("y")).filter("n > 1"), "band-keys")
-    keyed = rows.join(materialize(groups.groupBy("n", "x", "y").agg(F.min("key").alias("key")).select(
-        "key", "n"), "key-counts"), "key")
-    members = materialize(keyed.select("key", "content", "n", F.pmod(
-        F.xxhash64("content"), F.ceil(F.col("n") / BLOCK)).alias("block")), "members")
-    sets = paragraphs.select("content", "shingles")
+        F.bit_xor(F.xxhash64("content")).alias("y")).groupBy("n", "x", "y").agg(
+            F.min("key").alias("key")).select("key", "n"), "band-keys")
+    return met.join(groups, "key")
+
+
+def similar_links(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b) links between contents that meet in a band (``members``: key,
+    content, n) and whose ``sets`` (content, shingles) are similar; of each
+    block a forest with the same components."""
+    members = members.withColumn("block", F.pmod(F.xxhash64("content"), F.ceil(F.col("n") / BLOCK)))
 
     def blocks(members: DataFrame) -> DataFrame:
         """Shingles join only the members of keys that are left."""
@@ -444,7 +432,7 @@ def similar_links(paragraphs: DataFrame) -> DataFrame:
 def _sets(rows) -> tuple[np.ndarray, list[np.ndarray]]:
     flat = rows.values
     return flat.field("content").to_numpy(), [
-        np.unique(np.frombuffer(s, np.uint64)) for s in flat.field("shingles").to_pylist()]
+        np.frombuffer(s, np.uint64) for s in flat.field("shingles").to_pylist()]
 
 
 def similar_pairs(sets: list[np.ndarray], split: int = 0) -> np.ndarray:
