@@ -7,8 +7,8 @@ fit and every k-means iteration instead of re-reading the logs each time.
 Two deliberate changes to the original job:
 
 * Reproducibility: seeded k-means still depends on how rows are split into
-  partitions, so rows are hash-partitioned into a fixed number of partitions
-  and sorted within them before the fit. Same rows -> same model, whatever the
+  partitions, so rows are hash-partitioned into a number of partitions that
+  follows from the row count, and sorted within them before the fit. Same rows -> same model, whatever the
   input layout, and the fit stays parallel.
 * Meaning of cluster ids: k-means numbers clusters arbitrarily, yet the alert
   gates read id 1 as MEDIUM and id 2 as HIGH. ``order="error_rate"`` (default)
@@ -30,11 +30,16 @@ from ..schemas import CENTROID_TABLE_SCHEMA, SCALER_TABLE_SCHEMA, VECTOR_COLUMNS
 from ..functions import seconds
 from ..session import current_version, new_version, path_exists, publish_version
 
-# Partitions of the k-means fit. The fit depends on how rows are split, so the
-# count is one constant, stored with the model: never the session's setting or
-# the number of rows. A deployment with very large feature tables passes its own
-# ``partitions`` to ``train`` once and for all.
-FIT_PARTITIONS = 16
+# Feature rows of one partition of the k-means fit. The fit depends on how rows
+# are split, so the count follows from the number of rows alone (never from the
+# session's setting): the same rows give the same model, and more rows get more
+# tasks.
+FIT_ROWS = 100_000
+
+
+def fit_partitions(rows: int) -> int:
+    return max(1, -(-rows // FIT_ROWS))
+
 
 # A model table is read to the driver (it parameterises expressions); its size
 # is bounded by k and checked against this limit.
@@ -67,7 +72,7 @@ def fit_scaler(assembled: DataFrame, input_col: str = "raw_features",
                           withMean=True, withStd=True).fit(assembled)
 
 
-def stable_layout(df: DataFrame, partitions: int = FIT_PARTITIONS) -> DataFrame:
+def stable_layout(df: DataFrame, partitions: int) -> DataFrame:
     """Fixed hash partitioning + in-partition sort on the feature key, so the
     same rows always meet k-means in the same order."""
     keys = ["window_start", "serviceName"]
@@ -76,7 +81,7 @@ def stable_layout(df: DataFrame, partitions: int = FIT_PARTITIONS) -> DataFrame:
 
 def fit_kmeans(scaled: DataFrame, k: int = C.KMEANS_K,
                max_iter: int = C.KMEANS_MAX_ITER, seed: int = C.KMEANS_SEED,
-               features_col: str = "features", partitions: int = FIT_PARTITIONS) -> KMeansModel:
+               features_col: str = "features", partitions: int = 1) -> KMeansModel:
     km = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=features_col,
                 predictionCol="prediction")
     return km.fit(stable_layout(scaled, partitions))
@@ -93,7 +98,7 @@ class ModelBundle:
     centers: list[list[float]]
     fit_ids: list[int] = field(default_factory=list)   # k-means id per stored id
     order: str = "error_rate"
-    partitions: int = FIT_PARTITIONS                   # layout of the fit
+    partitions: int = 1                                # layout of the fit
     scaler_model: StandardScalerModel | None = None
     kmeans_model: KMeansModel | None = None
 
@@ -122,11 +127,12 @@ def _ordered(centers: list[list[float]], means: list[float], stds: list[float],
 
 def train(features: DataFrame, window: str, k: int = C.KMEANS_K,
           max_iter: int = C.KMEANS_MAX_ITER, seed: int = C.KMEANS_SEED,
-          order: str = "error_rate", partitions: int = FIT_PARTITIONS) -> ModelBundle:
+          order: str = "error_rate", partitions: int | None = None) -> ModelBundle:
     """Fit scaler and k-means on a feature table.
 
-    The k-means layout has ``partitions`` partitions whatever the session and
-    the input, so the same rows give the same model."""
+    The k-means layout has ``partitions`` partitions (by default as many as the
+    number of rows asks for) whatever the session and the input's layout, so the
+    same rows give the same model."""
     _check_cluster_count(k)
     assembled = assemble(features).select(
         "window_start", "serviceName", "raw_features").persist()
@@ -134,6 +140,7 @@ def train(features: DataFrame, window: str, k: int = C.KMEANS_K,
         rows = assembled.count()
         if rows == 0:
             raise ValueError("no feature rows to train on (no logs with a time stamp)")
+        partitions = partitions or fit_partitions(rows)
         scaler = fit_scaler(assembled)
         scaled = scaler.transform(assembled)
         km = fit_kmeans(scaled, k, max_iter, seed, partitions=partitions)

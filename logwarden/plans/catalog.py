@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..functions import error_marker, is_error, message_length, seconds
 from ..operators import alerts as A
+from ..operators.incremental import refit, refit_scaler, refresh_partials
 from ..operators.features import prepare_features, window_features
 from ..operators.model import (ensure_model, load_bundle, save_bundle, scaler_table, train,
                                train_scaler)
@@ -34,6 +35,8 @@ from ..streaming.detector import (current_features, fold_changelog,
                                   run_until_idle, start_detection,
                                   start_feature_changelog, start_feature_table,
                                   stream_features)
+from ..streaming.watch import (accounted_rows, open_windows, silent_services, start_late_accounting,
+                              start_session_table, SESSION_SCHEMA)
 from .fixed_model import FIXED_WINDOW, fixed_bundle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -175,6 +178,40 @@ def kmeans_check(spark, sf_dir):
         (F.sum("own") <= F.sum("alone") + 1e-6).alias("cost_not_above_one_cluster"))
 
 
+def _halves(spark, feats: DataFrame):
+    """The feature table as it stood halfway, and in full."""
+    lo, hi = feats.agg(F.min("window_start"), F.max("window_start")).first()
+    middle = lo + (hi - lo) / 2 if lo is not None else None
+    return [feats.filter(F.col("window_start") <= F.lit(middle)), feats]
+
+
+def scaler_stats_by_date(spark, sf_dir):
+    """Scaler statistics merged from per-date moments; the second half of the
+    dates is added to the stored first half."""
+    feats, path = _stored(spark, _features(spark, sf_dir, FIXED_WINDOW), "features"), scratch_path(spark, "partials")
+    for part in _halves(spark, feats):
+        refresh_partials(spark, part, path)
+    return scaler_table(spark, refit_scaler(spark, path, FIXED_WINDOW)).select(
+        "feature", "position", _round6(F.col("mean")).alias("mean"),
+        _round6(F.col("std")).alias("std"))
+
+
+def kmeans_coreset_check(spark, sf_dir):
+    """The model from per-date cells against one fitted on all rows: every row
+    scored, and a cost within 1 % (both costs over all rows, same scaler)."""
+    feats, path = _stored(spark, _features(spark, sf_dir, FIXED_WINDOW), "features"), scratch_path(spark, "partials")
+    for part in _halves(spark, feats):
+        refresh_partials(spark, part, path)
+    coreset, full = refit(spark, path, FIXED_WINDOW), train(feats, FIXED_WINDOW)
+    z = scaled_vector_columns(feats, full)
+
+    def cost(bundle):
+        return F.sum(F.array_min(F.array(*[_squared_distance(c) for c in bundle.centers])))
+
+    return z.agg(F.count(F.lit(1)).alias("rows"), F.lit(coreset.k).cast("long").alias("clusters"),
+                 (cost(coreset) <= cost(full) * 1.01 + 1e-9).alias("cost_within_one_percent"))
+
+
 def model_reuse_alerts(spark, sf_dir):
     """The fixed model saved, found again instead of trained, loaded, and used
     for scoring and alerts."""
@@ -339,10 +376,7 @@ def stream_topic_replay(spark, sf_dir):
     slice's batches. Every record lands in exactly one slice.
     """
     logs = load_logs(spark, sf_dir)
-    micros = F.unix_micros(F.col("timestamp"))
-    lo, hi = logs.agg(F.min(micros), F.max(micros)).first()
-    step = ((hi - lo) // REPLAY_SLICES + 1) if lo is not None else 1
-    which = F.coalesce(F.floor((micros - F.lit(lo or 0)) / F.lit(step)), F.lit(0))
+    which = _time_slices(logs, REPLAY_SLICES)
     out, ckpt = scratch_path(spark, "feat-changelog"), scratch_path(spark, "ckpt")
     folded = scratch_path(spark, "feat-folded")
     for i, records in _arriving_slices(spark, logs, which, REPLAY_SLICES):
@@ -373,6 +407,13 @@ def stream_late_rows(spark, sf_dir):
     return latest_features(spark, out)
 
 
+def _window_quarter():
+    """Which part of its window a log falls into."""
+    width = seconds(FIXED_WINDOW) * 1_000_000
+    return F.coalesce(F.floor(F.pmod(F.unix_micros("timestamp"), F.lit(width))
+                              / F.lit(width // REPLAY_SLICES)), F.lit(0))
+
+
 def stream_alerts_replay(spark, sf_dir):
     """Detection over REPLAY_SLICES time slices of every window: first the
     first quarter of all windows arrives, then the second, and so on, so each
@@ -380,16 +421,80 @@ def stream_alerts_replay(spark, sf_dir):
     gated value of each alert."""
     pin_utc(spark)
     logs = load_logs(spark, sf_dir)
-    width = seconds(FIXED_WINDOW) * 1_000_000
-    quarter = F.floor(F.pmod(F.unix_micros("timestamp"), F.lit(width)) / F.lit(width // REPLAY_SLICES))
     store, ckpt = scratch_path(spark, "alert-store"), scratch_path(spark, "ckpt")
-    for _, records in _arriving_slices(spark, logs, F.coalesce(quarter, F.lit(0)), REPLAY_SLICES):
+    for _, records in _arriving_slices(spark, logs, _window_quarter(), REPLAY_SLICES):
         run_until_idle(start_detection(logs_from_records(records), fixed_bundle(), store, ckpt,
                                        {"availableNow": True}, watermark="36500 days",
                                        state_partitions=_state_parts(spark)))
     return _checked_alert_columns(read_alerts(spark, store))
 
 
+def stream_alerts_withdrawn(spark, sf_dir):
+    """The slices of ``stream_alerts_replay`` with withdrawal: an alert raised on
+    partial counts goes when its window no longer passes, so the store ends with
+    the alerts of the final counts."""
+    pin_utc(spark)
+    logs = load_logs(spark, sf_dir)
+    store, ckpt = scratch_path(spark, "alert-store"), scratch_path(spark, "ckpt")
+    for _, records in _arriving_slices(spark, logs, _window_quarter(), REPLAY_SLICES):
+        run_until_idle(start_detection(logs_from_records(records), fixed_bundle(), store, ckpt,
+                                       {"availableNow": True}, watermark="36500 days", withdraw=True,
+                                       state_partitions=_state_parts(spark)))
+    return _checked_alert_columns(read_alerts(spark, store))
+
+
+def _time_slices(logs: DataFrame, n: int):
+    """The ``n`` equal time slices of the logs, as a slice number."""
+    micros = F.unix_micros(F.col("timestamp"))
+    lo, hi = logs.agg(F.min(micros), F.max(micros)).first()
+    step = ((hi - lo) // n + 1) if lo is not None else 1
+    return F.coalesce(F.floor((micros - F.lit(lo or 0)) / F.lit(step)), F.lit(0))
+
+
+SILENT_AFTER = "10 minutes"
+
+
+def stream_silent_services(spark, sf_dir):
+    """Silences of each service, over logs that arrive in time slices."""
+    pin_utc(spark)
+    logs = load_logs(spark, sf_dir)
+    out, ckpt = scratch_path(spark, "sessions"), scratch_path(spark, "ckpt")
+    for _, records in _arriving_slices(spark, logs, _time_slices(logs, REPLAY_SLICES), REPLAY_SLICES):
+        run_until_idle(start_session_table(logs_from_records(records), SILENT_AFTER, out, ckpt,
+                                           trigger={"availableNow": True},
+                                           state_partitions=_state_parts(spark)))
+    return silent_services(spark.read.schema(SESSION_SCHEMA).parquet(out))
+
+
+def stream_late_accounting(spark, sf_dir):
+    """Rows by service and reason when every LATE_EVERY-th event arrives after
+    all others (as in ``stream_late_rows``): on time and late add up to all."""
+    pin_utc(spark)
+    logs = load_logs(spark, sf_dir)
+    number = F.regexp_replace("relatedObjectId", "^EVT-", "").cast("long")
+    out, ckpt = scratch_path(spark, "accounted"), scratch_path(spark, "ckpt")
+    late = F.when(number % LATE_EVERY == 0, 1).otherwise(0)
+    for _, records in _arriving_slices(spark, logs, late, 2):
+        run_until_idle(start_late_accounting(logs_from_records(records), out, FIXED_WINDOW, ckpt,
+                                             trigger={"availableNow": True}))
+    return accounted_rows(spark, out).groupBy("serviceName", "batch_id", "reason").agg(
+        F.count(F.lit(1)).alias("total_logs"), F.min("timestamp").alias("first_log"),
+        F.max("timestamp").alias("last_log"))
+
+
+def stream_state_audit(spark, sf_dir):
+    """The windows that the feature stream holds open after each time slice."""
+    pin_utc(spark)
+    logs = load_logs(spark, sf_dir)
+    out, ckpt, audits = (scratch_path(spark, n) for n in ("feat-changelog", "ckpt", "audits"))
+    for i, records in _arriving_slices(spark, logs, _time_slices(logs, REPLAY_SLICES), REPLAY_SLICES):
+        feats = stream_features(logs_from_records(records), FIXED_WINDOW)
+        run_until_idle(start_feature_changelog(feats, out, ckpt, {"availableNow": True},
+                                               state_partitions=_state_parts(spark)))
+        open_windows(spark, ckpt).withColumn("slice", F.lit(i)).write.mode("append").parquet(audits)
+    return spark.read.parquet(audits)
+
+
 # --------------------------------------------------------------- sinks -----
 
 def training_snapshot(spark, sf_dir):
@@ -426,6 +531,8 @@ QUERIES: dict[str, Query] = {
     "centroid_score": centroid_score,
     "kmeans_profile": kmeans_profile,
     "kmeans_check": kmeans_check,
+    "scaler_stats_by_date": scaler_stats_by_date,
+    "kmeans_coreset_check": kmeans_coreset_check,
     "model_reuse_alerts": model_reuse_alerts,
     "alerts_medium": alerts_medium,
     "alerts_high": alerts_high,
@@ -441,6 +548,10 @@ QUERIES: dict[str, Query] = {
     "stream_topic_replay": stream_topic_replay,
     "stream_late_rows": stream_late_rows,
     "stream_alerts_replay": stream_alerts_replay,
+    "stream_alerts_withdrawn": stream_alerts_withdrawn,
+    "stream_silent_services": stream_silent_services,
+    "stream_late_accounting": stream_late_accounting,
+    "stream_state_audit": stream_state_audit,
     "training_snapshot": training_snapshot,
     "service_level_mix": service_level_mix_q,
     "service_gaps": service_gaps_q,

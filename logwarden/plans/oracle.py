@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from .. import constants as C
 from ..schemas import VECTOR_COLUMNS
-from .catalog import JUNK_EVERY, LATE_EVERY, NULL_EVERY, REPLAY_SLICES
+from .catalog import JUNK_EVERY, LATE_EVERY, NULL_EVERY, REPLAY_SLICES, SILENT_AFTER
 from .fixed_model import FIXED_CENTERS, FIXED_MEANS, FIXED_STDS, FIXED_WINDOW
 
 _SERVICES = C.SERVICE_NAMES
@@ -276,6 +276,57 @@ WHERE NOT ({late})
     return features(FIXED_WINDOW, logs)
 
 
+def _late_accounting() -> str:
+    late = f"CAST(substr(relatedObjectId, 5) AS BIGINT) % {LATE_EVERY} = 0"
+    end = (f"time_bucket(INTERVAL '{FIXED_WINDOW}', \"timestamp\", TIMESTAMP '1970-01-01')"
+           f" + INTERVAL '{FIXED_WINDOW}'")
+    return f"""
+SELECT serviceName, batch_id, reason, count(*) AS total_logs, min("timestamp") AS first_log,
+       max("timestamp") AS last_log
+FROM (SELECT serviceName, CAST({late} AS BIGINT) AS batch_id,
+             date_trunc('millisecond', "timestamp") AS "timestamp",
+             CASE WHEN "timestamp" IS NULL THEN 'missing_timestamp'
+                  WHEN {late} AND {end} <= mark THEN 'window_closed' END AS reason
+      FROM ({LOGS}) l, (SELECT date_trunc('millisecond', max("timestamp")) - INTERVAL '{FIXED_WINDOW}' AS mark
+                        FROM ({LOGS}) o WHERE NOT ({late})) m) r
+GROUP BY serviceName, batch_id, reason"""
+
+
+def _silent_services() -> str:
+    """Gaps longer than SILENT_AFTER between neighbouring logs, up to the last
+    session that the watermark has closed."""
+    return f"""
+WITH logs AS (SELECT serviceName, date_trunc('millisecond', "timestamp") AS t FROM ({LOGS}) l
+              WHERE "timestamp" IS NOT NULL),
+gaps AS (SELECT serviceName, t AS silent_from,
+                lead(t) OVER (PARTITION BY serviceName ORDER BY t) AS back_at FROM logs),
+ends AS (
+  SELECT serviceName, silent_from, back_at,
+         lead(silent_from) OVER (PARTITION BY serviceName ORDER BY silent_from) AS next_end
+  FROM gaps WHERE back_at IS NULL OR back_at - silent_from > INTERVAL '{SILENT_AFTER}'),
+mark AS (SELECT max(t) - INTERVAL '{SILENT_AFTER}' AS m FROM logs)
+SELECT serviceName, silent_from,
+       CASE WHEN next_end + INTERVAL '{SILENT_AFTER}' <= m THEN back_at END AS back_at
+FROM ends, mark WHERE silent_from + INTERVAL '{SILENT_AFTER}' <= m"""
+
+
+def _state_audit() -> str:
+    """After each slice: the windows of all logs so far that end after the
+    newest log less the width."""
+    parts = []
+    for i in range(REPLAY_SLICES):
+        so_far = f"""
+SELECT * FROM ({LOGS}) l, (
+  SELECT min(epoch_us("timestamp")) AS lo, (max(epoch_us("timestamp")) - min(epoch_us("timestamp")))
+         // {REPLAY_SLICES} + 1 AS step FROM ({LOGS}) s) b
+WHERE (epoch_us("timestamp") - lo) // step <= {i}"""
+        parts.append(f"""
+SELECT CAST({i} AS INTEGER) AS slice, window_start, window_end, serviceName, total_logs, error_count
+FROM ({features(FIXED_WINDOW, so_far)}) f
+WHERE window_end > (SELECT date_trunc('millisecond', max("timestamp")) FROM ({so_far}) n) - INTERVAL '{FIXED_WINDOW}'""")
+    return " UNION ALL ".join(parts)
+
+
 def _alerts_replay() -> str:
     """The last gated value of each alert over the cumulative slices."""
     width = f"epoch_us(TIMESTAMP '1970-01-01' + INTERVAL '{FIXED_WINDOW}')"
@@ -329,6 +380,10 @@ SELECT window_start, serviceName, total_logs, error_rate, prediction
 FROM ({_scored_fixed()}) s WHERE {_high()}""",
         "alert_records": alerts,
         "kmeans_check": _kmeans_check(),
+        "scaler_stats_by_date": _scaler_stats(),
+        "kmeans_coreset_check": f"""
+SELECT count(*) AS rows, CAST({C.KMEANS_K} AS BIGINT) AS clusters, true AS cost_within_one_percent
+FROM ({features(FIXED_WINDOW)}) f""",
         "model_reuse_alerts": alerts,
         "alert_listing": f"""
 SELECT id, strftime(window_start, '%d.%m.%Y %H:%M:%S') AS time, type, severity, source,
@@ -350,6 +405,10 @@ WHERE window_end <= (SELECT max(CAST(ts AS TIMESTAMP)) FROM events) - INTERVAL '
         "stream_topic_replay": features(FIXED_WINDOW),
         "stream_late_rows": _late_rows(),
         "stream_alerts_replay": _alerts_replay(),
+        "stream_alerts_withdrawn": alerts,
+        "stream_silent_services": _silent_services(),
+        "stream_late_accounting": _late_accounting(),
+        "stream_state_audit": _state_audit(),
         "training_snapshot": LOGS,
         "service_level_mix": _level_mix(),
         "service_gaps": _gaps(),

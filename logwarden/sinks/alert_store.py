@@ -8,6 +8,12 @@ again with another rate takes the place of the earlier value. Reading keeps
 the highest version of each alert. Rows are never updated in place, which
 makes compaction simple: it adds one file set with the live rows of the files
 it has seen and then removes exactly those files.
+
+An alert can be withdrawn: a version with the mark ``withdrawn`` follows, and
+reading leaves the alert out until a later version raises it again. So an alert
+is open (first version), refreshed (further versions) or withdrawn, and the
+store itself is the state: it survives restarts, and a retried batch finds what
+it has written.
 """
 
 from __future__ import annotations
@@ -23,10 +29,12 @@ from ..session import delete_path, path_exists
 
 PARTITION_COLUMN = "window_date"
 VERSION_COLUMN = "version"
+WITHDRAWN_COLUMN = "withdrawn"
 ROWS_PER_FILE = 1_000_000
 
 STORE_SCHEMA = T.StructType(list(ALERT_SCHEMA.fields)
                             + [T.StructField(VERSION_COLUMN, T.LongType(), True),
+                               T.StructField(WITHDRAWN_COLUMN, T.BooleanType(), True),
                                T.StructField(PARTITION_COLUMN, T.DateType(), True)])
 
 
@@ -74,7 +82,57 @@ def read_alerts(spark: SparkSession, path: str) -> DataFrame:
     not exist yields an empty table; any other read error is raised."""
     if not path_exists(spark, path):
         return empty_alerts(spark)
-    return _last(_rows(spark, path)).select(*ALERT_COLUMNS)
+    return _last(_rows(spark, path)).filter(_open()).select(*ALERT_COLUMNS)
+
+
+def _open() -> Column:
+    """Not withdrawn (files written without the mark hold open alerts)."""
+    return ~F.coalesce(F.col(WITHDRAWN_COLUMN), F.lit(False))
+
+
+def alert_states(spark: SparkSession, path: str) -> DataFrame:
+    """Every alert ever stored with its state: ``open`` (as first raised),
+    ``refreshed`` (raised again with other values) or ``withdrawn``."""
+    if not path_exists(spark, path):
+        return empty_alerts(spark).withColumn("state", F.lit("open"))
+    state = (F.when(~_open(), F.lit("withdrawn")).when(F.col(VERSION_COLUMN) > 0, F.lit("refreshed"))
+             .otherwise(F.lit("open")))
+    return _last(_rows(spark, path)).select(*ALERT_COLUMNS, state.alias("state"))
+
+
+def withdraw_alerts(spark: SparkSession, judged: DataFrame, alerts: DataFrame, path: str) -> None:
+    """Withdraw the open alerts of windows that have been judged again and do not
+    raise them any more.
+
+    ``judged``: window_start, window_end and serviceName of the windows judged
+    (one row each); ``alerts``: the alerts that they raise. The dates of the
+    windows prune the read of the store, and only alert rows are joined with."""
+    if not path_exists(spark, path):
+        return
+    windows = judged.select(
+        F.unix_micros("window_start").alias(_NAME[0]), F.unix_micros("window_end").alias(_NAME[1]),
+        F.col("serviceName").isNull().alias(_NAME[2]), F.coalesce("serviceName", F.lit("")).alias(_NAME[3]),
+        window_date().alias(PARTITION_COLUMN)).persist()
+    try:
+        lo, hi = windows.agg(F.min(PARTITION_COLUMN), F.max(PARTITION_COLUMN)).first()
+        if lo is None:
+            return
+        stored = _named(_last(_rows(spark, path).filter(
+            F.col(PARTITION_COLUMN).between(F.lit(lo), F.lit(hi)))).filter(_open()))
+        raised = _named(alerts.select(*ALERT_COLUMNS)).select(*_NAME)
+        gone = stored.join(windows, [PARTITION_COLUMN, *_NAME[:4]], "left_semi").join(
+            raised, _NAME, "left_anti")
+        gone = gone.select(*[F.current_timestamp().alias(c) if c == "timestamp" else c for c in ALERT_COLUMNS],
+                           (F.col(VERSION_COLUMN) + 1).alias(VERSION_COLUMN),
+                           F.lit(True).alias(WITHDRAWN_COLUMN), PARTITION_COLUMN).persist()
+        try:
+            out = sized_by_date(gone)
+            if out is not None:
+                out.write.mode("append").partitionBy(PARTITION_COLUMN).parquet(path)
+        finally:
+            gone.unpersist()
+    finally:
+        windows.unpersist()
 
 
 def insert_alerts(spark: SparkSession, alerts: DataFrame, path: str,
@@ -103,14 +161,16 @@ def insert_alerts(spark: SparkSession, alerts: DataFrame, path: str,
             stored = _named(_last(_rows(spark, path).filter(
                 F.col(PARTITION_COLUMN).between(F.lit(lo), F.lit(hi))))).select(
                     PARTITION_COLUMN, *_NAME, F.col(VERSION_COLUMN).alias("_seen"),
-                    F.col("metadata.errorRate").alias("_rate"), F.col("description").alias("_text"))
+                    F.col("metadata.errorRate").alias("_rate"), F.col("description").alias("_text"),
+                    _open().alias("_live"))
             met = fresh.join(stored, [PARTITION_COLUMN, *_NAME], "left")
-            same = F.col("_seen").isNotNull() & F.col("metadata.errorRate").eqNullSafe(
+            same = F.col("_seen").isNotNull() & F.col("_live") & F.col("metadata.errorRate").eqNullSafe(
                 F.col("_rate")) & F.col("description").eqNullSafe(F.col("_text"))
             new = met.filter(~same).withColumn(VERSION_COLUMN, F.coalesce(F.col("_seen") + 1, F.lit(0)))
         else:
             new = fresh.withColumn(VERSION_COLUMN, F.lit(0).cast("long"))
-        new = new.select(*ALERT_COLUMNS, VERSION_COLUMN, PARTITION_COLUMN).persist()
+        new = new.select(*ALERT_COLUMNS, VERSION_COLUMN, F.lit(False).alias(WITHDRAWN_COLUMN),
+                         PARTITION_COLUMN).persist()
         try:
             out = sized_by_date(new)
             if out is None:
@@ -163,7 +223,7 @@ def compact_alerts(spark: SparkSession, path: str, before,
     try:
         out = sized_by_date(live, rows_per_file)
         if out is not None:
-            out.select(*ALERT_COLUMNS, VERSION_COLUMN, PARTITION_COLUMN).write.mode("append") \
+            out.select(*ALERT_COLUMNS, VERSION_COLUMN, WITHDRAWN_COLUMN, PARTITION_COLUMN).write.mode("append") \
                 .partitionBy(PARTITION_COLUMN).parquet(path)
     finally:
         live.unpersist()

@@ -29,7 +29,7 @@ from ..operators.scoring import score
 from ..schemas import FEATURE_SCHEMA
 from ..session import (child_names, current_version, delete_path, new_version,
                        publish_version, shared_dir, versions)
-from ..sinks.alert_store import insert_alerts, window_date
+from ..sinks.alert_store import insert_alerts, window_date, withdraw_alerts
 from ..sources.codec import decode_logs
 from ..sources.fixtures import events_to_logs
 
@@ -264,14 +264,26 @@ def start_feature_table(features_stream: DataFrame, path: str, checkpoint: str,
 # ------------------------------------------------------------------ alerts ---
 
 def alert_batch_handler(store_path: str,
-                        publish: Callable[[DataFrame], None] | None = None
-                        ) -> Callable[[DataFrame, int], None]:
+                        publish: Callable[[DataFrame], None] | None = None,
+                        withdraw: bool = False) -> Callable[[DataFrame, int], None]:
     """foreachBatch body: gate and insert. The stream emits one row per window
     and service, so alerts are unique; the insert persists the gated rows (once)
-    and ends at once when there are none."""
+    and ends at once when there are none.
+
+    With ``withdraw`` the batch holds every window that changed, gated or not
+    (it is persisted: both steps read it); alerts that such a window raised
+    before and does not raise now are withdrawn."""
     def handle(batch_df: DataFrame, batch_id: int) -> None:
-        insert_alerts(batch_df.sparkSession, alert_records(batch_df), store_path, publish,
-                      unique=True)
+        spark = batch_df.sparkSession
+        if not withdraw:
+            insert_alerts(spark, alert_records(batch_df), store_path, publish, unique=True)
+            return
+        batch = batch_df.persist()
+        try:
+            withdraw_alerts(spark, batch, alert_records(batch), store_path)
+            insert_alerts(spark, alert_records(batch), store_path, publish, unique=True)
+        finally:
+            batch.unpersist()
     return handle
 
 
@@ -281,16 +293,20 @@ def start_detection(logs_stream: DataFrame, bundle: ModelBundle, store_path: str
                     output_mode: str = "update", watermark: str | None = None,
                     query_name: str | None = None,
                     window: str | None = None,
-                    state_partitions: int | None = None) -> StreamingQuery:
+                    state_partitions: int | None = None,
+                    withdraw: bool = False) -> StreamingQuery:
     """The detection job: logs -> features -> score -> alerts -> store.
 
+    ``withdraw`` takes back an alert whose window, with more logs, does not pass
+    its gate any more; it reads the windows below the gates too.
+
     Features use the model's own window width. ``window`` scores on another
     width (the original trained on 5-minute and scored 15-minute windows);
     it must be asked for explicitly."""
     feats = stream_features(logs_stream, window or bundle.window, watermark)
-    scored = score(pre_gate(feats), bundle)
+    scored = score(feats if withdraw else pre_gate(feats), bundle)
     w = (_writer(scored, output_mode, trigger or DEFAULT_TRIGGER, checkpoint, query_name)
-         .foreachBatch(alert_batch_handler(store_path, publish)))
+         .foreachBatch(alert_batch_handler(store_path, publish, withdraw)))
     return _start(w, logs_stream.sparkSession, state_partitions)
 
 
