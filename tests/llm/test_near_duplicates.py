@@ -315,3 +315,26 @@ def test_one_row_of_each_component_stays(spark):
     kept = simhash.keep_one(frame(spark, rows)).collect()
     assert sorted(r.text for r in kept) == sorted(texts)
     assert {r.doc_id for r in kept if r.text == texts[0]} == {3}
+
+
+def test_paragraphs_in_any_row_order(spark):
+    """The input gives its rows in another order each time it is evaluated."""
+    import pyarrow as pa
+
+    rng = random.Random(41)
+
+    def some(n):
+        return [f"w{rng.randrange(3000)}" for _ in range(n)]
+    p, rows = some(60), []
+    for i in range(160):
+        rows.append((i, " ".join(some(rng.randint(0, 40)) + p + some(rng.randint(0, 40)))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+
+    def shuffled(batches):
+        table = pa.Table.from_batches(list(batches), pa.schema([("doc_id", pa.int64()), ("text", pa.string())]))
+        order = np.random.default_rng().permutation(table.num_rows)
+        yield from table.take(pa.array(order)).to_batches(max_chunksize=7)
+
+    unstable = docs.mapInArrow(shuffled, docs.schema)
+    got, want = (sorted(set(map(tuple, paragraphs.removed_paragraphs(d).collect()))) for d in (unstable, docs))
+    assert got == want and {r[0] for r in got} == set(range(1, 160))

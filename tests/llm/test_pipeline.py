@@ -61,6 +61,6 @@ def test_run_equals_the_stages(spark, planted):
 
 def test_registered():
     names = [n for n in __spark_entry__.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in __spark_entry__.queries()
     assert os.path.exists(corpus_pipeline.__file__)
