@@ -24,6 +24,7 @@ from ..operators.profile import (check_mix_rules, observed_mix, service_gaps,
 from ..operators.scoring import predict, scaled_vector_columns, score
 from ..schemas import RECORD_SCHEMA, VECTOR_COLUMNS
 from ..session import move_path, pin_utc, scratch_path
+from ..sinks.alert_counts import alert_dates, refresh_counts, stored_severity_counts
 from ..sinks.alert_store import compact_alerts, insert_alerts, read_alerts
 from ..sinks.snapshot import read_snapshot, snapshot_logs
 from ..sinks.topic import alerts_to_records, decode_alert_records, publish_records
@@ -276,6 +277,19 @@ def severity_counts(spark, sf_dir):
     return A.severity_counts(read_alerts(spark, _filled_store(spark, sf_dir)))
 
 
+def severity_counts_by_date(spark, sf_dir):
+    """Counts kept by date over two inserts and a compaction; each refresh reads
+    the dates its insert touched."""
+    store, counts = scratch_path(spark, "alert-store"), scratch_path(spark, "alert-counts")
+    alerts = _stored(spark, A.alert_records(_scored_fixed(spark, sf_dir)), "alerts")
+    for sev in (C.SEVERITY_HIGH, C.SEVERITY_MEDIUM):
+        some = alerts.filter(F.col("severity") == sev)
+        insert_alerts(spark, some, store)
+        refresh_counts(spark, store, counts, alert_dates(some))
+    compact_alerts(spark, store, "9999-12-31")
+    return stored_severity_counts(spark, counts)
+
+
 def alert_store_compacted(spark, sf_dir):
     """Alerts stored by severity in two appends, then every date compacted;
     the store must still hold each alert exactly once."""
@@ -539,6 +553,7 @@ QUERIES: dict[str, Query] = {
     "alert_records": alert_records,
     "alert_listing": alert_listing,
     "severity_counts": severity_counts,
+    "severity_counts_by_date": severity_counts_by_date,
     "alert_store_compacted": alert_store_compacted,
     "alert_topic_rows": alert_topic_rows,
     "stream_features_update": stream_features_update,

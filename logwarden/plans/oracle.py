@@ -354,6 +354,11 @@ FROM ({features(FIXED_WINDOW)}) f"""
 
 def oracle_sql() -> dict[str, str]:
     alerts = _alerts_fixed()
+    counts = f"""
+SELECT count(*) FILTER (WHERE severity = '{C.SEVERITY_HIGH}') AS high_count,
+       count(*) FILTER (WHERE severity = '{C.SEVERITY_MEDIUM}') AS medium_count,
+       count(*) FILTER (WHERE severity = '{C.SEVERITY_LOW}') AS low_count
+FROM ({alerts}) a"""
     return {
         "logs_scan": LOGS,
         "log_level_flags": f"""
@@ -389,11 +394,8 @@ FROM ({features(FIXED_WINDOW)}) f""",
 SELECT id, strftime(window_start, '%d.%m.%Y %H:%M:%S') AS time, type, severity, source,
        description
 FROM ({alerts}) a""",
-        "severity_counts": f"""
-SELECT count(*) FILTER (WHERE severity = '{C.SEVERITY_HIGH}') AS high_count,
-       count(*) FILTER (WHERE severity = '{C.SEVERITY_MEDIUM}') AS medium_count,
-       count(*) FILTER (WHERE severity = '{C.SEVERITY_LOW}') AS low_count
-FROM ({alerts}) a""",
+        "severity_counts": counts,
+        "severity_counts_by_date": counts,
         "alert_topic_rows": f"SELECT CAST(id AS VARCHAR) AS key, {_ALERT_COLS} FROM ({alerts}) a",
         "stream_features_update": features(FIXED_WINDOW),
         "stream_features_append": _closed_windows(),

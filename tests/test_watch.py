@@ -148,3 +148,27 @@ def test_open_windows_of_a_checkpoint(spark, tmp_dir):
     got = sorted((hm(r.window_start), r.serviceName, r.total_logs, r.error_count)
                  for r in open_windows(spark, f"{tmp_dir}/ck").collect())
     assert got == [("00:30", "a", 1, 0), ("00:30", "b", 1, 0)]      # 00:00 ended by 00:26
+
+
+# ------------------------------------------------------------ counts by date ---
+
+def test_counts_follow_inserts_withdrawals_and_compaction(spark, tmp_dir):
+    from logwarden.sinks.alert_counts import alert_dates, refresh_counts, stored_severity_counts
+
+    store, counts = f"{tmp_dir}/s", f"{tmp_dir}/c"
+    handle = alert_batch_handler(store, withdraw=True)
+
+    def after(rows):
+        batch = scored(spark, rows)
+        handle(batch, 0)
+        refresh_counts(spark, store, counts, alert_dates(batch))
+        return tuple(stored_severity_counts(spark, counts).first())
+
+    assert tuple(stored_severity_counts(spark, counts).first()) == (0, 0, 0)
+    assert after([(1, "a", 20, 2), (1, "b", 10, 1), (2, "a", 20, 2)]) == (2, 1, 0)
+    assert after([(1, "a", 25, 2)]) == (2, 1, 0)                    # refreshed: counted once
+    assert after([(2, "a", 1, 0)]) == (1, 1, 0)                     # the date's only alert goes
+    compact_alerts(spark, store, "9999-12-31")
+    assert after([]) == (1, 1, 0)
+    insert_alerts(spark, alerts(spark, [(3, "c", 20, 2)]), store)   # a date nobody asked for yet
+    assert after([(1, "a", 25, 2)]) == (1, 1, 0) and after([(3, "d", 1, 0)]) == (2, 1, 0)
