@@ -58,7 +58,7 @@ class DetectorConfig:
     max_offsets_per_trigger: int | None = None
     max_files_per_trigger: int | None = None
     min_partitions: int | None = None       # Kafka: split partitions over more tasks
-    starting_offsets: str = "latest"
+    starting_offsets: str | None = None      # Kafka: latest
 
 
 def training_logs(spark: SparkSession, cfg: DetectorConfig) -> DataFrame:

@@ -11,6 +11,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import constants as C
 from ..functions import error_marker, is_error, message_length, seconds
@@ -31,11 +32,13 @@ from ..sinks.topic import alerts_to_records, decode_alert_records, publish_recor
 from ..sources.codec import classify_records, decode_logs, encode_logs
 from ..sources.fixtures import load_logs
 from ..sources.topic import read_topic, read_topic_stream
+from ..sources.variant import decode_variant, extra_text, failure_counts
 from ..streaming.detector import (current_features, fold_changelog,
                                   latest_features, logs_from_event_files, logs_from_records,
                                   run_until_idle, start_detection,
                                   start_feature_changelog, start_feature_table,
                                   stream_features)
+from ..streaming.progress import ProgressRecorder, read_progress, run_until_caught_up, trigger_gaps
 from ..streaming.watch import (accounted_rows, open_windows, silent_services, start_late_accounting,
                               start_session_table, SESSION_SCHEMA)
 from .fixed_model import FIXED_WINDOW, fixed_bundle
@@ -73,6 +76,49 @@ def log_record_roundtrip(spark, sf_dir):
                        keep=("key",))
 
 
+def _event_number():
+    return F.regexp_replace("relatedObjectId", "^EVT-", "").cast("long")
+
+
+LIST_EVERY, UNTIMED_EVERY, BAD_TIME_EVERY, NUMBER_EVERY, REGION_EVERY = 83, 79, 73, 71, 7
+
+
+def _mixed_records(spark, sf_dir) -> DataFrame:
+    """All logs as records of many producers: some send junk, nothing, a list,
+    no time stamp or a bad one, a number for a level; some a region besides."""
+    logs = load_logs(spark, sf_dir)
+    n = F.col("n")
+    stamp = F.date_format("timestamp", C.WIRE_TIME_FORMAT)
+    members = F.to_json(F.struct(
+        F.when(n % BAD_TIME_EVERY == 0, F.concat(F.lit("at "), stamp))
+         .when(n % UNTIMED_EVERY != 0, stamp).alias("timestamp"),
+        "message", "relatedObjectId", "serviceName",
+        F.when(n % NUMBER_EVERY != 0, F.col("level")).alias("level")))
+    more = F.concat(
+        F.when(n % NUMBER_EVERY == 0, F.format_string(',"level":%d', n)).otherwise(""),
+        F.when(n % REGION_EVERY == 0, F.format_string(',"region":{"id":%d}', n)).otherwise(""))
+    whole = F.concat(F.expr("substring(_members, 1, length(_members) - 1)"), more, F.lit("}"))
+    return (logs.withColumn("n", _event_number()).withColumn("_members", members)
+            .select(F.col("relatedObjectId").alias("key"),
+                    F.when(n % JUNK_EVERY == 0, F.concat(F.lit("not json: "), F.col("relatedObjectId")))
+                    .when(n % NULL_EVERY == 0, F.lit(None).cast("string"))
+                    .when(n % LIST_EVERY == 0, F.format_string("[%d]", n))
+                    .otherwise(whole).cast("binary").alias("value")))
+
+
+def variant_decode(spark, sf_dir):
+    """Every record with the reason and field of what does not fit, and the
+    unknown field that some carry."""
+    return decode_variant(_mixed_records(spark, sf_dir)).select(
+        "key", "reason", "field", "timestamp", "level", "serviceName",
+        F.get(F.map_keys("extra"), F.lit(0)).alias("extra_name"), extra_text("region").alias("region"))
+
+
+def variant_failures(spark, sf_dir):
+    """Rows by reason and field."""
+    return failure_counts(decode_variant(_mixed_records(spark, sf_dir)))
+
+
 def malformed_split(spark, sf_dir):
     """Records with injected junk and null values, classified in one pass."""
     records = encode_logs(load_logs(spark, sf_dir), topic=None)
@@ -277,6 +323,33 @@ def severity_counts(spark, sf_dir):
     return A.severity_counts(read_alerts(spark, _filled_store(spark, sf_dir)))
 
 
+def alert_insert_times(spark, sf_dir):
+    """One row a severity: whether a batch of none of its alerts stores nothing,
+    the alerts stored, and whether every insert time lies between the start and
+    the end of its insert (a resend leaves it as it was)."""
+    alerts = _stored(spark, A.alert_rows(A.gated(_scored_fixed(spark, sf_dir)), F.lit(None).cast("timestamp")),
+                     "alerts")
+    rows = []
+    for sev in (C.SEVERITY_HIGH, C.SEVERITY_MEDIUM, C.SEVERITY_LOW):
+        store = scratch_path(spark, "alert-store")
+        some = alerts.filter(F.col("severity") == sev).withColumn("timestamp", F.current_timestamp())
+        insert_alerts(spark, some.filter(F.lit(False)), store)
+        nothing = read_alerts(spark, store).isEmpty()
+        began, _ = _now(spark), insert_alerts(spark, some, store)
+        ended, _ = _now(spark), insert_alerts(spark, some, store)
+        at = F.col("timestamp")
+        rows.append(read_alerts(spark, store).agg(
+            F.lit(sev).alias("severity"), F.lit(nothing).alias("empty_batch_stores_nothing"),
+            F.count(F.lit(1)).alias("alerts"),
+            F.coalesce(F.bool_and(at.isNotNull() & at.between(F.lit(began), F.lit(ended))),
+                       F.lit(True)).alias("inserted_in_time")))
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
+def _now(spark):
+    return spark.range(1).select(F.current_timestamp()).first()[0]
+
+
 def severity_counts_by_date(spark, sf_dir):
     """Counts kept by date over two inserts and a compaction; each refresh reads
     the dates its insert touched."""
@@ -509,6 +582,51 @@ def stream_state_audit(spark, sf_dir):
     return spark.read.parquet(audits)
 
 
+ADMISSION_TRIGGER = 1      # seconds
+
+
+def _one_file_a_slice(spark, logs: DataFrame, which, n: int) -> str:
+    """The log topic as one file a slice (a slice is as many rows as a producer
+    rolls into a file)."""
+    path = scratch_path(spark, "logs-topic-files")
+    encode_logs(logs.withColumn("slice", which.cast("int")), keep=("slice",)).repartition(
+        n, "slice").write.partitionBy("slice").parquet(path)
+    return path
+
+
+def stream_admission(spark, sf_dir):
+    """Rows and batches of each file of a topic, read one file a trigger on a
+    processing-time trigger; and whether the triggers kept their distance. The
+    rows come from the progress that the listener recorded, the slice of a batch
+    from what the batch wrote."""
+    pin_utc(spark)
+    logs = load_logs(spark, sf_dir)
+    topic = _one_file_a_slice(spark, logs, _time_slices(logs, REPLAY_SLICES), REPLAY_SLICES)
+    out, ckpt, progress = (scratch_path(spark, n) for n in ("admitted", "ckpt", "progress"))
+    schema = T.StructType([*RECORD_SCHEMA.fields, T.StructField("slice", T.IntegerType())])
+    records = read_topic_stream(spark, path=topic, schema=schema, max_files_per_trigger=1)
+
+    def admit(batch: DataFrame, batch_id: int) -> None:
+        (batch.groupBy("slice").agg(F.count(F.lit(1)).alias("rows"))
+         .withColumn("batch_id", F.lit(batch_id).cast("long"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(out))
+
+    with ProgressRecorder(spark, progress) as recorder:
+        query = (records.writeStream.foreachBatch(admit).option("checkpointLocation", ckpt)
+                 .trigger(processingTime=f"{ADMISSION_TRIGGER} seconds").start())
+        recorder.wait(run_until_caught_up(query))
+    told = read_progress(spark, progress)
+    # Triggers start in intervals of their own: n of them span more than n - 2.
+    kept = trigger_gaps(told).select(
+        "query_id", (F.unix_millis("last_start") - F.unix_millis("first_start")
+                     > (F.col("batches") - 2) * ADMISSION_TRIGGER * 1000 - 100).alias("triggers_apart"))
+    fed = told.join(kept, "query_id").join(spark.read.parquet(out), "batch_id")
+    return fed.groupBy("slice").agg(
+        F.count(F.lit(1)).alias("batches"), F.sum("input_rows").alias("input_rows"),
+        F.sum("rows").alias("total_logs"), F.bool_and("triggers_apart").alias("triggers_apart"))
+
+
 # --------------------------------------------------------------- sinks -----
 
 def training_snapshot(spark, sf_dir):
@@ -536,6 +654,8 @@ QUERIES: dict[str, Query] = {
     "log_level_flags": log_level_flags,
     "log_record_roundtrip": log_record_roundtrip,
     "malformed_split": malformed_split,
+    "variant_decode": variant_decode,
+    "variant_failures": variant_failures,
     "window_features_5m": window_features_5m,
     "window_features_15m": window_features_15m,
     "window_features_6h": window_features_6h,
@@ -553,6 +673,7 @@ QUERIES: dict[str, Query] = {
     "alert_records": alert_records,
     "alert_listing": alert_listing,
     "severity_counts": severity_counts,
+    "alert_insert_times": alert_insert_times,
     "severity_counts_by_date": severity_counts_by_date,
     "alert_store_compacted": alert_store_compacted,
     "alert_topic_rows": alert_topic_rows,
@@ -567,6 +688,7 @@ QUERIES: dict[str, Query] = {
     "stream_silent_services": stream_silent_services,
     "stream_late_accounting": stream_late_accounting,
     "stream_state_audit": stream_state_audit,
+    "stream_admission": stream_admission,
     "training_snapshot": training_snapshot,
     "service_level_mix": service_level_mix_q,
     "service_gaps": service_gaps_q,

@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from .. import constants as C
 from ..schemas import VECTOR_COLUMNS
-from .catalog import JUNK_EVERY, LATE_EVERY, NULL_EVERY, REPLAY_SLICES, SILENT_AFTER
+from .catalog import (BAD_TIME_EVERY, JUNK_EVERY, LATE_EVERY, LIST_EVERY, NULL_EVERY, NUMBER_EVERY,
+                      REGION_EVERY, REPLAY_SLICES, SILENT_AFTER, UNTIMED_EVERY)
 from .fixed_model import FIXED_CENTERS, FIXED_MEANS, FIXED_STDS, FIXED_WINDOW
 
 _SERVICES = C.SERVICE_NAMES
@@ -225,6 +226,46 @@ FROM events e, LATERAL (
 """
 
 
+def _variant() -> str:
+    return f"""
+SELECT relatedObjectId AS key, reason,
+       CASE WHEN reason IN ('bad_timestamp', 'missing_timestamp') THEN 'timestamp'
+            WHEN reason = 'wrong_type' THEN 'level' END AS field,
+       CASE WHEN parsed AND n % {BAD_TIME_EVERY} <> 0 AND n % {UNTIMED_EVERY} <> 0
+            THEN date_trunc('millisecond', "timestamp") END AS "timestamp",
+       CASE WHEN parsed AND n % {NUMBER_EVERY} <> 0 THEN level END AS level,
+       CASE WHEN parsed THEN serviceName END AS serviceName,
+       CASE WHEN parsed AND n % {REGION_EVERY} = 0 THEN 'region' END AS extra_name,
+       CASE WHEN parsed AND n % {REGION_EVERY} = 0 THEN '{{"id":' || n || '}}' END AS region
+FROM (
+  SELECT *, coalesce(reason NOT IN ('malformed_json', 'null_value', 'not_an_object'), true) AS parsed
+  FROM (
+    SELECT *, CASE WHEN n % {JUNK_EVERY} = 0 THEN 'malformed_json' WHEN n % {NULL_EVERY} = 0 THEN 'null_value'
+                   WHEN n % {LIST_EVERY} = 0 THEN 'not_an_object'
+                   WHEN n % {BAD_TIME_EVERY} = 0 THEN 'bad_timestamp'
+                   WHEN n % {UNTIMED_EVERY} = 0 THEN 'missing_timestamp'
+                   WHEN n % {NUMBER_EVERY} = 0 THEN 'wrong_type' END AS reason
+    FROM (SELECT *, CAST(substr(relatedObjectId, 5) AS BIGINT) AS n FROM ({LOGS}) l) m) r) p"""
+
+
+def _admission() -> str:
+    return f"""
+SELECT CAST((epoch_us("timestamp") - lo) // step AS INTEGER) AS slice, CAST(1 AS BIGINT) AS batches,
+       count(*) AS input_rows, count(*) AS total_logs, true AS triggers_apart
+FROM ({LOGS}) l, (
+  SELECT min(epoch_us("timestamp")) AS lo, (max(epoch_us("timestamp")) - min(epoch_us("timestamp")))
+         // {REPLAY_SLICES} + 1 AS step FROM ({LOGS}) s) b
+GROUP BY 1"""
+
+
+def _insert_times(alerts: str) -> str:
+    severities = ", ".join(f"('{s}')" for s in (C.SEVERITY_HIGH, C.SEVERITY_MEDIUM, C.SEVERITY_LOW))
+    return f"""
+SELECT s.severity, true AS empty_batch_stores_nothing, count(a.id) AS alerts, true AS inserted_in_time
+FROM (VALUES {severities}) s(severity) LEFT JOIN ({alerts}) a ON a.severity = s.severity
+GROUP BY s.severity"""
+
+
 def _roundtrip() -> str:
     return f"""
 SELECT relatedObjectId AS key, date_trunc('millisecond', "timestamp") AS "timestamp",
@@ -368,6 +409,10 @@ SELECT relatedObjectId, level, level = 'ERROR' AS is_error,
 FROM ({LOGS}) logs""",
         "log_record_roundtrip": _roundtrip(),
         "malformed_split": _malformed(),
+        "variant_decode": _variant(),
+        "variant_failures": f"""
+SELECT reason, field, count(*) AS rows, count(extra_name) AS rows_with_extra
+FROM ({_variant()}) v GROUP BY reason, field""",
         "window_features_5m": features(C.TRAINING_WINDOW),
         "window_features_15m": features("15 minutes"),
         "window_features_6h": features("6 hours"),
@@ -395,6 +440,7 @@ SELECT id, strftime(window_start, '%d.%m.%Y %H:%M:%S') AS time, type, severity,
        description
 FROM ({alerts}) a""",
         "severity_counts": counts,
+        "alert_insert_times": _insert_times(alerts),
         "severity_counts_by_date": counts,
         "alert_topic_rows": f"SELECT CAST(id AS VARCHAR) AS key, {_ALERT_COLS} FROM ({alerts}) a",
         "stream_features_update": features(FIXED_WINDOW),
@@ -411,6 +457,7 @@ WHERE window_end <= (SELECT max(CAST(ts AS TIMESTAMP)) FROM events) - INTERVAL '
         "stream_silent_services": _silent_services(),
         "stream_late_accounting": _late_accounting(),
         "stream_state_audit": _state_audit(),
+        "stream_admission": _admission(),
         "training_snapshot": LOGS,
         "service_level_mix": _level_mix(),
         "service_gaps": _gaps(),

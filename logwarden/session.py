@@ -144,6 +144,22 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(jpath, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file whole: under a hidden name first, then renamed, so
+    that no reader sees a part of it. An earlier file of the name is replaced."""
+    fs, jpath = _file_system(spark, path)
+    _, jpart = _file_system(spark, f"{path.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}")
+    out = fs.create(jpart, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    if not fs.rename(jpart, jpath):
+        fs.delete(jpath, False)
+        if not fs.rename(jpart, jpath):
+            raise OSError(f"cannot write {path}")
+
+
 def move_path(spark: SparkSession, source: str, target: str) -> None:
     """Move a folder (nothing to do for a missing one)."""
     fs, jsource = _file_system(spark, source)
