@@ -5,8 +5,12 @@ leaves of all long pieces of a batch are encoded together, each on its own;
 then neighbours are joined level by level. At a join a window of tokens on both
 sides of the seam is merged anew. If the window's outermost tokens come out as
 they were (or the window has reached the end of its side), both sides agree and
-the rest stands; else the window doubles. This is exact, because a token
-sequence is what merging yields exactly if each neighbouring pair is.
+the rest stands; else the window grows: to the left it doubles, to the right it
+takes in the next tokens, leaving behind what its left edge has settled. This is
+exact, because a token sequence is what merging yields exactly if each
+neighbouring pair is (so any run of a side's tokens is what its text yields).
+Where both sides never agree, as in a long run of one letter, a join costs one
+pass over its right side in small windows; equal windows are merged once.
 
 Defined results: null text counts as empty and has no ids (digest of the empty
 string); empty text likewise; repeated rows and null ids each give their own
@@ -29,6 +33,10 @@ from .word_ids import WordIds, slices
 
 #: Symbols of a leaf of the tree.
 LEAF = 48
+#: Tokens that a window takes in on the right at a time, at most.
+STEP = 32
+#: Windows whose tokens a worker remembers.
+REMEMBERED = 20_000
 #: Ids that are printed at a time.
 STRETCH = 1 << 16
 
@@ -38,19 +46,38 @@ class TreeEncoder:
 
     def __init__(self, vocab: Vocabulary, leaf: int = LEAF):
         self.v, self.leaf = vocab, leaf
+        self._known: dict[tuple[str, ...], list[str]] = {}
+
+    def _merged(self, parts: tuple[str, ...]) -> list[str]:
+        """Tokens of the text of ``parts``."""
+        found = self._known.get(parts)
+        if found is None:
+            if len(self._known) >= REMEMBERED:
+                self._known.clear()
+            v = self.v
+            found = self._known[parts] = v.merge(
+                [s for t in parts for s in v.symbols(t.removesuffix(v.end), t.endswith(v.end))])
+        return found
 
     def join(self, left: list[str], right: list[str]) -> list[str]:
         """Tokens of two halves of one piece as tokens of the whole."""
-        v, width = self.v, 1
-        while True:
-            a, b = min(width, len(left)), min(width, len(right))
-            seam = [s for t in left[len(left) - a:] + right[:b]
-                    for s in v.symbols(t.removesuffix(v.end), t.endswith(v.end))]
-            middle = v.merge(seam)
-            if ((a == len(left) or middle[0] == left[-a])
-                    and (b == len(right) or middle[-1] == right[b - 1])):
-                return left[:len(left) - a] + middle + right[b:]
-            width *= 2
+        out, taken, step = list(left), 0, 1
+        while taken < len(right):
+            fresh = right[taken:taken + step]
+            a = 1
+            while True:
+                a = min(a, len(out))
+                middle = self._merged((*out[len(out) - a:], *fresh))
+                if a == len(out) or middle[0] == out[-a]:
+                    break
+                a *= 2
+            out[len(out) - a:] = middle
+            taken += len(fresh)
+            if middle[-1] == fresh[-1]:
+                out += right[taken:]
+                break
+            step = min(2 * step, STEP)
+        return out
 
     def encode_pieces(self, pieces: list[str]) -> list[list[str]]:
         """Tokens of each piece; long ones through the tree."""
@@ -62,7 +89,7 @@ class TreeEncoder:
             else:
                 parts = 1 << (-(-len(p) // self.leaf) - 1).bit_length()
                 cuts = [len(p) * i // parts for i in range(parts + 1)]
-                levels.append([v.merge(v.symbols(p[x:y], final=y == len(p)))
+                levels.append([self._merged(tuple(v.symbols(p[x:y], final=y == len(p))))
                                for x, y in zip(cuts, cuts[1:])])
         while any(len(nodes) > 1 for nodes in levels):
             levels = [nodes if len(nodes) == 1 else

@@ -38,7 +38,8 @@ CHUNK = 2048
 CONTEXT = 64
 #: Symbols with a table column of their own; rarer ones are kept in a dictionary.
 DENSE = 112
-#: States after which a worker compiles afresh (between batches).
+#: States after which a worker compiles afresh, within a batch too: what runs is
+#: taken again in halves, down to one chunk, and a text's state is carried on.
 MAX_STATES = 250_000
 OVER = 2048
 
@@ -46,6 +47,10 @@ START = 0
 SPACE = 0  # symbol
 
 
+class Full(Exception):
+    """The transducer has reached MAX_STATES."""
+
+
 class Transducer:
     def __init__(self, vocab: Vocabulary):
         self.v = vocab
@@ -59,6 +64,7 @@ class Transducer:
         self.symbols: list[tuple[str, str, str]] = [(" ", "s", "")]   # char, class, spelling
         self.symbol_of[32] = SPACE
         self._numbers: dict[str, int] = {}
+        self.bounded = True
         self._reset()
 
     def _reset(self) -> None:
@@ -175,6 +181,8 @@ class Transducer:
     def _id(self, state: tuple) -> int:
         i = self.ids.get(state)
         if i is None:
+            if self.bounded and len(self.states) >= MAX_STATES:
+                raise Full
             i = self.ids[state] = len(self.states)
             self.states.append(state)
             if i >= len(self.next):
@@ -262,8 +270,6 @@ class Transducer:
 
     def count(self, texts: list[str]) -> np.ndarray:
         """Tokens of each text."""
-        if len(self.states) > MAX_STATES:
-            self._reset()
         if not texts:
             return np.zeros(0, np.int64)
         plain, extra = zip(*map(self.normal, texts))
@@ -275,24 +281,48 @@ class Transducer:
         nth = np.arange(len(doc)) - first[doc]
         start = (ends - lengths)[doc] + nth * CHUNK
         size = np.minimum(CHUNK, ends[doc] - start)
+        found = np.array(extra, np.int64)
+        waves, state = [(0, len(doc))], ("start",)      # state: where the last wave ended
+        while waves:
+            lo, hi = waves.pop()
+            fresh, self.bounded = len(self.states) == 1, hi - lo > 1
+            try:
+                entry = self._id(state) if nth[lo] else START
+                exits, total = self._wave(codes, doc[lo:hi], nth[lo:hi], start[lo:hi], size[lo:hi], entry)
+            except Full:
+                self._reset()
+                middle = (lo + hi) // 2
+                waves += [(middle, hi), (lo, middle)] if fresh else [(lo, hi)]
+                continue
+            last = np.r_[doc[lo + 1:hi] != doc[lo:hi - 1], True]
+            found[doc[lo:hi][last]] += total[last]
+            state = self.states[exits[-1]]
+            if len(self.states) >= MAX_STATES:
+                self._reset()
+        return found
+
+    def _wave(self, codes: np.ndarray, doc: np.ndarray, nth: np.ndarray, start: np.ndarray,
+              size: np.ndarray, entry_state: int) -> tuple[np.ndarray, np.ndarray]:
+        """Exits of neighbouring chunks, and the tokens of each one's text up to
+        its end, from the first chunk on (which is entered in ``entry_state``)."""
         # Entry of a chunk: what its left context leads to from the start state.
         entry = np.zeros(len(doc), np.int64)
         inner = np.flatnonzero(nth > 0)
+        inner = inner[inner > 0]
         if len(inner):
-            spot = np.maximum.accumulate(np.where(codes == SPACE, np.arange(len(codes)), -1))
-            begin = np.maximum(spot[start[inner] - 1] + 1, start[inner] - CONTEXT)
-            entry[inner], _ = self.run(codes, np.zeros(len(inner), np.int64), begin,
-                                       start[inner] - begin)
+            context = codes[start[inner][:, None] - np.arange(1, CONTEXT + 1)] == SPACE
+            near = np.where(context.any(axis=1), context.argmax(axis=1), CONTEXT)
+            entry[inner], _ = self.run(codes, np.zeros(len(inner), np.int64), start[inner] - near, near)
+        entry[0] = entry_state
         exits, tokens = self.run(codes, entry, start, size)
         while True:
             joined, total = prefix_scan(doc, entry, exits, tokens)
-            wrong = np.flatnonzero((nth > 0) & ~joined)
+            wrong = np.flatnonzero(~joined)
             if not len(wrong):
-                break
+                return exits, total
             wrong = wrong[np.r_[True, doc[wrong[1:]] != doc[wrong[:-1]]]]   # first of each text
             entry[wrong] = exits[wrong - 1]
             exits[wrong], tokens[wrong] = self.run(codes, entry[wrong], start[wrong], size[wrong])
-        return total[np.cumsum(chunks) - 1] + np.array(extra, np.int64)
 
 
 def prefix_scan(doc: np.ndarray, entry: np.ndarray, exits: np.ndarray,

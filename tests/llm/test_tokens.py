@@ -1,6 +1,7 @@
 """Token counts, BPE codec and packing against the tokenizers library."""
 
 import hashlib
+import random
 import zlib
 from collections import defaultdict
 
@@ -39,6 +40,23 @@ def test_wrong_entry_states_are_found_and_mended(library, monkeypatch):
     assert got.tolist() == [len(library[1](t)) for t in texts]
 
 
+@pytest.mark.parametrize("most", [3, 60, 700])
+def test_states_stay_bounded_within_a_batch(library, monkeypatch, most):
+    """Random letters make a state each; chunks are taken again in halves."""
+    monkeypatch.setattr(token_counts, "CHUNK", 64)
+    monkeypatch.setattr(token_counts, "CONTEXT", 8)
+    monkeypatch.setattr(token_counts, "MAX_STATES", most)
+    rng = random.Random(11)
+    texts = ["".join(rng.choice("abcdefghijklmnop qrstuvwxyz'.") for _ in range(n)) for n in (3000, 0, 1, 500, 64, 63, 65)]
+    texts += ["".join(rng.choice("abcdefghijklmnop") for _ in range(2000))] + odd_texts(100, 4)
+    m = token_counts.Transducer(vocabulary(default_path()))
+    seen, kept = [], m._id
+    monkeypatch.setattr(m, "_id", lambda state: (kept(state), seen.append(len(m.states)))[0])
+    assert m.count(texts).tolist() == [len(library[1](t)) for t in texts]
+    assert max(seen) <= most + 64 + 8 + 1                       # one chunk beyond the bound at most
+    assert m.count(texts[::-1]).tolist() == [len(library[1](t)) for t in texts[::-1]]
+
+
 def test_rare_symbols_beyond_the_dense_table(library, monkeypatch):
     monkeypatch.setattr(token_counts, "DENSE", 4)
     texts = odd_texts(200, 7)
@@ -62,6 +80,25 @@ def test_tree_concatenation_is_exact(library, leaf):
     assert got == [vocab.merge(vocab.symbols(p)) for p in pieces]
 
 
+@pytest.mark.parametrize("step, remembered", [(1, 1), (3, 5), (32, 20_000)])
+def test_joins_that_never_agree_early(library, monkeypatch, step, remembered):
+    """Runs whose tokens shift to the end of the right side, and random ones."""
+    monkeypatch.setattr(bpe_codec, "STEP", step)
+    monkeypatch.setattr(bpe_codec, "REMEMBERED", remembered)
+    vocab, rng = vocabulary(default_path()), random.Random(2)
+    pieces = ["a" * n for n in range(1, 300, 7)] + ["=" * 1001, "-" * 777]
+    pieces += ["".join(rng.choice(letters) for _ in range(rng.randint(40, 700)))
+               for letters in ("ab", "aab", "theand", "abcdefghijklmnopqrstuvwxyz") for _ in range(25)]
+    assert bpe_codec.TreeEncoder(vocab, 5).encode_pieces(pieces) == [vocab.merge(vocab.symbols(p)) for p in pieces]
+
+
+def test_a_long_run_of_one_letter_takes_one_pass_a_level(library):
+    vocab, piece = vocabulary(default_path()), "a" * 200_000
+    encoder = bpe_codec.TreeEncoder(vocab)
+    assert [vocab.ids[t] for t in encoder.encode_pieces([piece])[0]] == library[1](piece)
+    assert len(encoder._known) < 1000
+
+
 def test_batch_merging_and_heap_merging_agree():
     vocab = vocabulary(default_path())
     pieces = ["a" * 300, "hello", "x", "internationalisation", "theand" * 60]
