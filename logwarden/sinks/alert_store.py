@@ -18,6 +18,8 @@ it has written.
 
 from __future__ import annotations
 
+import time
+import uuid
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import ALERT_COLUMNS, ALERT_SCHEMA
-from ..session import delete_path, path_exists
+from ..session import child_names, delete_path, path_exists, write_text
 
 PARTITION_COLUMN = "window_date"
 VERSION_COLUMN = "version"
@@ -202,20 +204,52 @@ def sized_by_date(rows: DataFrame, rows_per_file: int | None = None) -> DataFram
         int(tasks), PARTITION_COLUMN, salt).drop("_files")
 
 
+#: Lists of files that a compaction has replaced (readers skip the folder).
+RETIRED = "_retired"
+
+
+def _retired(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Lists of replaced files that are still there, by name."""
+    base = f"{path.rstrip('/')}/{RETIRED}"
+    names = [n for n in child_names(spark, base) if n.endswith(".txt") and not n.startswith(".")]
+    return {n: [r[0] for r in spark.read.text(f"{base}/{n}").collect()] for n in names}
+
+
+def purge_retired(spark: SparkSession, path: str, grace_s: float = 0.0) -> int:
+    """Delete files replaced more than ``grace_s`` seconds ago; returns their
+    number. A list goes after its files, so a crash in between is made good by
+    the next call."""
+    deleted = 0
+    for name, files in _retired(spark, path).items():
+        if int(name.split("-")[0]) <= (time.time() - grace_s) * 1000:
+            for f in files:
+                delete_path(spark, f)
+            delete_path(spark, f"{path.rstrip('/')}/{RETIRED}/{name}")
+            deleted += len(files)
+    return deleted
+
+
 def compact_alerts(spark: SparkSession, path: str, before,
-                   rows_per_file: int | None = None) -> None:
+                   rows_per_file: int | None = None, grace_s: float = 0.0) -> None:
     """Rewrite the dates older than ``before`` into files of about
     ``rows_per_file`` rows, holding the last value of each alert.
 
     The live rows of the files found now are appended as new files; only then
-    are exactly those files deleted. An insert that runs meanwhile writes other
-    files and keeps its rows; a crash before the deletion leaves each row twice
-    under one version, which reading resolves and the next compaction removes.
+    are exactly those files retired. An insert that runs meanwhile writes other
+    files and keeps its rows; a crash before that leaves each row twice under
+    one version, which reading resolves and the next compaction removes.
+
+    With ``grace_s`` the replaced files stay that many seconds, for readers that
+    have listed them already (rows then stand twice under one version, too), and
+    go with the first compaction or ``purge_retired`` after it. Without, such
+    a reader fails and must read again.
     """
     if not path_exists(spark, path):
         return
+    purge_retired(spark, path, grace_s)
+    gone = {f for files in _retired(spark, path).values() for f in files}
     old = _rows(spark, path).filter(F.col(PARTITION_COLUMN) < F.lit(before).cast("date"))
-    files = [r[0] for r in old.select(F.input_file_name()).distinct().collect()]
+    files = [r[0] for r in old.select(F.input_file_name()).distinct().collect() if r[0] not in gone]
     if not files:
         return
     seen = spark.read.schema(STORE_SCHEMA).option("basePath", path).parquet(*files)
@@ -227,5 +261,9 @@ def compact_alerts(spark: SparkSession, path: str, before,
                 .partitionBy(PARTITION_COLUMN).parquet(path)
     finally:
         live.unpersist()
+    if grace_s > 0:
+        name = f"{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}.txt"
+        write_text(spark, f"{path.rstrip('/')}/{RETIRED}/{name}", "\n".join(files) + "\n")
+        return
     for f in files:
         delete_path(spark, f)

@@ -266,3 +266,27 @@ def test_scratch_folders_can_be_cleared(spark):
     spark.range(1).write.parquet(path)
     assert path_exists(spark, path) and clear_scratch(spark) >= 1
     assert not path_exists(spark, path)
+
+
+def test_a_reader_that_listed_before_a_compaction_with_grace_goes_on(spark, tmp_dir):
+    store = f"{tmp_dir}/s"
+    for rate in (20, 25):
+        insert_alerts(spark, alerts(spark, [(1, "a", rate, 2), (2, "b", 30, 2)]), store)
+    before = rates(spark, store)
+    listed = read_alerts(spark, store)                       # files are listed here, read below
+    compact_alerts(spark, store, "2024-02-01", grace_s=3600)
+    assert sorted(r.metadata.errorRate for r in listed.collect()) == sorted(r for _, r in before)
+    assert rates(spark, store) == before
+    stored = spark.read.parquet(store).count()
+    compact_alerts(spark, store, "2024-02-01", grace_s=3600)  # replaced files are not taken again
+    compact_alerts(spark, store, "2024-02-01", grace_s=3600)
+    lists = list(alert_store._retired(spark, store).values())
+    assert len(lists) == 3 and len({f for files in lists for f in files}) == sum(map(len, lists))
+    insert_alerts(spark, alerts(spark, [(3, "c", 40, 2)]), store)
+    assert rates(spark, store) == sorted([*before, ("c", 40.0)], key=str)
+    assert stored == 5                                        # three rows replaced, two live
+    assert alert_store.purge_retired(spark, store, 3600) == 0
+    assert alert_store.purge_retired(spark, store) > 0
+    assert alert_store.purge_retired(spark, store) == 0
+    assert spark.read.parquet(store).count() == 3
+    assert rates(spark, store) == sorted([*before, ("c", 40.0)], key=str)
