@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from helpers import EDGE, SF001, documents, frame, words
@@ -140,6 +141,29 @@ def test_labels_of_held_out_rows_change_nothing(spark):
     assert a == b
 
 
+def test_votes_by_plain_computation(spark):
+    """Scores against cosines and votes worked out one text at a time."""
+    docs = spark.createDataFrame(documents(spark), "doc_id long, text string")
+    labels = spark.read.parquet(f"{SF001}/labels.parquet")
+    model = quality_classifier.fit(docs, labels)
+    used = {r.doc_id for r in labels.collect() if zlib.crc32(str(r.doc_id).encode()) % 5}
+    assert len(model.labels) == len(used & {r.doc_id for r in docs.collect()})
+    got = {r.doc_id: r.score for r in quality_classifier.score(docs, labels, model=model).collect()}
+    counter, voters = quality_classifier.TermCounter(), model.vectors.astype(float)
+    for doc_id, text in documents(spark):
+        counts = next(iter(counter.blocks(pa.array([text or ""]))))[0]
+        x = quality_classifier.weighted(counts[None], model.idf)[0] @ model.directions
+        if not np.linalg.norm(x):
+            continue
+        cosines = sorted(((float(v @ x) / np.linalg.norm(x), label)
+                          for v, label in zip(voters, model.labels)), reverse=True)
+        near = cosines[:quality_classifier.NEIGHBOURS]
+        weights = [max(c, 0) ** quality_classifier.SHARPNESS for c, _ in near]
+        want = sum(w * label for w, (_, label) in zip(weights, near)) / sum(weights)
+        edge = cosines[len(near) - 1][0] - cosines[len(near)][0] if len(cosines) > len(near) else 1
+        assert abs(got[doc_id] - want) < (1e-4 if edge > 1e-6 else 0.1)
+
+
 def test_classifier_edges(spark):
     labels = spark.read.parquet(f"{SF001}/labels.parquet")
     docs = frame(spark, EDGE)

@@ -7,7 +7,7 @@ from helpers import SF001
 
 import __spark_entry__
 import corpus_pipeline
-from logwarden.llm import packing, quality_rules
+from logwarden.llm import packing, paragraphs, quality_rules
 from logwarden.llm.common import materialize
 
 
@@ -59,6 +59,38 @@ def test_run_equals_the_stages(spark, planted):
         map(tuple, want))
 
 
+def _tables(spark, path, rows):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    spark.createDataFrame(rows, docs.schema).write.parquet(f"{path}/documents.parquet")
+    spark.read.parquet(f"{SF001}/labels.parquet").write.parquet(f"{path}/labels.parquet")
+    return path
+
+
+def test_empty_table(spark, tmp_path):
+    assert corpus_pipeline.run(spark, _tables(spark, str(tmp_path), [])).collect() == []
+
+
+def test_null_ids_repeated_rows_and_a_shared_passage(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    judged = quality_rules.keep_documents(docs)
+    good = [tuple(r) for r in judged.filter("length(text) > 1500").orderBy("doc_id").limit(12).collect()]
+    assert len(good) == 12
+    passage = " ".join(good[0][1].split()[:120])
+    rows = good + good[3:6]                                          # repeated rows
+    rows += [(None, *r[1:]) for r in good[6:8]]                      # copies without an id
+    rows += [(80000 + i, f"{r[1]}\n{passage}", *r[2:]) for i, r in enumerate(good[8:11])]
+    path = _tables(spark, str(tmp_path), rows)
+    before = spark.read.parquet(f"{path}/documents.parquet")
+    cut = {r.doc_id: r.text for r in paragraphs.cut_documents(before).collect()}
+    assert not any(passage in (cut.get(80000 + i) or "") for i in range(3))     # the later copies go
+    out = corpus_pipeline.run(spark, path).collect()
+    assert {r.doc_id for r in out} <= {r[0] for r in rows}
+    places = [(r.sequence_id, r.offset) for r in out]
+    assert len(places) == len(set(places))
+    kept = [r.doc_id for r in out if r.piece == 0 and r.doc_id is not None]
+    assert len(kept) == len(set(kept))                               # one row of repeated ones
+
+
 def test_registered():
     names = [n for n in __spark_entry__.queries() if n.startswith("op")]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
