@@ -11,6 +11,7 @@ strings are only held against those with an equal anchor gram.
 1. Each task finds the anchors of its documents and, for each, the range of
    strings that it stands for. Anchors with the same surroundings as an earlier
    one of the same batch are settled there, so copies do not reach a shuffle.
+   Both kinds are written in one pass over the texts.
 2. The others meet by gram. Equal surroundings leave only the earliest.
 3. Where one gram has several surroundings, these form a collection of short
    strings. Its Burrows-Wheeler transform and common prefixes are built column
@@ -39,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, materialize, shared_keys, text_hash, text_or_empty
+from .common import bound_batches, drop_scratch, materialize, shared_keys, text_hash, text_or_empty
 from .word_ids import Hasher, column_bytes, mix, row_groups
 
 LENGTH = 100
@@ -236,30 +237,34 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     keyed = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"),
                         text_or_empty(text_col).alias("text")).withColumn("tag", text_hash("text"))
 
-    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Anchors()
         for batch in batches:
             f, ids, tags, packed = batch_anchors(finder, batch)
-            at, _ = earliest(f, ids, packed)
+            at, later = earliest(f, ids, packed)
+            done = _gaps(ids[later], tags[later], packed[later])
+            none = pa.nulls(len(at), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(f["gram"][at].view(np.int64)), pa.array(f["around"][at].view(np.int64)),
-                 pa.array(ids[at]), pa.array(tags[at]), pa.array(packed[at])],
-                names=["gram", "around", "id", "tag", "packed"])
-
-    def settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = Anchors()
-        for batch in batches:
-            f, ids, tags, packed = batch_anchors(finder, batch)
-            _, later = earliest(f, ids, packed)
-            yield _gaps(ids[later], tags[later], packed[later])
+                 pa.array(ids[at]), pa.array(tags[at]), pa.array(packed[at]), none, none],
+                names=names)
+            none = pa.nulls(done.num_rows, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [none, none, done.column(0), done.column(1), none, done.column(2), done.column(3)],
+                names=names)
 
     def gaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield _gaps(*(batch.column(k).to_numpy() for k in range(3)))
 
-    here = keyed.mapInArrow(settled, _GAPS)
-    met = materialize(shared_keys(keyed.mapInArrow(
-        candidates, "gram long, around long, id long, tag long, packed long"), "gram").drop("n"), "met-grams")
+    # One written pass: what a batch settles and what it leaves agree whatever
+    # order its rows come in, and a lost executor re-reads both.
+    names = ["gram", "around", "id", "tag", "packed", "first", "stop"]
+    found = materialize(keyed.mapInArrow(anchors, ", ".join(f"{c} long" for c in names)), "anchors")
+    here = materialize(found.filter("gram is null").select("id", "tag", "first", "stop"), "settled")
+    open_ = found.filter("gram is not null").drop("first", "stop")
+    met = materialize(shared_keys(open_, "gram").drop("n"), "met-grams")
+    drop_scratch(found)
     place = F.struct("id", F.shiftright("packed", 16).alias("pos"))
     firsts = met.groupBy("gram", "around").agg(F.min(F.struct("id", "packed", "tag")).alias("first"))
     later = met.join(firsts, ["gram", "around"]).filter(

@@ -338,3 +338,31 @@ def test_paragraphs_in_any_row_order(spark):
     unstable = docs.mapInArrow(shuffled, docs.schema)
     got, want = (sorted(set(map(tuple, paragraphs.removed_paragraphs(d).collect()))) for d in (unstable, docs))
     assert got == want and {r[0] for r in got} == set(range(1, 160))
+
+
+def test_repeated_strings_in_any_row_order(spark):
+    """The input gives its rows in another order each time it is evaluated: the
+    shared passage goes whole from all copies but the earliest."""
+    import pyarrow as pa
+
+    rng = random.Random(43)
+
+    def some(n):
+        return "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = some(300)
+    rows = [(i, some(rng.randint(100, 300)) + passage + some(rng.randint(100, 300))) for i in range(160)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+
+    def shuffled(batches):
+        table = pa.Table.from_batches(list(batches), pa.schema([("doc_id", pa.int64()), ("text", pa.string())]))
+        order = np.random.default_rng().permutation(table.num_rows)
+        yield from table.take(pa.array(order)).to_batches(max_chunksize=7)
+
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        got = {r["doc_id"]: r["n_removed"] for r in suffix_dedup.remove_repeats(
+            docs.mapInArrow(shuffled, docs.schema)).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert got[0] == 0 and all(300 <= got[i] < 310 for i in range(1, 160))
