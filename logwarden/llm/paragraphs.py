@@ -7,7 +7,10 @@ SPAN + WINDOW - 1 words (47) therefore holds at least one paragraph wherever it
 is pasted, and the same ones each time.
 
 1. Equal paragraphs (by content) leave the earliest (smallest id, then place).
-   Their rows are counted first, so only repeated ones are kept.
+   Their rows are counted first, so only repeated ones are kept. Where removed
+   paragraphs of a text begin and end, the words beside them go too as long as
+   they agree with those beside the earliest: WINDOW - 1 words on each side, as
+   a longer agreement would hold a paragraph of its own.
 2. Near copies are sought among units: lines of SPAN to LONG words, and pieces
    of whole texts, cut where the hash of CUT_GRAM words is the least within
    REACH words on both sides (so ends come back after an edit; a piece has
@@ -38,7 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bound_batches, drop_scratch, materialize, release, shared_keys, text_hash, text_or_empty
@@ -251,7 +254,33 @@ def _later(rows: DataFrame, heads: DataFrame) -> DataFrame:
     """The rows that are not their content's earliest, with its id as source."""
     return rows.join(heads.select("content", "head"), "content").filter(
         F.struct("id", "first") > F.struct("head.id", "head.first")).select(
-            "id", "tag", "first", "stop", F.col("head.id").alias("source"))
+            "content", "id", "tag", "first", "stop", F.col("head.id").alias("source"))
+
+
+def _run_ends(equal: DataFrame) -> DataFrame:
+    """The first and the last removed paragraph of every run of overlapping ones
+    in a text, with the sides (left, right) where the run ends. Rows that share
+    id and text count once, so a window is as long as one text at most."""
+    order = Window.partitionBy("id", "tag").orderBy("first")
+    return equal.dropDuplicates(["id", "tag", "first"]).select(
+        "*", F.coalesce(F.lag("stop").over(order) < F.col("first"), F.lit(True)).alias("left"),
+        F.coalesce(F.lead("first").over(order) > F.col("stop"), F.lit(True)).alias("right")).filter(
+            "left or right")
+
+
+def surroundings(words: np.ndarray, at: int) -> np.ndarray:
+    """The WINDOW - 1 words before the paragraph at word ``at`` (nearest first)
+    and behind it, as two rows of 31 hash bits each; zero where there is none."""
+    out = np.zeros((2, WINDOW - 1), np.uint32)
+    for side, near in zip(out, (words[max(0, at - WINDOW + 1):at][::-1],
+                                words[at + SPAN:at + SPAN + WINDOW - 1])):
+        side[:len(near)] = (near >> np.uint64(32)) | np.uint64(1)
+    return out
+
+
+def agreed(a: np.ndarray, b: np.ndarray) -> int:
+    """Leading words that two sides have in common."""
+    return int(np.argmin(np.r_[(a == b) & (a > 0), False]))
 
 
 def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -269,6 +298,8 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     first = materialize(_heads(met), "paragraph-heads")      # plain tables: a hot content can be split
     equal = materialize(_later(met, first), "equal-paragraphs")
     drop_scratch(met)
+    ends = materialize(_run_ends(equal), "run-ends")
+    beside = ends.select("content").distinct().join(first, "content").select("content", "head.*")
     units = materialize(_found(keyed, units=True), "units")
     heads = materialize(_heads(units), "unit-heads")
     equal_units = materialize(_later(units, heads), "equal-units")
@@ -278,7 +309,8 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     several = materialize(heads.join(members.select("content").distinct(), "content").select(
         "content", "head.*"), "variants")
     drop_scratch(heads)
-    shingles = materialize(_with_shingles(keyed, several), "shingles")
+    looked_up = materialize(_looked_up(keyed, several, beside), "shingles")
+    shingles = looked_up.filter("not around").drop("around")
     roots = materialize(components(similar_links(members, shingles), "a", "b"), "roots")
     drop_scratch(members)
     joined = several.join(roots, several["content"] == roots["node"], "left").withColumn(
@@ -290,9 +322,9 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     near = joined.join(kept, "root").filter(
         (F.struct("id", "first") > F.struct("kept.id", "kept.first")) & ~itself).select(
             "content", F.col("kept.content").alias("like"), F.col("kept.id").alias("source"))
-    copies = materialize(_trimmed(keyed, several.join(near, "content"), shingles), "near-units")
-    drop_scratch(shingles)
-    return equal.unionByName(equal_units).unionByName(copies)
+    copies = materialize(_fitted(keyed, several.join(near, "content"), ends, looked_up), "near-units")
+    drop_scratch(looked_up)
+    return equal.drop("content").unionByName(equal_units.drop("content")).unionByName(copies)
 
 
 def _one_row_each(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -307,14 +339,19 @@ def _one_row_each(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
     return once.unionByName(again).drop("copies")
 
 
-def _trimmed(keyed: DataFrame, near: DataFrame, shingles: DataFrame) -> DataFrame:
-    """``near`` (content, id, tag, first, stop, like, source) without the words
-    before the first and after the last shingle that ``like`` holds."""
-    held = near.join(shingles.select(F.col("content").alias("like"), "shingles"), "like")
-    wanted = held.groupBy("id", "tag").agg(F.collect_list(F.struct(
-        "first", "stop", "source", "shingles")).alias("spans"))
+def _fitted(keyed: DataFrame, near: DataFrame, ends: DataFrame, looked_up: DataFrame) -> DataFrame:
+    """Ranges whose edges depend on the text: ``near`` units (content, id, tag,
+    first, stop, like, source) without the words before the first and after the
+    last shingle that ``like`` holds, and the paragraphs at the ``ends`` of runs
+    with the words beside them that agree with those beside the earliest (none
+    where no word does)."""
+    trims = near.drop("content").withColumnRenamed("like", "content").withColumns(
+        {"left": F.lit(False), "right": F.lit(False), "around": F.lit(False)})
+    spans = trims.unionByName(ends.withColumn("around", F.lit(True)))
+    wanted = spans.join(looked_up, ["content", "around"]).groupBy("id", "tag").agg(F.collect_list(F.struct(
+        "first", "stop", "source", "around", "left", "right", "shingles")).alias("spans"))
 
-    def trim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Finder()
         for batch in batches:
             for r, spans in enumerate(batch.column("spans")):
@@ -322,13 +359,22 @@ def _trimmed(keyed: DataFrame, near: DataFrame, shingles: DataFrame) -> DataFram
                 starts, ends, _, words = finder.words(*column_bytes(text))
                 runs, out = finder.runs(words, SHINGLE), []
                 for s in spans.as_py():
-                    x = np.searchsorted(starts, s["first"])
-                    y = np.searchsorted(starts, s["stop"]) - SHINGLE + 1
-                    both = np.flatnonzero(np.isin(runs[x:y], np.frombuffer(s["shingles"], np.uint64)))
-                    first, stop = s["first"], s["stop"]
-                    if len(both):
-                        first, stop = int(starts[x + both[0]]), int(ends[x + both[-1] + SHINGLE - 1])
+                    x, first, stop = int(np.searchsorted(starts, s["first"])), s["first"], s["stop"]
+                    if s["around"]:
+                        theirs = np.frombuffer(s["shingles"], np.uint32).reshape(2, -1)
+                        left, right = map(agreed, surroundings(words, x), theirs)
+                        left, right = left * s["left"], right * s["right"]
+                        if not left + right:
+                            continue
+                        first, stop = int(starts[x - left]), int(ends[x + SPAN - 1 + right])
+                    else:
+                        y = np.searchsorted(starts, s["stop"]) - SHINGLE + 1
+                        both = np.flatnonzero(np.isin(runs[x:y], np.frombuffer(s["shingles"], np.uint64)))
+                        if len(both):
+                            first, stop = int(starts[x + both[0]]), int(ends[x + both[-1] + SHINGLE - 1])
                     out.append((first, stop, s["source"]))
+                if not out:
+                    continue
                 first, stop, source = zip(*out)
                 n = len(out)
                 yield pa.RecordBatch.from_pydict({
@@ -337,19 +383,21 @@ def _trimmed(keyed: DataFrame, near: DataFrame, shingles: DataFrame) -> DataFram
                     "first": pa.array(first, pa.int32()), "stop": pa.array(stop, pa.int32()),
                     "source": pa.array(source, pa.int64())})
 
-    return _one_row_each(keyed, wanted).mapInArrow(trim, _REMOVED)
+    return _one_row_each(keyed, wanted).mapInArrow(fit, _REMOVED)
 
 
-def _with_shingles(keyed: DataFrame, heads: DataFrame) -> DataFrame:
-    """(content, shingles): hashes of the different shingles of the earliest
-    unit of each content, from its document's text."""
-    wanted = heads.groupBy("id", "tag").agg(F.collect_list(F.struct(
-        "content", "first", "stop")).alias("spans"))
+def _looked_up(keyed: DataFrame, heads: DataFrame, beside: DataFrame) -> DataFrame:
+    """(content, around, shingles) from the text of the earliest of each content:
+    hashes of the different shingles of the units ``heads``, and (around) the
+    surroundings of the paragraphs ``beside``."""
+    spots = heads.withColumn("around", F.lit(False)).unionByName(beside.withColumn("around", F.lit(True)))
+    wanted = spots.groupBy("id", "tag").agg(F.collect_list(F.struct(
+        "content", "first", "stop", "around")).alias("spans"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Finder()
         for batch in batches:
-            names, out = [], []
+            names, kinds, out = [], [], []
             data, offsets = column_bytes(batch.column("text"))
             for r, spans in enumerate(batch.column("spans")):
                 text, spans = data[offsets[r]:offsets[r + 1]], spans.values
@@ -357,12 +405,16 @@ def _with_shingles(keyed: DataFrame, heads: DataFrame) -> DataFrame:
                 runs = finder.runs(words, SHINGLE)
                 begin = np.searchsorted(starts, spans.field("first").to_numpy())
                 end = np.searchsorted(starts, spans.field("stop").to_numpy()) - SHINGLE + 1
+                around = spans.field("around").to_pylist()
                 names += spans.field("content").to_pylist()
-                out += [np.unique(runs[x:y]).tobytes() for x, y in zip(begin.tolist(), end.tolist())]
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(out, pa.binary())],
-                                             names=["content", "shingles"])
-
-    return _one_row_each(keyed, wanted).mapInArrow(cut, "content long, shingles binary")
+                kinds += around
+                out += [(surroundings(words, x) if k else np.unique(runs[x:y])).tobytes()
+                        for x, y, k in zip(begin.tolist(), end.tolist(), around)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.int64()), pa.array(kinds, pa.bool_()), pa.array(out, pa.binary())],
+                names=["content", "around", "shingles"])
+
+    return _one_row_each(keyed, wanted).mapInArrow(cut, "content long, around boolean, shingles binary")
 
 
 def band_members(units: DataFrame) -> DataFrame:

@@ -366,3 +366,23 @@ def test_repeated_strings_in_any_row_order(spark):
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
     assert got[0] == 0 and all(300 <= got[i] < 310 for i in range(1, 160))
+
+
+@pytest.mark.parametrize("size", [47, 60, 100])
+def test_repeated_passages_go_whole(spark, size):
+    """Passages pasted between unrelated words go to the last word from all
+    copies but the earliest; the words beside them stay."""
+    rng = random.Random(size)
+
+    def some(n):
+        return [f"w{rng.randrange(10 ** 6)}" for _ in range(n)]
+    rows, want = [], {}
+    for pair in range(40):
+        passage = some(size)
+        for k in range(3):
+            before, after = some(rng.randint(0, 60)), some(rng.randint(0, 60))
+            rows.append((pair * 3 + k, " ".join(before + passage + after)))
+            want[pair * 3 + k] = before + passage * (k == 0) + after
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["text"].split() for r in paragraphs.cut_documents(docs).collect()}
+    assert got == {i: w for i, w in want.items() if w}
