@@ -587,10 +587,12 @@ ADMISSION_TRIGGER = 1      # seconds
 
 def _one_file_a_slice(spark, logs: DataFrame, which, n: int) -> str:
     """The log topic as one file a slice (a slice is as many rows as a producer
-    rolls into a file)."""
+    rolls into a file). A slice's number is the number of the task that writes
+    it: no two slices meet in a task, and as ``slice`` is a column of the file
+    and no folder, rows pass through unsorted, a row group at a time."""
     path = scratch_path(spark, "logs-topic-files")
-    encode_logs(logs.withColumn("slice", which.cast("int")), keep=("slice",)).repartition(
-        n, "slice").write.partitionBy("slice").parquet(path)
+    encode_logs(logs.withColumn("slice", which.cast("int")), keep=("slice",)).repartitionById(
+        n, "slice").write.parquet(path)
     return path
 
 

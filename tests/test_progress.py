@@ -92,3 +92,12 @@ def test_limits_that_have_no_effect_are_errors(spark, tmp_dir):
         read_topic_stream(spark, path=tmp_dir, max_offsets_per_trigger=5)
     with pytest.raises(ValueError):
         read_topic_stream(spark, servers="x:1", max_files_per_trigger=5)
+
+
+def test_each_slice_of_a_topic_is_written_by_a_task_of_its_own(spark):
+    from logwarden.plans.catalog import _one_file_a_slice
+    logs = make_logs(spark, [(f"2024-01-01T{n % 4:02d}:00:00", "INFO", "m", f"E{n}", "a") for n in range(40)])
+    path = _one_file_a_slice(spark, logs.repartition(3), F.hour("timestamp"), 4)
+    found = spark.read.parquet(path).select("slice", F.input_file_name().alias("file")).groupBy(
+        "slice", F.regexp_extract("file", r"part-(\d+)", 1).cast("int").alias("task"), "file").count().collect()
+    assert sorted((r.slice, r.task, r["count"]) for r in found) == [(s, s, 10) for s in range(4)]
