@@ -74,4 +74,5 @@ def shared_keys(rows: DataFrame, *keys: str, count: str = "n") -> DataFrame:
     many rows over tasks (a window would hold it in one)."""
     counts = materialize(rows.groupBy(*keys).agg(F.count("*").alias(count)).filter(
         F.col(count) > 1), "key-counts")
+    release(rows.sparkSession)                     # of the counts, before the join
     return rows.join(counts, list(keys))

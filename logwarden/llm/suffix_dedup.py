@@ -40,7 +40,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, drop_scratch, materialize, shared_keys, text_hash, text_or_empty
+from .common import (bound_batches, drop_scratch, materialize, release, shared_keys, text_hash,
+                     text_or_empty)
 from .word_ids import Hasher, column_bytes, mix, row_groups
 
 LENGTH = 100
@@ -232,7 +233,11 @@ def _surroundings(texts: list[bytes], pos: np.ndarray) -> np.ndarray:
 
 def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, tag, first, stop): byte ranges to remove; they may overlap. tag is
-    a 64-bit hash of the text, so that rows sharing an id stay apart."""
+    a 64-bit hash of the text, so that rows sharing an id stay apart.
+
+    The ranges are written and the tables that led to them deleted; each step's
+    shuffle files go before the next step makes its own, so what is on disk at
+    once is one step and not their sum."""
     bound_batches(docs.sparkSession)
     keyed = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"),
                         text_or_empty(text_col).alias("text")).withColumn("tag", text_hash("text"))
@@ -271,12 +276,17 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         place > F.struct("first.id", F.shiftright("first.packed", 16).alias("pos"))).select("id", "tag", "packed")
     contested = materialize(shared_keys(firsts.select("gram", "first.*"), "gram"),
                             "contested")
+    release(docs.sparkSession)
     strings = materialize(_with_surroundings(keyed, contested), "surroundings")
+    release(docs.sparkSession)
     small = strings.filter(F.col("n") <= CROWD).repartition("gram").sortWithinPartitions("gram")
     crowded = strings.filter(F.col("n") > CROWD)
-    return (here.unionByName(later.mapInArrow(gaps, _GAPS))
-            .unionByName(small.select("gram", "id", "tag", "packed", "string").mapInArrow(_collections, _GAPS))
-            .unionByName(_by_content(crowded)))
+    ranges = materialize(
+        here.unionByName(later.mapInArrow(gaps, _GAPS))
+        .unionByName(small.select("gram", "id", "tag", "packed", "string").mapInArrow(_collections, _GAPS))
+        .unionByName(_by_content(crowded)), "repeated-ranges")
+    drop_scratch(here, met, contested, strings)
+    return ranges
 
 
 def _with_surroundings(keyed: DataFrame, contested: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from helpers import EDGE, documents, frame, words
 
 from logwarden.llm import paragraphs, simhash, suffix_dedup
 from logwarden.llm.components import components
+from logwarden.session import child_names, shared_dir
 
 
 def fingerprint(text):
@@ -235,6 +236,16 @@ def test_empty_tables(spark):
         assert op(docs).collect() == []
 
 
+def test_removal_holds_only_the_ranges_on_disk(spark, byte_rows):
+    """What led to the ranges is deleted before the texts are joined to them."""
+    base = f"{shared_dir(spark)}/logwarden"
+    before = set(child_names(spark, base))
+    out = suffix_dedup.remove_repeats(frame(spark, byte_rows))
+    made = {n.rsplit("-", 1)[0] for n in set(child_names(spark, base)) - before}
+    assert made == {"llm-key-counts", "llm-repeated-ranges"}
+    assert sorted(map(tuple, out.collect()), key=str) == without_repeats(byte_rows)
+
+
 def test_rows_without_ids_stay_apart(spark):
     """Thousands of different texts with one (null) id: each loses its own ranges."""
     rng = random.Random(12)
