@@ -441,14 +441,17 @@ REPLAY_SLICES = 4
 
 
 def _arriving_slices(spark, logs: DataFrame, which, n: int):
-    """The log topic arriving in ``n`` slices (``which``: slice of a log): all
-    records are written in one pass, then one slice after the other is moved
-    into the topic folder. Yields (slice number, record stream) after each."""
+    """The log topic arriving in ``n`` slices (``which``: slice of a log), one
+    after the other: a slice's records are written aside and moved into the
+    topic folder whole. A write holds one slice, so its tasks need not sort
+    their rows by slice. Yields (slice number, record stream) after each; a
+    slice without rows adds no file."""
     staged, topic = scratch_path(spark, "logs-staged"), scratch_path(spark, "logs-topic-replay")
-    sliced = logs.withColumn("_slice", which.cast("int"))
-    encode_logs(sliced, keep=("_slice",)).write.partitionBy("_slice").parquet(staged)
     for i in range(n):
-        move_path(spark, f"{staged}/_slice={i}", f"{topic}/slice{i}")
+        part = f"{staged}/slice{i}"
+        encode_logs(logs.filter(which.cast("int") == i)).write.parquet(part)
+        if not spark.read.schema(RECORD_SCHEMA).parquet(part).isEmpty():
+            move_path(spark, part, f"{topic}/slice{i}")
         yield i, read_topic_stream(spark, path=f"{topic}/*", fmt="parquet", schema=RECORD_SCHEMA)
 
 

@@ -101,3 +101,22 @@ def test_each_slice_of_a_topic_is_written_by_a_task_of_its_own(spark):
     found = spark.read.parquet(path).select("slice", F.input_file_name().alias("file")).groupBy(
         "slice", F.regexp_extract("file", r"part-(\d+)", 1).cast("int").alias("task"), "file").count().collect()
     assert sorted((r.slice, r.task, r["count"]) for r in found) == [(s, s, 10) for s in range(4)]
+
+
+def test_slices_arrive_whole_and_are_not_sorted_by_slice(spark, tmp_dir, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    from logwarden.plans.catalog import _arriving_slices
+    monkeypatch.setattr(DataFrameWriter, "partitionBy", lambda *_: pytest.fail("sorts rows by folder in each task"))
+    logs = make_logs(spark, [(f"2024-01-01T{n % 4:02d}:00:00", "INFO", "m", f"E{n}", "a")
+                             for n in range(40) if n % 4 != 2]).repartition(3)
+    seen = []
+
+    def note(batch, batch_id):
+        keys = [int(r.key[1:]) for r in batch.collect()]
+        seen.append((batch_id, len(keys), {k % 4 for k in keys}))
+
+    for _, records in _arriving_slices(spark, logs, F.hour("timestamp"), 4):
+        records.writeStream.foreachBatch(note).option("checkpointLocation", f"{tmp_dir}/ckpt").trigger(
+            availableNow=True).start().awaitTermination()
+    assert seen == [(0, 10, {0}), (1, 10, {1}), (2, 10, {3})]        # none for the slice without rows
