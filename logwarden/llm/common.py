@@ -67,12 +67,12 @@ def drop_scratch(*tables: DataFrame) -> None:
     release(tables[0].sparkSession)
 
 
-def shared_keys(rows: DataFrame, *keys: str, count: str = "n") -> DataFrame:
+def shared_keys(rows: DataFrame, *keys: str, count: str = "n", hint: str = "") -> DataFrame:
     """Rows whose keys occur more than once, with the number of rows that have
     them. The counts are pre-aggregated in the map tasks, written, and joined
     back: a join of two plain tables, in which Spark can split a key with very
-    many rows over tasks (a window would hold it in one)."""
+    many rows over tasks (a window would hold it in one). ``hint``: how."""
     counts = materialize(rows.groupBy(*keys).agg(F.count("*").alias(count)).filter(
         F.col(count) > 1), "key-counts")
     release(rows.sparkSession)                     # of the counts, before the join
-    return rows.join(counts, list(keys))
+    return rows.join(counts.hint(hint) if hint else counts, list(keys))

@@ -56,6 +56,8 @@ LONG, CUT_GRAM, REACH = 256, 3, 31
 BANDS, ROWS = 9, 3
 #: Paragraphs of one band key compared in one block.
 BLOCK = 256
+#: Texts are taken in groups of about this many bytes: their arrays stay in a core's cache.
+GROUP = 1 << 18
 #: Starts handled in one pass (places must fit 24 bits).
 STRETCH = 1 << 23
 
@@ -69,12 +71,13 @@ class Finder:
 
     def __init__(self):
         self.hasher = Hasher()
+        self.hasher.value = self.hasher.value[_TO_LOWER]
 
     def words(self, data: np.ndarray, offsets: np.ndarray):
         """(starts, ends, row, hash) of the words."""
         starts, ends = word_bounds(data, offsets)
         row = np.repeat(np.arange(len(offsets) - 1), np.diff(np.searchsorted(starts, offsets)))
-        return starts, ends, row, self.hasher.ranges(self.hasher.sums(_TO_LOWER[data]), starts, ends)
+        return starts, ends, row, self.hasher.ranges(self.hasher.sums(data), starts, ends)
 
     def runs(self, words: np.ndarray, n: int) -> np.ndarray:
         """Hash of every ``n`` neighbouring words."""
@@ -89,7 +92,7 @@ class Finder:
         """row, gram, content, first and stop byte of every paragraph."""
         data, offsets = column_bytes(column)
         found = []
-        for a, b in row_groups(offsets):
+        for a, b in row_groups(offsets, GROUP):
             base = offsets[a]
             starts, ends, row, words = self.words(data[base:offsets[b]], offsets[a:b + 1] - base)
             grams, contents = self.runs(words, GRAM), self.runs(words, SPAN)
@@ -105,7 +108,7 @@ class Finder:
         """row, content, first and stop byte and band keys of every unit."""
         data, offsets = column_bytes(column)
         found = []
-        for a, b in row_groups(offsets):
+        for a, b in row_groups(offsets, GROUP):
             base = offsets[a]
             part, own = data[base:offsets[b]], offsets[a:b + 1] - base
             starts, ends, row, words = self.words(part, own)
@@ -125,6 +128,38 @@ class Finder:
                  "keys": np.zeros((0, BANDS), np.uint64)}
         return {k: np.concatenate([f[k] for f in found]) if found else v for k, v in empty.items()}
 
+    def spots(self, data: np.ndarray, offsets: np.ndarray, row: np.ndarray, kind: np.ndarray,
+              first: np.ndarray, stop: np.ndarray) -> dict[str, list[bytes | None]]:
+        """Of spans of the rows' texts what ``_looked_up`` says."""
+        starts, ends, _, words = self.words(data, offsets)
+        runs = self.runs(words, SHINGLE)
+        hashes, places, around, reach = ([None] * len(row) for _ in range(4))
+        base = offsets[row]
+        at, last = np.searchsorted(starts, base + first), np.searchsorted(starts, base + stop)
+        begins, stops = starts.astype(np.int32), ends.astype(np.int32)
+        units = np.flatnonzero(kind == SET)
+        for k, x, y in zip(units.tolist(), at[units].tolist(), (last[units] - SHINGLE + 1).tolist()):
+            own = runs[x:y]
+            order = np.argsort(own, kind="stable")
+            own = own[order]
+            new = np.ones(len(own) + 1, bool)
+            np.not_equal(own[1:], own[:-1], out=new[1:-1])
+            hashes[k] = own[new[:-1]].tobytes()
+            place = np.stack([begins[x + order[new[:-1]]], stops[x + SHINGLE - 1 + order[new[1:]]]]) - begins[x]
+            places[k] = place.astype(np.uint16 if place.max() < 1 << 16 else np.uint32).tobytes()
+        edges = np.flatnonzero(kind != SET)
+        if len(edges):
+            x, bound = at[edges], np.searchsorted(starts, offsets)
+            begin, end = bound[row[edges]], bound[row[edges] + 1]
+            near = np.arange(WINDOW)
+            own = surroundings(words, x, begin, end)
+            far = np.stack([begins[np.maximum(x[:, None] - near, begin[:, None])],
+                            stops[np.minimum(x[:, None] + SPAN - 1 + near, end[:, None] - 1)]], 1)
+            far = far - base[edges].astype(np.int32)[:, None, None]
+            for k, a, r in zip(edges.tolist(), own, far):
+                around[k], reach[k] = a.tobytes(), r.tobytes()
+        return {"hashes": hashes, "places": places, "around": around, "reach": reach}
+
     def starts(self, grams: np.ndarray, row: np.ndarray) -> np.ndarray:
         """Chosen starts, as word numbers."""
         n = len(row) - SPAN + 1
@@ -205,6 +240,8 @@ def band_keys(values: np.ndarray, first: np.ndarray, size: np.ndarray,
     return out
 
 
+#: What a place of a text is looked up for.
+SET, BESIDE, END = 0, 1, 2
 _PLACES = "id long, tag long, first int, stop int"
 _REMOVED = f"{_PLACES}, source long"
 
@@ -252,7 +289,7 @@ def _heads(rows: DataFrame) -> DataFrame:
 
 def _later(rows: DataFrame, heads: DataFrame) -> DataFrame:
     """The rows that are not their content's earliest, with its id as source."""
-    return rows.join(heads.select("content", "head"), "content").filter(
+    return rows.join(heads.select("content", "head").hint("shuffle_hash"), "content").filter(
         F.struct("id", "first") > F.struct("head.id", "head.first")).select(
             "content", "id", "tag", "first", "stop", F.col("head.id").alias("source"))
 
@@ -260,27 +297,29 @@ def _later(rows: DataFrame, heads: DataFrame) -> DataFrame:
 def _run_ends(equal: DataFrame) -> DataFrame:
     """The first and the last removed paragraph of every run of overlapping ones
     in a text, with the sides (left, right) where the run ends. Rows that share
-    id and text count once, so a window is as long as one text at most."""
+    id and text count once, so a window is as long as one text at most; they are
+    dropped in the partitions that the window needs."""
     order = Window.partitionBy("id", "tag").orderBy("first")
-    return equal.dropDuplicates(["id", "tag", "first"]).select(
+    return equal.repartition("id", "tag").dropDuplicates(["id", "tag", "first"]).select(
         "*", F.coalesce(F.lag("stop").over(order) < F.col("first"), F.lit(True)).alias("left"),
         F.coalesce(F.lead("first").over(order) > F.col("stop"), F.lit(True)).alias("right")).filter(
             "left or right")
 
 
-def surroundings(words: np.ndarray, at: int) -> np.ndarray:
-    """The WINDOW - 1 words before the paragraph at word ``at`` (nearest first)
-    and behind it, as two rows of 31 hash bits each; zero where there is none."""
-    out = np.zeros((2, WINDOW - 1), np.uint32)
-    for side, near in zip(out, (words[max(0, at - WINDOW + 1):at][::-1],
-                                words[at + SPAN:at + SPAN + WINDOW - 1])):
-        side[:len(near)] = (near >> np.uint64(32)) | np.uint64(1)
-    return out
+def surroundings(words: np.ndarray, at: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Of paragraphs at words ``at`` of texts with words begin to end - 1: the
+    WINDOW - 1 words before (nearest first) and behind, as two rows of 31 hash
+    bits each; zero where there is none."""
+    near = np.arange(WINDOW - 1)
+    place = np.stack([at[:, None] - 1 - near, at[:, None] + SPAN + near], 1)
+    there = (place >= begin[:, None, None]) & (place < end[:, None, None])
+    return np.where(there, words[np.where(there, place, 0)] >> np.uint64(32) | np.uint64(1),
+                    np.uint64(0)).astype(np.uint32)
 
 
-def agreed(a: np.ndarray, b: np.ndarray) -> int:
-    """Leading words that two sides have in common."""
-    return int(np.argmin(np.r_[(a == b) & (a > 0), False]))
+def agreed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Leading words that sides (the last axis) have in common."""
+    return np.cumprod((a == b) & (a > 0), axis=-1).sum(axis=-1)
 
 
 def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -294,7 +333,9 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                         text_or_empty(F.col(f"`{text_col}`")).alias("text")).withColumn(
                             "tag", text_hash("text"))
 
-    met = materialize(shared_keys(_found(keyed, units=False), "content").drop("n"), "met-paragraphs")
+    found = materialize(_found(keyed, units=False), "paragraphs")      # read twice
+    met = materialize(shared_keys(found, "content", hint="shuffle_hash").drop("n"), "met-paragraphs")
+    drop_scratch(found)
     first = materialize(_heads(met), "paragraph-heads")      # plain tables: a hot content can be split
     equal = materialize(_later(met, first), "equal-paragraphs")
     drop_scratch(met)
@@ -306,12 +347,14 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     release(spark)
     members = materialize(band_members(units), "members")
     drop_scratch(units)
-    several = materialize(heads.join(members.select("content").distinct(), "content").select(
-        "content", "head.*"), "variants")
+    several = materialize(heads.join(members.groupBy("content").agg(
+        (F.max("n") > BLOCK).alias("crowded")), "content").select("content", "head.*", "crowded"), "variants")
     drop_scratch(heads)
-    looked_up = materialize(_looked_up(keyed, several, beside), "shingles")
-    shingles = looked_up.filter("not around").drop("around")
-    roots = materialize(components(similar_links(members, shingles), "a", "b"), "roots")
+    looked_up = materialize(_looked_up(keyed, several, beside, ends), "shingles")
+    release(spark)
+    sets = looked_up.filter(F.col("kind") == SET)
+    roots = materialize(components(similar_links(members, sets.select(
+        "content", "crowded", F.col("hashes").alias("shingles"))), "a", "b"), "roots")
     drop_scratch(members)
     joined = several.join(roots, several["content"] == roots["node"], "left").withColumn(
         "root", F.coalesce("component", "content"))
@@ -322,7 +365,7 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     near = joined.join(kept, "root").filter(
         (F.struct("id", "first") > F.struct("kept.id", "kept.first")) & ~itself).select(
             "content", F.col("kept.content").alias("like"), F.col("kept.id").alias("source"))
-    copies = materialize(_fitted(keyed, several.join(near, "content"), ends, looked_up), "near-units")
+    copies = materialize(_trimmed(near, sets).unionByName(_extended(looked_up)), "near-units")
     drop_scratch(looked_up)
     return equal.drop("content").unionByName(equal_units.drop("content")).unionByName(copies)
 
@@ -339,82 +382,96 @@ def _one_row_each(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
     return once.unionByName(again).drop("copies")
 
 
-def _fitted(keyed: DataFrame, near: DataFrame, ends: DataFrame, looked_up: DataFrame) -> DataFrame:
-    """Ranges whose edges depend on the text: ``near`` units (content, id, tag,
-    first, stop, like, source) without the words before the first and after the
-    last shingle that ``like`` holds, and the paragraphs at the ``ends`` of runs
-    with the words beside them that agree with those beside the earliest (none
-    where no word does)."""
-    trims = near.drop("content").withColumnRenamed("like", "content").withColumns(
-        {"left": F.lit(False), "right": F.lit(False), "around": F.lit(False)})
-    spans = trims.unionByName(ends.withColumn("around", F.lit(True)))
-    wanted = spans.join(looked_up, ["content", "around"]).groupBy("id", "tag").agg(F.collect_list(F.struct(
-        "first", "stop", "source", "around", "left", "right", "shingles")).alias("spans"))
+def _looked_up(keyed: DataFrame, heads: DataFrame, beside: DataFrame, ends: DataFrame) -> DataFrame:
+    """What the texts say of places in them, each text being split once: of units
+    (``heads``: SET) the hashes of their different shingles and the places (from
+    the unit's first byte on, in 16 bits if that will do, else in 32) where each
+    first begins and last stops; of the earliest paragraphs (``beside``:
+    BESIDE) and those at the ends of runs (``ends``: END) their surroundings
+    (around) and where the words there begin to the left and stop to the right
+    (reach)."""
+    more = {"source": "long", "left": "boolean", "right": "boolean", "crowded": "boolean"}
 
-    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = Finder()
-        for batch in batches:
-            for r, spans in enumerate(batch.column("spans")):
-                text = batch.column("text").slice(r, 1)
-                starts, ends, _, words = finder.words(*column_bytes(text))
-                runs, out = finder.runs(words, SHINGLE), []
-                for s in spans.as_py():
-                    x, first, stop = int(np.searchsorted(starts, s["first"])), s["first"], s["stop"]
-                    if s["around"]:
-                        theirs = np.frombuffer(s["shingles"], np.uint32).reshape(2, -1)
-                        left, right = map(agreed, surroundings(words, x), theirs)
-                        left, right = left * s["left"], right * s["right"]
-                        if not left + right:
-                            continue
-                        first, stop = int(starts[x - left]), int(ends[x + SPAN - 1 + right])
-                    else:
-                        y = np.searchsorted(starts, s["stop"]) - SHINGLE + 1
-                        both = np.flatnonzero(np.isin(runs[x:y], np.frombuffer(s["shingles"], np.uint64)))
-                        if len(both):
-                            first, stop = int(starts[x + both[0]]), int(ends[x + both[-1] + SHINGLE - 1])
-                    out.append((first, stop, s["source"]))
-                if not out:
-                    continue
-                first, stop, source = zip(*out)
-                n = len(out)
-                yield pa.RecordBatch.from_pydict({
-                    "id": batch.column("id").take(pa.array([r] * n)),
-                    "tag": batch.column("tag").take(pa.array([r] * n)),
-                    "first": pa.array(first, pa.int32()), "stop": pa.array(stop, pa.int32()),
-                    "source": pa.array(source, pa.int64())})
-
-    return _one_row_each(keyed, wanted).mapInArrow(fit, _REMOVED)
-
-
-def _looked_up(keyed: DataFrame, heads: DataFrame, beside: DataFrame) -> DataFrame:
-    """(content, around, shingles) from the text of the earliest of each content:
-    hashes of the different shingles of the units ``heads``, and (around) the
-    surroundings of the paragraphs ``beside``."""
-    spots = heads.withColumn("around", F.lit(False)).unionByName(beside.withColumn("around", F.lit(True)))
+    def spot(kind: int, rows: DataFrame) -> DataFrame:
+        return rows.select(F.lit(kind).alias("kind"), "content", "id", "tag", "first", "stop", *(
+            F.col(c) if c in rows.columns else F.lit(None).cast(t).alias(c) for c, t in more.items()))
+
+    spots = spot(SET, heads).unionByName(spot(BESIDE, beside)).unionByName(spot(END, ends))
+    names = spots.columns
     wanted = spots.groupBy("id", "tag").agg(F.collect_list(F.struct(
-        "content", "first", "stop", "around")).alias("spans"))
+        *(c for c in names if c not in ("id", "tag")))).alias("spans"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Finder()
         for batch in batches:
-            names, kinds, out = [], [], []
             data, offsets = column_bytes(batch.column("text"))
-            for r, spans in enumerate(batch.column("spans")):
-                text, spans = data[offsets[r]:offsets[r + 1]], spans.values
-                starts, _, _, words = finder.words(text, np.array([0, len(text)]))
-                runs = finder.runs(words, SHINGLE)
-                begin = np.searchsorted(starts, spans.field("first").to_numpy())
-                end = np.searchsorted(starts, spans.field("stop").to_numpy()) - SHINGLE + 1
-                around = spans.field("around").to_pylist()
-                names += spans.field("content").to_pylist()
-                kinds += around
-                out += [(surroundings(words, x) if k else np.unique(runs[x:y])).tobytes()
-                        for x, y, k in zip(begin.tolist(), end.tolist(), around)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.int64()), pa.array(kinds, pa.bool_()), pa.array(out, pa.binary())],
-                names=["content", "around", "shingles"])
-
-    return _one_row_each(keyed, wanted).mapInArrow(cut, "content long, around boolean, shingles binary")
+            held = batch.column("spans")
+            edge = np.r_[0, np.cumsum(held.value_lengths().to_numpy())]
+            spans = pa.RecordBatch.from_struct_array(held.flatten())
+            row = np.repeat(np.arange(batch.num_rows), np.diff(edge))
+            for a, b in row_groups(offsets, GROUP):
+                own, base = spans.slice(edge[a], edge[b] - edge[a]), offsets[a]
+                in_row = row[edge[a]:edge[b]]
+                found = finder.spots(
+                    data[base:offsets[b]], offsets[a:b + 1] - base, in_row - a,
+                    *(own.column(c).to_numpy() for c in ("kind", "first", "stop")))
+                columns = {c: own.column(c) for c in own.schema.names}
+                columns |= {c: batch.column(c).take(pa.array(in_row)) for c in ("id", "tag")}
+                columns |= {c: pa.array(values, pa.binary()) for c, values in found.items()}
+                yield pa.RecordBatch.from_pydict({c: columns[c] for c in names + list(found)})
+
+    return _one_row_each(keyed, wanted).mapInArrow(cut, (
+        f"kind int, content long, {_REMOVED}, left boolean, right boolean, crowded boolean, "
+        "hashes binary, places binary, around binary, reach binary"))
+
+
+def _trimmed(near: DataFrame, sets: DataFrame) -> DataFrame:
+    """The ranges of ``near`` units (content, like, source) without the words
+    before the first and after the last shingle that ``like`` holds."""
+    rows = near.join(sets.select("content", "id", "tag", "first", "stop", "hashes", "places"), "content").join(
+        sets.select(F.col("content").alias("like"), F.col("hashes").alias("theirs")), "like").select(
+            "id", "tag", "first", "stop", "source", "hashes", "places", "theirs")
+
+    def trim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first, stop = (batch.column(c).to_numpy().copy() for c in ("first", "stop"))
+            for r, (mine, places, theirs) in enumerate(zip(*(
+                    batch.column(c).to_pylist() for c in ("hashes", "places", "theirs")))):
+                both = np.isin(np.frombuffer(mine, np.uint64), np.frombuffer(theirs, np.uint64),
+                               assume_unique=True)
+                if both.any():
+                    kind = np.uint16 if len(places) * 2 == len(mine) else np.uint32
+                    begin, end = np.frombuffer(places, kind).reshape(2, -1)[:, both]
+                    first[r], stop[r] = first[r] + int(begin.min()), first[r] + int(end.max())
+            yield _removed(batch, first, stop)
+
+    return rows.mapInArrow(trim, _REMOVED)
+
+
+def _extended(looked_up: DataFrame) -> DataFrame:
+    """The ranges of the paragraphs at the ends of runs with the words beside
+    them that agree with those beside the earliest (none where no word does)."""
+    theirs = looked_up.filter(F.col("kind") == BESIDE).select("content", F.col("around").alias("theirs"))
+    rows = looked_up.filter(F.col("kind") == END).join(theirs, "content").select(
+        "id", "tag", "source", "left", "right", "around", "reach", "theirs")
+
+    def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            mine, theirs, reach = (
+                np.frombuffer(b"".join(batch.column(c).to_pylist()), kind).reshape(batch.num_rows, 2, -1)
+                for c, kind in (("around", np.uint32), ("theirs", np.uint32), ("reach", np.int32)))
+            more = agreed(mine, theirs) * np.stack([np.asarray(batch.column(c)) for c in ("left", "right")], 1)
+            longer = np.flatnonzero(more.any(axis=1))
+            yield _removed(batch.take(pa.array(longer)), reach[longer, 0, more[longer, 0]],
+                           reach[longer, 1, more[longer, 1]])
+
+    return rows.mapInArrow(extend, _REMOVED)
+
+
+def _removed(batch: pa.RecordBatch, first: np.ndarray, stop: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({
+        "id": batch.column("id"), "tag": batch.column("tag"), "first": pa.array(first, pa.int32()),
+        "stop": pa.array(stop, pa.int32()), "source": batch.column("source")})
 
 
 def band_members(units: DataFrame) -> DataFrame:
@@ -422,22 +479,23 @@ def band_members(units: DataFrame) -> DataFrame:
     several, in more than overlapping units of one text; of keys with the same
     members one is kept. Rows meet by key once; counting and joining read the
     same shuffle."""
-    # A unit goes by 32 bits of its text and 32 of its content; a second row
-    # stands for a unit of the same text that it does not overlap.
-    low = F.lit((1 << 32) - 1)
+    # A unit goes by 32 bits of its text and 31 of its content; the last bit tells
+    # of a unit of the same text with that key that it does not overlap.
+    low = F.lit((1 << 32) - 2)
     named = units.withColumn("ref", F.shiftleft(F.hash("id", "tag").cast("long"), 32).bitwiseOR(
-        F.col("content").bitwiseAND(low)))
-    other = F.lit(-1).cast("long")
+        F.shiftleft("content", 1).bitwiseAND(low)))
     rows = named.select("ref", F.inline(F.arrays_zip(
-        F.col("keys").alias("key"), F.col("apart").alias("apart")))).select("key", F.explode(
-            F.when(F.col("apart"), F.array("ref", other)).otherwise(F.array("ref"))).alias("ref")).repartition("key")
-    text, content = F.shiftright("ref", 32), F.when(F.col("ref") != other, F.col("ref").bitwiseAND(low))
-    shared = rows.groupBy("key").agg((F.min(text) < F.max(text)).alias("texts"),
-                                     (F.min(content) < F.max(content)).alias("contents")).filter(
-        "texts and contents").select("key")
-    refs = materialize(rows.join(shared, "key").filter(F.col("ref") != other).distinct(), "met-refs")
+        F.col("keys").alias("key"), F.col("apart").alias("apart")))).select(
+            "key", F.col("ref").bitwiseOR(F.col("apart").cast("long")).alias("ref")).repartition("key")
+    text, content = F.shiftright("ref", 32), F.col("ref").bitwiseAND(low)
+    shared = rows.groupBy("key").agg(
+        (F.min(text) < F.max(text)).alias("texts"), (F.min(content) < F.max(content)).alias("contents"),
+        F.max(F.col("ref").bitwiseAND(F.lit(1))).alias("apart")).filter(
+            "(texts or apart = 1) and contents").select("key")
+    refs = materialize(rows.join(shared.hint("shuffle_hash"), "key").select(
+        "key", F.col("ref").bitwiseAND(F.lit(-2)).alias("ref")).distinct(), "met-refs")
     release(units.sparkSession)
-    met = materialize(refs.join(named.select("ref", "content").distinct(), "ref").select(
+    met = materialize(refs.hint("shuffle_hash").join(named.select("ref", "content").distinct(), "ref").select(
         "key", "content").distinct(), "met-keys")
     groups = materialize(met.groupBy("key").agg(
         F.count("*").alias("n"), F.bit_xor("content").alias("x"),
@@ -448,43 +506,46 @@ def band_members(units: DataFrame) -> DataFrame:
 
 def similar_links(members: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b) links between contents that meet in a band (``members``: key,
-    content, n) and whose ``sets`` (content, shingles) are similar; of each
-    block a forest with the same components."""
+    content, n) and whose ``sets`` (content, crowded, shingles) are similar; of
+    each block a forest with the same components. crowded: the content is in a
+    key of several blocks."""
     members = members.withColumn("block", F.pmod(F.xxhash64("content"), F.ceil(F.col("n") / BLOCK)))
 
-    def blocks(members: DataFrame) -> DataFrame:
+    def blocks(members: DataFrame, sets: DataFrame) -> DataFrame:
         """Shingles join only the members of keys that are left."""
         return members.join(sets, "content").groupBy("key", "block", "n").agg(
             F.collect_list(F.struct("content", "shingles")).alias("rows"))
 
-    every = blocks(members)
+    every = blocks(members, sets)
     alone = every.select("rows", F.lit(None).cast(every.schema["rows"].dataType).alias("others"))
-    crowd = materialize(blocks(members.filter(F.col("n") > BLOCK)), "paragraph-blocks")
+    crowd = materialize(blocks(members.filter(F.col("n") > BLOCK), sets.filter("crowded")), "paragraph-blocks")
     other = crowd.select("key", F.col("block").alias("block2"), F.col("rows").alias("others"))
     across = crowd.join(other, "key").filter(F.col("block") < F.col("block2")).select("rows", "others")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = [], []
-            for rows, others in zip(batch.column(0), batch.column(1)):
-                names, sets = _sets(rows)
-                split = len(names)
-                if others.is_valid:
-                    more, more_sets = _sets(others)
-                    names, sets = np.concatenate([names, more]), sets + more_sets
-                child, root = forest(len(names), similar_pairs(sets, split if others.is_valid else 0))
-                a += names[child].tolist()
-                b += names[root].tolist()
+            for (names, sets), (more, more_sets) in zip(_sets(batch.column(0)), _sets(batch.column(1))):
+                pairs = similar_pairs(sets + more_sets, len(sets) if more_sets else 0)
+                if len(pairs):
+                    names = np.concatenate([names, more])
+                    child, root = forest(len(names), pairs)
+                    a += names[child].tolist()
+                    b += names[root].tolist()
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())],
                                              names=["a", "b"])
 
     return alone.unionByName(across).mapInArrow(verify, "a long, b long")
 
 
-def _sets(rows) -> tuple[np.ndarray, list[np.ndarray]]:
-    flat = rows.values
-    return flat.field("content").to_numpy(), [
+def _sets(column: pa.Array) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
+    """Contents and shingles of each row (none, where it is null)."""
+    flat = column.flatten()
+    names, sets = flat.field("content").to_numpy(), [
         np.frombuffer(s, np.uint64) for s in flat.field("shingles").to_pylist()]
+    edge = np.r_[0, np.cumsum(column.value_lengths().fill_null(0).to_numpy())].tolist()
+    for x, y in zip(edge, edge[1:]):
+        yield names[x:y], sets[x:y]
 
 
 def similar_pairs(sets: list[np.ndarray], split: int = 0) -> np.ndarray:
@@ -493,6 +554,12 @@ def similar_pairs(sets: list[np.ndarray], split: int = 0) -> np.ndarray:
     size = np.array([len(s) for s in sets])
     if size.sum() == 0:
         return np.zeros((0, 2), np.int64)
+    if len(sets) == 2:                                 # as most blocks are
+        both = int(size.min())                         # at most
+        if both >= SIMILARITY * size.max() - 1e-6:
+            both = len(np.intersect1d(*sets, assume_unique=True))
+        alike = bool(both >= SIMILARITY * (size.sum() - both) - 1e-6)
+        return np.array([[0, 1]] if alike else [], np.int64).reshape(-1, 2)
     terms, at, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     held = count > 1                                   # others are in no two sets
     column = np.cumsum(held) - 1

@@ -81,8 +81,9 @@ class Hasher:
 
     def sums(self, data: np.ndarray) -> np.ndarray:
         self._grow(len(data) + 1)
-        out = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(self.value[data] * self.power[:len(data)], out=out[1:])
+        out, steps = np.zeros(len(data) + 1, np.uint64), self.value[data]
+        steps *= self.power[:len(data)]
+        np.cumsum(steps, out=out[1:])
         return out
 
     def ranges(self, sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

@@ -220,6 +220,66 @@ def test_similarity_is_exact():
     assert paragraphs.similar_pairs([a, c, b], 1).tolist() == [[0, 2]]
 
 
+def test_similarity_of_two_sets():
+    """Blocks of two go another way than larger ones: same pairs at the limit."""
+    far = np.arange(1000, 1028, dtype=np.uint64)
+    for n in range(1, 60):
+        for same in range(n + 1):
+            a, b = np.arange(28, dtype=np.uint64), np.arange(n, dtype=np.uint64)
+            b[same:] += np.uint64(500)
+            want = paragraphs.similar_pairs([a, b, far]).tolist()
+            assert paragraphs.similar_pairs([a, b]).tolist() == want
+            assert paragraphs.similar_pairs([a, b], 1).tolist() == want
+
+
+def test_texts_are_split_once_for_paragraphs_and_once_for_places(spark, passages, tmp_path):
+    """The texts are run through for paragraphs, units, repeated rows and places
+    (those of repeated rows apart): five times at most."""
+    seen, docs = tmp_path / "seen", frame(spark, passages)
+
+    def note(batches):
+        for batch in batches:
+            with open(seen, "a") as f:
+                f.write("x" * batch.num_rows)
+            yield batch
+    got = paragraphs.removed_paragraphs(docs.mapInArrow(note, docs.schema)).collect()
+    assert len(got) > 100 and len(seen.read_text()) <= 5 * len(passages)
+
+
+@pytest.mark.parametrize("long", [1, 4000])
+def test_places_in_texts(long):
+    """Shingles, where they stand, and the words around, by plain computation;
+    of words with which a unit is shorter and longer than 64 KiB."""
+    import re
+
+    import pyarrow as pa
+    rng = random.Random(41)
+    texts = [" ".join(rng.choice("abcdefg") * long for _ in range(n)) for n in (40, 90, 33)]
+    finder = paragraphs.Finder()
+    data, offsets = paragraphs.column_bytes(pa.array(texts))
+    words = [[m.span() for m in re.finditer(r"\S+", t)] for t in texts]
+    spans = [(0, 2, 38), (1, 0, 90), (1, 50, 88), (2, 1, 31)]
+    ask = [np.array(x) for x in zip(*((r, words[r][x][0], words[r][y - 1][1]) for r, x, y in spans))]
+    sets = finder.spots(data, offsets, ask[0], np.full(4, paragraphs.SET), *ask[1:])
+    for (r, x, y), hashes, places in zip(spans, sets["hashes"], sets["places"]):
+        own = texts[r].split()
+        at = {}
+        for k in range(x, y - 4):
+            at.setdefault(tuple(own[k:k + 5]), []).append(k)
+        kind = np.uint16 if words[r][y - 1][1] - words[r][x][0] < 1 << 16 else np.uint32
+        zero = words[r][x][0]
+        want = sorted((words[r][k[0]][0] - zero, words[r][k[-1] + 4][1] - zero) for k in at.values())
+        assert sorted(zip(*np.frombuffer(places, kind).reshape(2, -1).tolist())) == want
+        assert len(set(np.frombuffer(hashes, np.uint64).tolist())) == len(at) == len(hashes) // 8
+    ends = finder.spots(data, offsets, ask[0], np.full(4, paragraphs.END), *ask[1:])
+    for (r, x, _), around, reach in zip(spans, ends["around"], ends["reach"]):
+        n, far = len(words[r]), np.frombuffer(reach, np.int32).reshape(2, -1).tolist()
+        assert far[0] == [words[r][max(0, x - k)][0] for k in range(paragraphs.WINDOW)]
+        assert far[1] == [words[r][min(n, x + paragraphs.SPAN + k) - 1][1] for k in range(paragraphs.WINDOW)]
+        left, right = (np.frombuffer(around, np.uint32).reshape(2, -1) > 0).sum(axis=1)
+        assert left == min(x, paragraphs.WINDOW - 1) and right == min(n - x - paragraphs.SPAN, paragraphs.WINDOW - 1)
+
+
 def test_edited_passage_ends_are_linked(spark):
     """Paragraphs that differ in their last word only: similar, not equal."""
     rng = random.Random(9)
